@@ -89,7 +89,10 @@ def shift_documents(site: Site) -> DataFrame:
         "line_id", F.explode(F.sequence("ord", F.col("ord") + CONTEXT)).alias("subject"), "ord", "row"
     ).groupBy("line_id", F.col("subject").alias("ord")).agg(
         F.transform(
-            F.sort_array(F.collect_list(F.struct(F.col("ord").alias("o"), "row")), asc=False), lambda x: x["row"]
+            F.array_sort(
+                F.collect_list(F.struct(F.col("ord").alias("o"), "row")), lambda a, b: (b["o"] - a["o"]).cast("int")
+            ),
+            lambda x: x["row"],
         ).alias("shifts")
     )
     ideal = oee.ideal_speed(site)
