@@ -35,36 +35,34 @@ def fault_entries(faults: Column) -> Column:
 
 def code_variants(code: Column) -> Column:
     """Fault ids that can encode a reason code, in matching order."""
+    text = code.cast("string")
+    padded = F.when(F.length(text) < 4, F.lpad(text, 4, "0")).otherwise(text)
     spelled = []
     for prefix in FC_PREFIXES:
         spelled += [
-            F.format_string(f"{prefix}_%04d", code),
-            F.format_string(f"{prefix}_%d", code),
-            F.format_string(f"{prefix}_PLC1_%d", code),
+            F.concat(F.lit(f"{prefix}_"), padded),
+            F.concat(F.lit(f"{prefix}_"), text),
+            F.concat(F.lit(f"{prefix}_PLC1_"), text),
         ]
     return F.array(*spelled)
 
 
 def code_description(code: Column, entries: Column) -> Column:
     """Description of a reason code: first variant, then first entry that has one."""
+    described = F.filter(entries, lambda e: e["description"] != "")
     hits = F.flatten(
-        F.transform(
-            code_variants(code),
-            lambda v: F.filter(
-                entries, lambda e: (e["fault_id"] == v) & (e["description"] != "")
-            ),
-        )
+        F.transform(code_variants(code), lambda v: F.filter(described, lambda e: e["fault_id"] == v))
     )
-    return F.get(hits, F.lit(0))["description"]
+    return F.when(F.size(entries) > 0, F.get(hits, F.lit(0))["description"])
+
 
+def display_label(codes: Column, entries: Column, alarm: Column, described: Column) -> Column:
+    """Code description, else 'RC=n', else first entry, else alarm text, else 'Unattributed'.
 
-def display_label(codes: Column, entries: Column, alarm: Column, backfill: Column | None = None) -> Column:
-    """Code description, else 'RC=n', else first entry, else alarm text, else 'Unattributed'."""
+    ``described`` is the description of the first code (or a dictionary's).
+    """
     code = F.get(codes, F.lit(0))
     first = F.get(entries, F.lit(0))
-    described = code_description(code, entries)
-    if backfill is not None:
-        described = F.coalesce(described, backfill)
     return (
         F.when(F.size(codes) > 0, F.coalesce(described, F.concat(F.lit("RC="), code.cast("string"))))
         .when(
@@ -80,10 +78,17 @@ def _matches(text: Column, pattern: str) -> Column:
     return text.rlike(f"(?i){pattern}")
 
 
-def segment_of_label(label: Column, profile: LineProfile) -> Column:
-    """Leading alarm number in a code range, else first keyword match, else unattributed."""
+def alarm_number(label: Column) -> Column:
+    """Leading number of a label; a single digit stands for its thousands."""
     number = F.regexp_extract(label, r"^(\d+)", 1).try_cast("bigint")
-    number = F.when(number < 10, number * 1000).otherwise(number)
+    return number * F.when(F.length(F.ltrim(number.cast("string"))) == 1, 1000).otherwise(1)
+
+
+def segment_of_label(label: Column, number: Column, profile: LineProfile) -> Column:
+    """Leading alarm number in a code range, else first keyword match, else unattributed.
+
+    ``number`` is alarm_number(label) as a column of its own, so that it is computed once.
+    """
     chain = F.when(label.isNull() | label.isin("", UNATTRIBUTED), F.lit(NO_SEGMENT))
     for seg in profile.segments:
         if seg.code_range:
@@ -95,22 +100,21 @@ def segment_of_label(label: Column, profile: LineProfile) -> Column:
     return chain.otherwise(F.lit(NO_SEGMENT))
 
 
-def segment_of_stop(
-    label: Column, codes: Column, entries: Column, stop_type: Column, profile: LineProfile
-) -> Column:
-    """Manual wins; then the label; then the descriptions of the secondary codes."""
-    primary = segment_of_label(label, profile)
-    secondary = F.filter(
-        F.transform(
-            F.slice(codes, 2, F.greatest(F.size(codes), F.lit(1))),
-            lambda c: segment_of_label(code_description(c, entries), profile),
-        ),
-        lambda s: s != NO_SEGMENT,
+def segment_of_texts(texts: Column, profile: LineProfile) -> Column:
+    """Segment of the first text that has one (texts: descriptions of the secondary codes)."""
+    found = F.transform(
+        F.transform(texts, lambda t: F.struct(t.alias("text"), alarm_number(t).alias("number"))),
+        lambda x: segment_of_label(x["text"], x["number"], profile),
     )
+    return F.get(F.filter(found, lambda s: s != NO_SEGMENT), F.lit(0))
+
+
+def segment_of_stop(primary: Column, secondary: Column, stop_type: Column) -> Column:
+    """Manual wins; then the label's segment; then that of the secondary codes."""
     return (
         F.when(F.lower(stop_type) == MANUAL, F.lit(MANUAL))
         .when(primary != NO_SEGMENT, primary)
-        .otherwise(F.coalesce(F.get(secondary, F.lit(0)), F.lit(NO_SEGMENT)))
+        .otherwise(F.coalesce(secondary, F.lit(NO_SEGMENT)))
     )
 
 

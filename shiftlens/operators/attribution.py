@@ -27,7 +27,10 @@ def attributed(site: Site) -> DataFrame:
     parsed = intervals.decoded(site, intervals.stopped_with_reason(site))
     lookup = code_dictionary(parsed).select("line_id", F.col("code").alias("rc_code"), F.col("description").alias("known"))
     joined = parsed.withColumn("rc_code", F.get("codes", F.lit(0))).join(lookup, ["line_id", "rc_code"], "left")
-    label = causes.display_label(F.col("codes"), F.col("entries"), F.col("alarm_text"), F.col("known"))
+    codes, entries = F.col("codes"), F.col("entries")
+    described = F.coalesce(causes.code_description(F.col("rc_code"), entries), F.col("known"))
+    joined = joined.withColumn("described", described)
+    label = causes.display_label(codes, entries, F.col("alarm_text"), F.col("described"))
     method = (
         F.when(F.size("codes") > 0, "RC").when(F.size("entries") > 0, "FC-fallback")
         .when(F.col("alarm_text").isNotNull() & ~F.col("alarm_text").isin("", NO_ALARM), "FOF-fallback")

@@ -67,24 +67,33 @@ def stopped_with_reason(site: Site) -> DataFrame:
 
 
 def decoded(site: Site, stops: DataFrame) -> DataFrame:
-    """Add label, segment and cluster to stop rows (narrow: no shuffle)."""
-    lines, line = site.lines, F.col("line_id")
-    with_codes = stops.withColumn("codes", causes.reason_codes(F.col("faults"))).withColumn(
-        "entries", causes.fault_entries(F.col("faults"))
-    )
-    labelled = with_codes.withColumn(
-        "label", causes.display_label(F.col("codes"), F.col("entries"), F.col("alarm_text"))
-    )
-    segment = causes.per_line(
-        lines, line,
-        lambda p: causes.segment_of_stop(
-            F.col("label"), F.col("codes"), F.col("entries"), F.col("stop_type"), p
-        ),
-    )
-    cluster = causes.per_line(
-        lines, line, lambda p: causes.cluster_of(F.col("label"), F.col("segment"), p)
-    )
-    return labelled.withColumn("segment", segment).withColumn("cluster", cluster)
+    """Add label, segment and cluster to stop rows (narrow: no shuffle).
+
+    Each step is a column of its own: a value used by many branches is computed once per row and
+    the generated code stays small enough to be compiled.
+    """
+    lines, line, label = site.lines, F.col("line_id"), F.col("label")
+    codes, entries = F.col("codes"), F.col("entries")
+    steps = {
+        "codes": causes.reason_codes(F.col("faults")),
+        "entries": causes.fault_entries(F.col("faults")),
+        "described": causes.code_description(F.get(codes, F.lit(0)), entries),
+        "label": causes.display_label(codes, entries, F.col("alarm_text"), F.col("described")),
+        "number": causes.alarm_number(label),
+        "texts": F.when(F.size(codes) > 1, F.transform(
+            F.slice(codes, 2, F.greatest(F.size(codes), F.lit(1))),
+            lambda c: causes.code_description(c, entries),
+        )),
+        "primary": causes.per_line(lines, line, lambda p: causes.segment_of_label(label, F.col("number"), p)),
+        "secondary": F.when(F.col("texts").isNotNull(), causes.per_line(
+            lines, line, lambda p: causes.segment_of_texts(F.col("texts"), p)
+        )),
+        "segment": causes.segment_of_stop(F.col("primary"), F.col("secondary"), F.col("stop_type")),
+        "cluster": causes.per_line(lines, line, lambda p: causes.cluster_of(label, F.col("segment"), p)),
+    }
+    for name, step in steps.items():
+        stops = stops.withColumn(name, step)
+    return stops.drop("described", "number", "texts", "primary", "secondary")
 
 
 def shift_stops(site: Site) -> DataFrame:
