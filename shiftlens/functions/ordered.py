@@ -214,51 +214,43 @@ def intervals_hit(
 
 
 def exact_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, q: float, bins: int = 4096
+    df: DataFrame, keys: Sequence[str], value: str, q: float, accuracy: int = 10_000
 ) -> DataFrame:
     """Exact interpolated percentile per key, without gathering a key in one task.
 
-    Equal values are counted first (map-side combine), a histogram of ``bins`` cells locates the
-    two ranks around the percentile, and only the values of those cells are put in order.
+    A mergeable sketch, whose rank error is at most 1/accuracy, brackets the two ranks around the
+    percentile.  Everything below the bracket is only counted; the values inside it (about one in a
+    thousand rows) are counted by value and put in order.  A key with few rows needs no bracket.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    span = counts.groupBy(*keys).agg(
-        F.sum("n").alias("total"), F.min(value).alias("v_min"), F.max(value).alias("v_max")
+    slack = 3 / accuracy
+    marks = F.percentile_approx(value, [max(q - slack, 0.0), min(q + slack, 1.0)], accuracy)
+    # One row per key of the report.
+    few = F.col("total") <= 5 * accuracy
+    bounds = df.groupBy(*keys).agg(
+        F.count(value).alias("total"), marks.alias("marks"), F.min(value).alias("v_min"), F.max(value).alias("v_max")
+    ).select(
+        *keys, "total", F.when(few, F.col("v_min")).otherwise(F.col("marks")[0]).alias("v_lo"),
+        F.when(few, F.col("v_max")).otherwise(F.col("marks")[1]).alias("v_hi"),
     )
-    width = F.col("v_max") - F.col("v_min")
-    cell = F.when(width > 0, F.least(
-        F.floor((F.col(value) - F.col("v_min")) / width * bins), F.lit(bins - 1)
-    )).otherwise(F.lit(0)).cast("int")
-    position = (F.col("total") - 1) * F.lit(q)
-    placed = (
-        counts.join(span, keys)
-        .withColumn("cell", cell)
-        .withColumn("rank_lo", F.floor(position))
-        .withColumn("rank_hi", F.ceil(position))
-        .withColumn("part", position - F.floor(position))
-    )
-    upto = W.partitionBy(*keys).orderBy("cell").rowsBetween(W.unboundedPreceding, 0)
-    cells = (
-        placed.groupBy(*keys, "cell")
-        .agg(F.sum("n").alias("n"), F.first("rank_lo").alias("r0"), F.first("rank_hi").alias("r1"))
-        .withColumn("upto", F.sum("n").over(upto))
-        .withColumn("below", F.col("upto") - F.col("n"))
-        .filter((F.col("below") <= F.col("r1")) & (F.col("upto") > F.col("r0")))
-        .select(*keys, "cell", "below")
-    )
-    inside = W.partitionBy(*keys, "cell").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    ranked = (
-        placed.join(cells, [*keys, "cell"])
-        .withColumn("upto", F.sum("n").over(inside) + F.col("below"))
-        .withColumn("from", F.col("upto") - F.col("n"))
+    near = (
+        df.join(F.broadcast(bounds), keys).filter(F.col(value) <= F.col("v_hi"))
+        .groupBy(*keys, "total", F.when(F.col(value) >= F.col("v_lo"), F.col(value)).alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    upto = W.partitionBy(*keys).orderBy(F.asc_nulls_first("v")).rowsBetween(W.unboundedPreceding, 0)
+    position = (F.col("total") - 1) * F.lit(q)
+    ranked = near.withColumn("upto", F.sum("n").over(upto)).withColumn("position", position)
 
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col("from") <= F.col(rank)) & (F.col("upto") > F.col(rank)), F.col(value)))
+    def at(rank: Column) -> Column:
+        here = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+        return F.max(F.when(here, F.col("v")))
 
     return (
         ranked.groupBy(*keys)
-        .agg(at("rank_lo").alias("lo"), at("rank_hi").alias("hi"), F.first("part").alias("part"))
+        .agg(
+            at(F.floor("position")).alias("lo"), at(F.ceil("position")).alias("hi"),
+            F.first(F.col("position") - F.floor("position")).alias("part"),
+        )
         .select(*keys, (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("percentile"))
     )

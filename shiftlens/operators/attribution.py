@@ -9,6 +9,7 @@ from shiftlens.config import NO_ALARM, UNATTRIBUTED
 from shiftlens.functions import causes
 from shiftlens.operators import intervals
 from shiftlens.sources.site import Site
+from shiftlens.sources.staging import checked_broadcast, staged
 
 
 def code_dictionary(parsed: DataFrame) -> DataFrame:
@@ -22,11 +23,18 @@ def code_dictionary(parsed: DataFrame) -> DataFrame:
     )
 
 
+@staged
+def dictionary(site: Site) -> DataFrame:
+    return code_dictionary(intervals.decoded(site, intervals.stopped_with_reason(site)))
+
+
 def attributed(site: Site) -> DataFrame:
     """Attribution columns of every stop; the dictionary has one row per line and code."""
     parsed = intervals.decoded(site, intervals.stopped_with_reason(site))
-    lookup = code_dictionary(parsed).select("line_id", F.col("code").alias("rc_code"), F.col("description").alias("known"))
-    joined = parsed.withColumn("rc_code", F.get("codes", F.lit(0))).join(lookup, ["line_id", "rc_code"], "left")
+    lookup = dictionary(site).select("line_id", F.col("code").alias("rc_code"), F.col("description").alias("known"))
+    joined = parsed.withColumn("rc_code", F.get("codes", F.lit(0))).join(
+        checked_broadcast(lookup), ["line_id", "rc_code"], "left"
+    )
     codes, entries = F.col("codes"), F.col("entries")
     described = F.coalesce(causes.code_description(F.col("rc_code"), entries), F.col("known"))
     joined = joined.withColumn("described", described)
@@ -47,7 +55,7 @@ def explode_codes(rows: DataFrame, lookup: DataFrame, weight: str, strategy: str
     long = rows.select("*", F.posexplode_outer("codes").alias("pos", "code"))
     share = F.col(weight) / n if strategy == "equal" else F.when(F.col("pos") == 0, F.col(weight)).otherwise(F.lit(0.0))
     out = long.withColumn(weight, F.when(F.col("code").isNull(), F.col(weight)).otherwise(share))
-    return out.join(lookup, ["line_id", "code"], "left").withColumn(
+    return out.join(checked_broadcast(lookup), ["line_id", "code"], "left").withColumn(
         "rc_label", F.when(F.col("code").isNull(), F.col("rc_label")).otherwise(
             F.coalesce("description", F.concat(F.lit("RC="), F.col("code").cast("string")))
         ),

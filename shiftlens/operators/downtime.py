@@ -13,6 +13,7 @@ from shiftlens.functions.columns import (
 )
 from shiftlens.operators import calendar, intervals
 from shiftlens.sources.site import Site
+from shiftlens.sources.staging import staged
 
 KEY = ["line_id", "ord"]
 
@@ -117,17 +118,22 @@ def hour_pieces(site: Site) -> DataFrame:
     )
 
 
-def hourly(site: Site) -> DataFrame:
-    """(shift, hour, segment, cluster) minutes; segment 'running' for running time.
-
-    All hours of a shift that has any block appear for 'running'; other cells only when > 0.
-    """
-    sums = (
+@staged
+def hour_sums(site: Site) -> DataFrame:
+    return (
         hour_pieces(site)
         .withColumn("segment", F.when(F.col("running"), F.lit("running")).otherwise(F.col("segment")))
         .groupBy(*KEY, "hour", "segment", "cluster")
         .agg(F.sum("piece_us").alias("us"))
     )
+
+
+def hourly(site: Site) -> DataFrame:
+    """(shift, hour, segment, cluster) minutes; segment 'running' for running time.
+
+    All hours of a shift that has any block appear for 'running'; other cells only when > 0.
+    """
+    sums = hour_sums(site)
     length = (site.bounds[1] - site.bounds[0]) % 24
     first = F.floor(shift_start(F.col("ord"), site.bounds) / F.lit(HOUR))
     grid = sums.select(*KEY).distinct().select(
@@ -168,14 +174,15 @@ def hourly_clusters(site: Site, hours: DataFrame) -> DataFrame:
     )
 
 
-def top_stops(stops: DataFrame, period: list[str], n: int = TOP_STOPS) -> DataFrame:
-    """Top labels by hours per (period, segment, cluster); ties by label.
-
-    Labels are counted first, so the ranking window only holds distinct labels.
-    """
-    labels = stops.filter(F.col("cluster").isNotNull()).groupBy(*period, "segment", "cluster", "label").agg(
+def label_sums(stops: DataFrame) -> DataFrame:
+    """Stops with a cluster counted per (shift, segment, cluster, label)."""
+    return stops.filter(F.col("cluster").isNotNull()).groupBy(*KEY, "segment", "cluster", "label").agg(
         F.count(F.lit(1)).alias("count"), F.sum("dur_us").alias("us")
     )
+
+
+def _first_labels(labels: DataFrame, period: list[str], n: int) -> DataFrame:
+    """The n labels with most hours per (period, segment, cluster); ties by label."""
     w = W.partitionBy(*period, "segment", "cluster").orderBy(F.desc("us"), "label")
     return (
         labels.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
@@ -184,8 +191,19 @@ def top_stops(stops: DataFrame, period: list[str], n: int = TOP_STOPS) -> DataFr
     )
 
 
-def with_week(site: Site, df: DataFrame) -> DataFrame:
-    return df.join(calendar.production_shifts(site).select("line_id", "ord", "week"), KEY)
+def top_stops(stops: DataFrame, n: int = TOP_STOPS) -> DataFrame:
+    """Top labels of each shift.  Labels are counted first; Spark limits the groups before the shuffle."""
+    return _first_labels(label_sums(stops), KEY, n)
+
+
+def week_top_stops(site: Site, stops: DataFrame, n: int = TOP_STOPS) -> DataFrame:
+    """Top labels over all production shifts of a week, from the counts per shift."""
+    shifts = calendar.production_shifts(site).select("line_id", "ord", "week")
+    period = ["line_id", "week"]
+    labels = label_sums(stops).join(shifts, KEY).groupBy(*period, "segment", "cluster", "label").agg(
+        F.sum("count").alias("count"), F.sum("us").alias("us")
+    )
+    return _first_labels(labels, period, n)
 
 
 def _hundredths(col: str):

@@ -16,7 +16,7 @@ from shiftlens.functions.ordered import (
 )
 from shiftlens.operators import calendar, intervals
 from shiftlens.sources.site import Site
-from shiftlens.sources.staging import staged
+from shiftlens.sources.staging import checked_broadcast, staged
 
 KEY = ["line_id", "ord"]
 
@@ -59,11 +59,12 @@ def ideal_speed(site: Site) -> DataFrame:
     span = calendar.production_shifts(site).groupBy("line_id", "week").agg(
         F.min("ord").alias("lo"), F.max("ord").alias("hi"), F.first("latest_ord").alias("latest_ord")
     )
-    latest = span.groupBy("line_id").agg(F.first("latest_ord").alias("latest_ord"))
+    # One row per line, and one per line and week: counted before they are broadcast.
+    latest = checked_broadcast(span.groupBy("line_id").agg(F.first("latest_ord").alias("latest_ord")))
     samples = (
         speed_samples(site).join(latest, "line_id")
         .withColumn("week", calendar.week_of(F.col("ord"), F.col("latest_ord")))
-        .join(span.drop("latest_ord"), ["line_id", "week"])
+        .join(checked_broadcast(span.drop("latest_ord")), ["line_id", "week"])
         .filter(F.col("ord").between(F.col("lo"), F.col("hi")))
     )
     found = exact_percentile(samples, ["line_id", "week"], "ppm", 0.95)

@@ -21,7 +21,7 @@ from shiftlens.functions.columns import (
 from shiftlens.functions.ordered import latest_start_asof, with_previous
 from shiftlens.operators import calendar, schedule
 from shiftlens.sources.site import Site, union_all
-from shiftlens.sources.staging import staged
+from shiftlens.sources.staging import checked_broadcast, staged
 
 PANEL = ["line_id", "panel"]
 SUBGROUP = ["line_id", "panel", "block_id", "seg"]
@@ -43,15 +43,12 @@ def lane_rows(site: Site) -> DataFrame:
             for pattern in panel.patterns:
                 named = named | F.col("name").like(pattern)
             tests.append((panel, (F.col("line_id") == profile.line_id) & named))
-        any_test = F.lit(False)
-        for _, test in tests:
-            any_test = any_test | test
         tags = F.array(*[
             F.when(test, F.struct(F.lit(p.key).alias("panel"), F.lit(p.dual).alias("dual")))
             for p, test in tests
         ])
         parts.append(
-            site.table(table).filter(any_test)
+            site.table(table)
             .withColumn("tag", F.explode(F.filter(tags, lambda t: t.isNotNull())))
             .select(
                 "line_id", F.col("tag.panel").alias("panel"), F.lit(table).alias("counter_table"),
@@ -176,7 +173,9 @@ def block_lanes(site: Site, needed: DataFrame) -> DataFrame:
     Single station: exactly n rows and no NULL.  Two stations: non-NULL counts are summed per lane
     and every lane must have one.
     """
-    rows = lane_rows(site).join(needed.select(*PANEL, "block_id").distinct(), [*PANEL, "block_id"], "left_semi")
+    rows = lane_rows(site).join(
+        checked_broadcast(needed.select(*PANEL, "block_id").distinct()), [*PANEL, "block_id"], "left_semi"
+    )
     lanes = rows.groupBy(*PANEL, "dual", "block_id", "lane").agg(
         F.sum("cnt").alias("value"), F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("cnt").isNull()).alias("n_null"),
@@ -224,14 +223,17 @@ def subgroups(site: Site) -> DataFrame:
     """Long subgroups: (line, panel, subgroup, lane) with inspected parts and rejects."""
     segs = segments(site)
     dims = F.broadcast(site.panels_dim.select(*PANEL, "divisor", "min_subgroups", "lane_mode"))
-    counted = (
+    found = (
         segs.join(peaks(site, segs), SUBGROUP).join(dims, PANEL)
         .filter(F.col("peak") >= F.col("divisor") * SPC_MIN_INSPECTED)
     )
+    counted = site.stage("spc.counted_segments", lambda: found)
     needed = union_all([
         counted.select(*PANEL, F.col(c).alias("block_id")).filter(F.col("block_id").isNotNull())
         for c in ("lo_block", "hi_block")
     ])
+    # A few blocks per reset: written first, so that its size decides the join with the counters.
+    needed = site.stage("spc.needed_blocks", lambda: needed.distinct())
     lanes = site.stage("spc.block_lanes", lambda: block_lanes(site, needed))
     end = lanes.select(*PANEL, F.col("block_id").alias("hi_block"), "lane", F.col("value").alias("end_value"))
     start = lanes.select(*PANEL, F.col("block_id").alias("lo_block"), "lane", F.col("value").alias("start_value"))

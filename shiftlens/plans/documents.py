@@ -36,7 +36,7 @@ def shift_details(site: Site) -> DataFrame:
         _map(F.col("segment"), F.struct("count", "hours", "halted_hours", "stopped_hours", "clusters")).alias("segment_downtime")
     )
     top = (
-        downtime.top_stops(stops, KEY).groupBy(*KEY, "segment", "cluster")
+        downtime.top_stops(stops).groupBy(*KEY, "segment", "cluster")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "label", "count", "hours"))).alias("labels"))
         .groupBy(*KEY, "segment").agg(_map(F.col("cluster"), F.col("labels")).alias("clusters"))
         .groupBy(*KEY).agg(_map(F.col("segment"), F.col("clusters")).alias("top_stops_by_cluster"))

@@ -557,13 +557,9 @@ def cau4_display_label(s: Site) -> DataFrame:
     return _parsed(s).select("line_id", "start_id", "label")
 
 
-def _dictionary(s: Site) -> DataFrame:
-    return attribution.code_dictionary(_parsed(s))
-
-
 @query
 def cau5_code_dictionary(s: Site) -> DataFrame:
-    return _dictionary(s)
+    return attribution.dictionary(s)
 
 
 @query
@@ -575,7 +571,7 @@ def cau6_attribution(s: Site) -> DataFrame:
 def cau7_explode_codes(s: Site) -> DataFrame:
     rows = attribution.attributed(s).withColumn("minutes", (F.col("e_us") - F.col("s_us")) / C.MINUTE)
     full = rows.withColumn("primary_minutes", F.col("minutes"))
-    out = attribution.explode_codes(full, _dictionary(s), "minutes")
+    out = attribution.explode_codes(full, attribution.dictionary(s), "minutes")
     primary = F.when(F.col("code").isNull() | (F.col("pos") == 0), F.col("primary_minutes")).otherwise(F.lit(0.0))
     return out.select("line_id", "start_id", "code", "rc_label", "minutes", primary.alias("primary_minutes"))
 
@@ -645,12 +641,12 @@ def dt4_hourly(s: Site) -> DataFrame:
 
 @query
 def dt5_top_stops(s: Site) -> DataFrame:
-    return _keyed(downtime.top_stops(intervals.flagged_stops(s), ["line_id", "ord"]), "segment", "cluster", "rank", "label", "count", "hours")
+    return _keyed(downtime.top_stops(intervals.flagged_stops(s)), "segment", "cluster", "rank", "label", "count", "hours")
 
 
 @query
 def dt6_week_top_stops(s: Site) -> DataFrame:
-    return downtime.top_stops(downtime.with_week(s, intervals.flagged_stops(s)), ["line_id", "week"])
+    return downtime.week_top_stops(s, intervals.flagged_stops(s))
 
 
 @query
@@ -670,7 +666,7 @@ def dt8_week_categories(s: Site) -> DataFrame:
 
 @query
 def dt9_cluster_reference(s: Site) -> DataFrame:
-    top = downtime.top_stops(intervals.flagged_stops(s), ["line_id", "ord"])
+    top = downtime.top_stops(intervals.flagged_stops(s))
     return _plain(downtime.cluster_reference(s, _segs(s), _clus(s), top), "segment", "position", "cluster", "count", "hours", "segment_pct", "top_labels")
 
 

@@ -85,10 +85,9 @@ def segment_clusters(site: Site) -> DataFrame:
 
 
 def top_stops(site: Site) -> DataFrame:
-    kept = intervals.flagged_stops(site).join(
-        calendar.production_shifts(site).select("line_id", "ord"), ["line_id", "ord"]
-    )
-    return _shift(downtime.top_stops(kept, ["line_id", "ord"])).select(
+    shown = calendar.production_shifts(site).select("line_id", "ord")
+    top = downtime.top_stops(intervals.flagged_stops(site)).join(shown, ["line_id", "ord"], "left_semi")
+    return _shift(top).select(
         "ShiftKey", "LineId", F.col("segment").alias("Segment"), F.col("cluster").alias("Cluster"),
         F.col("label").alias("Label"), F.col("count").alias("Count"), F.col("hours").alias("Hours"),
     )

@@ -72,6 +72,10 @@ class Site:
         """A shared intermediate result, computed once per site (see staging)."""
         return self._stage.get(name, make)
 
+    def close(self) -> None:
+        """Delete the staged tables of this site."""
+        self._stage.drop()
+
     def only(self, line_ids: Sequence[str]) -> Site:
         """The same site restricted to some lines; the filter reaches every scan."""
         keep = [p for p in self.lines if p.line_id in set(line_ids)]

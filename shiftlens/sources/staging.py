@@ -12,6 +12,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,6 +49,22 @@ class Stage:
             self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._tables[name]
 
+    def drop(self) -> None:
+        """Delete the run folder with every staged table."""
+        if self._root is not None:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._root)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._root, self._tables = None, {}
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a small, cheap frame after counting it; past the limit leave the join to AQE.
+
+    Beyond the limit the join shuffles both sides and adaptive execution splits skewed keys.
+    """
+    few = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if few else df
+
 
 def staged(operator):
     """Keep the result of ``operator(site)`` as a staged table of the site."""

@@ -87,12 +87,13 @@ def test_interval_hit_is_half_open(spark, chunking):
 
 
 @pytest.mark.parametrize("values", [
-    [1.0], [1.0, 2.0], [5.0] * 50, [1.0, 2.0, 3.0, 10.0], [float(x % 7) for x in range(1000)], list(np.random.default_rng(4).lognormal(size=777)),
+    [1.0], [1.0, 2.0], [5.0] * 50, [1.0, 2.0, 3.0, 10.0], [float(x % 7) for x in range(1000)], list(np.random.default_rng(4).lognormal(size=5000)),
+    [1e12, *np.random.default_rng(5).normal(50, 1, size=3000)],
 ])
-@pytest.mark.parametrize("q", [0.0, 0.5, 0.95, 1.0])
-def test_exact_percentile(spark, values, q):
+@pytest.mark.parametrize("q, accuracy", [(0.0, 100), (0.5, 100), (0.95, 100), (0.95, 10_000), (1.0, 100)])
+def test_exact_percentile(spark, values, q, accuracy):
     df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 3.0)], "k string, v double")
-    got = {r.k: r.percentile for r in O.exact_percentile(df, ["k"], "v", q, bins=16).collect()}
+    got = {r.k: r.percentile for r in O.exact_percentile(df, ["k"], "v", q, accuracy=accuracy).collect()}
     assert got["b"] == 3.0
     assert got["a"] == pytest.approx(float(np.percentile(values, q * 100)), rel=1e-12)
 

@@ -139,7 +139,7 @@ def test_top_stops_keep_ties_by_label(spark):
         [(A, 1, "s", "c", f"l{i}", MINUTE * 60) for i in range(7)] + [(A, 1, "s", None, "none", 10**12)],
         "line_id string, ord long, segment string, cluster string, label string, dur_us long",
     )
-    got = downtime.top_stops(rows, ["line_id", "ord"]).orderBy("rank").collect()
+    got = downtime.top_stops(rows).orderBy("rank").collect()
     assert [r.label for r in got] == ["l0", "l1", "l2", "l3", "l4"] and got[0].hours == 1.0
 
 
