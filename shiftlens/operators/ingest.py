@@ -9,7 +9,7 @@ from shiftlens.functions.columns import HOUR, floor_to, to_ts, to_us
 from shiftlens.sources.site import Site, union_all
 
 
-def high_water(target: DataFrame, ts: str, cutoff: str | None = None, empty_mark: str | None = None) -> DataFrame:
+def high_water(target: DataFrame, ts: str, cutoff: str | None = None) -> DataFrame:
     """One row per line: newest copied time (before the cutoff where one is given)."""
     if cutoff is not None:
         target = target.filter(F.col(ts) < F.lit(cutoff).cast("timestamp_ntz"))
@@ -23,12 +23,17 @@ def pending(
     """Source rows with mark < ts < cutoff.  Strict on both sides, so a re-run adds nothing.
 
     A line without any copied row gets nothing, unless ``empty_mark`` gives a start.
-    The cutoff is a literal and reaches the scan; the mark is one row per line.
+    The cutoff and the oldest mark of all lines are literals and reach the scan, so only the new
+    part of the source is read; the mark itself is one row per line.
     """
     limit = F.lit(cutoff).cast("timestamp_ntz")
     marks = high_water(target, ts, cutoff if bound_mark else None)
-    rows = source.filter(F.col(ts) < limit).join(F.broadcast(marks), "line_id", "left")
+    source = source.filter(F.col(ts) < limit)
     mark = F.col("mark")
+    if empty_mark is None:
+        oldest = marks.agg(F.min("mark")).first()[0]
+        source = source.filter(F.col(ts) > F.lit(oldest).cast("timestamp_ntz"))
+    rows = source.join(F.broadcast(marks), "line_id", "left")
     if empty_mark is not None:
         mark = F.coalesce(mark, F.lit(empty_mark).cast("timestamp_ntz"))
     return rows.filter(F.col(ts) > mark).drop("mark")

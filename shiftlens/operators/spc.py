@@ -16,7 +16,7 @@ from shiftlens.config import (
 )
 from shiftlens.functions.columns import (
     DAY, HOUR, SECOND, batch_end_label, boundaries_between, date_of, floor_to, round_even,
-    shift_end, shift_key, shift_label, shift_of, shift_start, ts_text, to_us,
+    shift_end, shift_key, shift_label, shift_of, shift_start, to_ts, to_us, ts_text,
 )
 from shiftlens.functions.ordered import latest_start_asof, with_previous
 from shiftlens.operators import calendar, schedule
@@ -28,8 +28,11 @@ SUBGROUP = ["line_id", "panel", "block_id", "seg"]
 _BLOCK_CHUNK = 4096
 
 
-def lane_rows(site: Site) -> DataFrame:
-    """Counter rows that belong to a panel, one scan per counter table for all its panels."""
+def lane_rows(site: Site, since_us: int | None = None) -> DataFrame:
+    """Counter rows that belong to a panel, one scan per counter table for all its panels.
+
+    ``since_us`` is a literal bound on the raw time column, so that old row groups are not read.
+    """
     by_table: dict[str, list] = {}
     for profile in site.lines:
         for panel in profile.panels:
@@ -47,9 +50,11 @@ def lane_rows(site: Site) -> DataFrame:
             F.when(test, F.struct(F.lit(p.key).alias("panel"), F.lit(p.dual).alias("dual")))
             for p, test in tests
         ])
+        rows = site.table(table)
+        if since_us is not None:
+            rows = rows.filter(F.col("t_stamp") >= to_ts(F.lit(since_us)))
         parts.append(
-            site.table(table)
-            .withColumn("tag", F.explode(F.filter(tags, lambda t: t.isNotNull())))
+            rows.withColumn("tag", F.explode(F.filter(tags, lambda t: t.isNotNull())))
             .select(
                 "line_id", F.col("tag.panel").alias("panel"), F.lit(table).alias("counter_table"),
                 F.col("tag.dual").alias("dual"), "row_id", "block_id",
@@ -82,9 +87,11 @@ def lookback_floor(site: Site, days: int = SPC_LOOKBACK_DAYS) -> DataFrame:
 @staged
 def representative_rows(site: Site) -> DataFrame:
     """Rows of the representative lane inside the lookback."""
+    floors = lookback_floor(site)
+    oldest = floors.agg(F.min("floor_us")).first()[0]  # one value, to prune the scan
     return (
-        lane_rows(site).join(F.broadcast(representatives(site)), [*PANEL, "name"])
-        .join(F.broadcast(lookback_floor(site)), ["line_id", "counter_table"])
+        lane_rows(site, oldest).join(F.broadcast(representatives(site)), [*PANEL, "name"])
+        .join(F.broadcast(floors), ["line_id", "counter_table"])
         .filter(F.col("us") >= F.col("floor_us"))
         .select(*PANEL, "block_id", "row_id", "us", "cnt")
         .withColumn("ord", shift_of(F.col("us"), site.bounds))
@@ -200,13 +207,10 @@ def peaks(site: Site, segs: DataFrame) -> DataFrame:
     a sample exactly on a closed end belongs to both neighbours.
     """
     panels = F.broadcast(site.panels_dim.select(*PANEL))
-    span = segs.groupBy("line_id").agg(F.min("lo").alias("from_us"), F.max("hi").alias("to_us"))
-    samples = (
-        site.table("output_stats").filter(F.col("counter_total") > 0)
-        .select("line_id", to_us(F.col("t_stamp")).alias("us"), F.col("counter_total").cast("long").alias("total"))
-        .join(F.broadcast(span), "line_id").filter(F.col("us").between(F.col("from_us"), F.col("to_us")))
-        .select("line_id", "us", "total")
-    )
+    span = segs.agg(F.min("lo"), F.max("hi")).first()  # two values, to prune the scan
+    samples = site.table("output_stats").filter(F.col("counter_total") > 0).filter(
+        F.col("t_stamp").between(to_ts(F.lit(span[0])), to_ts(F.lit(span[1])))
+    ).select("line_id", to_us(F.col("t_stamp")).alias("us"), F.col("counter_total").cast("long").alias("total"))
     tagged = samples.join(panels, "line_id")
     inside = latest_start_asof(
         tagged, segs.filter(F.col("hi") > F.col("lo")), PANEL, "us", "lo", "hi", site.chunking,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftlens.config import SNAPSHOT_MINUTES, SNAPSHOT_RETENTION_DAYS
@@ -216,8 +217,9 @@ def snapshot_tables(site: Site, docs: DataFrame) -> dict[str, DataFrame]:
     """Snapshots, Shifts and SPC of all retained snapshots, stacked by SnapshotKey."""
     names = F.broadcast(site.lines_dim.withColumnRenamed("line", "Line"))
     docs = docs.join(names, "line_id")
-    newest = docs.agg(F.max("snapshot_key").alias("newest"))
-    snapshots = docs.select("snapshot_key", "snapshot_time").distinct().join(F.broadcast(newest)).select(
+    # Retention bounds the snapshots (96 a day for three days), so one window over them is small.
+    newest = F.max("snapshot_key").over(W.partitionBy(F.lit(1)))
+    snapshots = docs.select("snapshot_key", "snapshot_time").distinct().withColumn("newest", newest).select(
         F.col("snapshot_key").alias("SnapshotKey"),
         F.date_format("snapshot_time", "yyyy-MM-dd HH:mm:ss").alias("SnapshotTime"),
         F.date_format("snapshot_time", "MMM d, h:mm a").alias("SnapshotLabel"),

@@ -72,6 +72,23 @@ class Site:
         """A shared intermediate result, computed once per site (see staging)."""
         return self._stage.get(name, make)
 
+    def since(self, start: str) -> Site:
+        """The same site reading only data from ``start`` on; the bound is pushed to every scan.
+
+        A refresh of the current week needs 14 shifts, its 13 baseline shifts, five weeks for the
+        weekly outliers and the SPC lookback, not the whole history.  Reasons are found by key and
+        stay whole.
+        """
+        by = {"status_blocks": "end_ts", "downtime_overlays": "start_ts"}
+
+        def table(logical: str) -> DataFrame:
+            df = self.table(logical)
+            if logical == "fof_changes":
+                return df
+            return historian.window_filter(df, by.get(logical, "t_stamp"), start, None)
+
+        return Site(self.spark, table, self.lines, self.chunking, self.stored_schedule)
+
     def close(self) -> None:
         """Delete the staged tables of this site."""
         self._stage.drop()

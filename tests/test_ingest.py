@@ -101,3 +101,18 @@ def test_physical_names_and_filters_reach_the_scan(spark):
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(t_stamp), GreaterThanOrEqual(t_stamp" in plan
     assert "other" not in plan.split("ReadSchema")[1]
+
+
+def test_a_site_can_read_recent_data_only(spark):
+    from shiftlens.plans.registry import QUERIES
+    from shiftlens.sources.site import Site
+
+    whole = Site.from_events(spark, "/root/testdata/sf0.001")
+    recent = whole.since("2024-01-15 00:00:00")
+    scan = recent.table("ppm")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(t_stamp), GreaterThanOrEqual(t_stamp" in scan
+    a = QUERIES["oee6_week_rollup"](whole).filter("week = 0")
+    b = QUERIES["oee6_week_rollup"](recent).filter("week = 0")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    whole.close()
+    recent.close()
