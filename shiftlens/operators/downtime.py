@@ -160,11 +160,16 @@ def hourly_segments(hours: DataFrame) -> DataFrame:
 
 
 def hourly_clusters(site: Site, hours: DataFrame) -> DataFrame:
-    """Cluster minutes per hour; a segment without clusters is one pseudo-cluster by its label."""
+    """Cluster minutes per hour; a segment without clusters is one pseudo-cluster by its label.
+
+    A segment whose minutes round to zero in the hour has no rows.
+    """
     names = F.broadcast(site.segments_dim.select("line_id", "segment", "segment_label"))
-    stopped = hours.filter(F.col("segment") != "running")
+    whole = F.sum("us").over(W.partitionBy(*KEY, "hour_idx", "segment"))
+    stopped = hours.filter(F.col("segment") != "running").withColumn("whole_us", whole)
     return (
-        stopped.join(names, ["line_id", "segment"])
+        stopped.filter(round_even(F.col("whole_us") / F.lit(MINUTE), 1) > 0)
+        .join(names, ["line_id", "segment"])
         .withColumn("cluster", F.coalesce("cluster", "segment_label"))
         .groupBy(*KEY, "hour_idx", "hour_label", "segment", "cluster").agg(F.sum("us").alias("us"))
         .select(
@@ -175,19 +180,23 @@ def hourly_clusters(site: Site, hours: DataFrame) -> DataFrame:
 
 
 def label_sums(stops: DataFrame) -> DataFrame:
-    """Stops with a cluster counted per (shift, segment, cluster, label)."""
+    """Stops with a cluster counted per (shift, segment, cluster, label).
+
+    Label hours are kept in ten-thousandths: each stop is rounded before it is added.
+    """
+    hours4 = F.rint(round_even(F.col("dur_us") / F.lit(HOUR), 4) * 10_000).cast("long")
     return stops.filter(F.col("cluster").isNotNull()).groupBy(*KEY, "segment", "cluster", "label").agg(
-        F.count(F.lit(1)).alias("count"), F.sum("dur_us").alias("us")
+        F.count(F.lit(1)).alias("count"), F.sum(hours4).alias("hours4")
     )
 
 
 def _first_labels(labels: DataFrame, period: list[str], n: int) -> DataFrame:
     """The n labels with most hours per (period, segment, cluster); ties by label."""
-    w = W.partitionBy(*period, "segment", "cluster").orderBy(F.desc("us"), "label")
+    w = W.partitionBy(*period, "segment", "cluster").orderBy(F.desc("hours4"), "label")
     return (
         labels.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
         .select(*period, "segment", "cluster", "rank", "label", "count",
-                round_even(F.col("us") / F.lit(HOUR), 2).alias("hours"))
+                round_even(F.col("hours4") / F.lit(10_000.0), 2).alias("hours"))
     )
 
 
@@ -201,7 +210,7 @@ def week_top_stops(site: Site, stops: DataFrame, n: int = TOP_STOPS) -> DataFram
     shifts = calendar.production_shifts(site).select("line_id", "ord", "week")
     period = ["line_id", "week"]
     labels = label_sums(stops).join(shifts, KEY).groupBy(*period, "segment", "cluster", "label").agg(
-        F.sum("count").alias("count"), F.sum("us").alias("us")
+        F.sum("count").alias("count"), F.sum("hours4").alias("hours4")
     )
     return _first_labels(labels, period, n)
 

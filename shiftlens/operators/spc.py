@@ -25,6 +25,10 @@ from shiftlens.sources.staging import checked_broadcast, staged
 
 PANEL = ["line_id", "panel"]
 SUBGROUP = ["line_id", "panel", "block_id", "seg"]
+LANE_SCHEMA = (
+    "line_id string, panel string, counter_table string, dual boolean, row_id long, block_id long, us long, "
+    "name string, cnt long, lane string"
+)
 _BLOCK_CHUNK = 4096
 
 
@@ -63,6 +67,8 @@ def lane_rows(site: Site, since_us: int | None = None) -> DataFrame:
                 .otherwise(F.col("name")).alias("lane"),
             )
         )
+    if not parts:
+        return site.spark.createDataFrame([], LANE_SCHEMA)
     return union_all(parts)
 
 
@@ -77,6 +83,8 @@ def representatives(site: Site) -> DataFrame:
 def lookback_floor(site: Site, days: int = SPC_LOOKBACK_DAYS) -> DataFrame:
     """Per line and counter table: newest time minus the lookback, in whole seconds."""
     tables = sorted({x.table for p in site.lines for x in p.panels if p.has_table(x.table)})
+    if not tables:
+        return site.spark.createDataFrame([], "line_id string, floor_us long, counter_table string")
     floor = floor_to(F.max(to_us(F.col("t_stamp"))) - F.lit(days * DAY), SECOND)
     return union_all([
         site.table(t).groupBy("line_id").agg(floor.alias("floor_us")).withColumn("counter_table", F.lit(t))
@@ -209,7 +217,7 @@ def peaks(site: Site, segs: DataFrame) -> DataFrame:
     panels = F.broadcast(site.panels_dim.select(*PANEL))
     span = segs.agg(F.min("lo"), F.max("hi")).first()  # two values, to prune the scan
     samples = site.table("output_stats").filter(F.col("counter_total") > 0).filter(
-        F.col("t_stamp").between(to_ts(F.lit(span[0])), to_ts(F.lit(span[1])))
+        F.col("t_stamp").between(to_ts(F.lit(span[0]).cast("long")), to_ts(F.lit(span[1]).cast("long")))
     ).select("line_id", to_us(F.col("t_stamp")).alias("us"), F.col("counter_total").cast("long").alias("total"))
     tagged = samples.join(panels, "line_id")
     inside = latest_start_asof(
@@ -293,22 +301,30 @@ def shift_buckets(site: Site, subs: DataFrame, for_baseline: bool = False) -> Da
     ).filter(F.col("n") >= SPC_MIN_INSPECTED)
 
 
-def pre_window_baseline(site: Site, subs: DataFrame, size: int = SPC_BASELINE_BUCKETS) -> DataFrame:
-    """Last buckets before each week's window.
+def baseline_before(
+    site: Site, subs: DataFrame, anchors: DataFrame, key: str, before: str, size: int = SPC_BASELINE_BUCKETS
+) -> DataFrame:
+    """Last buckets before a shift ordinal of each anchor (line, key, before).
 
-    Both sides are bounded by the lookback (150 shifts, 11 weeks per line), so the range join on
-    the line stays small.
+    Both sides are bounded by the lookback (150 shifts per line), so the range join on the line
+    stays small.
     """
     buckets = shift_buckets(site, subs, for_baseline=True)
-    weeks = F.broadcast(calendar.weeks(site).select("line_id", "week", "oldest_ord"))
-    recent = W.partitionBy(*PANEL, "week", "lane").orderBy(F.desc("first_us"))
+    recent = W.partitionBy(*PANEL, key, "lane").orderBy(F.desc("first_us"))
     return (
-        buckets.join(weeks, "line_id").filter(F.col("ord") < F.col("oldest_ord"))
+        buckets.withColumnRenamed("ord", "bucket_ord").join(anchors, "line_id")
+        .filter(F.col("bucket_ord") < F.col(before))
         .withColumn("back", F.row_number().over(recent)).filter(F.col("back") <= size)
-        .select(*PANEL, "week", "lane", "lane_no", F.col("first_us").alias("pos"), "n", "d")
+        .select(*PANEL, key, "lane", "lane_no", F.col("first_us").alias("pos"), "n", "d")
     )
 
 
+def pre_window_baseline(site: Site, subs: DataFrame) -> DataFrame:
+    """Buckets before each week's window, shared by all shifts of the week."""
+    weeks = calendar.weeks(site).select("line_id", "week", "oldest_ord")
+    return baseline_before(site, subs, weeks, "week", "oldest_ord")
+
+
 def laney_params(baseline: DataFrame, keys: list[str]) -> DataFrame:
     """Mean rate and sigma_z per key from (n, d) in the order of ``pos``."""
     w = W.partitionBy(*keys)
@@ -486,19 +502,34 @@ def in_shift(site: Site, subs: DataFrame) -> DataFrame:
     return subs.unionByName(edge)
 
 
+def current_observations(site: Site, subs: DataFrame) -> DataFrame:
+    """All subgroups of a shift summed into one observation per active lane."""
+    lanes = active_lanes(site, subs, drop_last=True)
+    return in_shift(site, subs).join(lanes, [*PANEL, "lane", "lane_no"], "left_semi").groupBy(
+        *PANEL, "ord", "lane", "lane_no"
+    ).agg(
+        (F.sum("peak") / F.first("divisor")).alias("n"), F.sum("rejects").alias("d"),
+        F.max("stamp_us").alias("last_us"),
+    )
+
+
 @staged
 def shift_panels(site: Site) -> DataFrame:
     """Laney p-prime of each shift and lane: in-shift sum against the pre-window buckets."""
     subs = subgroups(site)
-    lanes = active_lanes(site, subs, drop_last=True)
     shifts = calendar.production_shifts(site).select("line_id", "ord", "week")
-    current = in_shift(site, subs).join(shifts, ["line_id", "ord"]).join(lanes, [*PANEL, "lane", "lane_no"], "left_semi")
-    summed = current.groupBy(*PANEL, "week", "ord", "lane", "lane_no").agg(
-        (F.sum("peak") / F.first("divisor")).alias("n"), F.sum("rejects").alias("d"),
-        F.max("stamp_us").alias("last_us"),
-    )
+    current = current_observations(site, subs).join(shifts, ["line_id", "ord"])
     params = laney_params(pre_window_baseline(site, subs), [*PANEL, "week", "lane"]).filter("baseline_n >= 2")
-    return with_limits(summed.join(params, [*PANEL, "week", "lane"]))
+    return with_limits(current.join(params, [*PANEL, "week", "lane"]))
+
+
+def own_cutoff_panels(site: Site) -> DataFrame:
+    """The same with the buckets before the shift itself, as a single-shift run uses them."""
+    subs = subgroups(site)
+    shifts = calendar.production_shifts(site).select("line_id", "ord")
+    base = baseline_before(site, subs, shifts, "ord", "ord")
+    params = laney_params(base, [*PANEL, "ord", "lane"]).filter("baseline_n >= 2")
+    return with_limits(current_observations(site, subs).join(params, [*PANEL, "ord", "lane"]))
 
 
 def shift_status(site: Site) -> DataFrame:
@@ -547,11 +578,7 @@ def raw_subgroup_panels(site: Site, size: int = SPC_BASELINE_BUCKETS) -> DataFra
         base.select(*PANEL, "ord", "lane", F.col("no").alias("pos"), F.col("n_inspected").alias("n"), F.col("rejects").alias("d")),
         [*PANEL, "ord", "lane"],
     )
-    lanes = active_lanes(site, subs, drop_last=True)
-    current = in_shift(site, subs).join(lanes, [*PANEL, "lane", "lane_no"], "left_semi").groupBy(
-        *PANEL, "ord", "lane", "lane_no"
-    ).agg((F.sum("peak") / F.first("divisor")).alias("n"), F.sum("rejects").alias("d"))
-    return with_limits(current.join(params, [*PANEL, "ord", "lane"]))
+    return with_limits(current_observations(site, subs).join(params, [*PANEL, "ord", "lane"]))
 
 
 def flagged_lanes(panels: DataFrame) -> DataFrame:

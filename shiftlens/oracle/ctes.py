@@ -366,9 +366,10 @@ cte("c_hours", f"""SELECT line_id, ord, hour_idx, printf('%02d:00', hour % 24) A
  UNION ALL SELECT line_id, ord, h.i, {starts('ord')} // {HOUR} + h.i, 'running', NULL, 0
   FROM (SELECT DISTINCT line_id, ord FROM c_bs) CROSS JOIN (SELECT unnest(range(0, 12)) AS i) h)
  GROUP BY ALL""")
-cte("c_top", f"""SELECT line_id, ord, segment, cluster, rank, label, count, {rnd(f'us / {HOUR}', 2)} AS hours FROM (
- SELECT *, row_number() OVER (PARTITION BY line_id, ord, segment, cluster ORDER BY us DESC, label) AS rank FROM (
- SELECT line_id, ord, segment, cluster, label, count(*) AS count, CAST(sum(dur_us) AS BIGINT) AS us
+H4 = f"CAST(sum(CAST(round({rnd(f'dur_us / {HOUR}', 4)} * 10000) AS BIGINT)) AS BIGINT)"
+cte("c_top", f"""SELECT line_id, ord, segment, cluster, rank, label, count, {rnd('h4 / 10000.0::DOUBLE', 2)} AS hours FROM (
+ SELECT *, row_number() OVER (PARTITION BY line_id, ord, segment, cluster ORDER BY h4 DESC, label) AS rank FROM (
+ SELECT line_id, ord, segment, cluster, label, count(*) AS count, {H4} AS h4
  FROM c_stops WHERE cluster IS NOT NULL GROUP BY ALL)) WHERE rank <= 5""")
 cte("c_trend", f"""SELECT {okey('a.ord', 'a.line_id')} AS anchor_shift_key, a.line_id, CAST(r.r AS INTEGER) AS trend_rank,
  {okey('s.ord', 'a.line_id')} AS trend_shift_key, {olabel('s.ord')} AS trend_shift_label, {otext('s.ord')} AS trend_shift_date,

@@ -188,9 +188,9 @@ _BODY["dt2_clusters"] = f"SELECT {K}, segment, cluster, count, hours, halted_hou
 _BODY["dt3_stop_summary"] = f"SELECT {K}, total_stops, {dbl('downtime_hours')} AS downtime_hours, {dbl('longest_min')} AS longest_min FROM c_stopsum"
 _BODY["dt4_hourly"] = f"SELECT {K}, CAST(hour_idx AS INTEGER) AS hour_idx, hour_label, segment, cluster, {dbl(f'us / {MINUTE}')} AS minutes FROM c_hours"
 _BODY["dt5_top_stops"] = f"SELECT {K}, segment, cluster, CAST(rank AS INTEGER) AS rank, label, count, hours FROM c_top"
-_BODY["dt6_week_top_stops"] = f"""SELECT line_id, CAST(week AS INTEGER) AS week, segment, cluster, CAST(rank AS INTEGER) AS rank, label, count, {rnd(f'us / {HOUR}', 2)} AS hours FROM (
- SELECT *, row_number() OVER (PARTITION BY line_id, week, segment, cluster ORDER BY us DESC, label) AS rank FROM (
- SELECT line_id, week, segment, cluster, label, count(*) AS count, CAST(sum(dur_us) AS BIGINT) AS us FROM c_stops JOIN (SELECT line_id, ord, week FROM c_prod) USING (line_id, ord) WHERE cluster IS NOT NULL GROUP BY ALL)) WHERE rank <= 5"""
+_BODY["dt6_week_top_stops"] = f"""SELECT line_id, CAST(week AS INTEGER) AS week, segment, cluster, CAST(rank AS INTEGER) AS rank, label, count, {rnd('h4 / 10000.0::DOUBLE', 2)} AS hours FROM (
+ SELECT *, row_number() OVER (PARTITION BY line_id, week, segment, cluster ORDER BY h4 DESC, label) AS rank FROM (
+ SELECT line_id, week, segment, cluster, label, count(*) AS count, {q.H4} AS h4 FROM c_stops JOIN (SELECT line_id, ord, week FROM c_prod) USING (line_id, ord) WHERE cluster IS NOT NULL GROUP BY ALL)) WHERE rank <= 5"""
 _WK = ", ".join(f"CAST({c}_c AS DOUBLE) / 100 AS {c}" for c in ("hours", "halted_hours", "stopped_hours"))
 _BODY["dt7_week_segments"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, segment, count, {_WK} FROM c_wseg"
 _BODY["dt7_week_clusters"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, segment, cluster, count, {_WK} FROM c_wclu"
@@ -259,6 +259,13 @@ q.cte("c_rawbase", f"""SELECT line_id, panel, ord, lane, no AS pos, n, d FROM (
 q.cte("c_raw", limited(f"""SELECT line_id, panel, ord, lane, lane_no, n, d, p_bar, sigma_z FROM (
  SELECT line_id, panel, ord, lane, lane_no, CAST(sum(peak) AS BIGINT) / any_value(divisor) AS n, CAST(sum(rejects) AS BIGINT) AS d FROM c_inshift SEMI JOIN c_active_shift USING (line_id, panel, lane, lane_no) GROUP BY ALL)
  JOIN ({laney('c_rawbase', 'line_id, panel, ord, lane')}) USING (line_id, panel, ord, lane)"""))
+q.cte("c_ownbase", """SELECT line_id, panel, ord, lane, pos, n, d FROM (
+ SELECT b.line_id, b.panel, p.ord, b.lane, b.first_us AS pos, b.n, b.d, row_number() OVER (PARTITION BY b.line_id, b.panel, p.ord, b.lane ORDER BY b.first_us DESC) AS back
+ FROM c_bbuckets b JOIN c_prod p ON p.line_id = b.line_id AND b.ord < p.ord) WHERE back <= 100""")
+q.cte("c_own", limited(f"""SELECT line_id, panel, ord, lane, lane_no, n, d, p_bar, sigma_z FROM (
+ SELECT line_id, panel, ord, lane, lane_no, CAST(sum(peak) AS BIGINT) / any_value(divisor) AS n, CAST(sum(rejects) AS BIGINT) AS d FROM c_inshift SEMI JOIN c_active_shift USING (line_id, panel, lane, lane_no) GROUP BY ALL)
+ JOIN (SELECT * FROM ({laney('c_ownbase', 'line_id, panel, ord, lane')}) WHERE baseline_n >= 2) USING (line_id, panel, ord, lane)"""))
+_BODY["spc16_own_cutoff"] = f"SELECT {K}, panel, CAST(lane_no AS INTEGER) AS lane_no, {r6('n')} AS n, d, {r6('p_bar')} AS p_bar, {r6('sigma_z')} AS sigma_z, {r6('ucl')} AS ucl, ooc FROM c_own"
 _BODY["spc17_raw_subgroup_panel"] = f"SELECT {K}, panel, CAST(lane_no AS INTEGER) AS lane_no, {r6('n')} AS n, d, {r6('p_bar')} AS p_bar, {r6('sigma_z')} AS sigma_z, {r6('ucl')} AS ucl, ooc FROM c_raw"
 _BODY["spc18_weekly_panel"] = "SELECT line_id, panel, CAST(week AS INTEGER) AS week, any_value(shift_subgroups) AS shift_subgroups, count(DISTINCT ord) AS total_shifts, count(DISTINCT lane) AS lanes, count(*) FILTER (ooc) AS ooc_points FROM c_series GROUP BY 1, 2, 3"
 _BODY["spc19_chart_lines"] = f"""SELECT line_id, panel, week, lane_no, {r6('mean_ucl_pct')} AS mean_ucl_pct, {r6('p_bar_pct')} AS p_bar_pct, {r6('avg(p_bar_pct) OVER (PARTITION BY line_id, panel, week)')} AS panel_p_bar FROM (
@@ -298,7 +305,8 @@ q.cte("c_t_hour", f"""SELECT {_SK}, hour_label AS "HourLabel", segment AS "Segme
  SELECT line_id, ord, hour_idx, hour_label, segment, CAST(sum(us) AS BIGINT) AS us FROM c_hours SEMI JOIN c_prod USING (line_id, ord) GROUP BY ALL) LEFT JOIN c_segments USING (line_id, segment)""")
 q.cte("c_t_hclu", f"""SELECT {_SK}, hour_label AS "HourLabel", CAST(hour_idx AS INTEGER) AS "HourIdx", segment AS "Segment", cluster AS "Cluster", {rnd(f'us / {MINUTE}', 1)} AS "Minutes" FROM (
  SELECT line_id, ord, hour_idx, hour_label, segment, coalesce(cluster, segment_label) AS cluster, CAST(sum(us) AS BIGINT) AS us
- FROM c_hours SEMI JOIN c_prod USING (line_id, ord) JOIN c_segments USING (line_id, segment) GROUP BY ALL)""")
+ FROM (SELECT *, CAST(sum(us) OVER (PARTITION BY line_id, ord, hour_idx, segment) AS BIGINT) AS whole FROM c_hours) SEMI JOIN c_prod USING (line_id, ord)
+ JOIN c_segments USING (line_id, segment) WHERE {rnd(f'whole / {MINUTE}', 1)} > 0 GROUP BY ALL)""")
 q.cte("c_t_trend", """SELECT anchor_shift_key AS "AnchorShiftKey", line_id AS "LineId", line AS "Line", trend_rank AS "TrendRank", trend_shift_key AS "TrendShiftKey", trend_shift_label AS "TrendShiftLabel", trend_shift_date AS "TrendShiftDate",
  category AS "Category", category_label AS "CategoryLabel", hours AS "Hours", category_color AS "CategoryColor" FROM c_trend JOIN c_lines USING (line_id)""")
 q.cte("c_t_anom", f"""SELECT {_SK}, {olabel('ord')} AS "ShiftLabel", segment AS "Segment", cluster AS "Cluster", current_share AS "CurrentShare", baseline_mean AS "BaselineMean", z_score AS "ZScore", direction AS "Direction",

@@ -876,6 +876,11 @@ def spc16_shift_ewma(s: Site) -> DataFrame:
     return _keyed(spc.shift_ewma(s), "panel", "lane_no", "batch_idx", "ewma", "ucl", "lcl")
 
 
+@query
+def spc16_own_cutoff(s: Site) -> DataFrame:
+    return _keyed(spc.own_cutoff_panels(s), "panel", "lane_no", "n", "d", "p_bar", "sigma_z", "ucl", "ooc")
+
+
 @query
 def spc17_raw_subgroup_panel(s: Site) -> DataFrame:
     return _keyed(spc.raw_subgroup_panels(s), "panel", "lane_no", "n", "d", "p_bar", "sigma_z", "ucl", "ooc")

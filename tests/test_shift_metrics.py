@@ -148,3 +148,26 @@ def test_different_bounds_are_refused(make_site):
 
     with pytest.raises(ValueError):
         make_site(lines=[LINE_A, replace(LINE_B, bounds=(6, 18))])
+
+
+def test_label_hours_round_each_stop(spark):
+    rows = spark.createDataFrame(
+        [(A, 1, "s", "c", "l", 200_000) for _ in range(100)], "line_id string, ord long, segment string, cluster string, label string, dur_us long"
+    )
+    r = downtime.top_stops(rows).collect()[0]
+    assert (r["count"], r.hours) == (100, 0.01)  # 100 x round(0.0000556, 4), not round(0.00556, 2) of the plain sum
+    tiny = rows.withColumn("dur_us", F.lit(100_000))
+    assert downtime.top_stops(tiny).collect()[0].hours == 0.0
+
+
+def test_a_line_without_panels_has_every_table(spark):
+    from shiftlens.plans import star
+    from shiftlens.sources.site import Site
+
+    site = Site.from_events(spark, "/root/testdata/sf0.001")
+    tables = star.build(site, lines_only=["line_b"])
+    assert len(tables) == 16
+    counts = {name: df.count() for name, df in tables.items()}
+    assert counts["SPC"] == counts["EWMA"] == 0
+    assert counts["Shifts"] > 50 and counts["WeeklySummary"] == counts["Lines"] == 1
+    site.close()
