@@ -97,21 +97,19 @@ def _hours(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def hour_pieces(site: Site) -> DataFrame:
-    """Every closed block cut at the full hours: overlap with each hour it touches."""
-    blocks = intervals.closed_blocks(site)
-    running = blocks.filter(F.col("running")).select(
-        "line_id", "s_us", "e_us", F.lit(True).alias("running"),
+    """Every closed block, clipped to its shift, cut at the full hours it touches."""
+    running = intervals.block_shifts(site).filter(F.col("running")).select(
+        *KEY, "c0", "c1", F.lit(True).alias("running"),
         F.lit(None).cast("string").alias("segment"), F.lit(None).cast("string").alias("cluster"),
     )
-    stopped = intervals.decoded(site, intervals.stopped_with_reason(site)).select(
-        "line_id", "s_us", "e_us", F.lit(False).alias("running"), "segment", "cluster"
+    stopped = intervals.flagged_stops(site).select(
+        *KEY, "c0", "c1", F.lit(False).alias("running"), "segment", "cluster"
     )
-    cut = intervals.split_by_shift(running.unionByName(stopped), site.bounds)
     hour = F.explode(F.sequence(
         F.floor(F.col("c0") / F.lit(HOUR)), F.floor(F.col("c1") / F.lit(HOUR))
     ))
     return (
-        cut.withColumn("hour", hour)
+        running.unionByName(stopped).withColumn("hour", hour)
         .withColumn("lo", F.greatest("c0", F.col("hour") * HOUR))
         .withColumn("hi", F.least("c1", (F.col("hour") + 1) * HOUR))
         .withColumn("piece_us", F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(0))

@@ -122,9 +122,10 @@ def halted_stops(site: Site, stops: DataFrame) -> DataFrame:
 
 @staged
 def flagged_stops(site: Site) -> DataFrame:
-    """Decoded stops per shift with the halted flag."""
+    """Decoded stops per shift with the halted flag; every breakdown of downtime reads this."""
     stops = shift_stops(site)
-    halted = halted_stops(site, stops).withColumn("hit", F.lit(True))
+    spans = block_shifts(site).filter(~F.col("running"))  # the flag needs neither reason nor decoding
+    halted = halted_stops(site, spans).withColumn("hit", F.lit(True))
     return (
         stops.join(halted, ["line_id", "ord", *STOP_ID], "left")
         .withColumn("halted", F.coalesce("hit", F.lit(False)))

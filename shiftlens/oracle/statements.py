@@ -330,6 +330,13 @@ for _n, _c in (
     ("exp2_spc", "c_t_spc"), ("exp2_ewma", "c_t_ewma"), ("exp2_key_findings", "c_t_find"), ("exp2_shift_trend", "c_t_trend"), ("exp4_lines", "c_t_lines"),
 ):
     _BODY[_n] = f"SELECT * FROM {_c}"
+for _n, _c, _cols in (
+    ("downtime_categories", "c_t_cats", ("ShiftKey", "Category", "Count", "Hours")),
+    ("segment_downtime", "c_t_segs", ("ShiftKey", "Segment", "Count", "Hours", "HaltedHours", "StoppedHours")),
+    ("top_stops", "c_t_top", ("ShiftKey", "Segment", "Cluster", "Label", "Count", "Hours")),
+    ("anomalies", "c_t_anom", ("ShiftKey", "Rank", "Segment", "Cluster", "CurrentShare", "ZScore")),
+):
+    _BODY[f"exp1_flattened_{_n}"] = "SELECT " + ", ".join(f'"{c}"' for c in _cols) + f" FROM {_c}"
 q.cte("c_snaps", f"SELECT line_id, {_SNAPKEY} AS snapshot_key, {ts(f'reached_us // {15 * MINUTE} * {15 * MINUTE}')} AS snapshot_time FROM c_latest")
 _BODY["exp3_snapshots"] = """SELECT snapshot_key AS "SnapshotKey", strftime(snapshot_time, '%Y-%m-%d %H:%M:%S') AS "SnapshotTime", strftime(snapshot_time, '%b %-d, %-I:%M %p') AS "SnapshotLabel",
  CAST(snapshot_key = (SELECT max(snapshot_key) FROM c_snaps) AS INTEGER) AS "IsLatestSnapshot" FROM (SELECT DISTINCT snapshot_key, snapshot_time FROM c_snaps)"""

@@ -160,6 +160,32 @@ def subject_shifts(docs: DataFrame) -> DataFrame:
     return rows.filter((F.col("shift_date") == F.col("doc_date")) & (F.col("shift_type") == F.col("doc_type")))
 
 
+def flatten(docs: DataFrame) -> dict[str, DataFrame]:
+    """Detail tables from documents that were read back: maps and arrays to rows."""
+    key = F.concat_ws("|", "line_id", F.col("shift_date").cast("string"), "shift_type").alias("ShiftKey")
+    detail = F.col("subject_detail")
+    subject = subject_shifts(docs)
+    categories = subject.select(
+        F.concat_ws("|", "line_id", "doc_date", "doc_type").alias("ShiftKey"),
+        F.explode("downtime_categories").alias("Category", "v"),
+    ).select("ShiftKey", "Category", F.col("v.count").alias("Count"), F.col("v.hours").alias("Hours"))
+    segments = docs.select(key, F.explode(detail["segment_downtime"]).alias("Segment", "v")).select(
+        "ShiftKey", "Segment", F.col("v.count").alias("Count"), F.col("v.hours").alias("Hours"),
+        F.col("v.halted_hours").alias("HaltedHours"), F.col("v.stopped_hours").alias("StoppedHours"),
+    )
+    top = (
+        docs.select(key, F.explode(detail["top_stops_by_cluster"]).alias("Segment", "c"))
+        .select("ShiftKey", "Segment", F.explode("c").alias("Cluster", "items"))
+        .select("ShiftKey", "Segment", "Cluster", F.inline("items"))
+        .select("ShiftKey", "Segment", "Cluster", F.col("label").alias("Label"), F.col("count").alias("Count"), F.col("hours").alias("Hours"))
+    )
+    outliers = docs.select(key, F.inline(detail["cluster_outliers"])).select(
+        "ShiftKey", F.col("rank").alias("Rank"), F.col("segment").alias("Segment"), F.col("cluster").alias("Cluster"),
+        F.col("current_share").alias("CurrentShare"), F.col("z_score").alias("ZScore"),
+    )
+    return {"DowntimeCategories": categories, "SegmentDowntime": segments, "TopStops": top, "Anomalies": outliers}
+
+
 def read_named_documents(spark: SparkSession, folder: str, schema) -> DataFrame:
     """Scan documents stored as ``<line>/shift-<date>-<type>.json`` (one pretty-printed file each)."""
     name = r"([^/]+)/shift-(\d{4}-\d{2}-\d{2})-(day|night)\.json$"

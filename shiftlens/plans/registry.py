@@ -968,6 +968,10 @@ for _group, _names in (("exp1", _EXP1), ("exp2", _EXP2), ("exp4", ("Lines",))):
         QUERIES[f"{_group}_{_snake(_name)}"] = star.TABLES[_name]
 
 
+for _name in ("DowntimeCategories", "SegmentDowntime", "TopStops", "Anomalies"):
+    QUERIES[f"exp1_flattened_{_snake(_name)}"] = lambda s, n=_name: documents.flatten(_documents(s))[n]
+
+
 @query
 def exp3_snapshots(s: Site) -> DataFrame:
     return documents.snapshot_tables(s, _snapshots(s))["Snapshots"]

@@ -102,3 +102,16 @@ def test_hot_chunks_become_seconds(spark):
     df = spark.createDataFrame([("a", i * SECOND // 2) for i in range(40)] + [("b", 0)], "k string, us long")
     starts = {(r.k, r.chunk_us) for r in O.assign_chunks(df, ["k"], "us", O.Chunking(hot_rows=10)).collect()}
     assert starts == {("a", s * SECOND) for s in range(20)} | {("b", 0)}
+
+
+def test_hot_chunks_do_not_change_results(spark):
+    from shiftlens.plans.registry import QUERIES
+    from shiftlens.sources.site import Site
+
+    usual = Site.from_events(spark, "/root/testdata/sf0.001")
+    hot = Site.from_events(spark, "/root/testdata/sf0.001", chunking=O.Chunking(width=60 * MINUTE, hot_rows=1))
+    for name in ("oee5_shift_oee", "joi5_halted_stops", "joi9_peak_in_range", "spc5_subgroups"):
+        a, b = (sorted(map(tuple, QUERIES[name](s).collect()), key=str) for s in (usual, hot))
+        assert a == b and a, name
+    usual.close()
+    hot.close()
