@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,9 +128,16 @@ def cluster_of(label: Column, segment: Column, profile: LineProfile) -> Column:
     return chain.otherwise(F.lit("Other"))
 
 
-def per_line(profiles: Sequence[LineProfile], line: Column, make) -> Column:
-    """Evaluate ``make(profile)`` for the profile of each row's line."""
-    chain = None
+def per_line(profiles: Sequence[LineProfile], line: Column, make: Callable, by: Callable) -> Column:
+    """Evaluate ``make(profile)`` for the profile of each row's line.
+
+    Lines with the same rule (``by(profile)``) share one branch, so many lines stay a short chain.
+    """
+    rules: dict = {}
     for p in profiles:
-        chain = F.when(line == p.line_id, make(p)) if chain is None else chain.when(line == p.line_id, make(p))
+        rules.setdefault(by(p), []).append(p)
+    chain = None
+    for members in rules.values():
+        mine, value = line.isin(*[p.line_id for p in members]), make(members[0])
+        chain = F.when(mine, value) if chain is None else chain.when(mine, value)
     return chain

@@ -32,7 +32,8 @@ def stop_summary(site: Site, stops: DataFrame | None = None) -> DataFrame:
 def categories(site: Site, stops: DataFrame) -> DataFrame:
     """Dense (shift, category): count and hours.  A manual halted stop counts in both of those."""
     limit = causes.per_line(
-        site.lines, F.col("line_id"), lambda p: F.lit(int(p.micro_stop_min * MINUTE)).cast("long")
+        site.lines, F.col("line_id"), lambda p: F.lit(int(p.micro_stop_min * MINUTE)).cast("long"),
+        lambda p: p.micro_stop_min,
     )
     manual = F.coalesce(F.lower("stop_type") == MANUAL, F.lit(False))
     other = ~manual & ~F.col("halted")

@@ -72,8 +72,11 @@ def decoded(site: Site, stops: DataFrame) -> DataFrame:
     Each step is a column of its own: a value used by many branches is computed once per row and
     the generated code stays small enough to be compiled.
     """
-    lines, line, label = site.lines, F.col("line_id"), F.col("label")
-    codes, entries = F.col("codes"), F.col("entries")
+    label, codes, entries = F.col("label"), F.col("codes"), F.col("entries")
+
+    def by_rules(make):
+        return causes.per_line(site.lines, F.col("line_id"), make, lambda p: p.segments)
+
     steps = {
         "codes": causes.reason_codes(F.col("faults")),
         "entries": causes.fault_entries(F.col("faults")),
@@ -84,12 +87,12 @@ def decoded(site: Site, stops: DataFrame) -> DataFrame:
             F.slice(codes, 2, F.greatest(F.size(codes), F.lit(1))),
             lambda c: causes.code_description(c, entries),
         )),
-        "primary": causes.per_line(lines, line, lambda p: causes.segment_of_label(label, F.col("number"), p)),
-        "secondary": F.when(F.col("texts").isNotNull(), causes.per_line(
-            lines, line, lambda p: causes.segment_of_texts(F.col("texts"), p)
-        )),
+        "primary": by_rules(lambda p: causes.segment_of_label(label, F.col("number"), p)),
+        "secondary": F.when(
+            F.col("texts").isNotNull(), by_rules(lambda p: causes.segment_of_texts(F.col("texts"), p))
+        ),
         "segment": causes.segment_of_stop(F.col("primary"), F.col("secondary"), F.col("stop_type")),
-        "cluster": causes.per_line(lines, line, lambda p: causes.cluster_of(label, F.col("segment"), p)),
+        "cluster": by_rules(lambda p: causes.cluster_of(label, F.col("segment"), p)),
     }
     for name, step in steps.items():
         stops = stops.withColumn(name, step)
@@ -106,7 +109,8 @@ def shift_stops(site: Site) -> DataFrame:
 
 def halted_samples(site: Site) -> DataFrame:
     states = causes.per_line(
-        site.lines, F.col("line_id"), lambda p: F.col("state_text").isin(*p.halted_states)
+        site.lines, F.col("line_id"), lambda p: F.col("state_text").isin(*p.halted_states),
+        lambda p: p.halted_states,
     )
     return site.table("machine_state").filter(states).select("line_id", to_us(F.col("t_stamp")).alias("us"))
 

@@ -49,7 +49,7 @@ def schedule(site: Site) -> DataFrame:
 
     def limit(attr: str):
         return causes.per_line(
-            site.lines, F.col("line_id"), lambda p: F.lit(float(getattr(p, attr)))
+            site.lines, F.col("line_id"), lambda p: F.lit(float(getattr(p, attr))), lambda p: getattr(p, attr)
         )
 
     days = (

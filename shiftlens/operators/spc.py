@@ -37,19 +37,19 @@ def lane_rows(site: Site, since_us: int | None = None) -> DataFrame:
 
     ``since_us`` is a literal bound on the raw time column, so that old row groups are not read.
     """
-    by_table: dict[str, list] = {}
+    by_table: dict[str, dict] = {}
     for profile in site.lines:
         for panel in profile.panels:
             if profile.has_table(panel.table):
-                by_table.setdefault(panel.table, []).append((profile, panel))
+                by_table.setdefault(panel.table, {}).setdefault(panel, []).append(profile.line_id)
     parts = []
     for table, members in sorted(by_table.items()):
         tests = []
-        for profile, panel in members:
+        for panel, line_ids in members.items():
             named = F.lit(False)
             for pattern in panel.patterns:
                 named = named | F.col("name").like(pattern)
-            tests.append((panel, (F.col("line_id") == profile.line_id) & named))
+            tests.append((panel, F.col("line_id").isin(*line_ids) & named))
         tags = F.array(*[
             F.when(test, F.struct(F.lit(p.key).alias("panel"), F.lit(p.dual).alias("dual")))
             for p, test in tests

@@ -113,7 +113,7 @@ _BODY["joi7_lanes_at_first_reset"] = "SELECT b.* FROM c_blanes b SEMI JOIN (SELE
 _BODY["joi8_block_before_boundary"] = f"""SELECT line_id, panel, {tstext(starts('o'))} AS boundary, max(block_id) AS last_block FROM (
  SELECT r.*, o FROM c_reprows r, (SELECT unnest(range((SELECT min(ord) + 1 FROM c_reprows), (SELECT max(ord) + 2 FROM c_reprows))) AS o) WHERE r.us < {starts('o')})
  GROUP BY line_id, panel, o"""
-_BODY["joi9_peak_in_range"] = "SELECT * FROM c_peaks"
+_BODY["joi9_peak_in_range"] = "SELECT * REPLACE (CAST(seg AS INTEGER) AS seg) FROM c_peaks"
 _BODY["joi10_calendar_joins"] = f"SELECT line_id, {DTEXT}, {dbl('run_hours')} AS run_hours, parts_produced, {dbl('coverage_hours')} AS coverage_hours FROM c_sched"
 _BODY["joi11_zero_filled_keys"] = f"""SELECT {K}, segment, cluster, share4, s1, s2, members FROM (
  SELECT t.line_id, t.ord, k.segment, k.cluster, coalesce(max(c.share4), 0) AS share4, CAST(coalesce(sum(b.share4), 0) AS BIGINT) AS s1,
@@ -126,7 +126,7 @@ _BODY["joi12_star_join"] = f"""SELECT line AS "Line", {isoweek(odate('s.ord'))}
 _DETAIL = f"""SELECT line_id, panel, week, ord, lane_no, d AS rejects, {rnd('rate * 100', 2)} AS rate_pct, {rnd('ucl * 100', 3)} AS ucl_pct, CAST(ooc AS INTEGER) AS ooc,
  CAST(round_even(n, 0) AS BIGINT) AS n_inspected, dense_rank() OVER (PARTITION BY line_id, panel, week ORDER BY ord) - 1 AS shift_idx, {rnd('p_bar * 100', 3)} AS p_bar_pct FROM c_series WHERE n > 0"""
 q.cte("c_detail", _DETAIL)
-_BODY["joi13_spc_with_limits"] = "SELECT line_id, panel, CAST(week AS INTEGER) AS week, lane_no, rejects, rate_pct, ucl_pct, ooc, n_inspected, p_bar_pct FROM c_detail"
+_BODY["joi13_spc_with_limits"] = "SELECT line_id, panel, CAST(week AS INTEGER) AS week, CAST(lane_no AS INTEGER) AS lane_no, rejects, rate_pct, ucl_pct, ooc, n_inspected, p_bar_pct FROM c_detail"
 
 _BODY["oee1_availability"] = f"SELECT {K}, {dbl(f'run_us / {12 * HOUR} * 100')} AS availability, {dbl(f'run_us / {HOUR}')} AS running_hours, {dbl(f'stop_us / {HOUR}')} AS stopped_hours FROM c_avail"
 _BODY["oee2_ideal_speed"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, {r6('ideal_ppm')} AS ideal_ppm FROM c_ideal"
@@ -157,7 +157,7 @@ _BODY["oee11_week_document"] = """SELECT line_id, CAST(week AS INTEGER) AS week,
  CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = w.line_id AND s.week = w.week AND skipped) AS INTEGER) AS n_skipped, 4 AS n_categories,
  CAST((SELECT count(*) FROM c_wkout s WHERE s.line_id = w.line_id AND s.week = w.week) AS INTEGER) AS n_outliers,
  CAST((SELECT count(DISTINCT panel) FROM c_series s WHERE s.line_id = w.line_id AND s.week = w.week) AS INTEGER) AS n_panels FROM c_week w JOIN c_prior USING (line_id, week)"""
-_BODY["oee12_oee_trend"] = """SELECT line_id, CAST(week AS INTEGER) AS week, row_number() OVER (PARTITION BY line_id, week ORDER BY ord) AS position, label, shift_type, oee, availability, performance, quality FROM c_entries"""
+_BODY["oee12_oee_trend"] = """SELECT line_id, CAST(week AS INTEGER) AS week, CAST(row_number() OVER (PARTITION BY line_id, week ORDER BY ord) AS INTEGER) AS position, label, shift_type, oee, availability, performance, quality FROM c_entries"""
 
 _BODY["cau1_parse_faults"] = """SELECT line_id, start_id, coalesce(array_to_string(codes, ';'), '') AS codes,
  coalesce(array_to_string(list_transform(range(1, len(ids) + 1), lambda i: ids[i] || '=' || coalesce(texts[i], '')), ';'), '') AS entries FROM c_parsed"""

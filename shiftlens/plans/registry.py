@@ -580,7 +580,8 @@ def cau7_explode_codes(s: Site) -> DataFrame:
 def cau8_segment_of_label(s: Site) -> DataFrame:
     labels = _parsed(s).select("line_id", "label").distinct().withColumn("number", causes.alarm_number(F.col("label")))
     return labels.select("line_id", "label", causes.per_line(
-        s.lines, F.col("line_id"), lambda p: causes.segment_of_label(F.col("label"), F.col("number"), p)
+        s.lines, F.col("line_id"), lambda p: causes.segment_of_label(F.col("label"), F.col("number"), p),
+        lambda p: p.segments,
     ).alias("segment"))
 
 

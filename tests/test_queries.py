@@ -46,3 +46,8 @@ def test_query(spark, con, name):
     at = [names.index(c) for c in cols]
     want = [tuple(clean(r[i]) for i in at) for r in cur.fetchall()]
     assert ordered(got) == ordered(want)
+
+
+def test_entry_is_the_shift_oee(spark):
+    df = entry.entry(spark)
+    assert {"shift_key", "oee", "availability", "performance", "quality"} <= set(df.columns) and df.count() > 100
