@@ -11,7 +11,8 @@ import pytest
 import __spark_entry__ as entry
 
 DATA = os.environ.get("SHIFTLENS_TEST_DATA", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+ORACLE = entry.STATEMENTS
+QUERIES = {k: f for k, f in entry.queries().items() if k in entry.QUERIES}
 
 
 def clean(v):
