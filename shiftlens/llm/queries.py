@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import mixing
+from shiftlens.llm import decontaminate, mixing
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mixing.digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op8_mixing": op8_mixing,
 }
 
-SQL: dict[str, str] = {"op8_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op8_mixing": mixing.SQL}
