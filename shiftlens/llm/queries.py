@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import decontaminate, mixing
+from shiftlens.llm import decontaminate, mixing, tokens
+
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+def tokenizer(name: str) -> str:
+    """A vocabulary file of the public tokenizers."""
+    return os.path.join(os.environ.get("PUBLIC_TOKENIZERS", TOKENIZERS), name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,12 +26,18 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # this tokenizer drops white space, so pieces between spaces give the ids of the whole text
+    return tokens.digest(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), by_piece=True)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_tokens": op3_tokens,
     "op8_mixing": op8_mixing,
 }
 
