@@ -67,11 +67,11 @@ def numbered(df: DataFrame, *order: Column, to: str = "_n") -> DataFrame:
 
     Ranges are numbered on their own; the sizes of the ranges, a row per task, give the offsets.
     """
-    ranges = staged(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
-    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select("_range", (F.sum("_size").over(W.orderBy("_range")) - F.col("_size")).alias("_offset"))
-    own = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
+    ranges = staged(df.repartitionByRange(*order).withColumn("_span", F.spark_partition_id()), "ranges")
+    sizes = ranges.groupBy("_span").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select("_span", (F.sum("_size").over(W.orderBy("_span")) - F.col("_size")).alias("_offset"))
+    own = F.row_number().over(W.partitionBy("_span").orderBy(*order)) - 1
     return (
-        ranges.withColumn("_own", own).join(F.broadcast(offsets), "_range")
-        .withColumn(to, (F.col("_own") + F.col("_offset")).cast("long")).drop("_range", "_own", "_offset")
+        ranges.withColumn("_own", own).join(F.broadcast(offsets), "_span")
+        .withColumn(to, (F.col("_own") + F.col("_offset")).cast("long")).drop("_span", "_own", "_offset")
     )

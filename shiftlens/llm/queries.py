@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import decontaminate, mixing, tokens
+from shiftlens.llm import decontaminate, mixing, sharding, tokens
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -35,10 +35,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_tokens": op3_tokens,
     "op8_mixing": op8_mixing,
+    "op9_sharding": op9_sharding,
 }
 
 SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op8_mixing": mixing.SQL}
