@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import decontaminate, mixing, sharding, tokens
+from shiftlens.llm import decontaminate, mixing, sharding, tokens, warc
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -31,6 +31,10 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digest(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), by_piece=True)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -42,8 +46,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_tokens": op3_tokens,
+    "op4_warc": op4_warc,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
 }
 
-SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op8_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op4_warc": warc.SQL, "op8_mixing": mixing.SQL}
