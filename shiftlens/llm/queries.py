@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import decontaminate, mixing, sharding, tokens, warc
+from shiftlens.llm import chat, decontaminate, mixing, sharding, tokens, warc
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -35,6 +35,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(table(spark, sf_dir, "pages"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(spark, table(spark, sf_dir, "conversations"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -47,8 +51,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_tokens": op3_tokens,
     "op4_warc": op4_warc,
+    "op5_chat": op5_chat,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
 }
 
-SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op4_warc": warc.SQL, "op8_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op4_warc": warc.SQL, "op5_chat": chat.SQL, "op8_mixing": mixing.SQL}
