@@ -20,6 +20,7 @@ import base64
 import functools
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shiftlens.llm.common import checked, scratch, small_batches
+from shiftlens.llm.common import checked, scratch, small_batches, staged
 
 LENGTH, FILE_IDS, BATCH_ROWS, END_ID = 1024, 4_000_000, 256, 1
 MAGIC = "ARROW1"
 #: Pieces of text whose ids a worker remembers, in two generations, and the longest such piece.
 MEMO_PIECES, MEMO_CHARS = 1_000_000, 48
+#: Marks that may follow a word.
+MARKS = tuple(".,!?|;:")
+#: Below it lie the Latin letters with and without accents.
+LATIN_END = "\u0250"
 INDEX = b"documents"
 READ_SCHEMA = "doc_id long, part int, begin long, n_tokens long, ids_crc32 long"
 
@@ -44,24 +49,48 @@ class Encoder:
 
     With ``by_piece`` the text goes to the library in pieces between spaces, and a worker remembers
     the ids of short pieces.  That gives equal ids only for a tokenizer that drops white space and
-    lets no token cross it.
+    lets no token cross it.  If the tokenizer also folds case and parts letters from marks, which a
+    few probes tell, a word of Latin letters is looked up in lower case and apart from the mark after
+    it, and a new one goes straight to the library's model.
     """
 
     def __init__(self, path: str, by_piece: bool):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library, self.by_piece = Tokenizer.from_file(path), by_piece
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {c: spelled(chr(c))[0][0] for c in range(128, ord(LATIN_END))}
+        self.apart = by_piece and all(
+            self.encode(w + m) == self.encode(w.lower()) + self.encode(m) and self.encode(w) == self.word(w.lower())
+            for w in ("Aword", "thING", "Q", "unheardofword", "Éñçüße") for m in MARKS
+        )
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, text: str) -> bytes:
+        return array(self.code, [t.id for t in self.library.model.tokenize(text.translate(self.spelling))]).tobytes()
+
+    def fresh(self, text: str) -> bytes:
+        low = text.lower()
+        if self.apart and low and max(low) < LATIN_END:
+            if low.isalpha():
+                return self.word(low) if low == text else self.piece(low)
+            if low[-1] in MARKS and low[:-1].isalpha():
+                return self.piece(low[:-1]) + self.piece(low[-1])
+        return self.encode(text)
 
     def piece(self, text: str) -> bytes:
+        ids = self.young.get(text)
+        if ids is not None:
+            return ids
         ids = self.old.get(text)
         if ids is None:
-            ids = self.encode(text)
+            ids = self.fresh(text)
         if len(text) <= MEMO_CHARS:
             if 2 * len(self.young) >= MEMO_PIECES:
                 self.old, self.young = self.young, {}
@@ -171,7 +200,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids_crc32, from the files of ``write``."""
     small_batches(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
-    docs = files.mapInArrow(read_partition, READ_SCHEMA)
+    docs = staged(files.mapInArrow(read_partition, READ_SCHEMA), "read")
     # one row per part, that is per task of the writer
     parts = docs.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     starts = parts.select("part", (F.sum("_n").over(W.orderBy("part")) - F.col("_n")).alias("_start"))
