@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import chat, decontaminate, mixing, sharding, tokens, warc
+from shiftlens.llm import chat, decontaminate, mixing, neighbours, sharding, tokens, warc
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -39,6 +39,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(spark, table(spark, sf_dir, "conversations"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_tokens": op3_tokens,
     "op4_warc": op4_warc,
     "op5_chat": op5_chat,
+    "op6_neighbours": op6_neighbours,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
 }
