@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlens.llm.common import attach, scratch, small_batches, staged
+from shiftlens.llm.common import attach, checked, scratch, small_batches, staged
 
 CHUNK, LEAST, FILE_RECORDS = 1 << 16, 100, 4096
 DATE = "2024-01-01T00:00:00Z"
@@ -140,6 +140,7 @@ def write(pages: DataFrame, folder: str, size: int = CHUNK, least: int = LEAST)
     """Write a record, or its segments, for every row of ``pages`` into archives in ``folder``."""
     small_batches(pages.sparkSession)
     known = revisits(pages, least).select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), "refers_to")
+    known = checked(staged(known, "revisits"))  # few: the payloads stay where they are; many: they shuffle by page_id
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col("html").cast("binary").alias("html"))
     rows = rows.withColumn("digest", F.sha2(F.coalesce("html", F.lit(b"")), 256))
     same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
