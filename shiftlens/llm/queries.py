@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import chat, decontaminate, mixing, neighbours, sharding, tokens, warc
+from shiftlens.llm import chat, decontaminate, mixing, neardup, neighbours, sharding, tokens, warc
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -51,6 +51,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.grouped(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_tokens": op3_tokens,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_neighbours": op6_neighbours,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
+    "op10_neardup": op10_neardup,
 }
 
 SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op4_warc": warc.SQL, "op5_chat": chat.SQL, "op8_mixing": mixing.SQL}
