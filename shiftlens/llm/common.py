@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -37,6 +39,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
+    """Arrow batches of ``rows`` rows for the frames that are planned inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checked(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` (cheap to compute, such as a staged table) for broadcast if it has at most ``rows`` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import chat, decontaminate, mixing, neardup, neighbours, sharding, tokens, warc
+from shiftlens.llm import chat, decontaminate, mixing, neardup, neighbours, repeats, sharding, tokens, warc
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -43,6 +43,10 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_chat": op5_chat,
     "op6_neighbours": op6_neighbours,
+    "op7_repeats": op7_repeats,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_neardup": op10_neardup,
