@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import chat, decontaminate, mixing, neardup, neighbours, repeats, sharding, tokens, warc
+from shiftlens.llm import chat, decontaminate, mixing, neardup, neighbours, quality, repeats, sharding, tokens, warc
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -22,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +64,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
     "op3_tokens": op3_tokens,
     "op4_warc": op4_warc,
