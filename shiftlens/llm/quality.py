@@ -5,8 +5,8 @@ documents are a sample of all documents of the training folds.  The class prior
 ones among the labels of the training folds.  Where all labels are good, a network that tells
 positives from unlabelled text gives it by the best bin of its scores: the least ratio of the shares
 of both samples above a threshold, with a margin for their size.  The classifier then minimises the non-negative unbiased risk ``prior * R+(P) + max(0, R-(U) - prior * R-(P))``: where the
-second term turns negative its gradient is reversed, so the network can't fit the unlabelled text as
-all negative.
+second term falls below a small slack its gradient is reversed, so the network can't fit the
+unlabelled text as all negative.
 
 Features come from the text alone: bytes, transitions between kinds of characters, and words (length,
 case, repetition, marks).  Both samples are bounded by ``SAMPLE`` documents, which are the smallest by
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from shiftlens.llm.common import small_batches
 
 #: Documents of each sample at most; units of the hidden layer; steps of training; rows of each sample in a step.
-SAMPLE, HIDDEN, STEPS, BATCH = 12_000, 24, 1500, 512
-RATE, DECAY, SEED = 0.01, 1e-4, 1
+SAMPLE, HIDDEN, STEPS, BATCH = 12_000, 24, 800, 2048
+RATE, DECAY, SLACK, SEED = 0.01, 1e-4, 0.03, 1
 FOLDS, HELD_OUT = 3, 1
 #: Kinds of bytes: control and space, lower, upper, digit, mark, line end, beyond ASCII.
 KINDS = np.zeros(256, dtype=np.int64)
@@ -160,7 +160,7 @@ def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None, seed: int = SE
         loss = np.logaddexp(0, z)  # of a row taken as negative
         negative = loss[n:].mean() - prior * loss[:n].mean()
         as_negative = np.concatenate([-prior * odds[:n] / n, odds[n:] / len(b)])
-        if negative < 0:
+        if negative < -SLACK:
             net.learn(-as_negative)
         else:
             net.learn(as_negative + np.concatenate([prior * (odds[:n] - 1) / n, np.zeros(len(b))]))

@@ -43,7 +43,7 @@ SLAB = 1 << 21
 SLIM_ROWS = 20_000
 STRETCHES = "kind int, first long, second long, doc_id long, text_hash long, start int, length int, weight int, periodic boolean"
 SETTLED = "kind int, first long, doc_id long, text_hash long, start int, length int, weight int"
-WINDOWS = "kind int, first long, last long, doc_id long, text_hash long, start int, weight int"
+WINDOWS = "kind int, first long, last long, doc_id long, text_hash long, start int, length int, weight int"
 RANGES = "doc_id long, text_hash long, starts array<int>, ends array<int>"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 COVERED, OPEN = 0, 1
@@ -181,20 +181,25 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
-    """Sorted batches moved so that rows with equal first ``keys`` columns stay together."""
-    rest: pa.RecordBatch | None = None
+    """Sorted batches joined and cut so that rows with equal first ``keys`` columns stay together."""
+    held: list[pa.RecordBatch] = []
+    rows, wanted = 0, SLIM_ROWS
     for batch in batches:
-        if not batch.num_rows:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < wanted:
             continue
-        table = batch if rest is None else pa.concat_batches([rest, batch])
+        table = pa.concat_batches(held)
         columns = [table.column(i).fill_null(-(1 << 63)).to_numpy() for i in range(keys)]
         cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
         last = int(cuts[-1]) if len(cuts) else 0
         if last:
             yield table.slice(0, last)
-        rest = table.slice(last)
-    if rest is not None:
-        yield rest
+        held = [table.slice(last)]
+        rows = held[0].num_rows
+        wanted = SLIM_ROWS + 2 * rows  # a large group is not joined again with every batch
+    if rows:
+        yield pa.concat_batches(held)
 
 
 def totals(group: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -204,7 +209,11 @@ def totals(group: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches sorted by both digits: equal ones are covered; those of a digit that others share stay open."""
-    for b in whole_groups(batches, 1):
+    for whole in whole_groups(batches, 1):
+        done = np.flatnonzero(whole.column(9).to_numpy() == COVERED)
+        if len(done):
+            yield record([np.full(len(done), COVERED), *(whole.column(i).take(pa.array(done)) for i in (0, 2, 3, 4, 5, 6))], SETTLED)
+        b = whole.take(pa.array(np.flatnonzero(whole.column(9).to_numpy() == OPEN)))
         first, second = b.column(0).to_numpy(), b.column(1).to_numpy()
         weight, periodic = b.column(6).to_numpy(), b.column(7).to_numpy(zero_copy_only=False)
         frequent = b.column(8).to_numpy(zero_copy_only=False)
@@ -245,21 +254,27 @@ def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = np.zeros(len(order), dtype=bool)
         lead[order[new]] = True
         at -= begins[owner]
-        for pick, kind in ((np.flatnonzero(twice & (weight == 1)), COVERED), (np.flatnonzero(lead), OPEN)):
-            if len(pick):
-                yield record([np.full(len(pick), kind), first[pick], last[pick], *doc_columns(rows, owner[pick]), at[pick], np.where(twice[pick], 2, 1)], WINDOWS)
+        pick = np.flatnonzero(twice & (weight == 1))
+        if len(pick):
+            head = np.flatnonzero(np.concatenate([[True], (np.diff(at[pick]) != 1) | (np.diff(owner[pick]) != 0)]))
+            run, size = pick[head], np.diff(np.append(head, len(pick)))
+            yield record([np.full(len(run), COVERED), first[run], last[run], *doc_columns(rows, owner[run]), at[run], size, np.ones_like(run)], WINDOWS)
+        pick = np.flatnonzero(lead)
+        yield record([np.full(len(pick), OPEN), first[pick], last[pick], *doc_columns(rows, owner[pick]), at[pick], np.ones_like(pick), np.where(twice[pick], 2, 1)], WINDOWS)
 
 
 def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows sorted by their digits: those of a group of weight 2 or more that are not covered yet."""
     for b in whole_groups(batches, 2):
-        first, last, weight = (b.column(i).to_numpy() for i in (0, 1, 5))
+        first, last, weight = (b.column(i).to_numpy() for i in (0, 1, 6))
+        opened = b.column(7).to_numpy() == OPEN
         new = np.ones(len(first), dtype=bool)
         new[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
-        pick = np.flatnonzero((totals(np.cumsum(new) - 1, weight) > 1) & (weight == 1))
+        twice = totals(np.cumsum(new) - 1, weight * opened) > 1
+        pick = np.flatnonzero(~opened | (twice & (weight == 1)))
         if len(pick):
             n = pa.array(pick)
-            yield record([np.full(len(pick), COVERED), first[pick], *(b.column(i).take(n) for i in (2, 3, 4)), np.ones(len(pick)).astype(int), np.ones(len(pick)).astype(int)], SETTLED)
+            yield record([np.full(len(pick), COVERED), first[pick], *(b.column(i).take(n) for i in (2, 3, 4, 5)), np.ones_like(pick)], SETTLED)
 
 
 def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,29 +326,25 @@ def on_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 
 def removed(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, starts, ends: the byte ranges that go, for the rows that lose any; staged."""
-    spark, rows = docs.sparkSession, keyed(docs)
-    with arrow_rows(spark):
-        parts = staged(rows.select("body", *KEY).mapInArrow(cut, STRETCHES), "stretches")
-    opened = parts.filter(F.col("kind") == OPEN)
-    sampled = opened.filter(F.pmod(F.xxhash64(*KEY), F.lit(SAMPLE)) == 0)
-    least = max(8, int(sampled.count() * FREQUENT))
-    frequent = staged(sampled.groupBy("first").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select(F.col("first").alias("_f")), "frequent")
-    known = opened.join(F.broadcast(frequent), F.col("first") == F.col("_f"), "left").withColumn("frequent", F.col("_f").isNotNull())
-    lane = F.when(F.col("frequent"), F.col("second")).otherwise(F.lit(0).cast("long"))
-    dealt = known.withColumn("_lane", lane).repartition("first", "_lane").sortWithinPartitions("first", "second")
-    slim = dealt.select("first", "second", *KEY, "start", "length", "weight", "periodic", "frequent")
-    with arrow_rows(spark, SLIM_ROWS):
-        settled = staged(slim.mapInArrow(settle, SETTLED), "settled")
-    todo = settled.filter(F.col("kind") == OPEN).groupBy(*KEY).agg(F.collect_list(F.struct("first", "start", "length", "weight")).alias("todo"))
+    spark, rows = docs.sparkSession, keyed(docs).select("body", *KEY)
     with arrow_rows(spark):
+        some = rows.filter(F.pmod(F.xxhash64(*KEY), F.lit(SAMPLE)) == 0).mapInArrow(cut, STRETCHES)
+        sampled = staged(some.groupBy("first").agg(F.count(F.lit(1)).alias("n")), "sampled")
+        least = max(8, int((sampled.agg(F.sum("n")).first()[0] or 0) * FREQUENT))
+        # at most 1 / FREQUENT rows
+        frequent = sampled.filter(F.col("n") >= least).select(F.col("first").alias("_f"))
+        known = rows.mapInArrow(cut, STRETCHES).join(F.broadcast(frequent), F.col("first") == F.col("_f"), "left").withColumn("frequent", F.col("_f").isNotNull())
+        # what is covered already passes through, dealt by document
+        lane = F.when(F.col("kind") == COVERED, F.col("doc_id")).when(F.col("frequent"), F.col("second")).otherwise(F.lit(0).cast("long"))
+        dealt = known.withColumn("_lane", lane).repartition("first", "_lane").sortWithinPartitions("first", "second")
+        settled = staged(dealt.select("first", "second", *KEY, "start", "length", "weight", "periodic", "frequent", "kind").mapInArrow(settle, SETTLED), "settled")
+        todo = settled.filter(F.col("kind") == OPEN).groupBy(*KEY).agg(F.collect_list(F.struct("first", "start", "length", "weight")).alias("todo"))
         texts = on_key(rows, staged(todo, "todo"), "inner").select("body", *KEY, "todo")
-        windows = staged(texts.mapInArrow(expand, WINDOWS), "windows")
-    ends = windows.filter(F.col("kind") == OPEN).repartition("first", "last").sortWithinPartitions("first", "last")
+        own = F.when(F.col("kind") == COVERED, F.col("doc_id")).otherwise(F.lit(0).cast("long"))
+        ends = texts.mapInArrow(expand, WINDOWS).withColumn("_lane", own).repartition("first", "last", "_lane").sortWithinPartitions("first", "last")
+        more = staged(ends.select("first", "last", *KEY, "start", "length", "weight", "kind").mapInArrow(repeated, SETTLED), "repeated")
     with arrow_rows(spark, SLIM_ROWS):
-        more = staged(ends.select("first", "last", *KEY, "start", "weight").mapInArrow(repeated, SETTLED), "repeated")
-        found = [x.filter(F.col("kind") == COVERED).select(*KEY, "start", "length") for x in (parts, settled, more)]
-        direct = windows.filter(F.col("kind") == COVERED).select(*KEY, "start", F.lit(1).alias("length"))
-        covered = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(direct)
+        covered = settled.filter(F.col("kind") == COVERED).unionByName(more).select(*KEY, "start", "length")
         return staged(covered.repartition(*KEY).sortWithinPartitions(*KEY, "start").mapInArrow(ranges, RANGES), "removed")
 
 
