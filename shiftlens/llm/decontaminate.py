@@ -98,23 +98,25 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
 
 def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", window: int = WINDOW) -> DataFrame:
     """``docs`` without documents that hold a window, or, with mode "spans", without the words of the hits."""
-    dirty = scan(docs, benchmark, window).filter(F.size("spans") > 0).select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-    keyed = docs.withColumn("_row", row_key())
+    found = scan(docs, benchmark, window).filter(F.size("spans") > 0).select(F.col("key").alias("hit"), "spans")
+    rows = docs.select(F.struct("*").alias("row"), row_key().alias("key"))
+    same = F.col("key").eqNullSafe(F.col("hit"))
     if mode == "documents":
-        return keyed.join(dirty, F.col("_row").eqNullSafe(F.col("_key")), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+        return rows.join(found, same, "left_anti").select("row.*")
     if mode != "spans":
         raise ValueError(f"mode is 'documents' or 'spans', not {mode!r}")
-    pieces = F.regexp_extract_all(F.col("text"), F.lit(PIECE), F.lit(0))
-    first = F.transform("_spans", lambda x: x["at"])
-    ends = F.transform(F.sequence(F.lit(1), F.size("_spans")), lambda i: F.array_max(F.transform(F.slice("_spans", 1, i), lambda x: x["at"] + x["len"])))
+    hit = F.col("spans").isNotNull()
+    pieces = F.when(hit, F.regexp_extract_all(F.col("row.text"), F.lit(PIECE), F.lit(0)))
+    cut = rows.join(found, same, "left").withColumn("p", pieces)
+    # what lies between the ends of the spans so far and the next start
+    ends = F.transform(F.sequence(F.lit(1), F.size("spans")), lambda i: F.array_max(F.transform(F.slice("spans", 1, i), lambda x: x["at"] + x["len"])))
     starts = F.concat(F.array(F.lit(1)), ends)
-    stops = F.concat(first, F.array(F.size("_p") + 1))
-    gaps = F.zip_with(starts, stops, lambda a, b: F.when(b > a, F.array_join(F.slice(F.col("_p"), a, b - a), "")))
-    tail = F.expr("substring(text, length(array_join(_p, '')) + 1)")
+    stops = F.concat(F.transform("spans", lambda x: x["at"]), F.array(F.size("p") + 1))
+    gaps = F.zip_with(starts, stops, lambda a, b: F.when(b > a, F.array_join(F.slice(F.col("p"), a, b - a), "")))
+    tail = F.expr("substring(row.text, length(array_join(p, '')) + 1)")
     kept = F.concat(F.array_join(F.filter(gaps, lambda g: g.isNotNull()), "\n"), tail)
-    cut = keyed.join(dirty, F.col("_row").eqNullSafe(F.col("_key")), "left").withColumn("_p", F.when(F.col("_spans").isNotNull(), pieces))
-    text = F.when(F.col("_spans").isNotNull(), kept).otherwise(F.col("text"))
-    return cut.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(hit, kept).otherwise(F.col("row.text"))
+    return cut.select(F.col("row").withField("text", text).alias("row")).select("row.*")
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

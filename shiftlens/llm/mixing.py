@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftlens.llm.common import checked, numbered, staged
@@ -23,7 +23,7 @@ WEIGHTS = (3, 1, 2)
 SHARE, MOST, SEED = 1.5, 2, "mix"
 
 
-def words(text: str = "text"):
+def words(text: str = "text") -> Column:
     return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
 
 
@@ -57,39 +57,33 @@ def sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SH
     return ranked.withColumn("target", target).select("source", "n", "source_size", "target", rate.alias("rate"))
 
 
-def coin(doc_id: str, seed: str = SEED):
+def coin(doc_id: Column, seed: str = SEED) -> Column:
     """A number in [0, 1) from the md5 of seed and doc_id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
 def plan(docs: DataFrame, rates: DataFrame, seed: str = SEED) -> DataFrame:
-    """``docs`` with the struct ``_mix``: source_size, target, copies."""
-    facts = rates.select(
-        F.col("source").alias("_source"),
-        F.struct(F.col("source_size"), F.col("target"), F.col("rate")).alias("_s"),
-    )
+    """row (all columns of ``docs``), source_size, target, copies."""
+    rows = docs.select(F.struct("*").alias("row"))
+    facts = rates.select(F.struct("source", "source_size", "target", "rate").alias("s"))
     # one row per source: broadcast while they are few; past that AQE splits the partitions of a hot source
-    found = docs.join(checked(facts), F.col("source").eqNullSafe(F.col("_source")), "left")
-    rate = F.coalesce(F.col("_s.rate"), F.lit(0.0))
-    copies = F.floor(rate) + F.when(coin("doc_id", seed) < rate - F.floor(rate), 1).otherwise(0)
-    mix = F.struct(F.col("_s.source_size").alias("source_size"), F.col("_s.target").alias("target"), copies.cast("int").alias("copies"))
-    return found.withColumn("_mix", mix).drop("_source", "_s")
+    found = rows.join(checked(facts), F.col("row.source").eqNullSafe(F.col("s.source")), "left")
+    rate = F.coalesce(F.col("s.rate"), F.lit(0.0))
+    copies = F.floor(rate) + F.when(coin(F.col("row.doc_id"), seed) < rate - F.floor(rate), 1).otherwise(0)
+    return found.select("row", "s.source_size", "s.target", copies.cast("int").alias("copies"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The mixture: every row of ``docs`` as often as its source's rate says."""
-    planned = plan(docs, sources(docs, weights, share, most), seed)
-    copy = F.explode(F.sequence(F.lit(1), F.col("_mix.copies")))
-    return planned.filter(F.col("_mix.copies") > 0).withColumn("_copy", copy).select(*[F.col(f"`{c}`") for c in docs.columns])
+    planned = plan(docs, sources(docs, weights, share, most), seed).filter(F.col("copies") > 0)
+    return planned.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    planned = plan(docs, sources(docs)).withColumn("size", words())
-    return planned.select(
-        "doc_id", "size", F.col("_mix.source_size").alias("source_size"), F.col("_mix.target").alias("target"),
-        (F.col("size") * F.col("_mix.copies")).alias("taken"), F.col("_mix.copies").alias("copies"),
-    )
+    rows = docs.select("doc_id", "source", "text")
+    planned = plan(rows, sources(rows)).withColumn("size", words("row.text"))
+    return planned.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 SQL = r"""

@@ -408,5 +408,6 @@ def grouped(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group: that of the smallest doc_id."""
-    dropped = grouped(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("_id"), "left_anti")
+    dropped = grouped(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(dropped, F.col("row.doc_id") == F.col("doc_id"), "left_anti").select("row.*")
