@@ -37,6 +37,8 @@ SLOTS, BANDS, ROWS, MARGIN = 512, 28, 5, 5.0
 ONLY_EQUAL = PERCENT // (100 - PERCENT)
 #: Classes of a bucket that are held in one block, and levels whose swaps are kept as a list.
 BLOCK, LISTED = 1024, 16
+#: Shingles that are signed at once.
+PORTION = 1 << 16
 #: Pairs that are verified against one copy of a set.
 FAN = 500
 FRACTION = np.uint64(55)
@@ -143,6 +145,19 @@ def sketch(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[:, ::2] << 4 | low[:, 1::2], mixed(key + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
+def portions(which: list[int], sets: list[np.ndarray]) -> Iterator[list[int]]:
+    """The sets ``which`` in runs of about PORTION shingles."""
+    some, n = [], 0
+    for i in which:
+        some.append(i)
+        n += len(sets[i])
+        if n >= PORTION:
+            yield some
+            some, n = [], 0
+    if some:
+        yield some
+
+
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [(x.as_buffer() or b"") for x in batch.column(1).cast(pa.binary())]
@@ -152,9 +167,9 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         big = [i for i, s in enumerate(sets) if len(s) > ONLY_EQUAL]
         packed: list[bytes | None] = [None] * len(sets)
         heads: list[np.ndarray | None] = [None] * len(sets)
-        if big:
-            low, buckets = sketch(signatures([sets[i] for i in big]))
-            for k, i in enumerate(big):
+        for some in portions(big, sets):
+            low, buckets = sketch(signatures([sets[i] for i in some]))
+            for k, i in enumerate(some):
                 packed[i], heads[i] = low[k].tobytes(), buckets[k]
         columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(packed, pa.binary()), pa.array(heads, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_a", "set_b", "sketch", "heads"])

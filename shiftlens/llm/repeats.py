@@ -39,7 +39,7 @@ REACH = DEPTH - GRAM + 1
 #: A first digit is frequent from this share of the sampled records on; one document in SAMPLE is sampled.
 FREQUENT, SAMPLE = 1e-5, 64
 #: Bytes of text that are hashed at once.
-SLAB = 1 << 21
+SLAB = 1 << 20
 SLIM_ROWS = 20_000
 STRETCHES = "kind int, first long, second long, doc_id long, text_hash long, start int, length int, weight int, periodic boolean"
 SETTLED = "kind int, first long, doc_id long, text_hash long, start int, length int, weight int"

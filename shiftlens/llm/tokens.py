@@ -35,7 +35,7 @@ from shiftlens.llm.common import checked, scratch, small_batches, staged
 LENGTH, FILE_IDS, BATCH_ROWS, END_ID = 1024, 4_000_000, 256, 1
 MAGIC = "ARROW1"
 #: Pieces of text whose ids a worker remembers, in two generations, and the longest such piece.
-MEMO_PIECES, MEMO_CHARS = 1_000_000, 48
+MEMO_PIECES, MEMO_CHARS = 800_000, 48
 #: Marks that may follow a word.
 MARKS = tuple(".,!?|;:")
 #: Below it lie the Latin letters with and without accents.
