@@ -21,6 +21,7 @@ gives no rows; columns other than doc_id and text are ignored, and pass through
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,9 @@ SLOTS, BANDS, ROWS, MARGIN = 512, 28, 5, 5.0
 ONLY_EQUAL = PERCENT // (100 - PERCENT)
 #: Classes of a bucket that are held in one block, and levels whose swaps are kept as a list.
 BLOCK, LISTED = 1024, 16
-#: Shingles that are signed at once.
-PORTION = 1 << 16
+#: Shingles that are signed and bytes of text that are hashed at once.
+PORTION, SLAB = 1 << 16, 1 << 19
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Pairs that are verified against one copy of a set.
 FAN = 500
 FRACTION = np.uint64(55)
@@ -55,25 +57,60 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all ``texts`` and the number of words before each text; A-Z count as a-z."""
+def pieces(text: bytes) -> Iterator[bytes]:
+    """``text`` in pieces of about SLAB bytes that end before white space."""
+    at = 0
+    while len(text) - at > SLAB:
+        gap = SPACE.search(text, at + SLAB)
+        if gap is None:
+            break
+        yield text[at : gap.start()]
+        at = gap.start()
+    yield text[at:] if at else text
+
+
+def slab_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all ``texts``, and how many each has."""
     data = np.frombuffer(b" ".join(texts).lower() + b" ", dtype=np.uint8)
     space = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(space, prepend=True))
     starts, ends = edge[::2], edge[1::2]
-    power = np.empty(int((ends - starts).max(initial=1)), dtype=np.uint64)
+    lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+    counts = np.diff(np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)])))
+    if not len(starts):
+        return np.zeros(0, np.uint64), counts
+    sizes = ends - starts
+    power = np.full(int(sizes.max()), MULTIPLIER, dtype=np.uint64)
     power[0] = 1
-    power[1:] = MULTIPLIER
     power = np.multiply.accumulate(power)
-    at = np.cumsum(~space) - 1
-    offset = np.arange(len(data)) - np.repeat(starts, ends - starts)[at.clip(0)] if len(starts) else at
-    letters = np.flatnonzero(~space)
-    terms = (data[letters].astype(np.uint64) + np.uint64(1)) * power[offset[letters]]
-    first = np.zeros(len(starts), dtype=np.int64)
-    np.cumsum((ends - starts)[:-1], out=first[1:])
-    words = mixed(np.add.reduceat(terms, first) + (ends - starts).astype(np.uint64)) if len(starts) else np.zeros(0, np.uint64)
-    lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-    return words, np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)]))
+    first = np.cumsum(sizes) - sizes
+    terms = data[~space].astype(np.uint64) + np.uint64(1)
+    terms *= power[np.arange(len(terms)) - np.repeat(first, sizes)]
+    return mixed(np.add.reduceat(terms, first) + sizes.astype(np.uint64)), counts
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all ``texts`` and the number of words before each text; A-Z count as a-z."""
+    words, counts, owner = [], np.zeros(len(texts), dtype=np.int64), []
+    slab: list[bytes] = []
+
+    def flush():
+        hashes, found = slab_hashes(slab)
+        words.append(hashes)
+        np.add.at(counts, owner, found)
+
+    held = 0
+    for i, text in enumerate(texts):
+        for piece in pieces(text):
+            slab.append(piece)
+            owner.append(i)
+            held += len(piece)
+            if held >= SLAB:
+                flush()
+                slab, owner, held = [], [], 0
+    if slab:
+        flush()
+    return np.concatenate(words) if words else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(counts)])
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -145,17 +182,27 @@ def sketch(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[:, ::2] << 4 | low[:, 1::2], mixed(key + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def portions(which: list[int], sets: list[np.ndarray]) -> Iterator[list[int]]:
-    """The sets ``which`` in runs of about PORTION shingles."""
-    some, n = [], 0
-    for i in which:
-        some.append(i)
-        n += len(sets[i])
-        if n >= PORTION:
-            yield some
-            some, n = [], 0
+def signature_of_all(sets: list[np.ndarray]) -> np.ndarray:
+    """Signatures by portions; a large set is signed in parts, whose slot-wise least is its signature."""
+    out = np.full((len(sets), SLOTS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    some: list[tuple[int, np.ndarray]] = []
+    held = 0
+
+    def flush():
+        for (i, _), signature in zip(some, signatures([x for _, x in some]), strict=True):
+            np.minimum(out[i], signature, out=out[i])
+
+    for i, whole in enumerate(sets):
+        for at in range(0, len(whole), PORTION):
+            part = whole[at : at + PORTION]
+            some.append((i, part))
+            held += len(part)
+            if held >= PORTION:
+                flush()
+                some, held = [], 0
     if some:
-        yield some
+        flush()
+    return out
 
 
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +214,9 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         big = [i for i, s in enumerate(sets) if len(s) > ONLY_EQUAL]
         packed: list[bytes | None] = [None] * len(sets)
         heads: list[np.ndarray | None] = [None] * len(sets)
-        for some in portions(big, sets):
-            low, buckets = sketch(signatures([sets[i] for i in some]))
-            for k, i in enumerate(some):
+        if big:
+            low, buckets = sketch(signature_of_all([sets[i] for i in big]))
+            for k, i in enumerate(big):
                 packed[i], heads[i] = low[k].tobytes(), buckets[k]
         columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(packed, pa.binary()), pa.array(heads, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_a", "set_b", "sketch", "heads"])

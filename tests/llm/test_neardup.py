@@ -98,6 +98,18 @@ def test_early_stopping_changes_no_signature():
     assert N.signatures(sets).tolist() == [naive_signature(s.tolist()) for s in sets]
 
 
+def test_parts_of_texts_and_sets_give_the_same(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 99, n)).encode() for n in (0, 3, 400, 2000)] + [b"", b" \t ", b"x" * 900, b"A\x0bb " * 300]
+    whole = N.shingle_sets(texts)
+    signed = N.signature_of_all([s for s in whole if len(s)])
+    assert signed.tolist() == N.signatures([s for s in whole if len(s)]).tolist()
+    monkeypatch.setattr(N, "SLAB", 50)
+    monkeypatch.setattr(N, "PORTION", 64)
+    assert [s.tolist() for s in N.shingle_sets(texts)] == [s.tolist() for s in whole]
+    assert N.signature_of_all([s for s in whole if len(s)]).tolist() == signed.tolist()
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(6)
     errors = defaultdict(list)
