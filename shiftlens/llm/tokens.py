@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import functools
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -35,11 +36,12 @@ from shiftlens.llm.common import checked, scratch, small_batches, staged
 LENGTH, FILE_IDS, BATCH_ROWS, END_ID = 1024, 4_000_000, 256, 1
 MAGIC = "ARROW1"
 #: Pieces of text whose ids a worker remembers, in two generations, and the longest such piece.
-MEMO_PIECES, MEMO_CHARS = 800_000, 48
-#: Marks that may follow a word.
-MARKS = tuple(".,!?|;:")
+MEMO_PIECES, MEMO_CHARS = 1_000_000, 48
+#: ASCII marks that may follow a word, without the apostrophe, which opens endings.
+MARKS = tuple(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 #: Below it lie the Latin letters with and without accents.
 LATIN_END = "\u0250"
+LATIN_WORD = re.compile("([a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f]+)([" + re.escape("".join(MARKS)) + "]*)")
 INDEX = b"documents"
 READ_SCHEMA = "doc_id long, part int, begin long, n_tokens long, ids_crc32 long"
 
@@ -66,23 +68,23 @@ class Encoder:
         self.spelling = {c: spelled(chr(c))[0][0] for c in range(128, ord(LATIN_END))}
         self.apart = by_piece and all(
             self.encode(w + m) == self.encode(w.lower()) + self.encode(m) and self.encode(w) == self.word(w.lower())
-            for w in ("Aword", "thING", "Q", "unheardofword", "Éñçüße") for m in MARKS
+            for w in ("Aword", "thING", "Q", "unheardofword", "Éñçüße") for m in (*MARKS, "***", "%%%.", "!!", "|,")
         )
 
     def encode(self, text: str) -> bytes:
         return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def word(self, text: str) -> bytes:
-        return array(self.code, [t.id for t in self.library.model.tokenize(text.translate(self.spelling))]).tobytes()
+        return array(self.code, [t.id for t in self.library.model.tokenize(text if text.isascii() else text.translate(self.spelling))]).tobytes()
 
     def fresh(self, text: str) -> bytes:
-        low = text.lower()
-        if self.apart and low and max(low) < LATIN_END:
-            if low.isalpha():
-                return self.word(low) if low == text else self.piece(low)
-            if low[-1] in MARKS and low[:-1].isalpha():
-                return self.piece(low[:-1]) + self.piece(low[-1])
-        return self.encode(text)
+        parts = LATIN_WORD.fullmatch(text.lower()) if self.apart else None
+        if parts is None:
+            return self.encode(text)
+        word, marks = parts.groups()
+        if word == text:
+            return self.word(word)
+        return self.piece(word) + (self.piece(marks) if marks else b"")
 
     def piece(self, text: str) -> bytes:
         ids = self.young.get(text)
