@@ -129,9 +129,10 @@ def flagged_stops(site: Site) -> DataFrame:
     """Decoded stops per shift with the halted flag; every breakdown of downtime reads this."""
     stops = shift_stops(site)
     spans = block_shifts(site).filter(~F.col("running"))  # the flag needs neither reason nor decoding
-    halted = halted_stops(site, spans).withColumn("hit", F.lit(True))
-    return (
-        stops.join(halted, ["line_id", "ord", *STOP_ID], "left")
-        .withColumn("halted", F.coalesce("hit", F.lit(False)))
-        .drop("hit")
-    )
+    # a stop is its line, shift, start and reason id, which may be missing
+    halted = halted_stops(site, spans).select(*[F.col(c).alias(f"_{c}") for c in ("line_id", "ord", *STOP_ID)])
+    same = F.lit(True)
+    for c in ("line_id", "ord", "s_us"):
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    joined = stops.join(halted, same & F.col("start_id").eqNullSafe(F.col("_start_id")), "left")
+    return joined.withColumn("halted", F.col("_s_us").isNotNull()).drop(*halted.columns)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shiftlens.config import DEFAULT_IDEAL_PPM
+from shiftlens.config import ANOMALY_BASELINE_SHIFTS, DEFAULT_IDEAL_PPM
 from shiftlens.functions.columns import (
-    HOUR, iso_week, round_even, shift_date_text, shift_end, shift_key, shift_label,
-    shift_of, shift_start, shift_type, to_us,
+    HOUR, iso_week, round_even, shift_date, shift_date_text, shift_key, shift_label,
+    shift_of, shift_type, to_us,
 )
 from shiftlens.functions.ordered import (
     CHUNK, assign_chunks, exact_percentile, latest_start_asof,
@@ -49,27 +49,51 @@ def speed_samples(site: Site) -> DataFrame:
     )
 
 
-@staged
-def ideal_speed(site: Site) -> DataFrame:
-    """Exact 95th percentile of the positive samples of each week's window.
+def speed_window(site: Site, span: str) -> DataFrame:
+    """(line_id, week, latest_ord, lo, hi): the shifts whose samples give an ideal speed.
 
-    The window runs from the earliest start to the latest end of the non-excluded shifts; excluded
-    days in between count.
+    ``week``: the non-excluded shifts of the week.  ``published``: those and the 13 shifts before the
+    oldest of them, as for every published shift.  ``single``: the latest shift and the 13 before it,
+    excluded or not, as for a run of that shift alone.  Excluded days inside a window count.
     """
-    span = calendar.production_shifts(site).groupBy("line_id", "week").agg(
+    weeks = calendar.production_shifts(site).groupBy("line_id", "week").agg(
         F.min("ord").alias("lo"), F.max("ord").alias("hi"), F.first("latest_ord").alias("latest_ord")
     )
+    if span == "week":
+        return weeks
+    if span == "single":
+        lines = weeks.groupBy("line_id").agg(F.first("latest_ord").alias("latest_ord"))
+        first = F.col("latest_ord") - ANOMALY_BASELINE_SHIFTS
+        return lines.select("line_id", F.lit(0).alias("week"), "latest_ord", first.alias("lo"), F.col("latest_ord").alias("hi"))
+    if span != "published":
+        raise ValueError(f"span is 'week', 'published' or 'single', not {span!r}")
+    before = weeks.select("line_id", "week", F.explode(F.sequence(F.col("lo") - ANOMALY_BASELINE_SHIFTS, F.col("lo") - 1)).alias("ord"))
+    kept = before.withColumn("day", shift_date(F.col("ord"))).join(site.excluded, ["line_id", "day"], "left_anti")
+    first = kept.groupBy("line_id", "week").agg(F.min("ord").alias("first"))
+    return weeks.join(first, ["line_id", "week"], "left").withColumn("lo", F.coalesce("first", "lo")).drop("first")
+
+
+@staged
+def ideal_speed(site: Site, span: str) -> DataFrame:
+    """Exact 95th percentile of the positive samples of each window (see ``speed_window``)."""
+    window = site.stage(f"oee.speed_window.{span}", lambda: speed_window(site, span))
     # One row per line, and one per line and week: counted before they are broadcast.
-    latest = checked_broadcast(span.groupBy("line_id").agg(F.first("latest_ord").alias("latest_ord")))
+    latest = checked_broadcast(window.groupBy("line_id").agg(F.first("latest_ord").alias("latest_ord")))
+    own = calendar.week_of(F.col("ord"), F.col("latest_ord"))
+    # a sample lies in the window of its own week and, published, in that of the next week
+    weeks = {"week": F.array(own), "published": F.array(own, own - 1), "single": F.array(F.lit(0))}[span]
     samples = (
-        speed_samples(site).join(latest, "line_id")
-        .withColumn("week", calendar.week_of(F.col("ord"), F.col("latest_ord")))
-        .join(checked_broadcast(span.drop("latest_ord")), ["line_id", "week"])
+        speed_samples(site).join(latest, "line_id").withColumn("week", F.explode(weeks))
+        .join(checked_broadcast(window.drop("latest_ord")), ["line_id", "week"])
         .filter(F.col("ord").between(F.col("lo"), F.col("hi")))
     )
     found = exact_percentile(samples, ["line_id", "week"], "ppm", 0.95)
-    return span.select("line_id", "week").join(found, ["line_id", "week"], "left").select(
-        "line_id", "week", F.coalesce("percentile", F.lit(DEFAULT_IDEAL_PPM)).alias("ideal_ppm")
+    # exact_percentile has a row for every window with samples
+    ideal = F.when(F.col("n").isNull(), F.lit(DEFAULT_IDEAL_PPM)).otherwise(
+        F.coalesce("percentile", F.raise_error(F.lit("the bracket missed the percentile")).cast("double"))
+    )
+    return window.select("line_id", "week").join(found.withColumn("n", F.lit(1)), ["line_id", "week"], "left").select(
+        "line_id", "week", ideal.alias("ideal_ppm")
     )
 
 
@@ -159,22 +183,25 @@ def _performance(avg: str, ideal: str):
 
 
 @staged
-def shift_oee(site: Site) -> DataFrame:
-    """Unrounded A, P, Q and OEE per production shift against its own week's ideal speed."""
-    parts = shift_parts(site).join(ideal_speed(site), ["line_id", "week"], "left")
+def shift_oee(site: Site, span: str) -> DataFrame:
+    """Unrounded A, P, Q and OEE per production shift against the ideal speed of a span."""
+    parts = shift_parts(site).join(ideal_speed(site, span), ["line_id", "week"], "left")
     return parts.withColumn("performance", _performance("avg_ppm", "ideal_ppm")).withColumn(
         "oee", F.col("availability") / 100 * F.col("performance") / 100 * F.col("quality") / 100 * 100
     )
 
 
 @staged
-def shift_entries(site: Site) -> DataFrame:
-    """Published shift rows: rounded parts, stop summary, labels.  Skipped shifts are not here."""
+def shift_entries(site: Site, span: str) -> DataFrame:
+    """Shift rows: rounded parts, stop summary, labels.  Skipped shifts are not here.
+
+    Published rows have the span "published", the rows of a week report the span "week".
+    """
     from shiftlens.operators import downtime
 
     summary = downtime.stop_summary(site)
     o = F.col("ord")
-    return shift_oee(site).join(summary, KEY, "left").select(
+    return shift_oee(site, span).join(summary, KEY, "left").select(
         "line_id", "ord", "week",
         shift_key(F.col("line_id"), o).alias("shift_key"),
         shift_date_text(o).alias("shift_date"), shift_type(o).alias("shift_type"),
@@ -238,7 +265,7 @@ def week_rollup(site: Site, entries: DataFrame) -> DataFrame:
 def prior_week_rollup(site: Site) -> DataFrame:
     """For each week, its 14 preceding shifts rolled up from unrounded parts with its own ideal."""
     parts = shift_parts(site).withColumn("week", F.col("week") - 1).filter(F.col("week") >= 0)
-    ideal = ideal_speed(site)
+    ideal = ideal_speed(site, "week")
     scheduled = shift_us(site) // HOUR
     sums = parts.join(ideal, ["line_id", "week"]).withColumn(
         "performance", _performance("avg_ppm", "ideal_ppm")
@@ -332,9 +359,3 @@ def oee_trend(entries: DataFrame) -> DataFrame:
     )
 
 
-def with_window(site: Site, df: DataFrame) -> DataFrame:
-    return df.withColumn("start_us", shift_start(F.col("ord"), site.bounds)).withColumn(
-        "end_us", shift_end(F.col("ord"), site.bounds)
-    )
-
-

@@ -1,6 +1,6 @@
 """SPC from counters that reset: subgroups, Laney p-prime and EWMA, for all panels in one plan.
 
-The counter tables are large; resets and subgroups are few (a lookback of 75 days bounds them), so
+The counter tables are large; resets and subgroups are few (the site's lookback bounds them), so
 only reset detection, lane lookup and the peak lookup touch large data, each with an equi key.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shiftlens.config import (
     EWMA_L, EWMA_LAMBDA, EWMA_STD_FLOOR, EWMA_WINDOW, MIDDAY_HOUR, SPC_BASELINE_BUCKETS, SPC_D2,
-    SPC_LOOKBACK_DAYS, SPC_MIN_INSPECTED, SPC_SIGMA_FLOOR,
+    SPC_MIN_INSPECTED, SPC_SIGMA_FLOOR,
 )
 from shiftlens.functions.columns import (
     DAY, HOUR, SECOND, batch_end_label, boundaries_between, date_of, floor_to, round_even,
@@ -80,12 +80,14 @@ def representatives(site: Site) -> DataFrame:
     )
 
 
-def lookback_floor(site: Site, days: int = SPC_LOOKBACK_DAYS) -> DataFrame:
-    """Per line and counter table: newest time minus the lookback, in whole seconds."""
+def lookback_floor(site: Site) -> DataFrame:
+    """Per line and counter table: newest time minus the site's lookback, in whole seconds; all with a lookback of 0."""
+    days = site.spc_lookback_days
     tables = sorted({x.table for p in site.lines for x in p.panels if p.has_table(x.table)})
     if not tables:
         return site.spark.createDataFrame([], "line_id string, floor_us long, counter_table string")
-    floor = floor_to(F.max(to_us(F.col("t_stamp"))) - F.lit(days * DAY), SECOND)
+    at = to_us(F.col("t_stamp"))
+    floor = floor_to(F.max(at) - F.lit(days * DAY) if days else F.min(at), SECOND)
     return union_all([
         site.table(t).groupBy("line_id").agg(floor.alias("floor_us")).withColumn("counter_table", F.lit(t))
         for t in tables

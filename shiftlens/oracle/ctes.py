@@ -260,6 +260,13 @@ cte("c_speed", f"SELECT line_id, us, output_ppm AS ppm, {ordinal('us')} AS ord F
 cte("c_ideal", f"""SELECT w.line_id, w.week, coalesce(quantile_cont(s.ppm, 0.95), 100.0) AS ideal_ppm
  FROM (SELECT line_id, week, min(ord) AS lo, max(ord) AS hi FROM c_prod GROUP BY 1, 2) w
  LEFT JOIN c_speed s ON s.line_id = w.line_id AND s.ord BETWEEN w.lo AND w.hi GROUP BY 1, 2""")
+cte("c_pideal", f"""SELECT w.line_id, w.week, coalesce(quantile_cont(s.ppm, 0.95), 100.0) AS ideal_ppm
+ FROM (SELECT line_id, week, hi, min(o) AS lo FROM (
+  SELECT line_id, week, lo, hi, unnest(range(lo - 13, lo + 1)) AS o FROM (SELECT line_id, week, min(ord) AS lo, max(ord) AS hi FROM c_prod GROUP BY 1, 2)
+ ) c WHERE o = lo OR NOT EXISTS (SELECT 1 FROM c_excl x WHERE x.line_id = c.line_id AND x.day = {odate('c.o')}) GROUP BY 1, 2, 3) w
+ LEFT JOIN c_speed s ON s.line_id = w.line_id AND s.ord BETWEEN w.lo AND w.hi GROUP BY 1, 2""")
+cte("c_sideal", """SELECT w.line_id, 0 AS week, coalesce(quantile_cont(s.ppm, 0.95), 100.0) AS ideal_ppm FROM (SELECT DISTINCT line_id, latest_ord FROM c_prod) w
+ LEFT JOIN c_speed s ON s.line_id = w.line_id AND s.ord BETWEEN w.latest_ord - 13 AND w.latest_ord GROUP BY 1""")
 cte("c_matched", """SELECT s.line_id, s.us, s.ord, s.ppm FROM c_speed s ASOF JOIN
  (SELECT line_id, ord, c0, c1 FROM c_bs WHERE running) b
  ON s.line_id = b.line_id AND s.ord = b.ord AND s.us >= b.c0 WHERE s.us <= b.c1""")
@@ -280,6 +287,7 @@ cte("c_parts", f"""SELECT p.line_id, p.ord, p.week, p.latest_ord,
 cte("c_oee", """SELECT *, availability / 100 * performance / 100 * quality / 100 * 100 AS oee FROM (
  SELECT p.*, CASE WHEN ideal_ppm > 0 THEN avg_ppm / ideal_ppm * 100 ELSE 0.0 END AS performance
  FROM c_parts p LEFT JOIN c_ideal i USING (line_id, week))""")
+cte("c_poee", CTES["c_oee"].replace("c_ideal", "c_pideal"))
 cte("c_stopsum", f"""SELECT line_id, ord, count(*) AS total_stops, CAST(sum(dur_us) AS BIGINT) / {HOUR} AS downtime_hours,
  max(dur_us) / {MINUTE} AS longest_min FROM c_bs WHERE NOT running GROUP BY 1, 2""")
 cte("c_entries", f"""SELECT o.line_id, o.ord, o.week, o.latest_ord, {okey('o.ord', 'o.line_id')} AS shift_key,
@@ -288,6 +296,7 @@ cte("c_entries", f"""SELECT o.line_id, o.ord, o.week, o.latest_ord, {okey('o.ord
  {rnd('running_hours', 2)} AS running_hours, coalesce(total_stops, 0) AS total_stops,
  coalesce({rnd('downtime_hours', 2)}, 0.0) AS total_downtime_hours, coalesce({rnd('longest_min', 1)}, 0.0) AS longest_stop_min,
  good_count, total_count FROM c_oee o LEFT JOIN c_stopsum s USING (line_id, ord)""")
+cte("c_pentries", CTES["c_entries"].replace("c_oee", "c_poee"))
 _CENT = lambda c: f"sum(CAST(round({c} * 100) AS BIGINT))"
 cte("c_week", f"""SELECT line_id, week, {otext('oldest_ord')} AS week_from, {otext('newest_ord')} AS week_to,
  {rnd('a / 100 * p / 100 * q / 100 * 100', 1)} AS oee, {rnd('a', 1)} AS availability, {rnd('p', 1)} AS performance,

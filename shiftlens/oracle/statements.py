@@ -28,13 +28,13 @@ _BODY["src1_line_scan"] = " UNION ALL ".join(
 _BODY["src2_column_aliases"] = """SELECT line_id, strftime(start_ts, '%Y-%m-%d %H:%M:%S') AS start_ts, running, faults, stop_type, start_id FROM c_sb"""
 _BODY["src3_availability_window"] = f"""SELECT line_id, count(*) AS n_rows, {tstext('min(us)')} AS first_ts, {tstext('max(us)')} AS last_ts
  FROM c_hc WHERE line_id <> 'line_a' OR us >= epoch_us(TIMESTAMP '2024-01-05') GROUP BY 1"""
-_BODY["src4_document_scan"] = "SELECT shift_key, label, oee, total_stops, total_downtime_hours FROM c_entries"
+_BODY["src4_document_scan"] = "SELECT shift_key, label, oee, total_stops, total_downtime_hours FROM c_pentries"
 _SNAPKEY = f"strftime({ts(f'reached_us // {15 * MINUTE} * {15 * MINUTE}')}, '%Y%m%d_%H%M')"
 _BODY["src5_snapshot_scan"] = f"""SELECT p.line_id, {_SNAPKEY} AS snapshot_key, {olabel('ord')} AS label, ord = p.latest_ord AS is_latest
  FROM c_prod p JOIN c_latest l USING (line_id) WHERE week = 0"""
 _BODY["snk1_json_sink"] = f"""SELECT line_id, count(*) AS documents, {big('sum(n)')} AS shift_rows FROM (
  SELECT p.line_id, p.ord, count(*) AS n FROM c_prod p JOIN c_spine s ON s.line_id = p.line_id AND s.ord BETWEEN p.ord - 4 AND p.ord GROUP BY 1, 2) GROUP BY 1"""
-_BODY["snk2_csv_sink"] = """SELECT shift_key AS "ShiftKey", label AS "Label", oee AS "OEE", running_hours AS "RunningHours", total_stops AS "TotalStops" FROM c_entries"""
+_BODY["snk2_csv_sink"] = """SELECT shift_key AS "ShiftKey", label AS "Label", oee AS "OEE", running_hours AS "RunningHours", total_stops AS "TotalStops" FROM c_pentries"""
 _BODY["snk3_snapshot_retention"] = f"""SELECT line_id, strftime({ts('b')}, '%Y%m%d_%H%M') AS snapshot_key, count(*) AS runs FROM (
  SELECT *, us // {15 * MINUTE} * {15 * MINUTE} AS b, max(us) OVER (PARTITION BY line_id) AS m FROM c_ppm) WHERE b >= m - {3 * DAY} GROUP BY 1, 2"""
 _BODY["ing1_incremental_append"] = f"""SELECT line_id, strftime(t_stamp, '%Y-%m-%d %H:%M:%S') AS t_stamp, output_ppm FROM c_ppm p
@@ -130,10 +130,13 @@ _BODY["joi13_spc_with_limits"] = "SELECT line_id, panel, CAST(week AS INTEGER) A
 
 _BODY["oee1_availability"] = f"SELECT {K}, {dbl(f'run_us / {12 * HOUR} * 100')} AS availability, {dbl(f'run_us / {HOUR}')} AS running_hours, {dbl(f'stop_us / {HOUR}')} AS stopped_hours FROM c_avail"
 _BODY["oee2_ideal_speed"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, {r6('ideal_ppm')} AS ideal_ppm FROM c_ideal"
+_BODY["oee2_published"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, {r6('ideal_ppm')} AS ideal_ppm FROM c_pideal"
+_BODY["oee2_single_shift"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, {r6('ideal_ppm')} AS ideal_ppm FROM c_sideal"
 _BODY["oee3_performance"] = f"SELECT {K}, {r6('performance')} AS performance, {r6('avg_ppm')} AS avg_ppm FROM c_oee"
 _BODY["oee4_quality"] = f"SELECT {K}, {dbl('quality')} AS quality, good_count, total_count FROM c_quality"
 _BODY["oee5_shift_oee"] = """SELECT CAST(week AS INTEGER) AS week, shift_key, shift_date, shift_type, label, oee, availability, performance, quality, running_hours, total_stops,
  total_downtime_hours, longest_stop_min, good_count, total_count FROM c_entries"""
+_BODY["oee5_published"] = _BODY["oee5_shift_oee"].replace("c_entries", "c_pentries")
 _BODY["oee6_week_rollup"] = "SELECT * REPLACE (CAST(week AS INTEGER) AS week) FROM c_week"
 _BODY["oee7_prior_week"] = "SELECT * REPLACE (CAST(week AS INTEGER) AS week) FROM c_prior"
 _BODY["oee8_iso_week_rollup"] = f"""SELECT line_id, {isoweek(odate('ord'))} AS iso_week, min(shift_date) AS week_start, max(shift_date) AS week_end, count(*) AS n_shifts,
@@ -143,7 +146,7 @@ _KPI = " UNION ALL ".join(
 )
 _BODY["oee9_kpi_bands"] = f"""SELECT shift_key, kpi, value, prev_label, CASE WHEN value >= 80 THEN 'good' WHEN value >= 60 THEN 'fair' ELSE 'poor' END AS band, {rnd('value - prev', 1)} AS delta_pp,
  CASE WHEN prev IS NULL THEN NULL WHEN abs(value - prev) < 0.05 THEN 'flat' WHEN value - prev > 0 THEN 'up' ELSE 'down' END AS trend FROM (
- WITH x AS (SELECT *, lag(label) OVER (PARTITION BY line_id ORDER BY ord) AS prev_label FROM c_entries) {_KPI})"""
+ WITH x AS (SELECT *, lag(label) OVER (PARTITION BY line_id ORDER BY ord) AS prev_label FROM c_pentries) {_KPI})"""
 _BODY["oee9_week_deltas"] = "SELECT line_id, CAST(week AS INTEGER) AS week, " + ", ".join(
     f"{rnd(f'{c} - prior_{c}', 1)} AS {c}_dpp" for c in ("oee", "availability", "performance", "quality")) + " FROM c_week JOIN c_prior USING (line_id, week)"
 _BODY["oee10_shift_document"] = f"""SELECT e.shift_key, CASE WHEN ord % 2 = 1 THEN 'Night' ELSE 'Day' END || ' Shift — ' || shift_date || CASE WHEN ord % 2 = 1 THEN ' (19:00 – 07:00)' ELSE ' (07:00 – 19:00)' END AS label,
@@ -151,7 +154,7 @@ _BODY["oee10_shift_document"] = f"""SELECT e.shift_key, CASE WHEN ord % 2 = 1 TH
  CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = e.line_id AND s.ord BETWEEN e.ord - 4 AND e.ord) AS INTEGER) AS n_shifts,
  CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = e.line_id AND s.ord BETWEEN e.ord - 4 AND e.ord AND skipped) AS INTEGER) AS n_skipped,
  CAST((SELECT count(*) FROM c_segments g WHERE g.line_id = e.line_id) AS INTEGER) AS n_segments, 12 AS n_hours,
- CAST((SELECT count(*) FROM c_shout o WHERE o.line_id = e.line_id AND o.ord = e.ord) AS INTEGER) AS n_outliers FROM c_entries e JOIN c_ideal USING (line_id, week)"""
+ CAST((SELECT count(*) FROM c_shout o WHERE o.line_id = e.line_id AND o.ord = e.ord) AS INTEGER) AS n_outliers FROM c_pentries e JOIN c_pideal USING (line_id, week)"""
 _BODY["oee11_week_document"] = """SELECT line_id, CAST(week AS INTEGER) AS week, oee, prior_oee,
  CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = w.line_id AND s.week = w.week) AS INTEGER) AS n_shifts,
  CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = w.line_id AND s.week = w.week AND skipped) AS INTEGER) AS n_skipped, 4 AS n_categories,
@@ -293,7 +296,7 @@ _BODY["sch4_schedule_summary"] = f"""SELECT line_id, total_days, full_days, part
 q.cte("c_t_shifts", f"""SELECT shift_key AS "ShiftKey", line_id AS "LineId", line AS "Line", shift_date AS "ShiftDate", shift_type AS "ShiftType", label AS "Label", line_id || '|' || label AS "LineShiftLabel",
  {isoweek(odate('ord'))} AS "IsoWeek", {weeklabel(odate('ord'))} AS "WeekLabel", oee AS "OEE", availability AS "Availability", performance AS "Performance", quality AS "Quality", running_hours AS "RunningHours",
  12 AS "ScheduledHours", total_stops AS "TotalStops", total_downtime_hours AS "TotalDowntimeHours", longest_stop_min AS "LongestStopMin", good_count AS "GoodCount", total_count AS "TotalCount",
- CAST(shift_key = max(shift_key) OVER (PARTITION BY line_id) AS INTEGER) AS "IsLatest" FROM c_entries JOIN c_lines USING (line_id)""")
+ CAST(shift_key = max(shift_key) OVER (PARTITION BY line_id) AS INTEGER) AS "IsLatest" FROM c_pentries JOIN c_lines USING (line_id)""")
 _SK = f"""{okey('ord')} AS "ShiftKey", line_id AS "LineId" """
 q.cte("c_t_cats", f"""SELECT {_SK}, category AS "Category", category_label AS "CategoryLabel", count AS "Count", {rnd('hours', 2)} AS "Hours" FROM c_cats""")
 q.cte("c_t_segs", f"""SELECT {_SK}, segment AS "Segment", segment_label AS "SegmentLabel", count AS "Count", hours AS "Hours", halted_hours AS "HaltedHours", stopped_hours AS "StoppedHours", segment_color AS "SegmentColor" FROM c_seg""")
@@ -311,18 +314,18 @@ q.cte("c_t_trend", """SELECT anchor_shift_key AS "AnchorShiftKey", line_id AS "L
  category AS "Category", category_label AS "CategoryLabel", hours AS "Hours", category_color AS "CategoryColor" FROM c_trend JOIN c_lines USING (line_id)""")
 q.cte("c_t_anom", f"""SELECT {_SK}, {olabel('ord')} AS "ShiftLabel", segment AS "Segment", cluster AS "Cluster", current_share AS "CurrentShare", baseline_mean AS "BaselineMean", z_score AS "ZScore", direction AS "Direction",
  headline AS "Headline", detail AS "Detail", headline || chr(10) || detail AS "HeadlineML", segment_color AS "SegColor", CAST(rank AS INTEGER) AS "Rank" FROM c_shrows""")
-q.cte("c_t_week", """SELECT line_id AS "LineId", line AS "Line", week_from AS "WeekFrom", week_to AS "WeekTo", oee AS "OEE", availability AS "Availability", performance AS "Performance", quality AS "Quality", good_count AS "GoodCount",
+q.cte("c_t_week", """SELECT line_id AS "LineId", line AS "Line", CAST(week AS INTEGER) AS "Week", week_from AS "WeekFrom", week_to AS "WeekTo", oee AS "OEE", availability AS "Availability", performance AS "Performance", quality AS "Quality", good_count AS "GoodCount",
  total_count AS "TotalCount", total_stops AS "TotalStops", total_downtime_hours AS "TotalDowntimeHours", longest_stop_min AS "LongestStopMin", production_shifts AS "ProductionShifts", prior_oee AS "PriorOEE",
- prior_availability AS "PriorAvailability", prior_performance AS "PriorPerformance", prior_quality AS "PriorQuality" FROM c_week JOIN c_prior USING (line_id, week) JOIN c_lines USING (line_id) WHERE week = 0""")
-q.cte("c_t_wanom", f"""SELECT line_id AS "LineId", line AS "Line", segment AS "Segment", cluster AS "Cluster", current_share AS "CurrentShare", baseline_mean AS "BaselineMean", z_score AS "ZScore", direction AS "Direction",
+ prior_availability AS "PriorAvailability", prior_performance AS "PriorPerformance", prior_quality AS "PriorQuality" FROM c_week JOIN c_prior USING (line_id, week) JOIN c_lines USING (line_id)""")
+q.cte("c_t_wanom", f"""SELECT line_id AS "LineId", line AS "Line", CAST(week AS INTEGER) AS "Week", segment AS "Segment", cluster AS "Cluster", current_share AS "CurrentShare", baseline_mean AS "BaselineMean", z_score AS "ZScore", direction AS "Direction",
  {rnd('current_share / CASE WHEN baseline_mean > 0 THEN baseline_mean ELSE 0.0001::DOUBLE END', 1)} AS "Ratio", headline AS "Headline", detail AS "Detail", headline || chr(10) || detail AS "HeadlineML", segment_color AS "SegColor",
- CAST(rank AS INTEGER) AS "Rank" FROM c_wkrows JOIN c_lines USING (line_id) WHERE week = 0""")
-q.cte("c_t_spc", f"""SELECT line_id AS "LineId", line AS "Line", panel_short AS "Panel", {olabel('ord')} AS "ShiftLabel", line_id || '|' || {olabel('ord')} AS "LineShiftLabel", CAST(lane_no AS INTEGER) AS "Lane", rejects AS "Rejects",
+ CAST(rank AS INTEGER) AS "Rank" FROM c_wkrows JOIN c_lines USING (line_id)""")
+q.cte("c_t_spc", f"""SELECT line_id AS "LineId", line AS "Line", CAST(week AS INTEGER) AS "Week", panel_short AS "Panel", {okey('ord')} AS "ShiftKey", {olabel('ord')} AS "ShiftLabel", line_id || '|' || {olabel('ord')} AS "LineShiftLabel", CAST(lane_no AS INTEGER) AS "Lane", rejects AS "Rejects",
  rate_pct AS "RatePct", ucl_pct AS "UclPct", ooc AS "OOC", n_inspected AS "NInspected", CASE WHEN ooc = 1 THEN '#e17055' ELSE '#ffffff' END AS "OOCColor", CAST(shift_idx AS INTEGER) AS "ShiftIdx", p_bar_pct AS "PBar"
- FROM c_detail JOIN c_panels USING (line_id, panel) JOIN c_lines USING (line_id) WHERE week = 0""")
-q.cte("c_t_ewma", f"""SELECT line_id AS "LineId", line AS "Line", panel_short AS "Panel", batch_idx AS "BatchIdx", CAST(dense_rank() OVER (PARTITION BY line_id, panel ORDER BY lane_no) AS INTEGER) AS "Lane",
- {rnd(rnd('rate', 2), 3)} AS "Rate", {rnd('ewma', 3)} AS "Ewma", ucl AS "Ucl", lcl AS "Lcl" FROM c_wewma JOIN c_panels USING (line_id, panel) JOIN c_lines USING (line_id) WHERE week = 0""")
-q.cte("c_t_find", """SELECT line_id AS "LineId", line AS "Line", CAST(rank AS INTEGER) AS "Rank", text AS "Text" FROM c_findings JOIN c_lines USING (line_id) WHERE week = 0""")
+ FROM c_detail JOIN c_panels USING (line_id, panel) JOIN c_lines USING (line_id)""")
+q.cte("c_t_ewma", f"""SELECT line_id AS "LineId", line AS "Line", CAST(week AS INTEGER) AS "Week", panel_short AS "Panel", batch_idx AS "BatchIdx", CAST(dense_rank() OVER (PARTITION BY line_id, panel, week ORDER BY lane_no) AS INTEGER) AS "Lane",
+ {rnd(rnd('rate', 2), 3)} AS "Rate", {rnd('ewma', 3)} AS "Ewma", ucl AS "Ucl", lcl AS "Lcl" FROM c_wewma JOIN c_panels USING (line_id, panel) JOIN c_lines USING (line_id)""")
+q.cte("c_t_find", """SELECT line_id AS "LineId", line AS "Line", CAST(week AS INTEGER) AS "Week", CAST(rank AS INTEGER) AS "Rank", text AS "Text" FROM c_findings JOIN c_lines USING (line_id)""")
 q.cte("c_t_lines", f"""SELECT line_id AS "LineId", line AS "Line", {tstext('reached_us')} AS "GeneratedAt" FROM c_latest JOIN c_lines USING (line_id)""")
 for _n, _c in (
     ("exp1_shifts", "c_t_shifts"), ("exp1_downtime_categories", "c_t_cats"), ("exp1_segment_downtime", "c_t_segs"), ("exp1_segment_clusters", "c_t_clus"), ("exp1_top_stops", "c_t_top"),
@@ -398,4 +401,38 @@ _BODY["mea12_segment_regroup"] = """SELECT "LineId", t."Segment", CAST(seg_order
  t JOIN c_segments g ON g.line_id = t."LineId" AND g.segment = t."Segment" """
 _BODY["s1_stream_append"] = "SELECT line_id, strftime(t_stamp, '%Y-%m-%d') AS day, count(*) AS samples FROM c_ppm GROUP BY 1, 2"
 
+q.cte("c_t_date", """SELECT DISTINCT shift_date AS "Date" FROM c_pentries""")
+_STAR = {
+    "Shifts": "c_t_shifts", "DowntimeCategories": "c_t_cats", "SegmentDowntime": "c_t_segs", "SegmentClusters": "c_t_clus", "TopStops": "c_t_top", "HourlyBreakdown": "c_t_hour",
+    "HourlyClusters": "c_t_hclu", "ShiftTrend": "c_t_trend", "Anomalies": "c_t_anom", "WeeklySummary": "c_t_week", "WeeklyAnomalies": "c_t_wanom", "SPC": "c_t_spc", "EWMA": "c_t_ewma",
+    "KeyFindings": "c_t_find", "Lines": "c_t_lines", "DimDate": "c_t_date",
+}
+_RELATIONS = (
+    "Shifts.LineId > Lines.LineId", "WeeklySummary.LineId > Lines.LineId", "Shifts.ShiftDate > DimDate.Date", "SegmentDowntime.ShiftKey > Shifts.ShiftKey", "SegmentClusters.ShiftKey > Shifts.ShiftKey",
+    "DowntimeCategories.ShiftKey > Shifts.ShiftKey", "TopStops.ShiftKey > Shifts.ShiftKey", "HourlyBreakdown.ShiftKey > Shifts.ShiftKey", "HourlyClusters.ShiftKey > Shifts.ShiftKey",
+    "Anomalies.ShiftKey > Shifts.ShiftKey", "WeeklyAnomalies.LineId > Lines.LineId", "KeyFindings.LineId > Lines.LineId", "EWMA.LineId > Lines.LineId", "SPC.ShiftKey > Shifts.ShiftKey",
+    "ShiftTrend.AnchorShiftKey > Shifts.ShiftKey", "SPC.LineId > Lines.LineId",
+)
+
+
+def _relation(no: int, text: str) -> str:
+    (a, x), (b, y) = (side.split(".") for side in text.split(" > "))
+    return f"""SELECT '{text}' AS relation, {str(no < 15).lower()} AS active, (SELECT count(*) FROM {_STAR[a]}) AS table_rows, count(*) AS joined_rows, count(r."{y}") AS with_partner
+ FROM {_STAR[a]} l LEFT JOIN {_STAR[b]} r ON l."{x}" = r."{y}" """
+
+
+_BODY["joi12_relations"] = " UNION ALL ".join(_relation(i, t) for i, t in enumerate(_RELATIONS))
+
+_BODY["snk3_sink_retention"] = f"""SELECT line_id, strftime({ts('moment')}, '%Y%m%d_%H%M') AS snapshot_key,
+ CAST((SELECT count(*) FROM c_prod p WHERE p.line_id = r.line_id AND week = 0) AS INTEGER) AS n_shifts
+ FROM (SELECT line_id, (reached_us - back * {DAY}) // {15 * MINUTE} * {15 * MINUTE} AS moment FROM c_latest, (SELECT unnest(range(0, 6)) AS back)) r
+ WHERE moment >= (SELECT max(reached_us) FROM c_latest) - {3 * DAY}"""
+
+# the same resets with another lookback: 3 days, and all history
+_FLOOR = f"(m - {75 * DAY})"
+_BODY["spc1_three_days"] = _BODY["spc1_all_history"] = _BODY["spc1_counter_resets"]
+
 STATEMENTS: dict[str, str] = {name: statement(body) for name, body in _BODY.items()}
+assert _FLOOR in STATEMENTS["spc1_three_days"]
+STATEMENTS["spc1_three_days"] = STATEMENTS["spc1_three_days"].replace(_FLOOR, f"(m - {3 * DAY})")
+STATEMENTS["spc1_all_history"] = STATEMENTS["spc1_all_history"].replace(_FLOOR, "0")

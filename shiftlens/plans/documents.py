@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftlens.config import SNAPSHOT_MINUTES, SNAPSHOT_RETENTION_DAYS
@@ -68,7 +69,7 @@ def shift_details(site: Site) -> DataFrame:
     ).groupBy(*KEY).agg(
         _map(F.col("panel"), F.struct("lanes", "baseline_subgroups", "last_reset_timestamp")).alias("spc_panels")
     )
-    frame = oee.shift_entries(site)
+    frame = oee.shift_entries(site, "published")
     for part in (cats, segs, top, hourly, out, panels):
         frame = frame.join(part, KEY, "left")
     return frame
@@ -96,7 +97,7 @@ def shift_documents(site: Site) -> DataFrame:
             lambda x: x["row"],
         ).alias("shifts")
     )
-    ideal = oee.ideal_speed(site)
+    ideal = oee.ideal_speed(site, "published")
     o = F.col("ord")
     return (
         details.join(context, KEY).join(ideal, ["line_id", "week"])
@@ -118,7 +119,7 @@ def shift_documents(site: Site) -> DataFrame:
 def week_documents(site: Site) -> DataFrame:
     """Per line and week: the roll-up, its prior week, its shifts, outliers and SPC panels."""
     key = ["line_id", "week"]
-    entries = oee.shift_entries(site)
+    entries = oee.shift_entries(site, "week")
     week = oee.week_rollup(site, entries).join(oee.prior_week_rollup(site), key)
     shifts = calendar.spine(site).select("line_id", "week", "ord", "skipped").join(
         entries.drop("week", "is_latest"), ["line_id", "ord"], "left"
@@ -229,8 +230,31 @@ def spc_snapshot(site: Site) -> DataFrame:
     return latest.join(shifts, "line_id").join(panels, "line_id", "left")
 
 
-def write_snapshot(snapshot: DataFrame, folder: str) -> None:
+def write_snapshot(snapshot: DataFrame, folder: str, now_us: int | None = None) -> None:
+    """Write a run's snapshot; with the time of the run, snapshots past the retention are deleted."""
     write_documents(snapshot, folder, by=("line_id", "snapshot_key"))
+    if now_us is not None:
+        expire_snapshots(snapshot.sparkSession, folder, now_us)
+
+
+def expire_snapshots(spark: SparkSession, folder: str, now_us: int) -> None:
+    """Delete the folders of snapshots older than three days before ``now_us``.
+
+    Folders are listed, not read: one name per line and snapshot, which retention keeps few.  Names
+    that are no time stay, as they are not this sink's.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    found = path(f"{folder}/line_id=*/snapshot_key=*")
+    files = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    limit = now_us - SNAPSHOT_RETENTION_DAYS * 24 * 60 * MINUTE
+    for status in files.globStatus(found) or ():
+        name = status.getPath().getName().removeprefix("snapshot_key=")
+        try:
+            at = datetime.strptime(name, "%Y%m%d_%H%M").replace(tzinfo=timezone.utc)
+        except ValueError:
+            continue
+        if at.timestamp() * 1_000_000 < limit:
+            files.delete(status.getPath(), True)
 
 
 def read_snapshots(spark: SparkSession, folder: str, schema) -> DataFrame:
@@ -243,13 +267,12 @@ def snapshot_tables(site: Site, docs: DataFrame) -> dict[str, DataFrame]:
     """Snapshots, Shifts and SPC of all retained snapshots, stacked by SnapshotKey."""
     names = F.broadcast(site.lines_dim.withColumnRenamed("line", "Line"))
     docs = docs.join(names, "line_id")
-    # Retention bounds the snapshots (96 a day for three days), so one window over them is small.
-    newest = F.max("snapshot_key").over(W.partitionBy(F.lit(1)))
-    snapshots = docs.select("snapshot_key", "snapshot_time").distinct().withColumn("newest", newest).select(
+    newest = docs.agg(F.max("snapshot_key")).first()[0]  # one value
+    snapshots = docs.select("snapshot_key", "snapshot_time").distinct().select(
         F.col("snapshot_key").alias("SnapshotKey"),
         F.date_format("snapshot_time", "yyyy-MM-dd HH:mm:ss").alias("SnapshotTime"),
         F.date_format("snapshot_time", "MMM d, h:mm a").alias("SnapshotLabel"),
-        (F.col("snapshot_key") == F.col("newest")).cast("int").alias("IsLatestSnapshot"),
+        (F.col("snapshot_key") == F.lit(newest)).cast("int").alias("IsLatestSnapshot"),
     )
     shift_rows = docs.select("snapshot_key", "line_id", "Line", F.inline("shifts"))
     shifts = shift_rows.select(

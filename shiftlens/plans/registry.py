@@ -151,6 +151,24 @@ def snk3_snapshot_retention(s: Site) -> DataFrame:
     return kept.select("line_id", "snapshot_key", "runs")
 
 
+@query
+def snk3_sink_retention(s: Site) -> DataFrame:
+    """Snapshots of six days are written; the sink of the newest run leaves those of three."""
+
+    def make() -> DataFrame:
+        folder = f"{s._stage.root}/retained_snapshots"
+        snap = documents.spc_snapshot(s)
+        reached = s.stage("snapshots.reached", lambda: calendar.latest_shift(s).select("line_id", "reached_us"))
+        days = reached.withColumn("back", F.explode(F.sequence(F.lit(1), F.lit(5))))
+        key = documents.snapshot_key(F.col("reached_us") - F.col("back") * C.DAY)
+        older = snap.drop("snapshot_key").join(days.select("line_id", key.alias("snapshot_key")), "line_id")
+        documents.write_documents(older.select(snap.columns), folder, by=("line_id", "snapshot_key"))
+        documents.write_snapshot(snap, folder, now_us=reached.agg(F.max("reached_us")).first()[0])
+        return documents.read_snapshots(s.spark, folder, snap.schema).select("line_id", "snapshot_key", F.size("shifts").alias("n_shifts"))
+
+    return s.stage("snapshots.retained", make)
+
+
 def _copied(s: Site, table: str, ts: str) -> DataFrame:
     return historian.window_filter(s.table(table), ts, None, COPIED_UNTIL)
 
@@ -430,6 +448,11 @@ def joi11_zero_filled_keys(s: Site) -> DataFrame:
     return _keyed(cells, "segment", "cluster", "share4", "s1", "s2", F.col("n").alias("members"))
 
 
+@query
+def joi12_relations(s: Site) -> DataFrame:
+    return star.relation_counts(s)
+
+
 @query
 def joi12_star_join(s: Site) -> DataFrame:
     return star.related(s, "SegmentDowntime").groupBy("Line", "IsoWeek", "Month", "SegmentLabel").agg(
@@ -452,12 +475,22 @@ def oee1_availability(s: Site) -> DataFrame:
 
 @query
 def oee2_ideal_speed(s: Site) -> DataFrame:
-    return _r6(oee.ideal_speed(s))
+    return _r6(oee.ideal_speed(s, "week"))
+
+
+@query
+def oee2_published(s: Site) -> DataFrame:
+    return _r6(oee.ideal_speed(s, "published"))
+
+
+@query
+def oee2_single_shift(s: Site) -> DataFrame:
+    return _r6(oee.ideal_speed(s, "single"))
 
 
 @query
 def oee3_performance(s: Site) -> DataFrame:
-    return _keyed(oee.shift_oee(s), "performance", "avg_ppm")
+    return _keyed(oee.shift_oee(s, "week"), "performance", "avg_ppm")
 
 
 @query
@@ -467,12 +500,17 @@ def oee4_quality(s: Site) -> DataFrame:
 
 @query
 def oee5_shift_oee(s: Site) -> DataFrame:
-    return oee.shift_entries(s).drop("line_id", "ord", "is_latest")
+    return oee.shift_entries(s, "week").drop("line_id", "ord", "is_latest")
+
+
+@query
+def oee5_published(s: Site) -> DataFrame:
+    return oee.shift_entries(s, "published").drop("line_id", "ord", "is_latest")
 
 
 @query
 def oee6_week_rollup(s: Site) -> DataFrame:
-    return oee.week_rollup(s, oee.shift_entries(s))
+    return oee.week_rollup(s, oee.shift_entries(s, "week"))
 
 
 @query
@@ -482,17 +520,17 @@ def oee7_prior_week(s: Site) -> DataFrame:
 
 @query
 def oee8_iso_week_rollup(s: Site) -> DataFrame:
-    return oee.iso_week_rollup(s, oee.shift_entries(s))
+    return oee.iso_week_rollup(s, oee.shift_entries(s, "week"))
 
 
 @query
 def oee9_kpi_bands(s: Site) -> DataFrame:
-    return oee.kpi_bands(oee.shift_entries(s)).drop("line_id")
+    return oee.kpi_bands(oee.shift_entries(s, "published")).drop("line_id")
 
 
 @query
 def oee9_week_deltas(s: Site) -> DataFrame:
-    return oee.week_deltas(oee.week_rollup(s, oee.shift_entries(s)), oee.prior_week_rollup(s))
+    return oee.week_deltas(oee.week_rollup(s, oee.shift_entries(s, "week")), oee.prior_week_rollup(s))
 
 
 @query
@@ -520,7 +558,7 @@ def oee11_week_document(s: Site) -> DataFrame:
 
 @query
 def oee12_oee_trend(s: Site) -> DataFrame:
-    return oee.oee_trend(oee.shift_entries(s))
+    return oee.oee_trend(oee.shift_entries(s, "week"))
 
 
 # -- causes -------------------------------------------------------------------
@@ -688,7 +726,7 @@ def dt12_best_anchor(s: Site) -> DataFrame:
 
 @query
 def dt13_latest_flag(s: Site) -> DataFrame:
-    return downtime.latest_flags(oee.shift_entries(s)).drop("line_id")
+    return downtime.latest_flags(oee.shift_entries(s, "week")).drop("line_id")
 
 
 @query
@@ -756,7 +794,7 @@ def ano9_newest_anomalous(s: Site) -> DataFrame:
 
 @query
 def ano10_key_findings(s: Site) -> DataFrame:
-    entries = oee.shift_entries(s)
+    entries = oee.shift_entries(s, "week")
     return anomalies.key_findings(
         s, entries, oee.week_rollup(s, entries), oee.prior_week_rollup(s), star.week_lanes(s)
     )
@@ -780,6 +818,17 @@ def spc1_counter_resets(s: Site) -> DataFrame:
     return spc.resets(s).select("line_id", "panel", "block_id", F.col("us").alias("reset_us"), "prev_block")
 
 
+@query
+def spc1_three_days(s: Site) -> DataFrame:
+    """With a lookback of three days instead of the default."""
+    return spc1_counter_resets(s.with_lookback(3))
+
+
+@query
+def spc1_all_history(s: Site) -> DataFrame:
+    return spc1_counter_resets(s.with_lookback(0))
+
+
 @query
 def spc2_representative_lane(s: Site) -> DataFrame:
     return spc.representatives(s)
@@ -916,7 +965,7 @@ def spc20_spc_only(s: Site) -> DataFrame:
 @query
 def spc21_attached_panels(s: Site) -> DataFrame:
     have = spc.shift_panels(s).select("line_id", "ord", "panel").distinct()
-    return _keyed(oee.shift_entries(s).join(have, ["line_id", "ord"], "left").groupBy("line_id", "ord").agg(
+    return _keyed(oee.shift_entries(s, "week").join(have, ["line_id", "ord"], "left").groupBy("line_id", "ord").agg(
         F.concat_ws(",", F.array_sort(F.collect_set("panel"))).alias("panels")
     ), "panels")
 

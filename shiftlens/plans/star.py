@@ -13,7 +13,7 @@ from shiftlens.functions.columns import (
     iso_week, round_even, shift_key, shift_label, to_ts, week_label,
 )
 from shiftlens.operators import anomalies, calendar, downtime, intervals, oee, spc
-from shiftlens.sources.site import Site
+from shiftlens.sources.site import Site, union_all
 
 
 def _shift(df: DataFrame, line: str = "line_id") -> DataFrame:
@@ -27,7 +27,7 @@ def _line_names(site: Site, df: DataFrame) -> DataFrame:
 def shifts(site: Site) -> DataFrame:
     length = (site.bounds[1] - site.bounds[0]) % 24
     day = F.to_date("shift_date")
-    return _line_names(site, oee.shift_entries(site)).select(
+    return _line_names(site, oee.shift_entries(site, "published")).select(
         F.col("shift_key").alias("ShiftKey"), F.col("line_id").alias("LineId"), "Line",
         F.col("shift_date").alias("ShiftDate"), F.col("shift_type").alias("ShiftType"),
         F.col("label").alias("Label"), F.concat("line_id", F.lit("|"), "label").alias("LineShiftLabel"),
@@ -141,11 +141,11 @@ def anomaly_table(site: Site) -> DataFrame:
     )
 
 
-def weekly_summary(site: Site, week: int | None = 0) -> DataFrame:
-    rolled = oee.week_rollup(site, oee.shift_entries(site))
+def weekly_summary(site: Site, week: int | None = None) -> DataFrame:
+    rolled = oee.week_rollup(site, oee.shift_entries(site, "week"))
     both = _line_names(site, rolled.join(oee.prior_week_rollup(site), ["line_id", "week"]))
     return _only(both, week).select(
-        F.col("line_id").alias("LineId"), "Line", F.col("week_from").alias("WeekFrom"),
+        F.col("line_id").alias("LineId"), "Line", F.col("week").cast("int").alias("Week"), F.col("week_from").alias("WeekFrom"),
         F.col("week_to").alias("WeekTo"), F.col("oee").alias("OEE"), F.col("availability").alias("Availability"),
         F.col("performance").alias("Performance"), F.col("quality").alias("Quality"),
         F.col("good_count").alias("GoodCount"), F.col("total_count").alias("TotalCount"),
@@ -157,12 +157,13 @@ def weekly_summary(site: Site, week: int | None = 0) -> DataFrame:
 
 
 def _only(df: DataFrame, week: int | None) -> DataFrame:
+    """Rows of one week, or of all; 0 is the week of the latest complete shift."""
     return df if week is None else df.filter(F.col("week") == week)
 
 
-def weekly_anomalies(site: Site, week: int | None = 0) -> DataFrame:
+def weekly_anomalies(site: Site, week: int | None = None) -> DataFrame:
     return _line_names(site, _only(anomalies.week_anomaly_rows(site), week)).select(
-        F.col("line_id").alias("LineId"), "Line", F.col("segment").alias("Segment"),
+        F.col("line_id").alias("LineId"), "Line", F.col("week").cast("int").alias("Week"), F.col("segment").alias("Segment"),
         F.col("cluster").alias("Cluster"), F.col("current_share").alias("CurrentShare"),
         F.col("baseline_mean").alias("BaselineMean"), F.col("z_score").alias("ZScore"),
         F.col("direction").alias("Direction"), F.col("ratio").alias("Ratio"),
@@ -172,13 +173,13 @@ def weekly_anomalies(site: Site, week: int | None = 0) -> DataFrame:
     )
 
 
-def spc_table(site: Site, week: int | None = 0) -> DataFrame:
+def spc_table(site: Site, week: int | None = None) -> DataFrame:
     names = F.broadcast(site.panels_dim.select("line_id", "panel", "panel_short"))
     rows = _only(spc.weekly_detail(site), week).join(names, ["line_id", "panel"])
     label = shift_label(F.col("ord"))
     return _line_names(site, rows).select(
-        F.col("line_id").alias("LineId"), "Line", F.col("panel_short").alias("Panel"),
-        label.alias("ShiftLabel"), F.concat("line_id", F.lit("|"), label).alias("LineShiftLabel"),
+        F.col("line_id").alias("LineId"), "Line", F.col("week").cast("int").alias("Week"), F.col("panel_short").alias("Panel"),
+        shift_key(F.col("line_id"), F.col("ord")).alias("ShiftKey"), label.alias("ShiftLabel"), F.concat("line_id", F.lit("|"), label).alias("LineShiftLabel"),
         F.col("lane_no").alias("Lane"), F.col("rejects").alias("Rejects"), F.col("rate_pct").alias("RatePct"),
         F.col("ucl_pct").alias("UclPct"), F.col("ooc").alias("OOC"), F.col("n_inspected").alias("NInspected"),
         F.when(F.col("ooc") == 1, OOC_COLOR).otherwise(IN_CONTROL_COLOR).alias("OOCColor"),
@@ -186,12 +187,12 @@ def spc_table(site: Site, week: int | None = 0) -> DataFrame:
     )
 
 
-def ewma_table(site: Site, week: int | None = 0) -> DataFrame:
+def ewma_table(site: Site, week: int | None = None) -> DataFrame:
     names = F.broadcast(site.panels_dim.select("line_id", "panel", "panel_short"))
     rows = _only(spc.weekly_ewma(site), week).join(names, ["line_id", "panel"])
     lane = F.dense_rank().over(W.partitionBy("line_id", "panel", "week").orderBy("lane_no"))
     return _line_names(site, rows).select(
-        F.col("line_id").alias("LineId"), "Line", F.col("panel_short").alias("Panel"),
+        F.col("line_id").alias("LineId"), "Line", F.col("week").cast("int").alias("Week"), F.col("panel_short").alias("Panel"),
         F.col("batch_idx").alias("BatchIdx"), lane.alias("Lane"),
         round_even(round_even(F.col("rate"), 2), 3).alias("Rate"), round_even(F.col("ewma"), 3).alias("Ewma"),
         F.col("ucl").alias("Ucl"), F.col("lcl").alias("Lcl"),
@@ -204,13 +205,14 @@ def week_lanes(site: Site) -> DataFrame:
     ).distinct().join(F.broadcast(site.panels_dim.select("line_id", "panel", "panel_order", "panel_short")), ["line_id", "panel"])
 
 
-def key_findings(site: Site, week: int | None = 0) -> DataFrame:
-    entries = oee.shift_entries(site)
+def key_findings(site: Site, week: int | None = None) -> DataFrame:
+    entries = oee.shift_entries(site, "week")
     rows = anomalies.key_findings(
         site, entries, oee.week_rollup(site, entries), oee.prior_week_rollup(site), week_lanes(site)
     )
     return _line_names(site, _only(rows, week)).select(
-        F.col("line_id").alias("LineId"), "Line", F.col("rank").alias("Rank"), F.col("text").alias("Text")
+        F.col("line_id").alias("LineId"), "Line", F.col("week").cast("int").alias("Week"), F.col("rank").alias("Rank"),
+        F.col("text").alias("Text")
     )
 
 
@@ -224,7 +226,7 @@ def lines(site: Site) -> DataFrame:
 
 def dim_date(site: Site) -> DataFrame:
     d = F.to_date("shift_date")
-    return oee.shift_entries(site).select("shift_date").distinct().select(
+    return oee.shift_entries(site, "published").select("shift_date").distinct().select(
         F.col("shift_date").alias("Date"), F.year(d).alias("Year"), F.month(d).alias("MonthNum"),
         F.date_format(d, "MMM").alias("Month"), F.dayofmonth(d).alias("Day"),
         F.date_format(d, "E").alias("Weekday"), iso_week(d).alias("IsoWeek"),
@@ -254,7 +256,7 @@ RELATIONSHIPS = (
     ("WeeklyAnomalies", "LineId", "Lines", "LineId", True),
     ("KeyFindings", "LineId", "Lines", "LineId", True),
     ("EWMA", "LineId", "Lines", "LineId", True),
-    ("SPC", "LineShiftLabel", "Shifts", "LineShiftLabel", True),
+    ("SPC", "ShiftKey", "Shifts", "ShiftKey", True),
     ("ShiftTrend", "AnchorShiftKey", "Shifts", "ShiftKey", True),
     ("SPC", "LineId", "Lines", "LineId", False),
 )
@@ -269,7 +271,8 @@ def build(site: Site, tables: Sequence[str] | None = None, lines_only: Sequence[
 def related(site: Site, name: str) -> DataFrame:
     """A fact or detail table joined along its active relationships up to the dimensions.
 
-    Every right side is a dimension whose key is unique.
+    Every right side is a dimension whose key is unique: labels of shifts come again after a year, so
+    SPC is related by the shift's key.
     """
     frame = TABLES[name](site)
     for source, col, target, target_col, active in RELATIONSHIPS:
@@ -283,6 +286,25 @@ def related(site: Site, name: str) -> DataFrame:
     return frame
 
 
+def relation_counts(site: Site) -> DataFrame:
+    """For each relationship: rows of its table, rows after the join (equal, if the key is unique), rows with a partner."""
+    def table(name: str) -> DataFrame:
+        return site.stage(f"star.table.{name}", lambda: TABLES[name](site))
+
+    counts = []
+    for source, col, target, target_col, active in RELATIONSHIPS:
+        left = table(source).select(F.col(col).alias("key"))
+        right = table(target).select(F.col(target_col).alias("key"), F.lit(True).alias("found"))
+        name, none = F.lit(f"{source}.{col} > {target}.{target_col}"), F.lit(0).cast("long")
+        flag = F.lit(active).alias("active")
+        rows = left.agg(F.count(F.lit(1)).alias("table_rows"), none.alias("joined_rows"), none.alias("with_partner"))
+        joined = left.join(right, "key", "left").agg(
+            none.alias("table_rows"), F.count(F.lit(1)).alias("joined_rows"), F.count("found").alias("with_partner")
+        )
+        counts += [x.select(name.alias("relation"), flag, "*") for x in (rows, joined)]
+    return union_all(counts).groupBy("relation", "active").agg(*[F.sum(c).alias(c) for c in ("table_rows", "joined_rows", "with_partner")])
+
+
 def write_csv(tables: dict[str, DataFrame], folder: str) -> None:
     for name, df in tables.items():
         df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/{name}")

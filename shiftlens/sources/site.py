@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlens.config import DEFAULT_LINES, LineProfile
+from shiftlens.config import DEFAULT_LINES, SPC_LOOKBACK_DAYS, LineProfile
 from shiftlens.functions.ordered import Chunking
 from shiftlens.sources import historian
 from shiftlens.sources.staging import Stage
@@ -25,6 +26,7 @@ class Site:
         chunking: Chunking | None = None,
         stored_schedule: DataFrame | None = None,
         stage_sources: bool = False,
+        spc_lookback_days: int = SPC_LOOKBACK_DAYS,
     ):
         # Historian times carry no zone; they are read as UTC so that arithmetic is exact.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -34,7 +36,9 @@ class Site:
         self.stored_schedule = stored_schedule
         self._tables = tables
         self._stage_sources = stage_sources
-        self._stage = Stage(spark)
+        #: History that SPC reads, in days before the newest sample of a counter table; 0 is all of it.
+        self.spc_lookback_days = spc_lookback_days
+        self._stage, self._variant = Stage(spark), ""
         bounds = {p.bounds for p in self.lines}
         if len(bounds) != 1:
             raise ValueError("lines of one site share their shift boundaries; use one Site per pattern")
@@ -70,24 +74,39 @@ class Site:
 
     def stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """A shared intermediate result, computed once per site (see staging)."""
-        return self._stage.get(name, make)
+        return self._stage.get(self._variant + name, make)
+
+    def _derived(self, variant: str, tables: Callable[[str], DataFrame] | None = None, lines: Sequence[LineProfile] | None = None, **options) -> Site:
+        """A site that keeps its results beside those of this one, so that one ``close`` deletes both."""
+        settings = {"spc_lookback_days": self.spc_lookback_days} | options
+        site = Site(self.spark, tables or self.table, lines or self.lines, self.chunking, self.stored_schedule, **settings)
+        site._stage, site._variant = self._stage, f"{self._variant}{variant}/"
+        return site
+
+    def with_lookback(self, days: int) -> Site:
+        """The same site with another ``spc_lookback_days``."""
+        return self._derived(f"lookback={days}", spc_lookback_days=days)
 
     def since(self, start: str) -> Site:
-        """The same site reading only data from ``start`` on; the bound is pushed to every scan.
+        """The same site reading only data from the shift of ``start`` on; the bound is pushed to every scan.
+
+        The bound is the start of that shift, so no shift is cut; open blocks, which have no end, stay.
 
         A refresh of the current week needs 14 shifts, its 13 baseline shifts, five weeks for the
         weekly outliers and the SPC lookback, not the whole history.  Reasons are found by key and
         stay whole.
         """
-        by = {"status_blocks": "end_ts", "downtime_overlays": "start_ts"}
+        edge = shift_edge(start, self.bounds)
 
         def table(logical: str) -> DataFrame:
             df = self.table(logical)
             if logical == "fof_changes":
                 return df
-            return historian.window_filter(df, by.get(logical, "t_stamp"), start, None)
+            if logical == "status_blocks":
+                return df.filter(F.col("end_ts").isNull() | (F.col("end_ts") >= F.lit(edge).cast("timestamp_ntz")))
+            return historian.window_filter(df, "start_ts" if logical == "downtime_overlays" else "t_stamp", edge, None)
 
-        return Site(self.spark, table, self.lines, self.chunking, self.stored_schedule)
+        return self._derived(f"since={edge.replace(' ', 'T').replace(':', '')}", table)
 
     def close(self) -> None:
         """Delete the staged tables of this site."""
@@ -96,10 +115,9 @@ class Site:
     def only(self, line_ids: Sequence[str]) -> Site:
         """The same site restricted to some lines; the filter reaches every scan."""
         keep = [p for p in self.lines if p.line_id in set(line_ids)]
-        return Site(
-            self.spark,
-            lambda logical: self.table(logical).filter(F.col("line_id").isin(list(line_ids))),
-            keep, self.chunking, self.stored_schedule,
+        return self._derived(
+            "only=" + "+".join(p.line_id for p in keep),
+            lambda logical: self.table(logical).filter(F.col("line_id").isin(list(line_ids))), keep,
         )
 
     # -- small dimensions, sized by the configuration --------------------------------
@@ -171,5 +189,13 @@ class Site:
         )
 
 
+def shift_edge(moment: str, bounds: tuple[int, int]) -> str:
+    """The start of the shift that holds ``moment``, as text."""
+    at = datetime.fromisoformat(moment)
+    day = at.replace(hour=0, minute=0, second=0, microsecond=0)
+    edges = [day + timedelta(days=d, hours=h) for d in (-1, 0) for h in bounds]
+    return max(e for e in edges if e <= at).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

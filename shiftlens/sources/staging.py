@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -34,20 +35,24 @@ class Stage:
         self.spark = spark
         self._root: str | None = None
         self._tables: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     @property
     def root(self) -> str:
-        if self._root is None:
-            self._root = f"{shared_folder(self.spark)}/shiftlens-{uuid.uuid4().hex}"
-        return self._root
+        with self._lock:
+            if self._root is None:
+                self._root = f"{shared_folder(self.spark)}/shiftlens-{uuid.uuid4().hex}"
+            return self._root
 
     def get(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._tables:
-            df = make()
-            path = f"{self.root}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
-        return self._tables[name]
+        """The named table; the first call runs the jobs that write it."""
+        with self._lock:
+            if name not in self._tables:
+                df = make()
+                path = f"{self.root}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
+            return self._tables[name]
 
     def drop(self) -> None:
         """Delete the run folder with every staged table."""
@@ -67,11 +72,11 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 def staged(operator):
-    """Keep the result of ``operator(site)`` as a staged table of the site."""
+    """Keep the result of ``operator(site, *args)`` as a staged table of the site, one for each ``args``."""
 
     @functools.wraps(operator)
-    def wrapper(site):
-        name = f"{operator.__module__.rsplit('.', 1)[-1]}.{operator.__name__}"
-        return site.stage(name, lambda: operator(site))
+    def wrapper(site, *args):
+        name = ".".join([operator.__module__.rsplit(".", 1)[-1], operator.__name__, *map(str, args)])
+        return site.stage(name, lambda: operator(site, *args))
 
     return wrapper

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
+import pathlib
+
+import numpy as np
 import pytest
 from conftest import at
 from pyspark.sql import functions as F
@@ -169,5 +173,79 @@ def test_a_line_without_panels_has_every_table(spark):
     assert len(tables) == 16
     counts = {name: df.count() for name, df in tables.items()}
     assert counts["SPC"] == counts["EWMA"] == 0
-    assert counts["Shifts"] > 50 and counts["WeeklySummary"] == counts["Lines"] == 1
+    assert counts["Shifts"] > 50 and counts["Lines"] == 1
+    # one row per week of the one line
+    assert counts["WeeklySummary"] == tables["WeeklySummary"].select("Week").distinct().count() > 1
     site.close()
+
+
+def test_halted_stops_without_a_reason_id(make_site):
+    site = make_site(
+        status_blocks=[
+            block(None, "01-01 08:00:00", "01-01 08:10:00", False), block(5, "01-01 09:00:00", "01-01 09:10:00", False),
+            block(None, "01-01 10:00:00", "01-01 10:10:00", False),
+        ],
+        machine_state=[(A, at("01-01 08:05:00"), "Halted"), (A, at("01-01 09:05:00"), "Halted")],
+    )
+    got = {r.s_us: r.halted for r in intervals.flagged_stops(site).select("s_us", "halted").collect()}
+    assert [got[k] for k in sorted(got)] == [True, True, False]
+
+
+def running_days(first, n):
+    from datetime import timedelta
+
+    return [(A, first + timedelta(hours=12 * i), first + timedelta(hours=12 * (i + 1)), True, "x", "Auto", i) for i in range(n)]
+
+
+def test_three_windows_give_three_ideal_speeds(make_site):
+    from datetime import timedelta
+
+    first = at("01-01 07:00:00")
+    speeds = [(A, first + timedelta(hours=12 * i + 1), float(200 - i)) for i in range(42)]
+    stats = [(A, i, first + timedelta(hours=12 * i + 11, minutes=59), 10, 9) for i in range(42)] + [(A, 99, first + timedelta(hours=12 * 42), 20, 19)]
+    profile = dataclasses.replace(LINE_A, excluded_days=("2024-01-15", "2024-01-08"))
+    rows = running_days(first, 42)
+    site = make_site(lines=[profile], status_blocks=rows, ppm=[*speeds, (A, first + timedelta(hours=12 * 42), 1.0)], output_stats=stats)
+    ideal = {s: {r.week: r.ideal_ppm for r in oee.ideal_speed(site, s).collect()} for s in ("week", "published", "single")}
+    p95 = lambda lo, hi: float(np.percentile([200.0 - i for i in range(lo, hi + 1)], 95))
+    # shifts 0-41; days 7 and 14 (shifts 14, 15 and 28, 29) are excluded; week 0 holds shifts 28-41
+    assert ideal["week"][0] == pytest.approx(p95(30, 41)) and ideal["published"][0] == pytest.approx(p95(17, 41))
+    assert ideal["single"] == {0: pytest.approx(p95(28, 41))}
+    empty = make_site(lines=[profile], status_blocks=rows, ppm=[(A, first + timedelta(hours=12 * 42), -1.0)], output_stats=stats)
+    assert {r.ideal_ppm for r in oee.ideal_speed(empty, "published").collect()} == {100.0}
+
+
+def test_since_keeps_whole_shifts_and_open_blocks(make_site):
+    site = make_site(
+        status_blocks=[
+            block(1, "01-01 08:00:00", "01-01 09:00:00", True), block(2, "01-02 08:00:00", "01-02 09:00:00", True), block(3, "01-02 21:00:00", None, False),
+        ],
+        ppm=[(A, at("01-02 06:59:59"), 1.0), (A, at("01-02 07:30:00"), 2.0)],
+    )
+    later = site.since("2024-01-02 12:00:00")
+    assert sorted(r.start_id for r in later.table("status_blocks").collect()) == [2, 3]
+    assert [r.output_ppm for r in later.table("ppm").collect()] == [2.0]
+    night = site.since("2024-01-02 03:00:00")
+    assert [r.output_ppm for r in night.table("ppm").orderBy("t_stamp").collect()] == [1.0, 2.0]
+
+
+def test_derived_sites_share_the_folder(make_site):
+    site = make_site(status_blocks=[block(1, "01-01 08:00:00", "01-01 09:00:00", True)])
+    only = site.only([A]).since("2024-01-01 07:00:00")
+    only.stage("x", lambda: only.table("status_blocks").select("line_id"))
+    root = pathlib.Path(site._stage.root)
+    assert list(root.rglob("*.parquet"))
+    site.close()
+    assert not root.exists()
+
+
+def test_a_lookback_of_zero_reads_all_history(make_site):
+    from shiftlens.operators import spc
+
+    panel = LINE_A.panels[0]
+    name = panel.patterns[0].replace("%", "1")
+    rows = [(A, i, i, at(f"{m:02d}-01 08:00:00"), name, i) for i, m in enumerate((1, 5, 9))]
+    site = make_site(**{panel.table: rows})
+    floors = {d: spc.lookback_floor(site.with_lookback(d)).filter(F.col("counter_table") == panel.table).first().floor_us for d in (0, 30)}
+    assert floors[0] < floors[30] and spc.representative_rows(site.with_lookback(0)).filter(F.col("panel") == panel.key).count() == 3
+    assert spc.representative_rows(site.with_lookback(30)).filter(F.col("panel") == panel.key).count() == 1
