@@ -130,10 +130,6 @@ class LineProfile:
     full_day_hours: float = FULL_DAY_HOURS
     panels: tuple[Panel, ...] = ()
 
-    @property
-    def shift_hours(self) -> int:
-        return (self.bounds[1] - self.bounds[0]) % 24
-
     def physical_table(self, logical: str) -> str:
         """Physical name of a logical table, qualified when it lives in a shared database."""
         if logical not in self.tables:
@@ -292,8 +288,8 @@ LINE_B = LineProfile(
 )
 DEFAULT_LINES = (LINE_A, LINE_B)
 
-# Ingest groups of the preview report: group, table, time column.  XML payload tables keep their
-# payload as an opaque string and start from a fixed mark when the target is empty.
+# The tables that an ingest run copies per line, as (group, table, time column).  XML
+# payload tables keep their payload as an opaque string and start from a fixed mark when empty.
 INGEST_PLAN = {
     "line_a": (
         ("core", "status_blocks", "Start_TS"), ("core", "downtime_overlays", "Start_TS"),
@@ -320,7 +316,7 @@ INGEST_PLAN = {
         ("quality", "batch_report", "t_stamp"),
     ),
 }
-# High-water mark of an empty target, for the tables that have one.
+# High-water mark of an empty target, for the tables that have one.
 EMPTY_MARKS = {
     "station_reject_summary": "1900-01-01 00:00:00",
     "station_cycle": "2000-01-01 00:00:00",

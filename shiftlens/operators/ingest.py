@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Collection, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftlens.config import EMPTY_MARKS
 from shiftlens.functions.columns import HOUR, floor_to, to_ts, to_us
 from shiftlens.sources.site import Site, union_all
 
@@ -31,7 +34,7 @@ def pending(
     source = source.filter(F.col(ts) < limit)
     mark = F.col("mark")
     if empty_mark is None:
-        oldest = marks.agg(F.min("mark")).first()[0]
+        oldest = marks.agg(F.min("mark")).first()[0]  # none, if nothing was copied: then nothing is pending
         source = source.filter(F.col(ts) > F.lit(oldest).cast("timestamp_ntz"))
     rows = source.join(F.broadcast(marks), "line_id", "left")
     if empty_mark is not None:
@@ -44,6 +47,64 @@ def append(source: DataFrame, target_path: str, target: DataFrame, ts: str, cuto
     pending(source, target, ts, cutoff, **options).write.mode("append").partitionBy("line_id").parquet(target_path)
 
 
+def plan_tables(plan: Mapping[str, Sequence[tuple[str, str, str]]]) -> dict[str, tuple[str, str, list[str]]]:
+    """Table -> (group, time column, lines that copy it), in the order of the plan."""
+    out: dict[str, tuple[str, str, list[str]]] = {}
+    for line, entries in plan.items():
+        for group, table, ts in entries:
+            out.setdefault(table, (group, ts.lower(), []))[2].append(line)
+    return out
+
+
+def copied(spark: SparkSession, root: str, table: str, source: DataFrame) -> DataFrame:
+    """What earlier runs have copied of a table; nothing before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return source.limit(0)
+    return spark.read.schema(source.schema).parquet(f"{root}/{table}")
+
+
+def run_plan(
+    spark: SparkSession, plan: Mapping[str, Sequence[tuple[str, str, str]]], source: Callable[[str], DataFrame], root: str,
+    cutoff: str, run: str, tables: Collection[str] | None = None, empty_marks: Mapping[str, str] = EMPTY_MARKS,
+) -> DataFrame:
+    """Copy every planned table: all lines at once, each from its own mark; counts of what was added.
+
+    ``tables`` restricts the run.  Added rows are files of their own under ``run=<run>``, so counting
+    them reads footers.  Returns line_id, sub_system, table_name, added, with a row "total" per line.
+    """
+    counts = []
+    for table, (group, ts, lines) in plan_tables(plan).items():
+        if tables is not None and table not in tables:
+            continue
+        rows = source(table).filter(F.col("line_id").isin(lines))
+        new = pending(rows, copied(spark, root, table, rows), ts, cutoff, ts == "start_ts", empty_marks.get(table))
+        folder = f"{root}/{table}/run={run}"
+        new.write.mode("overwrite").partitionBy("line_id").parquet(folder)
+        added = spark.read.schema(rows.schema).parquet(folder).groupBy("line_id").agg(F.count(F.lit(1)).alias("n"))
+        known = spark.createDataFrame([(x,) for x in lines], "line_id string")
+        counts.append(known.join(added, "line_id", "left").select(
+            "line_id", F.lit(group).alias("sub_system"), F.lit(table).alias("table_name"), F.coalesce("n", F.lit(0)).alias("added")
+        ))
+    return with_totals(union_all(counts), "added")
+
+
+def with_totals(report: DataFrame, count: str) -> DataFrame:
+    """The report and one more row per line with the sum of its tables."""
+    total = report.groupBy("line_id").agg(F.sum(count).alias(count))
+    rest = [F.lit("total" if c in ("sub_system", "table_name") else None).cast(report.schema[c].dataType).alias(c) for c in report.columns if c not in ("line_id", count)]
+    return report.unionByName(total.select("line_id", count, *rest))
+
+
+def write_hourly(rows: DataFrame, folder: str, ts: str, start: str | None = None) -> None:
+    """Wide rows as one folder per line and hour, from ``start`` on where it is given; a re-run replaces the hours it writes."""
+    if start is not None:
+        rows = rows.filter(F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
+    hour = F.date_format("batch_hour", "yyyyMMdd_HH")
+    batches = hourly_batches(rows, ts).withColumn("batch_hour", hour)
+    batches.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("line_id", "batch_hour").parquet(folder)
+
+
 def hourly_batches(rows: DataFrame, ts: str) -> DataFrame:
     """Hour of each row, the unit in which wide rows are copied.
 

@@ -58,7 +58,26 @@ _PREVIEW = " UNION ALL ".join([
     _preview("core", "fof_changes", "(SELECT line_id, epoch_us(t_stamp) AS us FROM c_fof)", "us", "true"),
 ]).replace("{limit}", _L)
 _BODY["ing3_sync_preview"] = f"""SELECT line_id, sub_system, table_name, {tstext('local_max')} AS local_max, rows_to_insert,
- CASE WHEN local_max IS NULL THEN 'EMPTY' WHEN rows_to_insert = 0 THEN 'up-to-date' ELSE 'ready' END AS status FROM ({_PREVIEW})"""
+ CASE WHEN local_max IS NULL THEN 'EMPTY' WHEN rows_to_insert = 0 THEN 'up-to-date' ELSE 'ready' END AS status FROM ({_PREVIEW})
+ UNION ALL SELECT line_id, 'total', 'total', NULL, {big('sum(rows_to_insert)')}, NULL FROM ({_PREVIEW}) GROUP BY 1"""
+
+
+def _added(group: str, table: str, source: str, lines: tuple[str, ...]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{line}' AS line_id, '{group}' AS sub_system, '{table}' AS table_name, count(*) AS added FROM {source} s WHERE line_id = '{line}'
+ AND us < {_L} AND us > (SELECT max(us) FROM {source} WHERE line_id = '{line}' AND us < {_C})""" for line in lines)
+
+
+_BOTH, _ONE = ("line_a", "line_b"), ("line_a",)
+_ADDED = " UNION ALL ".join([
+    _added("core", "status_blocks", "(SELECT line_id, epoch_us(start_ts) AS us FROM c_sb)", _BOTH), _added("core", "ppm", "c_ppm", _BOTH), _added("core", "output_stats", "c_os", _BOTH),
+    _added("core", "machine_state", "c_ms", _BOTH), _added("hydration", "hydration_counters", "c_hc", _ONE), _added("foil", "foil_counters", "c_fc", _ONE),
+])
+q.cte("c_added", _ADDED)
+q.cte("c_run", f"SELECT * FROM c_added UNION ALL SELECT line_id, 'total', 'total', {big('sum(added)')} FROM c_added GROUP BY 1")
+_BODY["ing1_plan_run"] = "SELECT *, 1 AS run FROM c_run UNION ALL SELECT line_id, sub_system, table_name, 0, 2 FROM c_run"
+_BODY["ing2_hourly_files"] = f"""SELECT line_id, strftime(date_trunc('hour', t_stamp), '%Y%m%d_%H') AS batch_hour, count(*) AS n_rows FROM c_os p
+ WHERE t_stamp < {CUTOFF} AND t_stamp >= TIMESTAMP '2024-01-22' AND t_stamp > (SELECT max(t_stamp) FROM c_os o WHERE o.line_id = p.line_id AND t_stamp < {COPIED}) GROUP BY 1, 2"""
 _F = "'%Y-%m-%d %H:%M:%S'"
 _BODY["ing4_freshness"] = f"""SELECT line_id, 'status_blocks' AS table_name, strftime(max(end_ts), {_F}) AS latest, count(*) FILTER (end_ts IS NULL) AS extra FROM c_sb GROUP BY 1
  UNION ALL SELECT line_id, 'downtime_overlays', strftime(max(start_ts) FILTER (start_ts <= TIMESTAMP '2024-02-15'), {_F}), count(*) FROM c_ov GROUP BY 1

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shiftlens.config import INGEST_PLAN
 from shiftlens.functions import causes
 from shiftlens.functions import columns as C
 from shiftlens.operators import (
@@ -23,6 +24,7 @@ _TABLES = ("status_blocks", "fof_changes", "ppm", "output_stats", "machine_state
            "hydration_counters", "foil_counters", "downtime_overlays")
 # Split of the derived history used by the ingest queries: what is copied, and the new cutoff.
 COPIED_UNTIL, CUTOFF = "2024-01-20 07:07:00", "2024-01-27 07:07:00"
+HOURLY_START = "2024-01-22 00:00:00"
 
 
 def query(fn):
@@ -180,6 +182,38 @@ def ing1_incremental_append(s: Site) -> DataFrame:
     return rows.select("line_id", C.ts_text(_us("t_stamp")).alias("t_stamp"), "output_ppm")
 
 
+_PLANNED = ("status_blocks", "ppm", "output_stats", "machine_state", "hydration_counters", "foil_counters")
+
+
+@query
+def ing1_plan_run(s: Site) -> DataFrame:
+    """The planned tables, copied up to a day before, are brought up to the cutoff; a second run adds nothing."""
+
+    def make() -> DataFrame:
+        root = f"{s._stage.root}/ingested"
+        for table, (_, ts, lines) in ingest.plan_tables(INGEST_PLAN).items():
+            if table in _PLANNED:
+                _copied(s, table, ts).filter(F.col("line_id").isin(lines)).write.partitionBy("line_id").parquet(f"{root}/{table}/run=0")
+        runs = [ingest.run_plan(s.spark, INGEST_PLAN, s.table, root, CUTOFF, str(i), _PLANNED).withColumn("run", F.lit(i)) for i in (1, 2)]
+        return union_all(runs)
+
+    return s.stage("ingest.plan_run", make)
+
+
+@query
+def ing2_hourly_files(s: Site) -> DataFrame:
+    """Rows from a start override on, written per hour and read back; writing them again changes nothing."""
+
+    def make() -> DataFrame:
+        source, folder = s.table("output_stats"), f"{s._stage.root}/hourly"
+        rows = ingest.pending(source, _copied(s, "output_stats", "t_stamp"), "t_stamp", CUTOFF)
+        for _ in range(2):
+            ingest.write_hourly(rows, folder, "t_stamp", start=HOURLY_START)
+        return s.spark.read.parquet(folder)
+
+    return s.stage("ingest.hourly", make).groupBy("line_id", F.col("batch_hour").cast("string").alias("batch_hour")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def ing2_hourly_batches(s: Site) -> DataFrame:
     rows = ingest.pending(s.table("output_stats"), _copied(s, "output_stats", "t_stamp"), "t_stamp", CUTOFF)
@@ -202,7 +236,8 @@ def ing3_sync_preview(s: Site) -> DataFrame:
         if table == "fof_changes":
             target = s.table(table)  # everything is copied already
         parts.append((group, table, ts, s.table(table), target, mark))
-    return ingest.preview(parts, CUTOFF).select(
+    shown = ingest.preview(parts, CUTOFF)
+    return ingest.with_totals(shown, "rows_to_insert").select(
         "line_id", "sub_system", "table_name", C.ts_text(_us("local_max")).alias("local_max"), "rows_to_insert", "status"
     )
 
