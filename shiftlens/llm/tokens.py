@@ -36,7 +36,7 @@ from shiftlens.llm.common import checked, scratch, small_batches, staged
 LENGTH, FILE_IDS, BATCH_ROWS, END_ID = 1024, 4_000_000, 256, 1
 MAGIC = "ARROW1"
 #: Pieces of text whose ids a worker remembers, in two generations, and the longest such piece.
-MEMO_PIECES, MEMO_CHARS = 1_000_000, 48
+MEMO_PIECES, MEMO_CHARS = 700_000, 48
 #: ASCII marks that may follow a word, without the apostrophe, which opens endings.
 MARKS = tuple(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 #: Below it lie the Latin letters with and without accents.
@@ -114,18 +114,19 @@ def encoder(path: str, by_piece: bool) -> Encoder:
     return Encoder(path, by_piece)
 
 
-def arrow_file(ids: np.ndarray, index: dict, length: int) -> bytes:
+def arrow_file(ids: np.ndarray, index: dict, length: int) -> pa.Buffer:
     """``ids`` in sequences of ``length``, with ``index`` in the metadata."""
     rows = -(-len(ids) // length)
     padded = np.zeros(rows * length, dtype=ids.dtype)
     padded[: len(ids)] = ids
-    mask = np.arange(rows * length) < len(ids)
+    mask = np.zeros(rows * length, dtype=bool)
+    mask[: len(ids)] = True
     columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), length) for x in (padded, mask)]
     schema = pa.schema([pa.field(n, c.type) for n, c in zip(("ids", "mask"), columns, strict=True)], metadata={INDEX: json.dumps(index).encode()})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_file(sink, schema) as out:
         out.write_table(pa.Table.from_arrays(columns, schema=schema), max_chunksize=BATCH_ROWS)
-    return sink.getvalue().to_pybytes()
+    return sink.getvalue()
 
 
 def packed(values, dtype) -> str:
@@ -147,7 +148,9 @@ def encode_partition(batches: Iterator[pa.RecordBatch], path: str, by_piece: boo
             "doc_ids": packed([x or 0 for x in doc_ids], "<i8"), "known": packed([x is not None for x in doc_ids], "u1"),
         }
         body = arrow_file(np.frombuffer(b"".join(parts), dtype=encode.dtype), index, length)
-        return pa.RecordBatch.from_arrays([pa.array([body[: -len(MAGIC)]], pa.binary())], ["body"])
+        size = len(body) - len(MAGIC)
+        row = pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, size], "i4")), body.slice(0, size)])
+        return pa.RecordBatch.from_arrays([row], ["body"])
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
