@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftlens.llm.common import arrow_rows, checked, staged
+from shiftlens.llm.common import arrow_rows, checked, small_batches, staged
 
 DEPTH, GRAM = 200, 72
 REACH = DEPTH - GRAM + 1
@@ -351,6 +351,6 @@ def removed(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of ``docs``."""
     gone = removed(docs)
-    with arrow_rows(docs.sparkSession):
-        out = on_key(keyed(docs), gone, "left").select("doc_id", "body", "starts", "ends")
-        return out.mapInArrow(kept_rows, RESULT)
+    small_batches(docs.sparkSession)  # the caller runs what follows
+    out = on_key(keyed(docs), gone, "left").select("doc_id", "body", "starts", "ends")
+    return out.mapInArrow(kept_rows, RESULT)

@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from llm_fixtures import docs_of, word  # noqa: F401
+
 from shiftlens.llm import decontaminate as D
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

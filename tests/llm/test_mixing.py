@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from llm_fixtures import docs_of  # noqa: F401
+
 from shiftlens.llm import mixing as M
 
 

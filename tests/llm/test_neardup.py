@@ -5,6 +5,8 @@ from collections import defaultdict
 
 import numpy as np
 
+from llm_fixtures import docs_of  # noqa: F401
+
 from shiftlens.llm import neardup as N
 
 

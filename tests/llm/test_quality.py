@@ -5,6 +5,8 @@ import zlib
 import numpy as np
 import pytest
 
+from llm_fixtures import docs_of  # noqa: F401
+
 from shiftlens.llm import quality as Q
 
 

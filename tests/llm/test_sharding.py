@@ -5,6 +5,8 @@ from collections import defaultdict
 
 import numpy as np
 
+from llm_fixtures import docs_of, word  # noqa: F401
+
 from shiftlens.llm import sharding as S
 
 

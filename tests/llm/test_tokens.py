@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from llm_fixtures import docs_of  # noqa: F401
+
 from shiftlens.llm import tokens as T
 from shiftlens.llm.queries import tokenizer
 
