@@ -73,11 +73,13 @@ def lane_rows(site: Site, since_us: int | None = None) -> DataFrame:
 
 
 def representatives(site: Site) -> DataFrame:
-    """The lane whose resets stand for the panel: declared, else the lowest row id."""
-    first = lane_rows(site).groupBy(*PANEL).agg(F.min_by("name", "row_id").alias("first_name"))
-    return first.join(site.panels_dim.select(*PANEL, "representative"), PANEL).select(
-        *PANEL, F.coalesce("representative", "first_name").alias("name")
-    )
+    """The lane whose resets stand for the panel: declared, else the lowest row id (only then the counters are read)."""
+    declared = site.panels_dim.filter("representative is not null").select(*PANEL, F.col("representative").alias("name"))
+    unknown = site.panels_dim.filter("representative is null").select(*PANEL)
+    if all(x.representative for p in site.lines for x in p.panels):
+        return declared
+    first = lane_rows(site).join(F.broadcast(unknown), PANEL, "left_semi").groupBy(*PANEL)
+    return declared.unionByName(first.agg(F.min_by("name", "row_id").alias("name")))
 
 
 def lookback_floor(site: Site) -> DataFrame:
@@ -190,7 +192,8 @@ def block_lanes(site: Site, needed: DataFrame) -> DataFrame:
     Single station: exactly n rows and no NULL.  Two stations: non-NULL counts are summed per lane
     and every lane must have one.
     """
-    rows = lane_rows(site).join(
+    span = needed.agg(F.min("block_id"), F.max("block_id")).first()  # two values, to prune the scan
+    rows = lane_rows(site).filter(F.col("block_id").between(F.lit(span[0]).cast("long"), F.lit(span[1]).cast("long"))).join(
         checked_broadcast(needed.select(*PANEL, "block_id").distinct()), [*PANEL, "block_id"], "left_semi"
     )
     lanes = rows.groupBy(*PANEL, "dual", "block_id", "lane").agg(
