@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftlens.llm import chat, decontaminate, mixing, neardup, neighbours, quality, repeats, sharding, tokens, warc
 
 
-TOKENIZERS = "/opt/tokenizers"
-
-
 def tokenizer(name: str) -> str:
     """A vocabulary file of the public tokenizers."""
-    return os.path.join(os.environ.get("PUBLIC_TOKENIZERS", TOKENIZERS), name)
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -124,7 +124,10 @@ def stretches(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[n
 
 
 def slabs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows of a few megabytes of text at once: their columns after the text, the bytes, where each text begins and ends."""
+    """Texts of about SLAB bytes at once: their columns after the text and their offset, the bytes, where each begins and ends.
+
+    A longer text comes in parts that overlap by DEPTH - 1 bytes, so each window lies in one part.
+    """
     rows: list[tuple] = []
     texts: list[bytes] = []
     held = 0
@@ -135,12 +138,14 @@ def slabs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[lis
 
     for batch in batches:
         for text, *rest in zip(*(batch.column(i) for i in range(columns)), strict=True):
-            texts.append(bytes(text.as_buffer() or b""))
-            rows.append(tuple(x.as_py() for x in rest))
-            held += len(texts[-1])
-            if held >= SLAB:
-                yield slab()
-                rows, texts, held = [], [], 0
+            body, values = memoryview(text.as_buffer() or b""), tuple(x.as_py() for x in rest)
+            for offset in range(0, max(1, len(body) - DEPTH + 1), SLAB):
+                texts.append(bytes(body[offset : offset + SLAB + DEPTH - 1]))
+                rows.append((*values, offset))
+                held += len(texts[-1])
+                if held >= SLAB:
+                    yield slab()
+                    rows, texts, held = [], [], 0
     if rows:
         yield slab()
 
@@ -173,7 +178,8 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = copy.copy()
         twice[order[:-1][same]] = True
         owner = np.searchsorted(ends, start, "right")
-        at, first, second = start - begins[owner], digit.view(np.int64), second.view(np.int64)
+        offset = np.array([r[-1] for r in rows])
+        at, first, second = start - begins[owner] + offset[owner], digit.view(np.int64), second.view(np.int64)
         weight = np.where(twice, 2, 1)
         for pick, kind in ((np.flatnonzero(twice), COVERED), (np.flatnonzero(~copy), OPEN)):
             if len(pick):
@@ -236,9 +242,12 @@ def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of the open stretches of each text; those that a slab holds twice are covered."""
     for rows, data, begins, ends in slabs(batches, 4):
         hashes = ROLLING(data, DEPTH)
-        listed = [(begins[i], x) for i, r in enumerate(rows) for x in r[2]]
-        owner = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
-        start = np.array([b + x["start"] for b, x in listed])
+        listed = [(i, x) for i, r in enumerate(rows) for x in r[2] if r[-1] <= x["start"] < r[-1] + SLAB]
+        if not listed:
+            continue
+        offset = np.array([r[-1] for r in rows])
+        owner = np.array([i for i, _ in listed])
+        start = np.array([begins[i] + x["start"] - rows[i][-1] for i, x in listed])
         length = np.array([x["length"] for _, x in listed])
         no = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
         at = np.repeat(start, length) + no
@@ -253,7 +262,7 @@ def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = totals(group, weight) > 1
         lead = np.zeros(len(order), dtype=bool)
         lead[order[new]] = True
-        at -= begins[owner]
+        at += offset[owner] - begins[owner]
         pick = np.flatnonzero(twice & (weight == 1))
         if len(pick):
             head = np.flatnonzero(np.concatenate([[True], (np.diff(at[pick]) != 1) | (np.diff(owner[pick]) != 0)]))
