@@ -146,7 +146,8 @@ class LineProfile:
         return self.columns.get(logical, logical)
 
 
-# Segment and cluster rules, in matching order.  Patterns are case-insensitive.
+# Segment and cluster rules in matching order, SPC panels and tables of the built-in
+# lines.  Results must match the published ones.  Patterns are case-insensitive.
 _MANUAL = Segment("manual", "Manual", "#636e72")
 _OTHER = Segment("unattributed", "Other", "#b2bec3")
 

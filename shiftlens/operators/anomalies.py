@@ -174,7 +174,7 @@ def times(r: Column) -> Column:
 
 
 def with_headline(site: Site, df: DataFrame, period: str) -> DataFrame:
-    """Headline and detail text of an outlier."""
+    """Headline and detail text of an outlier.  The wording is fixed: it must equal the published text."""
     names = F.broadcast(site.segments_dim.select("line_id", "segment", "segment_label", "segment_color"))
     r = ratio()
     tail = F.concat(F.col("cluster"), F.lit(" stops than usual ("), F.col("segment_label"), F.lit(")"))
@@ -267,7 +267,7 @@ def week_anomaly_rows(site: Site) -> DataFrame:
 
 
 def key_findings(site: Site, entries: DataFrame, week: DataFrame, prior: DataFrame, lanes: DataFrame) -> DataFrame:
-    """Up to four ranked sentences per line and week.
+    """Up to four ranked sentences per line and week.  The wording is fixed: it must equal the published text.
 
     ``lanes``: (line_id, week, panel_order, panel_short, lane_no, any_out_of_control).
     """
