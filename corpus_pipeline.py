@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on all that the one before kept
 return the columns of ``docs``; ``run`` writes each result as Parquet into the shared work folder and
 reads it back as the next one's ``docs``.
 
-A rejected document goes in the first stage, all but the smallest doc_id of a near-duplicate group in
-the second, a document with any benchmark window in the third; the fourth emits a document as often
+A rejected document goes in the first stage, all but the smallest doc_id of a near-duplicate group
+(five-word shingles, similarity of 0.8 or more) in the second, a document with any benchmark window in the third; the fourth emits a document as often
 as its source's rate says; the fifth writes the ids and reads an entry per document back.  An empty
 table passes through every stage; nulls and other edge cases are those of the operators.
 """
@@ -26,7 +26,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.keep_one(docs)
+    return neardup.keep_one(docs, NEAR)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +41,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return tokens.digest(docs, tokenizer("word_bpe_49k.json"), by_piece=True)
 
 
+#: Least similarity in percent of the near copies that the second stage drops; op10_neardup has 85.
+NEAR = 80
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", good),
     ("neardup", distinct),

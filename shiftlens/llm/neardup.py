@@ -8,9 +8,10 @@ after their full sets have been compared.
 
 Only what links can change is compared.  Round one verifies, in each bucket, a maximal spanning forest
 of the pairs whose signatures agree enough; round two verifies every other such pair between
-different components.  "Enough" lies ``MARGIN`` standard deviations below the threshold.  A pair of
-the least similarity that links shares no bucket with probability 7e-8 and falls below the margin
-with probability 3e-7.  Large buckets are cut into blocks and pairs of blocks, so no task holds more
+different components.  "Enough" lies ``MARGIN`` standard deviations below the threshold, which each
+caller gives in percent; the number of bands follows from it.  A pair of the least similarity that
+links shares no bucket with probability ``MISSED`` at most and falls below the margin with
+probability 3e-7.  Large buckets are cut into blocks and pairs of blocks, so no task holds more
 than two blocks; pairs of a group are compared on signatures but not emitted.
 
 Edge cases: a text of fewer words than a shingle is one shingle of all its words; null and empty
@@ -21,6 +22,7 @@ gives no rows; columns other than doc_id and text are ignored, and pass through
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -32,10 +34,9 @@ from pyspark.sql import functions as F
 
 from shiftlens.llm.common import attach, checked, small_batches, staged
 
+#: Words of a shingle, and the least similarity in percent that links two documents unless a caller says otherwise.
 SHINGLE, PERCENT = 5, 85
-SLOTS, BANDS, ROWS, MARGIN = 512, 28, 5, 5.0
-#: Sets of up to this many shingles reach the threshold only when they are equal.
-ONLY_EQUAL = PERCENT // (100 - PERCENT)
+SLOTS, ROWS, MARGIN, MISSED = 512, 5, 5.0, 1e-7
 #: Classes of a bucket that are held in one block, and levels whose swaps are kept as a list.
 BLOCK, LISTED = 1024, 16
 #: Shingles that are signed and bytes of text that are hashed at once.
@@ -50,6 +51,19 @@ SETS = "id long, shingles binary"
 MULTIPLIER, GOLDEN = np.uint64(0x9E3779B97F4A7C55), np.uint64(0x9E3779B97F4A7C15)
 
 
+def only_equal(percent: int) -> int:
+    """Sets of up to this many shingles reach the threshold only when they are equal: the largest n with n / (n + 1) below it."""
+    return (percent - 1) // (100 - percent)
+
+
+def bands_of(percent: int) -> int:
+    """Bands with which a pair at the threshold shares no bucket with probability MISSED at most."""
+    bands = math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** ROWS)))
+    if bands * ROWS > SLOTS:
+        raise ValueError(f"{SLOTS} slots are too few for {percent} percent")
+    return bands
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words whose bits all depend on each other."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -172,14 +186,14 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return least
 
 
-def sketch(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sketch(signature: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray]:
     """Four bits of each slot, packed, and the bucket of each band."""
     slots = mixed(signature)
     low = (slots & np.uint64(15)).astype(np.uint8)
-    key = np.zeros((len(signature), BANDS), dtype=np.uint64)
+    key = np.zeros((len(signature), bands), dtype=np.uint64)
     for r in range(ROWS):
-        key = mixed(key * MULTIPLIER + slots[:, r : BANDS * ROWS : ROWS])
-    return low[:, ::2] << 4 | low[:, 1::2], mixed(key + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+        key = mixed(key * MULTIPLIER + slots[:, r : bands * ROWS : ROWS])
+    return low[:, ::2] << 4 | low[:, 1::2], mixed(key + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
 def signature_of_all(sets: list[np.ndarray]) -> np.ndarray:
@@ -205,17 +219,17 @@ def signature_of_all(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def signed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [(x.as_buffer() or b"") for x in batch.column(1).cast(pa.binary())]
         sets = shingle_sets([bytes(t) for t in texts])
         whole = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         ids = np.frombuffer(b"".join(whole), dtype="<i8").reshape(-1, 2)
-        big = [i for i, s in enumerate(sets) if len(s) > ONLY_EQUAL]
+        big = [i for i, s in enumerate(sets) if len(s) > only_equal(percent)]
         packed: list[bytes | None] = [None] * len(sets)
         heads: list[np.ndarray | None] = [None] * len(sets)
         if big:
-            low, buckets = sketch(signature_of_all([sets[i] for i in big]))
+            low, buckets = sketch(signature_of_all([sets[i] for i in big]), bands_of(percent))
             for k, i in enumerate(big):
                 packed[i], heads[i] = low[k].tobytes(), buckets[k]
         columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(packed, pa.binary()), pa.array(heads, pa.list_(pa.int64()))]
@@ -256,9 +270,9 @@ def slots_of(column: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
-def enough() -> float:
+def enough(percent: int) -> float:
     """Equal slots from which a pair may reach the threshold: chance makes one in 16 of the others equal."""
-    p = PERCENT / 100 + (1 - PERCENT / 100) / 16
+    p = percent / 100 + (1 - percent / 100) / 16
     return SLOTS * p - MARGIN * (SLOTS * p * (1 - p)) ** 0.5
 
 
@@ -280,7 +294,7 @@ class Forest:
         return a != b
 
 
-def near_pairs(group: pa.Table) -> tuple[np.ndarray, ...]:
+def near_pairs(group: pa.Table, percent: int) -> tuple[np.ndarray, ...]:
     """Rows a, b and equal slots of the pairs in a group (of one block, or across two) that may be linked."""
     side = group["side"].to_numpy()
     slots = slots_of(group["sketch"])
@@ -289,7 +303,7 @@ def near_pairs(group: pa.Table) -> tuple[np.ndarray, ...]:
     right = left if one else right
     found: list[list[np.ndarray]] = [[], [], []]
     for at, equal in agreement(slots[left], slots[right]):
-        rows, columns = np.nonzero(equal >= enough())
+        rows, columns = np.nonzero(equal >= enough(percent))
         for x, y in zip(found, (left[at + rows], right[columns], equal[rows, columns]), strict=True):
             x.append(y)
     a, b, equal = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
@@ -303,12 +317,12 @@ def pairs_batch(a: list, b: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(low, "i8")), pa.array(np.asarray(high, "i8"))], ["a", "b"])
 
 
-def forest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def forest_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """A maximal spanning forest of the pairs of each group."""
     for group in runs(batches, 3):
         if group.num_rows < 2:
             continue
-        a, b, equal = near_pairs(group)
+        a, b, equal = near_pairs(group, percent)
         ids, forest, out = group["id"].to_numpy(), Forest(), ([], [])
         order = np.lexsort((np.maximum(ids[a], ids[b]), np.minimum(ids[a], ids[b]), -equal))
         for x, y in zip(ids[a[order]].tolist(), ids[b[order]].tolist(), strict=True):
@@ -319,13 +333,13 @@ def forest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pairs_batch(*out)
 
 
-def other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def other_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs between different components, each in the first band that both share."""
     for group in runs(batches, 3):
         label = group["label"].to_numpy()
         if group.num_rows < 2 or (label == label[0]).all():
             continue
-        a, b, _ = near_pairs(group)
+        a, b, _ = near_pairs(group, percent)
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
         if len(a):
@@ -337,12 +351,12 @@ def other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pairs_batch(ids[a[own]], ids[b[own]])
 
 
-def members(classes: DataFrame) -> DataFrame:
+def members(classes: DataFrame, bands: int) -> DataFrame:
     """bucket, id, n (classes in the bucket) for the buckets of two classes or more, staged."""
     rows = classes.filter("heads is not null").select("id", F.explode("heads").alias("bucket"))
     counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
     shared = staged(counts, "buckets")
-    total = classes.count() * BANDS
+    total = classes.count() * bands
     return staged(attach(rows, shared, "bucket", "in_bucket", total, F.col("id")).filter("in_bucket is not null"), "members")
 
 
@@ -364,7 +378,7 @@ def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "shingles"])
 
 
-def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs whose full sets reach the threshold; a leader's set comes before those of its partners."""
     now, own = None, np.zeros(0, np.uint64)
     for batch in batches:
@@ -379,14 +393,14 @@ def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.concatenate([own, other])
             both.sort()
             inter = int((both[1:] == both[:-1]).sum())
-            if 100 * inter >= PERCENT * (len(own) + len(other) - inter):
+            if 100 * inter >= percent * (len(own) + len(other) - inter):
                 out[0].append(now[0])
                 out[1].append(b.as_py())
         if out[0]:
             yield pairs_batch(*out)
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` (a, b; staged) that reach the threshold on their full sets."""
     asked = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
     # docs has one row per class: an id that two texts share would be two sets of one document
@@ -400,7 +414,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     partners = dealt.join(sets, F.col("b") == F.col("id")).select("a", "lane", "b", "shingles")
     rows = leaders.select("a", "lane", F.lit(None).cast("long").alias("b"), "shingles").unionByName(partners)
     ordered = rows.repartition("a", "lane").sortWithinPartitions("a", "lane", F.col("b").asc_nulls_first())
-    return ordered.mapInArrow(compared, PAIRS)
+    return ordered.mapInArrow(lambda batches: compared(batches, percent), PAIRS)
 
 
 def forest_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -439,27 +453,27 @@ def components(links: DataFrame) -> DataFrame:
         stars = staged(small.select(pairs.alias("_p")).select("_p.a", "_p.b").filter("a <> b").distinct(), "stars")
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``; ``percent`` is the least similarity that links."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sign = staged(rows.mapInArrow(signed, SIGNED), "signed").withColumn("set", F.when(F.col("n") > 0, F.struct("set_a", "set_b")))
+    sign = staged(rows.mapInArrow(lambda batches: signed(batches, percent), SIGNED), "signed").withColumn("set", F.when(F.col("n") > 0, F.struct("set_a", "set_b")))
     known = sign.filter("set is not null and doc_id is not null").groupBy("set")
     classes = staged(known.agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("rows"), F.first("sketch").alias("sketch"), F.first("heads").alias("heads")), "classes")
-    listed = members(classes)
+    listed = members(classes, bands_of(percent))
     shown = classes.filter("heads is not null").select("id", "sketch", "heads")
     # one text per class: that of its least doc_id
     first = rows.withColumnRenamed("doc_id", "id")
 
     forest = listed.join(shown.select("id", "sketch"), "id")
-    tried = staged(groups(forest).mapInArrow(forest_pairs, PAIRS).distinct(), "tried")
-    links = staged(verified(tried, first), "links")
+    tried = staged(groups(forest).mapInArrow(lambda batches: forest_pairs(batches, percent), PAIRS).distinct(), "tried")
+    links = staged(verified(tried, first, percent), "links")
     label = components(links)
     named = shown.join(label, F.col("id") == F.col("node"), "left").select("id", "sketch", "heads", F.coalesce("label", "id").alias("label"))
-    rest = groups(listed.join(named, "id")).mapInArrow(other_pairs, PAIRS).distinct()
+    rest = groups(listed.join(named, "id")).mapInArrow(lambda batches: other_pairs(batches, percent), PAIRS).distinct()
     more = staged(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     if not more.isEmpty():
-        label = components(links.unionByName(staged(verified(more, first), "more")))
+        label = components(links.unionByName(staged(verified(more, first, percent), "more")))
     found = classes.join(label, F.col("id") == F.col("node"), "left")
     reached = staged(found.select("set", "rows", F.coalesce("label", "id").alias("component_id")), "reached")
     out = attach(sign.select("doc_id", "n", "set"), reached, "set", "rows", sign.count(), F.col("doc_id"))
@@ -468,8 +482,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group: that of the smallest doc_id."""
-    dropped = grouped(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    dropped = grouped(docs, percent).filter(~F.col("kept")).select("doc_id").distinct()
     rows = docs.select(F.struct("*").alias("row"))
     return rows.join(dropped, F.col("row.doc_id") == F.col("doc_id"), "left_anti").select("row.*")

@@ -124,3 +124,36 @@ def test_signatures_estimate_similarity():
             errors[n].append((s[0] == s[1]).mean() - true)
     for n, e in errors.items():
         assert abs(np.mean(e)) < 0.01 and np.std(e) < 0.02, n
+
+
+def links(rows, percent):
+    """Components by comparing all pairs at ``percent``."""
+    sets = {i: shingles(t) for i, t in rows}
+    label = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            n = len(sets[a] & sets[b])
+            if a < b and sets[a] and sets[b] and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if x == high else x for i, x in label.items()}
+    return label
+
+
+def test_pipeline_stage_links_from_four_fifths(spark, docs_of):
+    import corpus_pipeline
+
+    rows = [(i, t) for i, t in dict(near_copies(7)).items() if i is not None]
+    rows += [(5000, "a b c d e f g h"), (5001, "a b c d e f g h i"), (5002, "p q r s t u v"), (5003, "p q r s t u v w")]
+    label = links(rows, 80)
+    assert label[5001] == 5000 and label[5003] == 5003 and label != links(rows, 85)
+    docs = docs_of(rows)
+    assert {r.doc_id: r.component_id for r in N.grouped(docs, 80).collect()} == label
+    left = dict(corpus_pipeline.STAGES)["neardup"](spark, docs, "")
+    assert sorted(r.doc_id for r in left.collect()) == sorted(i for i in label if label[i] == i)
+
+
+def test_bands_and_least_sets_follow_the_threshold():
+    for percent in (80, 85, 90):
+        n = N.only_equal(percent)
+        assert 100 * n < percent * (n + 1) and 100 * (n + 1) >= percent * (n + 2)
+    assert (N.only_equal(80), N.only_equal(85), N.bands_of(80), N.bands_of(85)) == (3, 5, 41, 28)
