@@ -16,8 +16,8 @@ than two blocks; pairs of a group are compared on signatures but not emitted.
 
 Edge cases: a text of fewer words than a shingle is one shingle of all its words; null and empty
 texts have no shingles and are linked with nothing; rows without doc_id take no part and are kept;
-rows that repeat a doc_id are judged by their texts, equal texts being one class; an empty table
-gives no rows; columns other than doc_id and text are ignored, and pass through ``keep_one``.
+rows that repeat a doc_id are judged by their texts, a class having a number of its own and its least
+doc_id as label only; an empty table gives no rows; columns other than doc_id and text are ignored, and pass through ``keep_one``.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Pairs that are verified against one copy of a set.
 FAN = 500
 FRACTION = np.uint64(55)
-SIGNED = "doc_id long, n int, set_a long, set_b long, sketch binary, heads array<long>"
+SIGNED = "doc_id long, text_hash long, n int, set_a long, set_b long, sketch binary, heads array<long>"
 PAIRS = "a long, b long"
 SETS = "id long, shingles binary"
 MULTIPLIER, GOLDEN = np.uint64(0x9E3779B97F4A7C55), np.uint64(0x9E3779B97F4A7C15)
@@ -221,7 +221,7 @@ def signature_of_all(sets: list[np.ndarray]) -> np.ndarray:
 
 def signed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [(x.as_buffer() or b"") for x in batch.column(1).cast(pa.binary())]
+        texts = [(x.as_buffer() or b"") for x in batch.column(2).cast(pa.binary())]
         sets = shingle_sets([bytes(t) for t in texts])
         whole = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         ids = np.frombuffer(b"".join(whole), dtype="<i8").reshape(-1, 2)
@@ -232,8 +232,8 @@ def signed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             low, buckets = sketch(signature_of_all([sets[i] for i in big]), bands_of(percent))
             for k, i in enumerate(big):
                 packed[i], heads[i] = low[k].tobytes(), buckets[k]
-        columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(packed, pa.binary()), pa.array(heads, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_a", "set_b", "sketch", "heads"])
+        columns = [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int32()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(packed, pa.binary()), pa.array(heads, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n", "set_a", "set_b", "sketch", "heads"])
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -389,7 +389,7 @@ def compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                 now, own = (a.as_py(), lane.as_py()), other
                 continue
             if now != (a.as_py(), lane.as_py()):
-                raise ValueError(f"no set of document {a.as_py()}")
+                raise ValueError(f"no set of class {a.as_py()}")
             both = np.concatenate([own, other])
             both.sort()
             inter = int((both[1:] == both[:-1]).sum())
@@ -400,11 +400,12 @@ def compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             yield pairs_batch(*out)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b; staged) that reach the threshold on their full sets."""
-    asked = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
-    # docs has one row per class: an id that two texts share would be two sets of one document
-    texts = docs.join(checked(asked.withColumnRenamed("id", "_id")), F.col("id") == F.col("_id")).select("id", "text")
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` of class numbers (a, b; staged) that reach the threshold on their full sets."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    asked = staged(asked.join(classes.select("id", "least"), "id").select("id", "least.*"), "asked")
+    # doc_id and text hash: a doc_id that two texts share would give both sets to one class
+    texts = docs.join(checked(asked), ["doc_id", "text_hash"]).select("id", "text")
     sets = staged(texts.mapInArrow(set_rows, SETS), "sets")
     degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_d"))
     lanes = F.ceil(F.col("_d") / FAN).cast("int")
@@ -453,37 +454,50 @@ def components(links: DataFrame) -> DataFrame:
         stars = staged(small.select(pairs.alias("_p")).select("_p.a", "_p.b").filter("a <> b").distinct(), "stars")
 
 
-def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``; ``percent`` is the least similarity that links."""
+def labelled(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_hash, n, least for every row of ``docs``: the least (doc_id, text_hash) of the row's component.
+
+    ``least`` is null where a row has no doc_id or no shingles.
+    """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sign = staged(rows.mapInArrow(lambda batches: signed(batches, percent), SIGNED), "signed").withColumn("set", F.when(F.col("n") > 0, F.struct("set_a", "set_b")))
-    known = sign.filter("set is not null and doc_id is not null").groupBy("set")
-    classes = staged(known.agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("rows"), F.first("sketch").alias("sketch"), F.first("heads").alias("heads")), "classes")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    sign = staged(rows.mapInArrow(lambda batches: signed(batches, percent), SIGNED), "signed")
+    known = sign.withColumn("set", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.struct("set_a", "set_b")))
+    least = F.min(F.struct("doc_id", "text_hash")).alias("least")
+    per_set = known.filter("set is not null").groupBy("set").agg(least, F.count(F.lit(1)).alias("rows"), F.first("sketch").alias("sketch"), F.first("heads").alias("heads"))
+    classes = staged(per_set.withColumn("id", F.monotonically_increasing_id()), "classes")
     listed = members(classes, bands_of(percent))
     shown = classes.filter("heads is not null").select("id", "sketch", "heads")
-    # one text per class: that of its least doc_id
-    first = rows.withColumnRenamed("doc_id", "id")
 
     forest = listed.join(shown.select("id", "sketch"), "id")
     tried = staged(groups(forest).mapInArrow(lambda batches: forest_pairs(batches, percent), PAIRS).distinct(), "tried")
-    links = staged(verified(tried, first, percent), "links")
+    links = staged(verified(tried, classes, rows, percent), "links")
     label = components(links)
     named = shown.join(label, F.col("id") == F.col("node"), "left").select("id", "sketch", "heads", F.coalesce("label", "id").alias("label"))
     rest = groups(listed.join(named, "id")).mapInArrow(lambda batches: other_pairs(batches, percent), PAIRS).distinct()
     more = staged(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     if not more.isEmpty():
-        label = components(links.unionByName(staged(verified(more, first, percent), "more")))
-    found = classes.join(label, F.col("id") == F.col("node"), "left")
-    reached = staged(found.select("set", "rows", F.coalesce("label", "id").alias("component_id")), "reached")
-    out = attach(sign.select("doc_id", "n", "set"), reached, "set", "rows", sign.count(), F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+        label = components(links.unionByName(staged(verified(more, classes, rows, percent), "more")))
+    found = classes.select("set", "rows", "id", F.col("least").alias("own")).join(label, F.col("id") == F.col("node"), "left")
+    found = staged(found.select("set", "rows", "id", "own", F.coalesce("label", "id").alias("label")), "found")
+    heads = staged(found.groupBy("label").agg(F.min("own").alias("least"), F.count(F.lit(1)).alias("_classes")), "heads")
+    reached = attach(found, heads, "label", "_classes", found.count(), F.col("id"))
+    reached = staged(reached.select("set", "rows", "least"), "reached")
+    return attach(known.select("doc_id", "text_hash", "n", "set"), reached, "set", "rows", sign.count(), F.col("doc_id")).select("doc_id", "text_hash", "n", "least")
+
+
+def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``; ``percent`` is the least similarity that links."""
+    out = labelled(docs, percent)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least.doc_id", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest doc_id."""
-    dropped = grouped(docs, percent).filter(~F.col("kept")).select("doc_id").distinct()
+    """``docs`` with one document of each group: that of the smallest doc_id, and of its texts the one of the least hash."""
+    own = F.struct("doc_id", "text_hash")
+    dropped = labelled(docs, percent).filter(own != F.col("least")).select("doc_id", "text_hash").distinct()
     rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(dropped, F.col("row.doc_id") == F.col("doc_id"), "left_anti").select("row.*")
+    same = (F.col("row.doc_id").cast("long") == F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_hash"))
+    return rows.join(dropped, same, "left_anti").select("row.*")

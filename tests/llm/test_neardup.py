@@ -157,3 +157,17 @@ def test_bands_and_least_sets_follow_the_threshold():
         n = N.only_equal(percent)
         assert 100 * n < percent * (n + 1) and 100 * (n + 1) >= percent * (n + 2)
     assert (N.only_equal(80), N.only_equal(85), N.bands_of(80), N.bands_of(85)) == (3, 5, 41, 28)
+
+
+def test_texts_that_share_a_doc_id(docs_of):
+    a = [f"a{i}" for i in range(60)]
+    near, other, third = " ".join(a[:-1] + ["z"]), " ".join(f"b{i}" for i in range(60)), " ".join(f"c{i}" for i in range(60))
+    # 7 has a near copy of 3 and a text like no other; 20 has two texts, each with a near copy
+    rows = [(3, " ".join(a)), (7, near), (7, other), (20, third), (20, third.upper() + " x"), (20, other + " y"), (21, "q " + third), (22, None), (22, third)]
+    docs = docs_of(rows)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.grouped(docs).collect())
+    assert got == sorted([(3, 56, 3, True), (7, 56, 3, False), (7, 56, 7, True), (20, 56, 20, True), (20, 57, 20, True), (20, 57, 7, False), (21, 57, 20, False), (22, 0, 22, True), (22, 56, 20, False)])
+    left = [(r.doc_id, r.text) for r in N.keep_one(docs).collect()]
+    of_20 = [x for x in left if x[0] == 20]
+    assert len(of_20) == 1 and of_20[0][1] in (third, third.upper() + " x")
+    assert sorted(x for x in left if x[0] != 20 and x[1]) == [(3, " ".join(a)), (7, other)] and (22, None) in left and len(left) == 4
