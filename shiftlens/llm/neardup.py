@@ -495,9 +495,19 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest doc_id, and of its texts the one of the least hash."""
-    own = F.struct("doc_id", "text_hash")
-    dropped = labelled(docs, percent).filter(own != F.col("least")).select("doc_id", "text_hash").distinct()
+    """``docs`` with one document of each group: that of the smallest doc_id, and of its texts the one of the least hash.
+
+    Of rows that are equal in doc_id and text one stays, unless they take no part (no doc_id, no words).
+    """
+    key = ["doc_id", "text_hash"]
+    first = F.struct(*key) == F.col("least")
+    counts = labelled(docs, percent).filter("least is not null").groupBy(*key).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"))
+    taken = staged(counts.filter("not first or copies > 1"), "taken")
     rows = docs.select(F.struct("*").alias("row"))
     same = (F.col("row.doc_id").cast("long") == F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_hash"))
-    return rows.join(dropped, same, "left_anti").select("row.*")
+    left = rows.join(checked(taken.select(*key)), same, "left_anti").select("row.*")
+    repeated = taken.filter("first").select(*key)
+    if repeated.isEmpty():
+        return left
+    one = rows.join(checked(repeated), same).groupBy(*key).agg(F.first("row").alias("row"))
+    return left.unionByName(one.select("row.*"))

@@ -171,3 +171,14 @@ def test_texts_that_share_a_doc_id(docs_of):
     of_20 = [x for x in left if x[0] == 20]
     assert len(of_20) == 1 and of_20[0][1] in (third, third.upper() + " x")
     assert sorted(x for x in left if x[0] != 20 and x[1]) == [(3, " ".join(a)), (7, other)] and (22, None) in left and len(left) == 4
+
+
+def test_rows_repeated_whole_stay_once(docs_of):
+    text, near = " ".join(f"a{i}" for i in range(60)), " ".join(f"a{i}" for i in range(59))
+    alone = [(5, "other words"), (None, "no id"), (None, "no id"), (6, None), (6, None)]
+    docs = docs_of([(3, text)] * 4 + [(4, near)] * 3 + [(9, "x y z")] * 2 + [(3, near)] + alone)
+    left = N.keep_one(docs)
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    assert [x for x in got if x[0] == 3] in ([(3, text)], [(3, near)])
+    assert [x for x in got if x[0] != 3] == sorted([(9, "x y z"), *alone], key=str)
