@@ -7,12 +7,14 @@ sets form a class.  Bands of the signature put classes into buckets, and two cla
 after their full sets have been compared.
 
 Only what links can change is compared.  Round one verifies, in each bucket, a maximal spanning forest
-of the pairs whose signatures agree enough; round two verifies every other such pair between
-different components.  "Enough" lies ``MARGIN`` standard deviations below the threshold, which each
+of the pairs whose signatures agree enough; round two takes the members with such a pair between
+different components, brings their full sets to the task of each bucket, compares every such pair there
+and keeps the links of a spanning forest.  So no table holds more rows than the buckets have members:
+pairs that are refuted never leave their task.  "Enough" lies ``MARGIN`` standard deviations below the threshold, which each
 caller gives in percent; the number of bands follows from it.  A pair of the least similarity that
 links shares no bucket with probability ``MISSED`` at most and falls below the margin with
 probability 3e-7.  Large buckets are cut into blocks and pairs of blocks, so no task holds more
-than two blocks; pairs of a group are compared on signatures but not emitted.
+than two blocks, which are bounded in shingles where full sets are compared.
 
 Edge cases: a text of fewer words than a shingle is one shingle of all its words; null and empty
 texts have no shingles and are linked with nothing; rows without doc_id take no part and are kept;
@@ -32,13 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftlens.llm.common import attach, checked, small_batches, staged
+from shiftlens.llm.common import arrow_rows, attach, checked, staged
 
 #: Words of a shingle, and the least similarity in percent that links two documents unless a caller says otherwise.
 SHINGLE, PERCENT = 5, 85
 SLOTS, ROWS, MARGIN, MISSED = 512, 5, 5.0, 1e-7
 #: Classes of a bucket that are held in one block, and levels whose swaps are kept as a list.
 BLOCK, LISTED = 1024, 16
+#: Shingles that the full sets of one block hold.
+BLOCK_SHINGLES = 1 << 21
 #: Shingles that are signed and bytes of text that are hashed at once.
 PORTION, SLAB = 1 << 16, 1 << 19
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -47,6 +51,7 @@ FAN = 500
 FRACTION = np.uint64(55)
 SIGNED = "doc_id long, text_hash long, n int, set_a long, set_b long, sketch binary, heads array<long>"
 PAIRS = "a long, b long"
+CROSSING = "bucket long, low int, high int, id long, side int, one boolean"
 SETS = "id long, shingles binary"
 MULTIPLIER, GOLDEN = np.uint64(0x9E3779B97F4A7C55), np.uint64(0x9E3779B97F4A7C15)
 
@@ -333,43 +338,87 @@ def forest_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
             yield pairs_batch(*out)
 
 
-def other_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs between different components, each in the first band that both share."""
+def apart(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the near pairs of a group between different components, each in the first band that both share."""
+    label = group["label"].to_numpy()
+    if group.num_rows < 2 or (label == label[0]).all():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b, _ = near_pairs(group, percent)
+    other = label[a] != label[b]
+    a, b = a[other], b[other]
+    if len(a):
+        heads = np.stack(group["heads"].combine_chunks().to_numpy(zero_copy_only=False))
+        bucket, own = group["bucket"][0].as_py(), np.zeros(len(a), bool)
+        for at in range(0, len(a), PORTION):
+            same = heads[a[at : at + PORTION]] == heads[b[at : at + PORTION]]
+            own[at : at + PORTION] = heads[a[at : at + PORTION], same.argmax(axis=1)] == bucket
+        a, b = a[own], b[own]
+    return a, b
+
+
+def crossing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The members of each group that have a near pair between different components."""
+    names = [c.split()[0] for c in CROSSING.split(", ")]
     for group in runs(batches, 3):
-        label = group["label"].to_numpy()
-        if group.num_rows < 2 or (label == label[0]).all():
-            continue
-        a, b, _ = near_pairs(group, percent)
-        apart = label[a] != label[b]
-        a, b = a[apart], b[apart]
-        if len(a):
-            heads = np.stack(group["heads"].combine_chunks().to_numpy(zero_copy_only=False))
-            first = (heads[a] == heads[b]).argmax(axis=1)
-            own = heads[a, first] == group["bucket"][0].as_py()
-            ids = group["id"].to_numpy()
-            if own.any():
-                yield pairs_batch(ids[a[own]], ids[b[own]])
+        asked = np.unique(np.concatenate(apart(group, percent)))
+        if len(asked):
+            yield from group.select(names).take(pa.array(asked)).to_batches()
+
+
+def crossing_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the pairs of each group whose full sets reach the threshold."""
+    for group in runs(batches, 3):
+        a, b = apart(group, percent)
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group["shingles"]]
+        sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+        able = 100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b])
+        a, b = a[able], b[able]
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        label, forest, out = group["label"].to_numpy(), Forest(), ([], [])
+        ids = group["id"].to_numpy()
+        cuts = np.flatnonzero(np.diff(a, prepend=-1, append=-1)) if len(a) else []
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            row, home = a[start], forest.root(int(label[a[start]]))
+            partners = [int(x) for x in b[start:end] if forest.root(int(label[x])) != home]
+            if not partners:
+                continue
+            own, joined = sets[row], np.concatenate([sets[x] for x in partners])
+            place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+            inter = np.add.reduceat((own[place] == joined).astype(np.int64), np.cumsum(sizes[partners]) - sizes[partners])
+            linked = 100 * inter >= percent * (sizes[row] + sizes[partners] - inter)
+            for x in np.asarray(partners)[linked].tolist():
+                if forest.join(int(label[row]), int(label[x])):
+                    out[0].append(ids[row])
+                    out[1].append(ids[x])
+        if out[0]:
+            yield pairs_batch(*out)
 
 
 def members(classes: DataFrame, bands: int) -> DataFrame:
-    """bucket, id, n (classes in the bucket) for the buckets of two classes or more, staged."""
-    rows = classes.filter("heads is not null").select("id", F.explode("heads").alias("bucket"))
-    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
+    """bucket, id, in_bucket (classes) and held (their shingles) for the buckets of two classes or more, staged."""
+    rows = classes.filter("heads is not null").select("id", "n", F.explode("heads").alias("bucket"))
+    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("in_bucket"), F.sum("n").alias("held")).filter("in_bucket > 1")
     shared = staged(counts, "buckets")
     total = classes.count() * bands
-    return staged(attach(rows, shared, "bucket", "in_bucket", total, F.col("id")).filter("in_bucket is not null"), "members")
+    return staged(attach(rows.drop("n"), shared, "bucket", "in_bucket", total, F.col("id")).filter("in_bucket is not null"), "members")
 
 
-def groups(rows: DataFrame) -> DataFrame:
-    """Members dealt to pairs of blocks of their bucket, sorted by bucket and pair."""
+def groups(rows: DataFrame, sets: bool = False) -> DataFrame:
+    """Members dealt to pairs of blocks of their bucket, sorted by bucket and pair; ``sets``: the blocks suit full sets."""
     blocks = F.ceil(F.col("in_bucket") / BLOCK).cast("int")
+    blocks = F.greatest(blocks, F.ceil(F.col("held") / BLOCK_SHINGLES).cast("int")) if sets else blocks
     own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("_blocks") - 1)
     dealt = rows.withColumn("_blocks", blocks).withColumn("_own", own).withColumn("_with", F.explode(every))
     low, high = F.least("_own", "_with"), F.greatest("_own", "_with")
     dealt = dealt.withColumn("low", low).withColumn("high", high).withColumn("side", (F.col("_own") != low).cast("int")).withColumn("one", F.col("low") == F.col("high"))
-    names = ["bucket", "low", "high", "id", "side", "one", *[c for c in rows.columns if c not in ("bucket", "id", "in_bucket")]]
-    return dealt.select(*names).repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    names = ["bucket", "low", "high", "id", "side", "one", *[c for c in rows.columns if c not in ("bucket", "id", "in_bucket", "held")]]
+    return by_group(dealt.select(*names))
+
+
+def by_group(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,13 +449,17 @@ def compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             yield pairs_batch(*out)
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` of class numbers (a, b; staged) that reach the threshold on their full sets."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    asked = staged(asked.join(classes.select("id", "least"), "id").select("id", "least.*"), "asked")
+def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """id and shingles of the classes in ``ids``, staged."""
+    asked = staged(ids.distinct().join(classes.select("id", "least"), "id").select("id", "least.*"), "asked")
     # doc_id and text hash: a doc_id that two texts share would give both sets to one class
     texts = docs.join(checked(asked), ["doc_id", "text_hash"]).select("id", "text")
-    sets = staged(texts.mapInArrow(set_rows, SETS), "sets")
+    return staged(texts.mapInArrow(set_rows, SETS), "sets")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` of class numbers (a, b; staged) that reach the threshold on their full sets."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), classes, docs)
     degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_d"))
     lanes = F.ceil(F.col("_d") / FAN).cast("int")
     fans = degree.select("a", lanes.alias("_lanes"))
@@ -459,12 +512,16 @@ def labelled(docs: DataFrame, percent: int) -> DataFrame:
 
     ``least`` is null where a row has no doc_id or no shingles.
     """
-    small_batches(docs.sparkSession)
+    with arrow_rows(docs.sparkSession):
+        return classified(docs, percent)
+
+
+def classified(docs: DataFrame, percent: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     sign = staged(rows.mapInArrow(lambda batches: signed(batches, percent), SIGNED), "signed")
     known = sign.withColumn("set", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.struct("set_a", "set_b")))
     least = F.min(F.struct("doc_id", "text_hash")).alias("least")
-    per_set = known.filter("set is not null").groupBy("set").agg(least, F.count(F.lit(1)).alias("rows"), F.first("sketch").alias("sketch"), F.first("heads").alias("heads"))
+    per_set = known.filter("set is not null").groupBy("set").agg(least, F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("heads").alias("heads"))
     classes = staged(per_set.withColumn("id", F.monotonically_increasing_id()), "classes")
     listed = members(classes, bands_of(percent))
     shown = classes.filter("heads is not null").select("id", "sketch", "heads")
@@ -474,10 +531,13 @@ def labelled(docs: DataFrame, percent: int) -> DataFrame:
     links = staged(verified(tried, classes, rows, percent), "links")
     label = components(links)
     named = shown.join(label, F.col("id") == F.col("node"), "left").select("id", "sketch", "heads", F.coalesce("label", "id").alias("label"))
-    rest = groups(listed.join(named, "id")).mapInArrow(lambda batches: other_pairs(batches, percent), PAIRS).distinct()
-    more = staged(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    if not more.isEmpty():
-        label = components(links.unionByName(staged(verified(more, classes, rows, percent), "more")))
+    rest = groups(listed.join(named, "id"), sets=True)
+    asked = staged(rest.mapInArrow(lambda batches: crossing(batches, percent), CROSSING), "crossing")
+    if not asked.isEmpty():
+        full = sets_of(asked.select("id"), classes, rows)
+        rest = by_group(asked.join(named, "id").join(full, "id").select(*asked.columns, "sketch", "heads", "label", "shingles"))
+        more = rest.mapInArrow(lambda batches: crossing_links(batches, percent), PAIRS)
+        label = components(links.unionByName(staged(more, "more")))
     found = classes.select("set", "rows", "id", F.col("least").alias("own")).join(label, F.col("id") == F.col("node"), "left")
     found = staged(found.select("set", "rows", "id", "own", F.coalesce("label", "id").alias("label")), "found")
     heads = staged(found.groupBy("label").agg(F.min("own").alias("least"), F.count(F.lit(1)).alias("_classes")), "heads")

@@ -182,3 +182,37 @@ def test_rows_repeated_whole_stay_once(docs_of):
     got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
     assert [x for x in got if x[0] == 3] in ([(3, text)], [(3, near)])
     assert [x for x in got if x[0] != 3] == sorted([(9, "x y z"), *alone], key=str)
+
+
+def unlinked(n, edits, seed=1):
+    """Texts around one base, near each other but rarely linked."""
+    rng = np.random.default_rng(seed)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for p in rng.choice(80, edits, replace=False):
+            w[p * 5] = f"e{i}x{p}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_refuted_pairs_stay_in_their_task(docs_of, monkeypatch):
+    real, made = N.staged, {}
+
+    def counted(df, name):
+        out = real(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(N, "staged", counted)
+    for percent, edits in ((80, 6), (85, 5)):
+        rows_of = {}
+        for n in (150, 300):
+            rows, known = unlinked(n, edits), made.clear()
+            got = {r.doc_id: r.component_id for r in N.grouped(docs_of(rows), percent).collect()}
+            assert known is None and got == links(rows, percent)
+            rows_of[n] = dict(made)
+        assert rows_of[300]["crossing"] > 0 and len(set(got.values())) > 30, (rows_of, len(set(got.values())))
+        for name, count in rows_of[300].items():
+            assert count <= 2.5 * max(rows_of[150][name], 300), (percent, name, rows_of)

@@ -48,7 +48,7 @@ def test_stages_follow_their_operators(spark, tmp_path):
     ids = [[sorted(r.doc_id for r in x.select("doc_id").collect()) for x in pair] for pair in kept]
     good = quality.scored(kept[0][0], table(spark, DATA, "labels")).filter("predicted = 1")
     assert ids[0][1] == sorted(r.doc_id for r in good.collect())
-    assert ids[1][1] == sorted(r.doc_id for r in neardup.grouped(kept[1][0]).filter("kept").collect())
+    assert ids[1][1] == sorted(r.doc_id for r in neardup.grouped(kept[1][0], P.NEAR).filter("kept").collect())
     clean = decontaminate.digest(kept[2][0], table(spark, DATA, "benchmark")).filter("not contaminated")
     assert ids[2][1] == sorted(r.doc_id for r in clean.collect())
     copies = mixing.digest(kept[3][0]).collect()
