@@ -93,10 +93,28 @@ def _sums(df: DataFrame, *keys: str) -> DataFrame:
 @staged
 def shift_outliers(site: Site) -> DataFrame:
     """Each production shift against the 13 shifts before its week's oldest shift."""
+    return outliers_of(site, calendar.production_shifts(site))
+
+
+def baseline_sizes(site: Site) -> DataFrame:
+    """line_id, week, n: the baseline shifts of each week."""
+    members = calendar.baseline_members(site, calendar.weeks(site), "week", "oldest_ord")
+    return members.groupBy("line_id", "week").agg(F.count(F.lit(1)).alias("n"))
+
+
+def prior_weeks(site: Site) -> DataFrame:
+    """line_id, week, n: the up to four weeks before each week that have stops."""
+    have = prior_week_profiles(site).select("line_id", "week").distinct()
+    return have.withColumn("week", F.explode(F.transform(
+        F.sequence(F.lit(1), F.lit(ANOMALY_PRIOR_WEEKS)), lambda i: F.col("week") - i
+    ))).filter("week >= 0").groupBy("line_id", "week").agg(F.count(F.lit(1)).alias("n"))
+
+
+def outliers_of(site: Site, shifts: DataFrame) -> DataFrame:
     prof = profiles(site)
-    targets = calendar.production_shifts(site).select("line_id", "ord", "week")
+    targets = shifts.select("line_id", "ord", "week")
     members = calendar.baseline_members(site, calendar.weeks(site), "week", "oldest_ord")
-    n = members.groupBy("line_id", "week").agg(F.count(F.lit(1)).alias("n"))
+    n = baseline_sizes(site)
     base = _sums(members.join(prof, ["line_id", "ord"]), "line_id", "week")
     current = prof.join(targets.select("line_id", "ord"), ["line_id", "ord"])
     cells = _against(current, base, n, targets, ["line_id", "ord"], ["line_id", "week"])
@@ -152,13 +170,9 @@ def week_outliers(site: Site) -> DataFrame:
             F.sequence(F.lit(1), F.lit(ANOMALY_PRIOR_WEEKS)), lambda i: F.col("week") - i
         ))
     ).filter("week >= 0")
-    have = prior_week_profiles(site).select("line_id", "week").distinct()
-    n = have.withColumn("week", F.explode(F.transform(
-        F.sequence(F.lit(1), F.lit(ANOMALY_PRIOR_WEEKS)), lambda i: F.col("week") - i
-    ))).filter("week >= 0").groupBy("line_id", "week").agg(F.count(F.lit(1)).alias("n"))
     targets = calendar.weeks(site).select("line_id", "week")
     key = ["line_id", "week"]
-    cells = _against(week_profiles(site), _sums(prior, *key), n, targets, key, key)
+    cells = _against(week_profiles(site), _sums(prior, *key), prior_weeks(site), targets, key, key)
     return outliers(cells, key)
 
 

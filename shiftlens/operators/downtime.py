@@ -29,7 +29,12 @@ def stop_summary(site: Site, stops: DataFrame | None = None) -> DataFrame:
     )
 
 
-def categories(site: Site, stops: DataFrame) -> DataFrame:
+def _targets(site: Site, shifts: DataFrame | None) -> DataFrame:
+    """(line_id, ord, week) of the given shifts, or of all production shifts."""
+    return (calendar.production_shifts(site) if shifts is None else shifts).select("line_id", "ord", "week")
+
+
+def categories(site: Site, stops: DataFrame, shifts: DataFrame | None = None) -> DataFrame:
     """Dense (shift, category): count and hours.  A manual halted stop counts in both of those."""
     limit = causes.per_line(
         site.lines, F.col("line_id"), lambda p: F.lit(int(p.micro_stop_min * MINUTE)).cast("long"),
@@ -47,7 +52,6 @@ def categories(site: Site, stops: DataFrame) -> DataFrame:
         *[F.count_if(t).alias(f"n_{k}") for k, t in tests.items()],
         *[F.coalesce(F.sum(F.when(t, F.col("dur_us"))), F.lit(0)).alias(f"u_{k}") for k, t in tests.items()],
     )
-    shifts = calendar.production_shifts(site).select("line_id", "ord", "week")
     cells = F.array(*[
         F.struct(
             F.lit(k).alias("category"), F.coalesce(f"n_{k}", F.lit(0)).alias("count"),
@@ -55,7 +59,7 @@ def categories(site: Site, stops: DataFrame) -> DataFrame:
         )
         for k in tests
     ])
-    return shifts.join(wide, KEY, "left").select("line_id", "ord", "week", F.inline(cells))
+    return _targets(site, shifts).join(wide, KEY, "left").select("line_id", "ord", "week", F.inline(cells))
 
 
 def segment_clusters(stops: DataFrame) -> DataFrame:
@@ -67,22 +71,21 @@ def segment_clusters(stops: DataFrame) -> DataFrame:
     )
 
 
-def segments(site: Site, cells: DataFrame) -> DataFrame:
-    """Dense (production shift, segment) downtime with zeros, rounded to 2 decimals."""
+def segments(site: Site, cells: DataFrame, shifts: DataFrame | None = None) -> DataFrame:
+    """Dense (shift, segment) downtime with zeros, rounded to 2 decimals."""
     sums = cells.groupBy(*KEY, "segment").agg(
         F.sum("count").alias("count"), F.sum("us").alias("us"), F.sum("halted_us").alias("halted_us")
     )
-    grid = calendar.production_shifts(site).select("line_id", "ord", "week").join(
+    grid = _targets(site, shifts).join(
         F.broadcast(site.segments_dim.select("line_id", "segment", "seg_order")), "line_id"
     )
     return _hours(grid.join(sums, [*KEY, "segment"], "left"), "line_id", "ord", "week", "segment", "seg_order")
 
 
-def clusters(site: Site, cells: DataFrame) -> DataFrame:
-    """(production shift, segment, cluster) downtime of the stops that have a cluster."""
-    shifts = calendar.production_shifts(site).select("line_id", "ord", "week")
+def clusters(site: Site, cells: DataFrame, shifts: DataFrame | None = None) -> DataFrame:
+    """(shift, segment, cluster) downtime of the stops that have a cluster."""
     return _hours(
-        shifts.join(cells.filter(F.col("cluster").isNotNull()), KEY),
+        _targets(site, shifts).join(cells.filter(F.col("cluster").isNotNull()), KEY),
         "line_id", "ord", "week", "segment", "cluster",
     )
 

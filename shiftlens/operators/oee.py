@@ -160,8 +160,12 @@ def quality(site: Site) -> DataFrame:
 @staged
 def shift_parts(site: Site) -> DataFrame:
     """Unrounded A, average speed, Q of every production shift; defaults where there is no data."""
+    return parts_of(site, calendar.production_shifts(site))
+
+
+def parts_of(site: Site, shifts: DataFrame) -> DataFrame:
     return (
-        calendar.production_shifts(site)
+        shifts
         .join(availability(site), KEY, "left")
         .join(average_speed(site), KEY, "left")
         .join(quality(site), KEY, "left")
@@ -185,7 +189,11 @@ def _performance(avg: str, ideal: str):
 @staged
 def shift_oee(site: Site, span: str) -> DataFrame:
     """Unrounded A, P, Q and OEE per production shift against the ideal speed of a span."""
-    parts = shift_parts(site).join(ideal_speed(site, span), ["line_id", "week"], "left")
+    return measured(site, shift_parts(site), span)
+
+
+def measured(site: Site, parts: DataFrame, span: str) -> DataFrame:
+    parts = parts.join(ideal_speed(site, span), ["line_id", "week"], "left")
     return parts.withColumn("performance", _performance("avg_ppm", "ideal_ppm")).withColumn(
         "oee", F.col("availability") / 100 * F.col("performance") / 100 * F.col("quality") / 100 * 100
     )
@@ -197,11 +205,21 @@ def shift_entries(site: Site, span: str) -> DataFrame:
 
     Published rows have the span "published", the rows of a week report the span "week".
     """
+    return entries_of(site, shift_oee(site, span))
+
+
+@staged
+def subject_entries(site: Site) -> DataFrame:
+    """Published rows of every shift of the spine: the subject of a document is never skipped."""
+    return entries_of(site, measured(site, parts_of(site, calendar.spine(site)), "published"))
+
+
+def entries_of(site: Site, figures: DataFrame) -> DataFrame:
     from shiftlens.operators import downtime
 
     summary = downtime.stop_summary(site)
     o = F.col("ord")
-    return shift_oee(site, span).join(summary, KEY, "left").select(
+    return figures.join(summary, KEY, "left").select(
         "line_id", "ord", "week",
         shift_key(F.col("line_id"), o).alias("shift_key"),
         shift_date_text(o).alias("shift_date"), shift_type(o).alias("shift_type"),

@@ -520,10 +520,13 @@ def current_observations(site: Site, subs: DataFrame) -> DataFrame:
 
 @staged
 def shift_panels(site: Site) -> DataFrame:
-    """Laney p-prime of each shift and lane: in-shift sum against the pre-window buckets."""
+    """Laney p-prime of each production shift and lane: in-shift sum against the pre-window buckets."""
+    return panels_of(site, calendar.production_shifts(site))
+
+
+def panels_of(site: Site, shifts: DataFrame) -> DataFrame:
     subs = subgroups(site)
-    shifts = calendar.production_shifts(site).select("line_id", "ord", "week")
-    current = current_observations(site, subs).join(shifts, ["line_id", "ord"])
+    current = current_observations(site, subs).join(shifts.select("line_id", "ord", "week"), ["line_id", "ord"])
     params = laney_params(pre_window_baseline(site, subs), [*PANEL, "week", "lane"]).filter("baseline_n >= 2")
     return with_limits(current.join(params, [*PANEL, "week", "lane"]))
 
@@ -537,10 +540,11 @@ def own_cutoff_panels(site: Site) -> DataFrame:
     return with_limits(current_observations(site, subs).join(params, [*PANEL, "ord", "lane"]))
 
 
-def shift_status(site: Site) -> DataFrame:
-    """Panels of shifts without a subgroup: last reset before the shift's end and its age."""
+def shift_status(site: Site, shifts: DataFrame | None = None) -> DataFrame:
+    """Panels of shifts (all production shifts) without a subgroup: last reset before the shift's end and its age."""
     subs, b = subgroups(site), site.bounds
-    shifts = calendar.production_shifts(site).join(site.panels_dim.select(*PANEL), "line_id").select(
+    shifts = calendar.production_shifts(site) if shifts is None else shifts
+    shifts = shifts.join(site.panels_dim.select(*PANEL), "line_id").select(
         *PANEL, "ord", shift_end(F.col("ord"), b).alias("end_us")
     )
     busy = in_shift(site, subs).select(*PANEL, "ord").distinct()
@@ -552,7 +556,7 @@ def shift_status(site: Site) -> DataFrame:
         idle.join(stamps, [*PANEL, "no"])
         .withColumn("gap_hours", round_even(gap, 1))
         .select(
-            *PANEL, shift_key(F.col("line_id"), F.col("ord")).alias("shift_key"), F.lit("no_shift_data").alias("status"),
+            *PANEL, "ord", shift_key(F.col("line_id"), F.col("ord")).alias("shift_key"), F.lit("no_shift_data").alias("status"),
             ts_text(F.col("last_us")).alias("last_reset"), "gap_hours",
             F.concat(F.when(days > 0, F.concat(days.cast("string"), F.lit("d "))).otherwise(F.lit("")),
                      hours.cast("string"), F.lit("h")).alias("age"),
@@ -560,11 +564,11 @@ def shift_status(site: Site) -> DataFrame:
     )
 
 
-def shift_ewma(site: Site) -> DataFrame:
-    """EWMA per shift that has a panel: last 30 subgroups up to the shift's end."""
+def shift_ewma(site: Site, panels: DataFrame | None = None) -> DataFrame:
+    """EWMA per shift that has a panel (of ``panels``, or of all): last 30 subgroups up to the shift's end."""
     b, subs = site.bounds, subgroups(site)
     weeks = calendar.weeks(site).select("line_id", "week", "oldest_ord")
-    anchors = shift_panels(site).select(*PANEL, "week", "ord").distinct().join(weeks, ["line_id", "week"]).select(
+    anchors = (shift_panels(site) if panels is None else panels).select(*PANEL, "week", "ord").distinct().join(weeks, ["line_id", "week"]).select(
         *PANEL, "ord", shift_end(F.col("ord"), b).alias("end_us"), shift_start(F.col("oldest_ord"), b).alias("base_us")
     )
     return ewma_series(site, subs, active_lanes(site, subs, drop_last=True), anchors, ["ord"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from shiftlens.oracle import ctes as q
 from shiftlens.oracle.ctes import (
     DAY, HOUR, MINUTE, SECOND, big, date_of, describe, ends, isoweek, limited, laney, odate, okey, olabel, ordinal,
@@ -168,17 +170,6 @@ _BODY["oee9_kpi_bands"] = f"""SELECT shift_key, kpi, value, prev_label, CASE WHE
  WITH x AS (SELECT *, lag(label) OVER (PARTITION BY line_id ORDER BY ord) AS prev_label FROM c_pentries) {_KPI})"""
 _BODY["oee9_week_deltas"] = "SELECT line_id, CAST(week AS INTEGER) AS week, " + ", ".join(
     f"{rnd(f'{c} - prior_{c}', 1)} AS {c}_dpp" for c in ("oee", "availability", "performance", "quality")) + " FROM c_week JOIN c_prior USING (line_id, week)"
-_BODY["oee10_shift_document"] = f"""SELECT e.shift_key, CASE WHEN ord % 2 = 1 THEN 'Night' ELSE 'Day' END || ' Shift — ' || shift_date || CASE WHEN ord % 2 = 1 THEN ' (19:00 – 07:00)' ELSE ' (07:00 – 19:00)' END AS label,
- {tstext(starts('ord'))} AS starts, {rnd('ideal_ppm', 1)} AS p95_ideal_ppm,
- CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = e.line_id AND s.ord BETWEEN e.ord - 4 AND e.ord) AS INTEGER) AS n_shifts,
- CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = e.line_id AND s.ord BETWEEN e.ord - 4 AND e.ord AND skipped) AS INTEGER) AS n_skipped,
- CAST((SELECT count(*) FROM c_segments g WHERE g.line_id = e.line_id) AS INTEGER) AS n_segments, 12 AS n_hours,
- CAST((SELECT count(*) FROM c_shout o WHERE o.line_id = e.line_id AND o.ord = e.ord) AS INTEGER) AS n_outliers FROM c_pentries e JOIN c_pideal USING (line_id, week)"""
-_BODY["oee11_week_document"] = """SELECT line_id, CAST(week AS INTEGER) AS week, oee, prior_oee,
- CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = w.line_id AND s.week = w.week) AS INTEGER) AS n_shifts,
- CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = w.line_id AND s.week = w.week AND skipped) AS INTEGER) AS n_skipped, 4 AS n_categories,
- CAST((SELECT count(*) FROM c_wkout s WHERE s.line_id = w.line_id AND s.week = w.week) AS INTEGER) AS n_outliers,
- CAST((SELECT count(DISTINCT panel) FROM c_series s WHERE s.line_id = w.line_id AND s.week = w.week) AS INTEGER) AS n_panels FROM c_week w JOIN c_prior USING (line_id, week)"""
 _BODY["oee12_oee_trend"] = """SELECT line_id, CAST(week AS INTEGER) AS week, CAST(row_number() OVER (PARTITION BY line_id, week ORDER BY ord) AS INTEGER) AS position, label, shift_type, oee, availability, performance, quality FROM c_entries"""
 
 _BODY["cau1_parse_faults"] = """SELECT line_id, start_id, coalesce(array_to_string(codes, ';'), '') AS codes,
@@ -294,8 +285,6 @@ _BODY["spc19_chart_lines"] = f"""SELECT line_id, panel, week, lane_no, {r6('mean
  SELECT line_id, panel, CAST(week AS INTEGER) AS week, CAST(lane_no AS INTEGER) AS lane_no, avg({rnd('ucl * 100', 3)}) AS mean_ucl_pct, any_value({rnd('p_bar * 100', 3)}) AS p_bar_pct FROM c_series GROUP BY 1, 2, 3, 4)"""
 _BODY["spc19_ewma_breaches"] = f"""SELECT line_id, panel, CAST(week AS INTEGER) AS week, CAST(lane_no AS INTEGER) AS lane_no, batch_idx, batch_label, ewma, ucl FROM (SELECT *, {_BATCH.format(t=ts('stamp_us'))} AS batch_label FROM c_wewma)
  SEMI JOIN (SELECT line_id, week, {olabel('ord')} AS batch_label FROM c_prod) USING (line_id, week, batch_label) WHERE ewma > ucl"""
-_BODY["spc20_spc_only"] = f"""SELECT line_id, {_SNAPKEY} AS snapshot_key, CAST((SELECT count(*) FROM c_prod p WHERE p.line_id = l.line_id AND week = 0) AS INTEGER) AS n_shifts,
- CAST((SELECT count(*) FROM c_detail d WHERE d.line_id = l.line_id AND week = 0) AS INTEGER) AS n_rows FROM c_latest l"""
 _BODY["spc21_attached_panels"] = "SELECT shift_key, coalesce((SELECT string_agg(panel, ',' ORDER BY panel) FROM (SELECT DISTINCT panel FROM c_shpan p WHERE p.line_id = e.line_id AND p.ord = e.ord)), '') AS panels FROM c_entries e"
 _BODY["spc22_flagged_lanes"] = f"""SELECT {K}, panel, coalesce(string_agg(CAST(lane_no AS VARCHAR), ', ' ORDER BY lane_no) FILTER (ooc), '') AS flagged, {r6(f"avg({rnd('p_bar * 100', 2)})")} AS avg_p_bar,
  any_value(baseline_n) AS baseline_subgroups FROM c_shpan GROUP BY line_id, ord, panel"""
@@ -353,10 +342,14 @@ for _n, _c in (
 ):
     _BODY[_n] = f"SELECT * FROM {_c}"
 for _n, _c, _cols in (
+    ("shifts", "c_t_shifts", ("ShiftKey", "LineId", "ShiftDate", "ShiftType", "Label", "OEE", "Availability", "Performance", "Quality", "RunningHours", "TotalStops", "TotalDowntimeHours", "LongestStopMin", "GoodCount", "TotalCount")),
     ("downtime_categories", "c_t_cats", ("ShiftKey", "Category", "Count", "Hours")),
     ("segment_downtime", "c_t_segs", ("ShiftKey", "Segment", "Count", "Hours", "HaltedHours", "StoppedHours")),
+    ("segment_clusters", "c_t_clus", ("ShiftKey", "Segment", "Cluster", "Count", "Hours", "HaltedHours", "StoppedHours")),
     ("top_stops", "c_t_top", ("ShiftKey", "Segment", "Cluster", "Label", "Count", "Hours")),
-    ("anomalies", "c_t_anom", ("ShiftKey", "Rank", "Segment", "Cluster", "CurrentShare", "ZScore")),
+    ("hourly_breakdown", "c_t_hour", ("ShiftKey", "HourLabel", "Segment", "SegmentLabel", "Minutes")),
+    ("hourly_clusters", "c_t_hclu", ("ShiftKey", "HourLabel", "HourIdx", "Segment", "Cluster", "Minutes")),
+    ("anomalies", "c_t_anom", ("ShiftKey", "Rank", "Segment", "Cluster", "CurrentShare", "BaselineMean", "ZScore", "Direction")),
 ):
     _BODY[f"exp1_flattened_{_n}"] = "SELECT " + ", ".join(f'"{c}"' for c in _cols) + f" FROM {_c}"
 q.cte("c_snaps", f"SELECT line_id, {_SNAPKEY} AS snapshot_key, {ts(f'reached_us // {15 * MINUTE} * {15 * MINUTE}')} AS snapshot_time FROM c_latest")
@@ -420,6 +413,70 @@ _BODY["mea12_segment_regroup"] = """SELECT "LineId", t."Segment", CAST(seg_order
  t JOIN c_segments g ON g.line_id = t."LineId" AND g.segment = t."Segment" """
 _BODY["s1_stream_append"] = "SELECT line_id, strftime(t_stamp, '%Y-%m-%d') AS day, count(*) AS samples FROM c_ppm GROUP BY 1, 2"
 
+# -- documents: a subject is computed even on an excluded day, so the steps run over the whole spine ----
+
+q.cte("c_all", "SELECT line_id, ord, week, latest_ord FROM c_spine")
+
+
+def _over_all(**steps: str) -> None:
+    """Copies of steps over every shift; ``new="old"``, in the order of their dependence."""
+    renamed = {"c_prod": "c_all"}
+    for new, old in steps.items():
+        sql = q.CTES[old]
+        for a, b in renamed.items():
+            sql = re.sub(rf"\b{a}\b", b, sql)
+        q.cte(new, sql)
+        renamed[old] = new
+
+
+_over_all(c_xcats="c_cats", c_xseg="c_seg", c_xclu="c_clu", c_xparts="c_parts", c_xoee="c_poee", c_xentries="c_pentries", c_xshout="c_shout", c_xshpan="c_shpan", c_xidle="c_idle", c_xsewma="c_sewma",
+          c_xt_top="c_t_top", c_xt_hour="c_t_hour", c_xt_hclu="c_t_hclu", c_xt_clus="c_t_clus")
+_FULL = f"""CASE WHEN ord % 2 = 1 THEN 'Night' ELSE 'Day' END || ' Shift — ' || {otext('ord')} || CASE WHEN ord % 2 = 1 THEN ' (19:00 – 07:00)' ELSE ' (07:00 – 19:00)' END"""
+_BODY["oee10_shift_document"] = f"""SELECT {K}, {_FULL} AS label, {tstext(starts('ord'))} AS starts, {tstext(ends('ord'))} AS ends, {tstext(ends('ord'))} AS generated_at, skipped AS day_excluded,
+ {rnd('ideal_ppm', 1)} AS p95_ideal_ppm, CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = e.line_id AND s.ord BETWEEN e.ord - 4 AND e.ord) AS INTEGER) AS n_shifts,
+ CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = e.line_id AND s.ord BETWEEN e.ord - 4 AND e.ord - 1 AND s.skipped) AS INTEGER) AS n_skipped,
+ (SELECT count(*) FROM c_members m WHERE m.line_id = e.line_id AND m.week = e.week) AS baseline_shifts FROM c_spine e LEFT JOIN c_pideal USING (line_id, week)"""
+_ENTRY = ("oee", "availability", "performance", "quality", "running_hours", "total_stops", "total_downtime_hours", "longest_stop_min", "good_count", "total_count")
+_BODY["oee10_document_rows"] = f"""SELECT {okey('a.ord', 'a.line_id')} AS shift_key, CAST(a.ord - s.ord AS INTEGER) AS position, {olabel('s.ord')} AS label, s.skipped AND s.ord < a.ord AS skipped,
+ {', '.join(f"CASE WHEN NOT (s.skipped AND s.ord < a.ord) THEN x.{c} END AS {c}" for c in _ENTRY)} FROM c_spine a JOIN c_spine s ON s.line_id = a.line_id AND s.ord BETWEEN a.ord - 4 AND a.ord
+ JOIN c_xentries x ON x.line_id = s.line_id AND x.ord = s.ord"""
+_BODY["oee10_excluded_subject"] = f"""SELECT x.* FROM (
+ SELECT {okey('ord')} AS "ShiftKey", 'oee' AS part, NULL AS a, NULL AS b, NULL AS c, {dbl('oee')} AS value FROM c_xentries UNION ALL
+ SELECT {okey('ord')}, 'category', category, NULL, CAST(count AS VARCHAR), {rnd('hours', 2)} FROM c_xcats UNION ALL SELECT {okey('ord')}, 'segment', segment, NULL, CAST(count AS VARCHAR), hours FROM c_xseg UNION ALL
+ SELECT "ShiftKey", 'cluster', "Segment", "Cluster", CAST("Count" AS VARCHAR), "Hours" FROM c_xt_clus UNION ALL SELECT "ShiftKey", 'stop', "Segment", "Cluster", "Label", "Hours" FROM c_xt_top UNION ALL
+ SELECT "ShiftKey", 'hour', "HourLabel", "Segment", NULL, "Minutes" FROM c_xt_hour UNION ALL SELECT "ShiftKey", 'hour_cluster', "HourLabel", "Segment", "Cluster", "Minutes" FROM c_xt_hclu UNION ALL
+ SELECT {okey('ord')}, 'outlier', segment, cluster, direction, z_score FROM c_xshout) x JOIN (SELECT {okey('ord')} AS k FROM c_spine WHERE skipped) ON k = "ShiftKey" """
+_BODY["oee10_panels"] = f"""SELECT {K}, panel, NULL AS status, CAST(count(*) AS INTEGER) AS n_lanes, any_value(baseline_n) AS baseline_subgroups, 100 AS baseline_subgroups_requested, {tstext('max(last_us)')} AS last_reset_timestamp,
+ CAST(NULL AS DOUBLE) AS gap_hours FROM c_xshpan GROUP BY line_id, ord, panel UNION ALL SELECT {K}, panel, 'no_shift_data', 0, 0, 100, {tstext('last_us')}, gap_hours FROM c_xidle"""
+_BODY["oee10_panel_lanes"] = f"""SELECT {K}, panel, CAST(lane_no AS INTEGER) AS lane_no, d AS rejects, CAST(round_even(n, 0) AS BIGINT) AS inspected, {rnd('rate * 100', 2)} AS rate_pct, {rnd('p_bar * 100', 2)} AS p_bar_pct,
+ {rnd('ucl * 100', 2)} AS ucl_pct, {rnd('lcl * 100', 2)} AS lcl_pct, ooc AS out_of_control FROM c_xshpan"""
+_BODY["oee10_panel_ewma"] = f"SELECT {K}, panel, batch_idx, {tstext('stamp_us')} AS t_stamp, CAST(lane_no AS INTEGER) AS lane_no, {rnd('rate', 2)} AS rate, ewma, ucl, lcl FROM c_xsewma"
+_PRIOR = ", ".join(f"prior_{c}" for c in ("from", "to", "oee", "availability", "performance", "quality"))
+_BODY["oee11_week_document"] = f"""SELECT line_id, CAST(week AS INTEGER) AS week, week_from, week_to, oee, availability, performance, quality, good_count, total_count, total_stops, total_downtime_hours, longest_stop_min,
+ production_shifts, excluded_shifts, {_PRIOR}, (SELECT count(DISTINCT p.week) FROM c_pprof p WHERE p.line_id = w.line_id AND p.week BETWEEN w.week + 1 AND w.week + 4) AS baseline_weeks FROM c_week w JOIN c_prior USING (line_id, week)"""
+q.cte("c_wpos", "SELECT *, CAST(row_number() OVER (PARTITION BY line_id, week ORDER BY ord DESC) - 1 AS INTEGER) AS position FROM c_spine")
+_BODY["oee11_week_shifts"] = f"""SELECT s.line_id, CAST(s.week AS INTEGER) AS week, position, {olabel('s.ord')} AS label, skipped, {', '.join(f'e.{c}' for c in _ENTRY)},
+ CASE WHEN NOT skipped THEN (SELECT count(*) FROM c_members m WHERE m.line_id = s.line_id AND m.week = s.week) END AS baseline_shifts FROM c_wpos s LEFT JOIN c_entries e USING (line_id, ord)"""
+for _n, _of in (("categories", "dt8_week_categories"), ("segments", "dt7_week_segments"), ("clusters", "dt7_week_clusters"), ("top_stops", "dt6_week_top_stops")):
+    _BODY[f"oee11_week_{_n}"] = _BODY[_of]
+_AT = "SELECT p.line_id, CAST(p.week AS INTEGER) AS week, position"
+_BODY["oee11_shift_categories"] = f"{_AT}, category, count, {rnd('hours', 2)} AS hours FROM c_cats c JOIN c_wpos p USING (line_id, ord)"
+_BODY["oee11_shift_segments"] = f"{_AT}, segment, count, hours, halted_hours, stopped_hours FROM c_seg c JOIN c_wpos p USING (line_id, ord)"
+_BODY["oee11_shift_clusters"] = f"{_AT}, segment, cluster, count, hours, halted_hours, stopped_hours FROM c_clu c JOIN c_wpos p USING (line_id, ord)"
+_BODY["oee11_week_outliers"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, {_OUT} FROM c_wkout"
+_BODY["oee11_shift_outliers"] = f"{_AT}, {_OUT} FROM c_shout o JOIN c_wpos p USING (line_id, ord)"
+_PTS = f"""panel, CAST(lane_no AS INTEGER) AS lane_no, {rnd('p_bar * 100', 3)} AS p_bar_pct, bool_or(ooc) OVER (PARTITION BY line_id, panel, week, lane) AS any_out_of_control,
+ CAST(dense_rank() OVER (PARTITION BY line_id, panel, week ORDER BY ord) - 1 AS INTEGER) AS position, {olabel('ord')} AS label, {rnd('rate * 100', 3)} AS rate_pct, {rnd('ucl * 100', 3)} AS ucl_pct, {rnd('lcl * 100', 3)} AS lcl_pct, ooc AS out_of_control"""
+_BODY["oee11_spc_points"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, {_PTS} FROM c_series"
+_BAT = f"panel, batch_idx, {tstext('stamp_us')} AS t_stamp, {_BATCH.format(t=ts('stamp_us'))} AS batch_label, CAST(lane_no AS INTEGER) AS lane_no, {rnd('rate', 2)} AS rate, ewma, ucl, lcl"
+_BODY["oee11_spc_ewma"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, {_BAT} FROM c_wewma"
+_BODY["oee11_spc_table"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, panel, {olabel('ord')} AS label, CAST(lane_no AS INTEGER) AS lane_no, rejects, rate_pct, ucl_pct, ooc, n_inspected, CAST(shift_idx AS INTEGER) AS shift_idx, p_bar_pct FROM c_detail"
+_BODY["spc20_spc_only"] = f"""SELECT line_id, snapshot_key, 'weekly-dashboard-spc' AS analysis_id, {tstext('reached_us')} AS generated_at, {otext('ord')} AS shift_date, {otype('ord')} AS shift_type, {olabel('ord')} AS label,
+ line_id || '|' || {olabel('ord')} AS line_shift_label, {isoweek(odate('ord'))} AS iso_week, {weeklabel(odate('ord'))} AS week_label, ord = s.latest_ord AS is_latest, skipped
+ FROM c_spine s JOIN c_latest l USING (line_id) JOIN c_snaps USING (line_id) WHERE week = 0"""
+_BODY["spc20_points"] = f"SELECT line_id, snapshot_key, {_PTS} FROM c_series JOIN c_snaps USING (line_id) WHERE week = 0"
+_BODY["spc20_ewma"] = f"SELECT line_id, snapshot_key, {_BAT} FROM c_wewma JOIN c_snaps USING (line_id) WHERE week = 0"
+
 q.cte("c_t_date", """SELECT DISTINCT shift_date AS "Date" FROM c_pentries""")
 _STAR = {
     "Shifts": "c_t_shifts", "DowntimeCategories": "c_t_cats", "SegmentDowntime": "c_t_segs", "SegmentClusters": "c_t_clus", "TopStops": "c_t_top", "HourlyBreakdown": "c_t_hour",

@@ -7,143 +7,110 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlens.config import SNAPSHOT_MINUTES, SNAPSHOT_RETENTION_DAYS
+from shiftlens.config import SNAPSHOT_MINUTES, SNAPSHOT_RETENTION_DAYS, SPC_BASELINE_BUCKETS
 from shiftlens.functions.columns import (
     MINUTE, floor_to, full_shift_label, round_even, shift_date_text, shift_end, shift_key,
     shift_label, shift_start, shift_type, ts_text,
 )
 from shiftlens.operators import anomalies, calendar, downtime, intervals, oee, spc
-from shiftlens.plans import star
+from shiftlens.plans import nested, star, week_documents
 from shiftlens.sources.site import Site
 
 KEY = ["line_id", "ord"]
 CONTEXT = 4  # earlier shifts in a shift document
 
 
-def _map(key: Column, value: Column) -> Column:
-    """Map of one group's rows; groups are bounded by the configured names."""
-    return F.map_from_entries(F.collect_list(F.struct(key, value)))
+def panel_variants(site: Site, subjects: DataFrame) -> DataFrame:
+    """spc_panels: {panel: variant} of each subject that has one.
+
+    A panel with subgroups in the shift has lanes and their EWMA; one without has the status
+    ``no_shift_data``, its last reset and the hours since; one too young for a baseline is left out.
+    """
+    group = [*KEY, "panel"]
+    rows = spc.panels_of(site, subjects)
+    pct = lambda c: round_even(F.col(c) * 100, 2)
+    lane = F.struct(
+        F.col("lane_no").alias("lane"), F.col("d").alias("rejects"), F.rint("n").cast("long").alias("inspected"), pct("rate").alias("rate_pct"),
+        pct("p_bar").alias("p_bar_pct"), pct("ucl").alias("ucl_pct"), pct("lcl").alias("lcl_pct"), F.col("ooc").alias("out_of_control"),
+    )
+    charted = rows.groupBy(*group).agg(
+        F.sort_array(F.collect_list(lane)).alias("lanes"), F.first("baseline_n").alias("baseline_subgroups"),
+        F.max(ts_text(F.col("last_us"))).alias("last_reset_timestamp"),
+    ).join(nested.ewma(spc.shift_ewma(site, rows), group), group, "left")
+    idle = spc.shift_status(site, subjects).select(
+        *group, "status", F.lit(0).cast("long").alias("baseline_subgroups"), F.col("last_reset").alias("last_reset_timestamp"), "gap_hours"
+    )
+    both = charted.unionByName(idle, allowMissingColumns=True).withColumn("baseline_subgroups_requested", F.lit(SPC_BASELINE_BUCKETS))
+    fields = ("status", "lanes", "baseline_subgroups", "baseline_subgroups_requested", "last_reset_timestamp", "gap_hours", "ewma")
+    return both.groupBy(*KEY).agg(nested.keyed("panel", F.struct(*fields)).alias("spc_panels"))
 
 
 def shift_details(site: Site) -> DataFrame:
-    """One row per production shift with all nested breakdowns."""
+    """One row per shift of the spine with all nested breakdowns: an excluded shift is computed as a subject too."""
+    subjects = calendar.spine(site)
     stops = intervals.flagged_stops(site)
     cells = star._cells(site)
-    cats = downtime.rounded_categories(downtime.categories(site, stops)).groupBy(*KEY).agg(
-        _map(F.col("category"), F.struct("count", "hours")).alias("downtime_categories")
+    every = downtime.hourly(site).join(subjects.select(*KEY), KEY)
+    per_cluster = every.filter(F.col("cluster").isNotNull()).groupBy(*KEY, "hour_idx", "hour_label", "segment", "cluster").agg(
+        round_even(F.sum("us") / F.lit(MINUTE), 1).alias("minutes")
     )
-    figures = F.struct("count", "hours", "halted_hours", "stopped_hours")
-    clus = downtime.clusters(site, cells).groupBy(*KEY, "segment").agg(_map(F.col("cluster"), figures).alias("clusters"))
-    segs = downtime.segments(site, cells).join(clus, [*KEY, "segment"], "left").groupBy(*KEY).agg(
-        _map(F.col("segment"), F.struct("count", "hours", "halted_hours", "stopped_hours", "clusters")).alias("segment_downtime")
+    out = anomalies.outliers_of(site, subjects)
+    parts = (
+        nested.categories(downtime.rounded_categories(downtime.categories(site, stops, subjects)), KEY),
+        nested.segments(downtime.segments(site, cells, subjects), downtime.clusters(site, cells, subjects), KEY),
+        nested.top_stops(downtime.top_stops(stops), KEY),
+        nested.hours(downtime.hourly_segments(every), per_cluster, KEY),
+        nested.outliers(out, KEY),
+        panel_variants(site, subjects),
     )
-    top = (
-        downtime.top_stops(stops).groupBy(*KEY, "segment", "cluster")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "label", "count", "hours"))).alias("labels"))
-        .groupBy(*KEY, "segment").agg(_map(F.col("cluster"), F.col("labels")).alias("clusters"))
-        .groupBy(*KEY).agg(_map(F.col("segment"), F.col("clusters")).alias("top_stops_by_cluster"))
-    )
-    hours = star._hours(site)
-    per_segment = downtime.hourly_segments(hours)
-    running = per_segment.filter("segment = 'running'").select(*KEY, "hour_idx", "hour_label", F.col("minutes").alias("running_min"))
-    stopped = per_segment.filter("segment <> 'running'").groupBy(*KEY, "hour_idx").agg(
-        _map(F.col("segment"), F.col("minutes")).alias("segments")
-    )
-    hourly = running.join(stopped, [*KEY, "hour_idx"], "left").groupBy(*KEY).agg(
-        F.sort_array(F.collect_list(F.struct("hour_idx", "hour_label", "running_min", F.map_entries("segments").alias("segments")))).alias("hourly_breakdown")
-    )
-    out = anomalies.shift_outliers(site).groupBy(*KEY).agg(
-        F.sort_array(F.collect_list(F.struct(
-            "rank", "cluster", "segment", "current_share", "baseline_mean", "z_score", "direction"
-        ))).alias("cluster_outliers")
-    )
-    panels = spc.shift_panels(site).groupBy(*KEY, "panel").agg(
-        F.sort_array(F.collect_list(F.struct(
-            F.col("lane_no").alias("lane"), F.col("d").alias("rejects"), F.rint("n").cast("long").alias("inspected"),
-            round_even(F.col("rate") * 100, 2).alias("rate_pct"), round_even(F.col("p_bar") * 100, 2).alias("p_bar_pct"),
-            round_even(F.col("ucl") * 100, 2).alias("ucl_pct"), round_even(F.col("lcl") * 100, 2).alias("lcl_pct"),
-            F.col("ooc").alias("out_of_control"),
-        ))).alias("lanes"),
-        F.first("baseline_n").alias("baseline_subgroups"),
-        F.max(ts_text(F.col("last_us"))).alias("last_reset_timestamp"),
-    ).groupBy(*KEY).agg(
-        _map(F.col("panel"), F.struct("lanes", "baseline_subgroups", "last_reset_timestamp")).alias("spc_panels")
-    )
-    frame = oee.shift_entries(site, "published")
-    for part in (cats, segs, top, hourly, out, panels):
+    frame = oee.subject_entries(site).join(anomalies.baseline_sizes(site).withColumnRenamed("n", "baseline_shifts"), ["line_id", "week"], "left")
+    for part in parts:
         frame = frame.join(part, KEY, "left")
     return frame
 
 
+ENTRY = ("oee", "availability", "performance", "quality", "running_hours", "total_stops", "total_downtime_hours",
+         "longest_stop_min", "good_count", "total_count")
+
+
 def shift_documents(site: Site) -> DataFrame:
-    """Each production shift with up to four earlier shifts; excluded ones are skipped rows."""
+    """Each shift with up to four earlier shifts; excluded ones are skipped rows, but never the subject itself."""
     details = site.stage("documents.shift_details", lambda: shift_details(site))
-    base = ["shift_date", "shift_type", "label", "oee", "availability", "performance", "quality",
-            "running_hours", "total_stops", "total_downtime_hours", "longest_stop_min", "good_count",
-            "total_count", "downtime_categories"]
-    rows = calendar.spine(site).select(*KEY, "skipped").join(details.select(*KEY, *base), KEY, "left").select(
-        *KEY, F.struct(
-            shift_date_text(F.col("ord")).alias("shift_date"), shift_type(F.col("ord")).alias("shift_type"),
-            shift_label(F.col("ord")).alias("label"), "skipped", *base[3:],
-        ).alias("row"),
-    )
-    context = rows.select(
-        "line_id", F.explode(F.sequence("ord", F.col("ord") + CONTEXT)).alias("subject"), "ord", "row"
-    ).groupBy("line_id", F.col("subject").alias("ord")).agg(
+    o = F.col("ord")
+    names = [shift_date_text(o).alias("shift_date"), shift_type(o).alias("shift_type"), shift_label(o).alias("label")]
+    known = calendar.spine(site).select(*KEY, "skipped").join(details.select(*KEY, *ENTRY, "downtime_categories"), KEY, "left")
+    figures = [F.col(c) for c in (*ENTRY, "downtime_categories")]
+    own = known.select(*KEY, F.struct(*names, F.lit(False).alias("skipped"), *figures).alias("own"))
+    shown = [F.when(~F.col("skipped"), c).alias(n) for c, n in zip(figures, (*ENTRY, "downtime_categories"), strict=True)]
+    rows = known.select(*KEY, F.struct(*names, "skipped", *shown).alias("row"))
+    earlier = F.sequence(F.col("ord") + 1, F.col("ord") + CONTEXT)
+    context = rows.select("line_id", F.explode(earlier).alias("subject"), "ord", "row").groupBy("line_id", F.col("subject").alias("ord")).agg(
         F.transform(
-            F.array_sort(
-                F.collect_list(F.struct(F.col("ord").alias("o"), "row")), lambda a, b: (b["o"] - a["o"]).cast("int")
-            ),
+            F.array_sort(F.collect_list(F.struct(F.col("ord").alias("o"), "row")), lambda a, b: (b["o"] - a["o"]).cast("int")),
             lambda x: x["row"],
-        ).alias("shifts")
+        ).alias("before")
+    )
+    detail = F.struct(
+        "segment_downtime", "top_stops_by_cluster", "hourly_breakdown", "cluster_outliers",
+        F.coalesce("baseline_shifts", F.lit(0)).alias("baseline_shifts"), "spc_panels",
     )
     ideal = oee.ideal_speed(site, "published")
-    o = F.col("ord")
     return (
-        details.join(context, KEY).join(ideal, ["line_id", "week"])
+        details.drop("shift_date", "shift_type").join(own, KEY).join(context, KEY, "left").join(ideal, ["line_id", "week"], "left")
+        .join(calendar.spine(site).select(*KEY, "skipped"), KEY)
         .select(
-            F.lit("shift-dashboard").alias("analysis_id"), "line_id", *[F.col(c) for c in ("shift_date", "shift_type")],
-            ts_text(shift_end(o, site.bounds)).alias("generated_at"),
+            F.lit("shift-dashboard").alias("analysis_id"), "line_id", *names[:2],
+            ts_text(shift_end(o, site.bounds)).alias("generated_at"), F.col("skipped").alias("day_excluded"),
             F.struct(
-                full_shift_label(o, site.bounds).alias("label"), F.col("shift_date"), F.col("shift_type"),
+                full_shift_label(o, site.bounds).alias("label"), *names[:2],
                 ts_text(shift_start(o, site.bounds)).alias("start"), ts_text(shift_end(o, site.bounds)).alias("end"),
             ).alias("latest_shift"),
-            round_even(F.col("ideal_ppm"), 1).alias("p95_ideal_ppm"), "shifts",
-            F.struct(
-                "segment_downtime", "top_stops_by_cluster", "hourly_breakdown", "cluster_outliers", "spc_panels"
-            ).alias("subject_detail"),
+            round_even(F.col("ideal_ppm"), 1).alias("p95_ideal_ppm"),
+            F.concat(F.array("own"), F.coalesce("before", F.array())).alias("shifts"), detail.alias("subject_detail"),
         )
     )
 
 
-def week_documents(site: Site) -> DataFrame:
-    """Per line and week: the roll-up, its prior week, its shifts, outliers and SPC panels."""
-    key = ["line_id", "week"]
-    entries = oee.shift_entries(site, "week")
-    week = oee.week_rollup(site, entries).join(oee.prior_week_rollup(site), key)
-    shifts = calendar.spine(site).select("line_id", "week", "ord", "skipped").join(
-        entries.drop("week", "is_latest"), ["line_id", "ord"], "left"
-    ).groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct(
-            "ord", shift_label(F.col("ord")).alias("label"), "skipped", "oee", "availability", "performance", "quality",
-            "running_hours", "total_stops", "total_downtime_hours",
-        )), asc=False).alias("shifts")
-    )
-    cats = downtime.week_categories(downtime.categories(site, intervals.flagged_stops(site))).groupBy(*key).agg(
-        _map(F.col("category"), F.struct("count", "hours")).alias("downtime_categories")
-    )
-    out = anomalies.week_outliers(site).groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct("rank", "segment", "cluster", "current_share", "baseline_mean", "z_score"))).alias("cluster_outliers")
-    )
-    lanes = star.week_lanes(site).groupBy(*key, "panel").agg(
-        F.sort_array(F.collect_list(F.struct("lane_no", "any_out_of_control"))).alias("lanes")
-    ).groupBy(*key).agg(_map(F.col("panel"), F.col("lanes")).alias("spc_panels"))
-    frame = week
-    for part in (shifts, cats, out, lanes):
-        frame = frame.join(part, key, "left")
-    return frame.withColumn("analysis_id", F.lit("weekly-dashboard"))
-
-
 def write_documents(docs: DataFrame, folder: str, by=("line_id", "shift_date", "shift_type")) -> None:
     """Nested JSON, one folder per key; a re-run replaces only the folders it computed."""
     docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(folder)
@@ -161,30 +128,46 @@ def subject_shifts(docs: DataFrame) -> DataFrame:
     return rows.filter((F.col("shift_date") == F.col("doc_date")) & (F.col("shift_type") == F.col("doc_type")))
 
 
-def flatten(docs: DataFrame) -> dict[str, DataFrame]:
-    """Detail tables from documents that were read back: maps and arrays to rows."""
+def subjects(docs: DataFrame) -> DataFrame:
+    """line_id, ShiftKey and the subject's row and details of each document."""
     key = F.concat_ws("|", "line_id", F.col("shift_date").cast("string"), "shift_type").alias("ShiftKey")
-    detail = F.col("subject_detail")
-    subject = subject_shifts(docs)
-    categories = subject.select(
-        F.concat_ws("|", "line_id", "doc_date", "doc_type").alias("ShiftKey"),
-        F.explode("downtime_categories").alias("Category", "v"),
-    ).select("ShiftKey", "Category", F.col("v.count").alias("Count"), F.col("v.hours").alias("Hours"))
-    segments = docs.select(key, F.explode(detail["segment_downtime"]).alias("Segment", "v")).select(
-        "ShiftKey", "Segment", F.col("v.count").alias("Count"), F.col("v.hours").alias("Hours"),
-        F.col("v.halted_hours").alias("HaltedHours"), F.col("v.stopped_hours").alias("StoppedHours"),
-    )
-    top = (
-        docs.select(key, F.explode(detail["top_stops_by_cluster"]).alias("Segment", "c"))
-        .select("ShiftKey", "Segment", F.explode("c").alias("Cluster", "items"))
-        .select("ShiftKey", "Segment", "Cluster", F.inline("items"))
-        .select("ShiftKey", "Segment", "Cluster", F.col("label").alias("Label"), F.col("count").alias("Count"), F.col("hours").alias("Hours"))
-    )
-    outliers = docs.select(key, F.inline(detail["cluster_outliers"])).select(
-        "ShiftKey", F.col("rank").alias("Rank"), F.col("segment").alias("Segment"), F.col("cluster").alias("Cluster"),
-        F.col("current_share").alias("CurrentShare"), F.col("z_score").alias("ZScore"),
-    )
-    return {"DowntimeCategories": categories, "SegmentDowntime": segments, "TopStops": top, "Anomalies": outliers}
+    return docs.select("line_id", key, F.col("shifts")[0].alias("own"), "subject_detail.*")
+
+
+def flatten(site: Site, docs: DataFrame) -> dict[str, DataFrame]:
+    """The eight detail tables from documents that were read back: maps and arrays to rows."""
+    names = F.broadcast(site.segments_dim.select("line_id", "segment", "segment_label"))
+    rows, keys = subjects(docs), ["line_id", "ShiftKey"]
+    own = rows.select(*keys, "own.*")
+    figures = [F.col(c).alias(t) for c, t in zip(nested.FIGURES, ("Count", "Hours", "HaltedHours", "StoppedHours"), strict=True)]
+    segment, cluster = F.col("segment").alias("Segment"), F.col("cluster").alias("Cluster")
+    shift_columns = {
+        "ShiftDate": "shift_date", "ShiftType": "shift_type", "Label": "label", "OEE": "oee", "Availability": "availability", "Performance": "performance",
+        "Quality": "quality", "RunningHours": "running_hours", "TotalStops": "total_stops", "TotalDowntimeHours": "total_downtime_hours",
+        "LongestStopMin": "longest_stop_min", "GoodCount": "good_count", "TotalCount": "total_count",
+    }
+    return {
+        "Shifts": own.select("ShiftKey", F.col("line_id").alias("LineId"), *[F.col(c).cast("string").alias(t) if t == "ShiftDate" else F.col(c).alias(t) for t, c in shift_columns.items()]),
+        "DowntimeCategories": nested.flat_categories(own, keys).select(
+            "ShiftKey", F.col("category").alias("Category"), F.col("count").alias("Count"), F.col("hours").alias("Hours")),
+        "SegmentDowntime": nested.flat_segments(rows, keys).select("ShiftKey", segment, *figures),
+        "SegmentClusters": nested.flat_clusters(rows, keys, names).select("ShiftKey", segment, cluster, *figures),
+        "TopStops": nested.flat_top_stops(rows, keys).select(
+            "ShiftKey", segment, cluster, F.col("label").alias("Label"), F.col("count").alias("Count"), F.col("hours").alias("Hours")),
+        "HourlyBreakdown": nested.flat_hours(rows, keys).join(names, ["line_id", "segment"], "left").select(
+            "ShiftKey", F.col("hour_label").alias("HourLabel"), segment, F.coalesce("segment_label", F.lit("Running")).alias("SegmentLabel"), F.col("minutes").alias("Minutes")),
+        "HourlyClusters": nested.flat_hour_clusters(rows, keys, names).select(
+            "ShiftKey", F.col("hour_label").alias("HourLabel"), F.col("hour_idx").alias("HourIdx"), segment, cluster, F.col("minutes").alias("Minutes")),
+        "Anomalies": nested.flat_outliers(rows, keys).select(
+            "ShiftKey", F.col("rank").alias("Rank"), segment, cluster, F.col("current_share").alias("CurrentShare"),
+            F.col("baseline_mean").alias("BaselineMean"), F.col("z_score").alias("ZScore"), F.col("direction").alias("Direction")),
+    }
+
+
+def flat_panels(docs: DataFrame) -> DataFrame:
+    """ShiftKey, panel and the variant of each panel of each document."""
+    rows = subjects(docs).select("ShiftKey", F.explode("spc_panels").alias("panel", "v"))
+    return rows.select("ShiftKey", "panel", "v.*")
 
 
 def read_named_documents(spark: SparkSession, folder: str, schema) -> DataFrame:
@@ -214,20 +197,21 @@ def retained(keys: DataFrame, now_us: Column) -> DataFrame:
 
 
 def spc_snapshot(site: Site) -> DataFrame:
-    """SPC-only result of the latest week: the shift list and the panels' detail rows."""
-    latest = calendar.latest_shift(site).select("line_id", snapshot_key(F.col("reached_us")).alias("snapshot_key"))
-    shifts = calendar.labelled_spine(site).filter((F.col("week") == 0) & ~F.col("skipped")).groupBy("line_id").agg(
+    """SPC-only result of the latest week: the shift list (excluded ones marked) and whole panels.
+
+    Nothing here reaches a stop, a speed or a quality figure.
+    """
+    latest = calendar.latest_shift(site).select(
+        "line_id", snapshot_key(F.col("reached_us")).alias("snapshot_key"), ts_text(F.col("reached_us")).alias("generated_at")
+    )
+    shifts = calendar.labelled_spine(site).filter("week = 0").groupBy("line_id").agg(
         F.sort_array(F.collect_list(F.struct(
-            "ord", "shift_date", "shift_type", "label", "line_shift_label", "iso_week", "week_label", "is_latest"
+            "ord", "shift_date", "shift_type", "label", "line_shift_label", "iso_week", "week_label", "is_latest", "skipped"
         ))).alias("shifts")
     )
-    rows = spc.weekly_detail(site).filter("week = 0").withColumn("label", shift_label(F.col("ord")))
-    panels = rows.groupBy("line_id").agg(
-        F.collect_list(F.struct(
-            "panel", "label", "lane_no", "rejects", "rate_pct", "ucl_pct", "ooc", "n_inspected", "shift_idx", "p_bar_pct"
-        )).alias("spc")
-    )
-    return latest.join(shifts, "line_id").join(panels, "line_id", "left")
+    panels = week_documents.panels(site).filter("week = 0").drop("week")
+    head = latest.withColumn("analysis_id", F.lit("weekly-dashboard-spc"))
+    return head.join(shifts, "line_id").join(panels, "line_id", "left")
 
 
 def write_snapshot(snapshot: DataFrame, folder: str, now_us: int | None = None) -> None:
@@ -274,7 +258,7 @@ def snapshot_tables(site: Site, docs: DataFrame) -> dict[str, DataFrame]:
         F.date_format("snapshot_time", "MMM d, h:mm a").alias("SnapshotLabel"),
         (F.col("snapshot_key") == F.lit(newest)).cast("int").alias("IsLatestSnapshot"),
     )
-    shift_rows = docs.select("snapshot_key", "line_id", "Line", F.inline("shifts"))
+    shift_rows = docs.select("snapshot_key", "line_id", "Line", F.inline("shifts")).filter("NOT skipped")
     shifts = shift_rows.select(
         F.concat("snapshot_key", F.lit("|"), shift_key(F.col("line_id"), F.col("ord"))).alias("ShiftKey"),
         F.col("snapshot_key").alias("SnapshotKey"), F.col("line_id").alias("LineId"), "Line",
@@ -284,9 +268,8 @@ def snapshot_tables(site: Site, docs: DataFrame) -> dict[str, DataFrame]:
     )
     latest = shift_rows.filter("is_latest").select("snapshot_key", "line_id", F.col("label").alias("latest_label"))
     panel_names = F.broadcast(site.panels_dim.select("line_id", "panel", "panel_short"))
-    spc_rows = docs.select("snapshot_key", "line_id", "Line", F.inline("spc")).join(
-        panel_names, ["line_id", "panel"]
-    ).join(latest, ["snapshot_key", "line_id"], "left")
+    rows = week_documents.flat_table(docs, ["snapshot_key", "line_id", "Line"])
+    spc_rows = rows.join(panel_names, ["line_id", "panel"]).join(latest, ["snapshot_key", "line_id"], "left")
     spc_table = spc_rows.select(
         F.col("snapshot_key").alias("SnapshotKey"), F.col("line_id").alias("LineId"), "Line",
         F.col("panel_short").alias("Panel"), F.col("label").alias("ShiftLabel"),

@@ -14,7 +14,7 @@ from shiftlens.functions import columns as C
 from shiftlens.operators import (
     anomalies, attribution, calendar, downtime, ingest, intervals, measures, oee, schedule, spc,
 )
-from shiftlens.plans import documents, star
+from shiftlens.plans import documents, nested, star, week_documents
 from shiftlens.sources import historian
 from shiftlens.sources.site import Site, union_all
 from shiftlens.streaming import ingest as stream
@@ -95,9 +95,24 @@ def _documents(s: Site) -> DataFrame:
     return s.stage("documents.read_back", make)
 
 
+def _published(s: Site) -> DataFrame:
+    """Documents of production shifts; those of excluded days exist on request only."""
+    return _documents(s).filter(~F.col("day_excluded"))
+
+
+def _weeks(s: Site) -> DataFrame:
+    def make() -> DataFrame:
+        docs = week_documents.week_documents(s)
+        folder = f"{s._stage.root}/week_documents"
+        documents.write_documents(docs, folder, by=week_documents.KEY)
+        return documents.read_documents(s.spark, folder, docs.schema)
+
+    return s.stage("week_documents.read_back", make)
+
+
 @query
 def src4_document_scan(s: Site) -> DataFrame:
-    return documents.subject_shifts(_documents(s)).select(
+    return documents.subject_shifts(_published(s)).select(
         F.concat_ws("|", "line_id", "doc_date", "doc_type").alias("shift_key"), "label", "oee", "total_stops",
         "total_downtime_hours",
     )
@@ -118,14 +133,14 @@ def _snapshots(s: Site) -> DataFrame:
 
 @query
 def src5_snapshot_scan(s: Site) -> DataFrame:
-    return _snapshots(s).select("line_id", "snapshot_key", F.inline("shifts")).select(
+    return _snapshots(s).select("line_id", "snapshot_key", F.inline("shifts")).filter("NOT skipped").select(
         "line_id", "snapshot_key", "label", "is_latest"
     )
 
 
 @query
 def snk1_json_sink(s: Site) -> DataFrame:
-    return _documents(s).groupBy("line_id").agg(
+    return _published(s).groupBy("line_id").agg(
         F.count(F.lit(1)).alias("documents"), F.sum(F.size("shifts")).alias("shift_rows")
     )
 
@@ -166,7 +181,7 @@ def snk3_sink_retention(s: Site) -> DataFrame:
         older = snap.drop("snapshot_key").join(days.select("line_id", key.alias("snapshot_key")), "line_id")
         documents.write_documents(older.select(snap.columns), folder, by=("line_id", "snapshot_key"))
         documents.write_snapshot(snap, folder, now_us=reached.agg(F.max("reached_us")).first()[0])
-        return documents.read_snapshots(s.spark, folder, snap.schema).select("line_id", "snapshot_key", F.size("shifts").alias("n_shifts"))
+        return documents.read_snapshots(s.spark, folder, snap.schema).select("line_id", "snapshot_key", F.size(F.filter("shifts", lambda x: ~x["skipped"])).alias("n_shifts"))
 
     return s.stage("snapshots.retained", make)
 
@@ -570,25 +585,98 @@ def oee9_week_deltas(s: Site) -> DataFrame:
 
 @query
 def oee10_shift_document(s: Site) -> DataFrame:
-    detail = F.col("subject_detail")
-    return documents.shift_documents(s).select(
+    """Head of every shift document that was read back, excluded days among them."""
+    return _documents(s).select(
         F.concat_ws("|", "line_id", "shift_date", "shift_type").alias("shift_key"), F.col("latest_shift.label").alias("label"),
-        F.col("latest_shift.start").alias("starts"), "p95_ideal_ppm", F.size("shifts").alias("n_shifts"),
-        F.size(F.filter("shifts", lambda x: x["skipped"])).alias("n_skipped"),
-        F.size(detail["segment_downtime"]).alias("n_segments"), F.size(detail["hourly_breakdown"]).alias("n_hours"),
-        F.coalesce(F.size(detail["cluster_outliers"]), F.lit(0)).alias("n_outliers"),
+        F.col("latest_shift.start").alias("starts"), F.col("latest_shift.end").alias("ends"), "generated_at", "day_excluded", "p95_ideal_ppm",
+        F.size("shifts").alias("n_shifts"), F.size(F.filter("shifts", lambda x: x["skipped"])).alias("n_skipped"),
+        F.col("subject_detail.baseline_shifts").alias("baseline_shifts"),
     )
 
 
+@query
+def oee10_document_rows(s: Site) -> DataFrame:
+    """The subject's row and the rows before it, newest first, of every document."""
+    rows = _documents(s).select(F.concat_ws("|", "line_id", "shift_date", "shift_type").alias("shift_key"), F.posexplode("shifts").alias("position", "r"))
+    return rows.select("shift_key", "position", F.col("r.label").alias("label"), F.col("r.skipped").alias("skipped"), *[F.col(f"r.{c}").alias(c) for c in documents.ENTRY])
+
+
+@query
+def oee10_excluded_subject(s: Site) -> DataFrame:
+    """All nested figures of the documents whose own day is excluded, one row per figure."""
+    t = documents.flatten(s, _documents(s).filter("day_excluded"))
+    none, text = F.lit(None), lambda c: F.col(c).cast("string")
+    row = lambda df, part, a, b, c, v: df.select("ShiftKey", F.lit(part).alias("part"), a.cast("string").alias("a"), b.cast("string").alias("b"), c.cast("string").alias("c"), v.cast("double").alias("value"))
+    return union_all([
+        row(t["Shifts"], "oee", none, none, none, F.col("OEE")), row(t["DowntimeCategories"], "category", text("Category"), none, text("Count"), F.col("Hours")),
+        row(t["SegmentDowntime"], "segment", text("Segment"), none, text("Count"), F.col("Hours")), row(t["SegmentClusters"], "cluster", text("Segment"), text("Cluster"), text("Count"), F.col("Hours")),
+        row(t["TopStops"], "stop", text("Segment"), text("Cluster"), text("Label"), F.col("Hours")), row(t["HourlyBreakdown"], "hour", text("HourLabel"), text("Segment"), none, F.col("Minutes")),
+        row(t["HourlyClusters"], "hour_cluster", text("HourLabel"), text("Segment"), text("Cluster"), F.col("Minutes")),
+        row(t["Anomalies"], "outlier", text("Segment"), text("Cluster"), text("Direction"), F.col("ZScore")),
+    ])
+
+
+@query
+def oee10_panels(s: Site) -> DataFrame:
+    """The variant of each SPC panel of each document: charted, or without data in the shift."""
+    return documents.flat_panels(_documents(s)).select(
+        F.col("ShiftKey").alias("shift_key"), "panel", "status", F.coalesce(F.size("lanes"), F.lit(0)).alias("n_lanes"), "baseline_subgroups",
+        "baseline_subgroups_requested", "last_reset_timestamp", "gap_hours",
+    ).withColumn("n_lanes", F.greatest("n_lanes", F.lit(0)))
+
+
+@query
+def oee10_panel_lanes(s: Site) -> DataFrame:
+    rows = documents.flat_panels(_documents(s)).select(F.col("ShiftKey").alias("shift_key"), "panel", F.inline("lanes"))
+    return rows.withColumnRenamed("lane", "lane_no")
+
+
+@query
+def oee10_panel_ewma(s: Site) -> DataFrame:
+    rows = documents.flat_panels(_documents(s)).filter("ewma IS NOT NULL").withColumnRenamed("ShiftKey", "shift_key")
+    return nested.flat_ewma(rows, ["shift_key", "panel"]).drop("batch_label")
+
+
 @query
 def oee11_week_document(s: Site) -> DataFrame:
-    return documents.week_documents(s).select(
-        "line_id", "week", "oee", "prior_oee", F.size("shifts").alias("n_shifts"),
-        F.size(F.filter("shifts", lambda x: x["skipped"])).alias("n_skipped"),
-        F.size("downtime_categories").alias("n_categories"),
-        F.coalesce(F.when(F.col("cluster_outliers").isNotNull(), F.size("cluster_outliers")), F.lit(0)).alias("n_outliers"),
-        F.coalesce(F.when(F.col("spc_panels").isNotNull(), F.size("spc_panels")), F.lit(0)).alias("n_panels"),
-    )
+    return week_documents.flat_summary(_weeks(s))
+
+
+@query
+def oee11_week_shifts(s: Site) -> DataFrame:
+    return week_documents.flat_shifts(_weeks(s)).select("line_id", "week", "position", "label", "skipped", *week_documents.ENTRY, F.col("anomalies.baseline_shifts").alias("baseline_shifts"))
+
+
+_SHIFT = ["line_id", "week", "position"]
+for _name, _flat in (("categories", nested.flat_categories), ("segments", nested.flat_segments), ("clusters", nested.flat_clusters), ("top_stops", nested.flat_top_stops)):
+    QUERIES[f"oee11_week_{_name}"] = lambda s, f=_flat: f(_weeks(s).select("line_id", "week", "body.*"), ["line_id", "week"])
+for _name, _flat in (("categories", nested.flat_categories), ("segments", nested.flat_segments), ("clusters", nested.flat_clusters)):
+    QUERIES[f"oee11_shift_{_name}"] = lambda s, f=_flat: f(week_documents.flat_shifts(_weeks(s)), _SHIFT)
+
+
+@query
+def oee11_week_outliers(s: Site) -> DataFrame:
+    return nested.flat_outliers(_weeks(s).select("line_id", "week", "body.anomalies.*"), ["line_id", "week"])
+
+
+@query
+def oee11_shift_outliers(s: Site) -> DataFrame:
+    return nested.flat_outliers(week_documents.flat_shifts(_weeks(s)).select(*_SHIFT, "anomalies.*"), _SHIFT)
+
+
+@query
+def oee11_spc_points(s: Site) -> DataFrame:
+    return week_documents.flat_points(_weeks(s), ["line_id", "week"])
+
+
+@query
+def oee11_spc_ewma(s: Site) -> DataFrame:
+    return week_documents.flat_ewma(_weeks(s), ["line_id", "week"])
+
+
+@query
+def oee11_spc_table(s: Site) -> DataFrame:
+    return week_documents.flat_table(_weeks(s), ["line_id", "week"])
 
 
 @query
@@ -953,7 +1041,7 @@ def spc15_ewma(s: Site) -> DataFrame:
 
 @query
 def spc16_shift_panel(s: Site) -> DataFrame:
-    return spc.shift_status(s).drop("line_id", "age")
+    return spc.shift_status(s).drop("line_id", "ord", "age")
 
 
 @query
@@ -991,10 +1079,19 @@ def spc19_ewma_breaches(s: Site) -> DataFrame:
 
 @query
 def spc20_spc_only(s: Site) -> DataFrame:
-    return documents.spc_snapshot(s).select(
-        "line_id", "snapshot_key", F.size("shifts").alias("n_shifts"),
-        F.coalesce(F.when(F.col("spc").isNotNull(), F.size("spc")), F.lit(0)).alias("n_rows"),
-    )
+    """The shift list of the SPC-only result, excluded shifts marked."""
+    rows = _snapshots(s).select("line_id", "snapshot_key", "analysis_id", "generated_at", F.inline("shifts"))
+    return rows.drop("ord")
+
+
+@query
+def spc20_points(s: Site) -> DataFrame:
+    return week_documents.flat_points(_snapshots(s), ["line_id", "snapshot_key"])
+
+
+@query
+def spc20_ewma(s: Site) -> DataFrame:
+    return week_documents.flat_ewma(_snapshots(s), ["line_id", "snapshot_key"])
 
 
 @query
@@ -1053,8 +1150,8 @@ for _group, _names in (("exp1", _EXP1), ("exp2", _EXP2), ("exp4", ("Lines",))):
         QUERIES[f"{_group}_{_snake(_name)}"] = star.TABLES[_name]
 
 
-for _name in ("DowntimeCategories", "SegmentDowntime", "TopStops", "Anomalies"):
-    QUERIES[f"exp1_flattened_{_snake(_name)}"] = lambda s, n=_name: documents.flatten(_documents(s))[n]
+for _name in _EXP1:
+    QUERIES[f"exp1_flattened_{_snake(_name)}"] = lambda s, n=_name: documents.flatten(s, _published(s))[n]
 
 
 @query
