@@ -80,7 +80,10 @@ class Network:
     """One hidden layer on standardised features; its output is a log-odds."""
 
     def __init__(self, x: np.ndarray, rng: np.random.Generator):
-        self.mean, self.std = x.mean(axis=0), x.std(axis=0) + 1e-3
+        self.mean = x.mean(axis=0, dtype=np.float64)
+        # a few rows at a time: the driver holds the samples in single precision only
+        off = sum(((x[at : at + BATCH] - self.mean) ** 2).sum(axis=0) for at in range(0, len(x), BATCH))
+        self.std = np.sqrt(off / len(x)) + 1e-3
         self.weights = [rng.normal(0, (2 / WIDTH) ** 0.5, (WIDTH, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
         self.moments = [(np.zeros_like(w), np.zeros_like(w)) for w in self.weights]
         self.steps = 0
@@ -110,11 +113,12 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(z / 2))
 
 
-def batches_of(p: np.ndarray, u: np.ndarray, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """STEPS pairs of batches, each sample in random order again and again."""
+def batches_of(net: Network, p: np.ndarray, u: np.ndarray, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """STEPS pairs of scaled batches, each sample in random order again and again."""
     def endless(x: np.ndarray) -> Iterator[np.ndarray]:
         while True:
-            yield from np.array_split(x[rng.permutation(len(x))], -(-len(x) // BATCH))
+            for rows in np.array_split(rng.permutation(len(x)), -(-len(x) // BATCH)):
+                yield net.scaled(x[rows])
 
     for _, a, b in zip(range(STEPS), endless(p), endless(u), strict=False):
         yield a, b
@@ -123,7 +127,7 @@ def batches_of(p: np.ndarray, u: np.ndarray, rng: np.random.Generator) -> Iterat
 def tell_apart(p: np.ndarray, u: np.ndarray, rng: np.random.Generator) -> Network:
     """Positives against unlabelled text, both of weight one half, by logistic loss."""
     net = Network(np.concatenate([p, u]), rng)
-    for a, b in batches_of(net.scaled(p), net.scaled(u), rng):
+    for a, b in batches_of(net, p, u, rng):
         odds = sigmoid(net(np.concatenate([a, b])))
         net.learn(np.concatenate([(odds[: len(a)] - 1) / (2 * len(a)), odds[len(a) :] / (2 * len(b))]))
     return net
@@ -154,7 +158,7 @@ def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None, seed: int = SE
     rng = np.random.default_rng(seed)
     prior = estimated_prior(p, u, rng) if prior is None else float(np.clip(prior, 0.01, 0.99))
     net = Network(u, rng)
-    for a, b in batches_of(net.scaled(p), net.scaled(u), rng):
+    for a, b in batches_of(net, p, u, rng):
         z = net(np.concatenate([a, b]))
         odds, n = sigmoid(z), len(a)
         loss = np.logaddexp(0, z)  # of a row taken as negative
@@ -183,8 +187,11 @@ def samples(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[n
     chosen = drawn[0].unionByName(drawn[1]).withColumnRenamed("doc_id", "_id")  # twice ``sample`` rows at most
     rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "trusted", F.col("text").cast("binary"))
     table = rows.mapInArrow(feature_rows, "doc_id long, trusted boolean, features binary").toArrow().sort_by("doc_id")
-    x = np.frombuffer(b"".join(table["features"].to_pylist()), dtype=np.float32).reshape(-1, WIDTH).astype(np.float64)
     trusted = np.array(table["trusted"].to_pylist(), dtype=bool)
+    x = np.empty((len(trusted), WIDTH), dtype=np.float32)
+    for i, row in enumerate(table["features"]):
+        x[i] = np.frombuffer(row.as_buffer(), dtype=np.float32)
+    del table
     return x[trusted], x[~trusted]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import chat, decontaminate, mixing, neardup, neighbours, quality, repeats, sharding, tokens, warc
+from shiftlens.llm import align, chat, decontaminate, merkle, mixing, neardup, neighbours, pivots, quality, repeats, sharding, tokens, warc
 
 
 def tokenizer(name: str) -> str:
@@ -60,6 +60,18 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.grouped(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digest(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.linked(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
@@ -71,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_neardup": op10_neardup,
+    "op11_alignment": op11_alignment,
+    "op12_manifest": op12_manifest,
+    "op13_pivots": op13_pivots,
 }
 
-SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op4_warc": warc.SQL, "op5_chat": chat.SQL, "op8_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op2_decontaminate": decontaminate.SQL, "op4_warc": warc.SQL, "op5_chat": chat.SQL, "op8_mixing": mixing.SQL, "op12_manifest": merkle.SQL}

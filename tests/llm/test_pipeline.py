@@ -32,7 +32,7 @@ def test_queries_with_sql(spark, name):
 def test_registered():
     found = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(found) and set(SQL) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_follow_their_operators(spark, tmp_path):
