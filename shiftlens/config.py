@@ -41,6 +41,7 @@ TOP_STOPS = 5
 SPC_LOOKBACK_DAYS = 75
 SPC_MIN_INSPECTED = 100
 SPC_BASELINE_BUCKETS = 100
+LAST_BATCH_GAP_HOURS = 12
 SPC_D2 = 1.128  # moving-range constant for pairs
 SPC_SIGMA_FLOOR = 0.01
 EWMA_LAMBDA = 0.2

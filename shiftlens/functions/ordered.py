@@ -11,7 +11,7 @@ A chunk that still holds too many rows is hot: it is cut again into one-second c
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -214,43 +214,51 @@ def intervals_hit(
 
 
 def exact_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, q: float, accuracy: int = 10_000
+    df: DataFrame, keys: Sequence[str], value: str, q: float, stage: Callable[[str, Callable[[], DataFrame]], DataFrame], bins: int = 1024
 ) -> DataFrame:
-    """Exact interpolated percentile per key, without gathering a key in one task.
+    """Exact interpolated percentile per key, without gathering or ordering a key in one task.
 
-    A mergeable sketch, whose rank error is at most 1/accuracy, brackets the two ranks around the
-    percentile.  Everything below the bracket is only counted; the values inside it (about one in a
-    thousand rows) are counted by value and put in order.  A key with few rows needs no bracket.
+    The two ranks around the percentile are searched by range: a histogram of the range counts its rows in
+    ``bins`` bins (combined on the map side), the bin that holds the rank becomes the range, and so on until
+    the range is one value.  A range shrinks by a factor of ``bins`` each round; what leaves a round is one row
+    per key and rank, which ``stage(name, make)`` keeps.  Bounds of all open ranges reach the scan as literals.
     """
-    keys = list(keys)
-    slack = 3 / accuracy
-    marks = F.percentile_approx(value, [max(q - slack, 0.0), min(q + slack, 1.0)], accuracy)
-    # One row per key of the report.
-    few = F.col("total") <= 5 * accuracy
-    bounds = df.groupBy(*keys).agg(
-        F.count(value).alias("total"), marks.alias("marks"), F.min(value).alias("v_min"), F.max(value).alias("v_max")
-    ).select(
-        *keys, "total", F.when(few, F.col("v_min")).otherwise(F.col("marks")[0]).alias("v_lo"),
-        F.when(few, F.col("v_max")).otherwise(F.col("marks")[1]).alias("v_hi"),
-    )
-    near = (
-        df.join(F.broadcast(bounds), keys).filter(F.col(value) <= F.col("v_hi"))
-        .groupBy(*keys, "total", F.when(F.col(value) >= F.col("v_lo"), F.col(value)).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = W.partitionBy(*keys).orderBy(F.asc_nulls_first("v")).rowsBetween(W.unboundedPreceding, 0)
+    keys, v = list(keys), F.col(value)
+    df = df.select(*keys, value)
     position = (F.col("total") - 1) * F.lit(q)
-    ranked = near.withColumn("upto", F.sum("n").over(upto)).withColumn("position", position)
-
-    def at(rank: Column) -> Column:
-        here = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-        return F.max(F.when(here, F.col("v")))
-
-    return (
-        ranked.groupBy(*keys)
-        .agg(
-            at(F.floor("position")).alias("lo"), at(F.ceil("position")).alias("hi"),
-            F.first(F.col("position") - F.floor("position")).alias("part"),
+    ranks = F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position))))
+
+    def begin() -> DataFrame:
+        sums = df.groupBy(*keys).agg(F.count(value).alias("total"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+        return sums.filter("total > 0").select(*keys, "total", ranks.alias("rank"), F.lit(0).cast("long").alias("below"), "lo", "hi")
+
+    def narrowed(state: DataFrame, low: float, high: float) -> DataFrame:
+        ranges = state.filter("lo < hi")
+        # halves, so that the width of any range is finite; every step of the formula is monotone in the value
+        part = (v / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * bins
+        cells = (
+            df.filter(v.between(low, high)).join(F.broadcast(ranges), keys).filter(v.between(F.col("lo"), F.col("hi")))
+            .groupBy(*keys, "rank", F.least(F.floor(part), F.lit(bins - 1)).alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
         )
-        .select(*keys, (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("percentile"))
-    )
+        lists = cells.groupBy(*keys, "rank").agg(F.array_sort(F.collect_list(F.struct("bin", "n", "lo", "hi"))).alias("cells"))
+        wanted = F.col("rank") - F.col("below")
+
+        def seek(found: Column, cell: Column) -> Column:
+            here = F.struct(found["below"].alias("below"), F.lit(True).alias("done"), cell["lo"].alias("lo"), cell["hi"].alias("hi"))
+            on = F.struct((found["below"] + cell["n"]).alias("below"), F.lit(False).alias("done"), found["lo"].alias("lo"), found["hi"].alias("hi"))
+            return F.when(found["done"], found).when(found["below"] + cell["n"] > wanted, here).otherwise(on)
+
+        none = F.lit(None).cast("double")
+        start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(False).alias("done"), none.alias("lo"), none.alias("hi"))
+        picked = ranges.drop("lo", "hi").join(lists, [*keys, "rank"]).withColumn("f", F.aggregate("cells", start, seek))
+        next_ = picked.select(*keys, "total", "rank", (F.col("below") + F.col("f.below")).alias("below"), "f.lo", "f.hi")
+        return state.filter("lo >= hi").unionByName(next_)
+
+    state, step = stage("0", begin), 0
+    while (edge := state.filter("lo < hi").agg(F.min("lo"), F.max("hi")).first())[0] is not None:
+        step += 1
+        state = stage(str(step), lambda now=state, edge=edge: narrowed(now, *edge))
+    lo, hi = F.min_by("lo", "rank"), F.max_by("lo", "rank")
+    ends = state.groupBy(*keys).agg(lo.alias("lo"), hi.alias("hi"), F.first("total").alias("total"))
+    return ends.select(*keys, (F.col("lo") + (F.col("hi") - F.col("lo")) * (position - F.floor(position))).alias("percentile"))

@@ -87,13 +87,10 @@ def ideal_speed(site: Site, span: str) -> DataFrame:
         .join(checked_broadcast(window.drop("latest_ord")), ["line_id", "week"])
         .filter(F.col("ord").between(F.col("lo"), F.col("hi")))
     )
-    found = exact_percentile(samples, ["line_id", "week"], "ppm", 0.95)
+    found = exact_percentile(samples, ["line_id", "week"], "ppm", 0.95, lambda name, make: site.stage(f"oee.ideal_speed.{span}.{name}", make))
     # exact_percentile has a row for every window with samples
-    ideal = F.when(F.col("n").isNull(), F.lit(DEFAULT_IDEAL_PPM)).otherwise(
-        F.coalesce("percentile", F.raise_error(F.lit("the bracket missed the percentile")).cast("double"))
-    )
-    return window.select("line_id", "week").join(found.withColumn("n", F.lit(1)), ["line_id", "week"], "left").select(
-        "line_id", "week", ideal.alias("ideal_ppm")
+    return window.select("line_id", "week").join(found, ["line_id", "week"], "left").select(
+        "line_id", "week", F.coalesce("percentile", F.lit(DEFAULT_IDEAL_PPM)).alias("ideal_ppm")
     )
 
 

@@ -6,19 +6,19 @@ only reset detection, lane lookup and the peak lookup touch large data, each wit
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shiftlens.config import (
-    EWMA_L, EWMA_LAMBDA, EWMA_STD_FLOOR, EWMA_WINDOW, MIDDAY_HOUR, SPC_BASELINE_BUCKETS, SPC_D2,
-    SPC_MIN_INSPECTED, SPC_SIGMA_FLOOR,
+    EWMA_L, EWMA_LAMBDA, EWMA_STD_FLOOR, EWMA_WINDOW, LAST_BATCH_GAP_HOURS, MIDDAY_HOUR, SPC_BASELINE_BUCKETS,
+    SPC_D2, SPC_MIN_INSPECTED, SPC_SIGMA_FLOOR,
 )
 from shiftlens.functions.columns import (
-    DAY, HOUR, SECOND, batch_end_label, boundaries_between, date_of, floor_to, round_even,
+    DAY, HOUR, SECOND, batch_end_label, boundaries_between, bucket_no, date_of, floor_to, round_even,
     shift_end, shift_key, shift_label, shift_of, shift_start, to_ts, to_us, ts_text,
 )
-from shiftlens.functions.ordered import latest_start_asof, with_previous
+from shiftlens.functions.ordered import with_previous
 from shiftlens.operators import calendar, schedule
 from shiftlens.sources.site import Site, union_all
 from shiftlens.sources.staging import checked_broadcast, staged
@@ -213,26 +213,54 @@ def block_lanes(site: Site, needed: DataFrame) -> DataFrame:
     ).select(*PANEL, "block_id", "lane", "value")
 
 
+def second_peaks(site: Site, span: tuple[int, int]) -> DataFrame:
+    """level, slot, peak, at_start: the largest positive output counter of every second, minute and hour with samples.
+
+    ``at_start`` counts samples exactly on the start of a second.  Samples are shuffled once, whatever the
+    number of panels; minutes and hours come from the seconds.
+    """
+    us, total = to_us(F.col("t_stamp")), F.col("counter_total").cast("long")
+    samples = site.table("output_stats").filter(F.col("counter_total") > 0).filter(
+        F.col("t_stamp").between(to_ts(F.lit(span[0]).cast("long")), to_ts(F.lit(span[1]).cast("long")))
+    )
+    exact = F.max(F.when(F.pmod(us, F.lit(SECOND)) == 0, total))
+    seconds = samples.groupBy("line_id", bucket_no(us, SECOND).alias("second")).agg(F.max(total).alias("peak"), exact.alias("at_start"))
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), F.floor(F.col("second") / F.lit(n)).cast("long").alias("slot")) for i, n in enumerate((1, 60, 3600))])
+    rows = seconds.select("line_id", "peak", "at_start", F.inline(levels))
+    return rows.groupBy("line_id", "level", "slot").agg(F.max("peak").alias("peak"), F.max(F.when(F.col("level") == 0, F.col("at_start"))).alias("at_start"))
+
+
+def covering(lo: Column, hi: Column) -> Column:
+    """Slots (level, slot) of whole hours, minutes and seconds that make up [lo, hi), both whole seconds."""
+
+    def slots(level: int, first: Column, end: Column) -> Column:
+        some = F.transform(F.sequence(first, F.greatest(first, end - 1)), lambda x: F.struct(F.lit(level).alias("level"), x.cast("long").alias("slot")))
+        return F.when(first < end, some).otherwise(F.array().cast("array<struct<level:int,slot:bigint>>"))
+
+    up, down = lambda x: F.ceil(x / F.lit(60)).cast("long"), lambda x: F.floor(x / F.lit(60)).cast("long")
+    minute, minute_end = up(lo), down(hi)
+    hour, hour_end = up(minute), down(minute_end)
+    a = F.least(minute * 60, hi)
+    b = F.greatest(minute_end * 60, a)
+    c = F.least(hour * 60, minute_end)
+    d = F.greatest(hour_end * 60, c)
+    return F.concat(slots(0, lo, a), slots(0, b, hi), slots(1, minute, c), slots(1, d, minute_end), slots(2, hour, hour_end))
+
+
 def peaks(site: Site, segs: DataFrame) -> DataFrame:
     """Largest positive output counter inside each segment; the last segment has a closed end.
 
-    Segments of a panel follow each other, so a sample belongs to the segment that started last;
-    a sample exactly on a closed end belongs to both neighbours.
+    Segments begin and end on whole seconds, so each is a few whole hours, minutes and seconds, which are
+    looked up by equality; the sample on a closed end is that second's ``at_start``.
     """
-    panels = F.broadcast(site.panels_dim.select(*PANEL))
     span = segs.agg(F.min("lo"), F.max("hi")).first()  # two values, to prune the scan
-    samples = site.table("output_stats").filter(F.col("counter_total") > 0).filter(
-        F.col("t_stamp").between(to_ts(F.lit(span[0]).cast("long")), to_ts(F.lit(span[1]).cast("long")))
-    ).select("line_id", to_us(F.col("t_stamp")).alias("us"), F.col("counter_total").cast("long").alias("total"))
-    tagged = samples.join(panels, "line_id")
-    inside = latest_start_asof(
-        tagged, segs.filter(F.col("hi") > F.col("lo")), PANEL, "us", "lo", "hi", site.chunking,
-        carried=["block_id", "seg"], payload=["total"],
-    ).filter(F.col("us") < F.col("iv_hi")).select(*SUBGROUP, "total")
-    on_end = samples.join(
-        segs.filter("closed").select(*SUBGROUP, F.col("hi").alias("us")), ["line_id", "us"]
-    ).select(*SUBGROUP, "total")
-    return inside.unionByName(on_end).groupBy(*SUBGROUP).agg(F.max("total").alias("peak"))
+    table = site.stage("spc.second_peaks", lambda: second_peaks(site, span))
+    lo, hi = bucket_no(F.col("lo"), SECOND), bucket_no(F.col("hi"), SECOND)
+    inside = segs.filter(F.col("hi") > F.col("lo")).select(*SUBGROUP, F.inline(covering(lo, hi)), F.lit(False).alias("on_end"))
+    ends = segs.filter("closed").select(*SUBGROUP, F.lit(0).alias("level"), hi.alias("slot"), F.lit(True).alias("on_end"))
+    value = F.when(F.col("on_end"), F.col("at_start")).otherwise(F.col("peak"))
+    found = inside.unionByName(ends).join(table, ["line_id", "level", "slot"]).groupBy(*SUBGROUP).agg(F.max(value).alias("peak"))
+    return found.filter("peak IS NOT NULL")
 
 
 @staged
@@ -309,18 +337,27 @@ def shift_buckets(site: Site, subs: DataFrame, for_baseline: bool = False) -> Da
 def baseline_before(
     site: Site, subs: DataFrame, anchors: DataFrame, key: str, before: str, size: int = SPC_BASELINE_BUCKETS
 ) -> DataFrame:
-    """Last buckets before a shift ordinal of each anchor (line, key, before).
+    """Last ``size`` buckets before a shift ordinal of each anchor (line, key, before).
 
-    Both sides are bounded by the lookback (150 shifts per line), so the range join on the line
-    stays small.
+    Buckets of a lane are numbered; an anchor's last number comes from a running maximum over buckets and
+    anchors, and its buckets from an equi-join on blocks of ``size`` numbers, two at most.
     """
-    buckets = shift_buckets(site, subs, for_baseline=True)
-    recent = W.partitionBy(*PANEL, key, "lane").orderBy(F.desc("first_us"))
-    return (
-        buckets.withColumnRenamed("ord", "bucket_ord").join(anchors, "line_id")
-        .filter(F.col("bucket_ord") < F.col(before))
-        .withColumn("back", F.row_number().over(recent)).filter(F.col("back") <= size)
-        .select(*PANEL, key, "lane", "lane_no", F.col("first_us").alias("pos"), "n", "d")
+    lane = [*PANEL, "lane"]
+    buckets = shift_buckets(site, subs, for_baseline=True).withColumn("no", F.row_number().over(W.partitionBy(*lane).orderBy("first_us")))
+    buckets = site.stage("spc.numbered_buckets", lambda: buckets)
+    times = anchors.select("line_id", F.col(key).alias("_key"), F.col(before).alias("t"))
+    asked = buckets.select(*lane).distinct().join(times, "line_id").select(
+        *lane, "t", F.lit(0).alias("side"), "_key", F.lit(None).cast("int").alias("no")
+    )
+    points = buckets.select(*lane, F.col("ord").alias("t"), F.lit(1).alias("side"), F.lit(None).cast(asked.schema["_key"].dataType).alias("_key"), "no")
+    upto = W.partitionBy(*lane).orderBy("t", "side").rowsBetween(W.unboundedPreceding, 0)
+    last = points.unionByName(asked).withColumn("last", F.max("no").over(upto)).filter("side = 0 AND last IS NOT NULL")
+    block = lambda c: F.floor((c - 1) / F.lit(size)).cast("int")
+    first = F.greatest(F.lit(1), F.col("last") - (size - 1))
+    wanted = last.select(*lane, F.col("_key").alias(key), "last", F.explode(F.array_distinct(F.array(block(first), block(F.col("last"))))).alias("block"))
+    rows = wanted.join(buckets.drop("ord").withColumn("block", block(F.col("no"))), [*lane, "block"])
+    return rows.filter((F.col("no") <= F.col("last")) & (F.col("no") > F.col("last") - size)).select(
+        *PANEL, key, "lane", "lane_no", F.col("first_us").alias("pos"), "n", "d"
     )
 
 
@@ -590,6 +627,42 @@ def raw_subgroup_panels(site: Site, size: int = SPC_BASELINE_BUCKETS) -> DataFra
     return with_limits(current_observations(site, subs).join(params, [*PANEL, "ord", "lane"]))
 
 
+def last_batches(site: Site, cutoffs: DataFrame) -> DataFrame:
+    """Per panel and cutoff (line_id, cutoff_us): the last subgroup up to it, if there are ten; the gap in hours and its status.
+
+    A gap of more than 12 hours has the status ``no_shift_data``; its panel has no lanes.
+    """
+    subs = subgroups(site)
+    anchors = cutoffs.join(site.panels_dim.select(*PANEL), "line_id").withColumn("at_us", F.col("cutoff_us"))
+    placed = numbers_at(subs, anchors.select(*PANEL, "cutoff_us", "at_us"), "at_us", "last_no").filter("last_no >= 10").drop("at_us")
+    stamps = subs.groupBy(*PANEL, F.col("no").alias("last_no")).agg(F.first("stamp_us").alias("last_us"))
+    hours = (F.col("cutoff_us") - F.col("last_us")) / F.lit(HOUR)
+    return placed.join(stamps, [*PANEL, "last_no"]).select(
+        *PANEL, "cutoff_us", "last_no", "last_us", round_even(hours, 1).alias("gap_hours"), F.when(hours > LAST_BATCH_GAP_HOURS, "no_shift_data").alias("status"),
+    )
+
+
+def last_batch_panels(site: Site, batches: DataFrame, size: int = SPC_BASELINE_BUCKETS) -> DataFrame:
+    """Laney p-prime of the last subgroup alone, against the ``size`` subgroups before it (``batches``: rows of ``last_batches``)."""
+    subs, keys = subgroups(site), ["cutoff_us"]
+    lanes = active_lanes(site, subs, drop_last=True)
+    charted = batches.filter("status IS NULL").select(*PANEL, "cutoff_us", "last_no", (F.col("last_no") - 1).alias("before_no"))
+    base = _window_rows(subs, charted.drop("last_no"), "before_no", size, keys)
+    params = laney_params(
+        base.select(*PANEL, *keys, "lane", F.col("no").alias("pos"), F.col("n_inspected").alias("n"), F.col("rejects").alias("d")), [*PANEL, *keys, "lane"]
+    )
+    current = charted.select(*PANEL, *keys, F.col("last_no").alias("no")).join(subs, [*PANEL, "no"]).join(lanes, [*PANEL, "lane", "lane_no"], "left_semi")
+    current = current.select(*PANEL, *keys, "lane", "lane_no", F.col("n_inspected").alias("n"), F.col("rejects").alias("d"), F.col("stamp_us").alias("last_us"))
+    return with_limits(current.join(params, [*PANEL, *keys, "lane"]))
+
+
+def last_batch_ewma(site: Site, batches: DataFrame) -> DataFrame:
+    """EWMA of the last 30 subgroups up to each cutoff, its limits from the same ones."""
+    subs = subgroups(site)
+    anchors = batches.filter("status IS NULL").select(*PANEL, "cutoff_us", F.col("cutoff_us").alias("end_us"))
+    return ewma_series(site, subs, active_lanes(site, subs, drop_last=True), anchors, ["cutoff_us"], baseline=False)
+
+
 def flagged_lanes(panels: DataFrame) -> DataFrame:
     """Per shift panel: lanes out of control as a list, mean of the published mean rates."""
     return panels.groupBy(*PANEL, "ord").agg(

@@ -45,39 +45,35 @@ _BODY["ing2_hourly_batches"] = f"""SELECT line_id, strftime(date_trunc('hour', t
  WHERE t_stamp < {CUTOFF} AND t_stamp > (SELECT max(t_stamp) FROM c_os o WHERE o.line_id = p.line_id AND t_stamp < {COPIED}) GROUP BY 1, 2"""
 
 
-def _preview(group, table, source, col, copied, mark="NULL"):
-    return f"""SELECT l.line_id, '{group}' AS sub_system, '{table}' AS table_name, m.m AS local_max, count(s.{col}) AS rows_to_insert
- FROM (SELECT DISTINCT line_id FROM {source}) l LEFT JOIN (SELECT line_id, max({col}) AS m FROM {source} WHERE {copied} GROUP BY 1) m USING (line_id)
- LEFT JOIN {source} s ON s.line_id = l.line_id AND s.{col} > coalesce(m.m, {mark}) AND s.{col} < {{limit}} GROUP BY ALL"""
-
-
 _C, _L = "epoch_us(" + COPIED + ")", "epoch_us(" + CUTOFF + ")"
-_PREVIEW = " UNION ALL ".join([
-    _preview("core", "status_blocks", "(SELECT line_id, epoch_us(start_ts) AS us FROM c_sb)", "us", f"us < {_C}"),
-    _preview("core", "ppm", "c_ppm", "us", f"us < {_C}"), _preview("core", "output_stats", "c_os", "us", f"us < {_C}"),
-    _preview("hydration", "hydration_counters", "c_hc", "us", f"us < {_C}"),
-    _preview("core", "machine_state", "c_ms", "us", f"us < {_C} AND line_id = 'line_b'", "epoch_us(TIMESTAMP '1900-01-01')"),
-    _preview("core", "fof_changes", "(SELECT line_id, epoch_us(t_stamp) AS us FROM c_fof)", "us", "true"),
-]).replace("{limit}", _L)
-_BODY["ing3_sync_preview"] = f"""SELECT line_id, sub_system, table_name, {tstext('local_max')} AS local_max, rows_to_insert,
- CASE WHEN local_max IS NULL THEN 'EMPTY' WHEN rows_to_insert = 0 THEN 'up-to-date' ELSE 'ready' END AS status FROM ({_PREVIEW})
- UNION ALL SELECT line_id, 'total', 'total', NULL, {big('sum(rows_to_insert)')}, NULL FROM ({_PREVIEW}) GROUP BY 1"""
+_START = lambda c: f"(SELECT line_id, epoch_us(start_ts) AS us FROM {c})"
+_BOTH, _ONE = ("line_a", "line_b"), ("line_a",)
+_PLAN = (
+    ("core", "status_blocks", _START("c_sb"), _BOTH), ("core", "downtime_overlays", _START("c_ov"), _BOTH), ("core", "fof_changes", "(SELECT line_id, epoch_us(t_stamp) AS us FROM c_fof)", _BOTH),
+    ("core", "machine_state", "c_ms", _BOTH), ("core", "output_stats", "c_os", _BOTH), ("core", "ppm", "c_ppm", _BOTH), ("hydration", "hydration_counters", "c_hc", _ONE), ("foil", "foil_counters", "c_fc", _ONE),
+)
 
 
-def _added(group: str, table: str, source: str, lines: tuple[str, ...]) -> str:
+def _planned(select: str, copied: str = f"us < {_C}", **other: str) -> str:
+    """``select`` for each planned table and line; {source}, {line} and {copied} (what run 0 has) are filled in."""
     return " UNION ALL ".join(
-        f"""SELECT '{line}' AS line_id, '{group}' AS sub_system, '{table}' AS table_name, count(*) AS added FROM {source} s WHERE line_id = '{line}'
- AND us < {_L} AND us > (SELECT max(us) FROM {source} WHERE line_id = '{line}' AND us < {_C})""" for line in lines)
+        f"SELECT '{line}' AS line_id, '{group}' AS sub_system, '{table}' AS table_name, " + select.replace("{copied}", other.get(table, copied)).replace("{source}", f"(SELECT * FROM {source} WHERE line_id = '{line}')").replace("{table}", table)
+        for group, table, source, lines in _PLAN for line in lines)
 
 
-_BOTH, _ONE = ("line_a", "line_b"), ("line_a",)
-_ADDED = " UNION ALL ".join([
-    _added("core", "status_blocks", "(SELECT line_id, epoch_us(start_ts) AS us FROM c_sb)", _BOTH), _added("core", "ppm", "c_ppm", _BOTH), _added("core", "output_stats", "c_os", _BOTH),
-    _added("core", "machine_state", "c_ms", _BOTH), _added("hydration", "hydration_counters", "c_hc", _ONE), _added("foil", "foil_counters", "c_fc", _ONE),
-])
-q.cte("c_added", _ADDED)
+q.cte("c_added", _planned(f"(SELECT count(*) FROM {{source}} s WHERE us < {_L} AND us > (SELECT max(us) FROM {{source}} o WHERE {{copied}})) AS added"))
 q.cte("c_run", f"SELECT * FROM c_added UNION ALL SELECT line_id, 'total', 'total', {big('sum(added)')} FROM c_added GROUP BY 1")
 _BODY["ing1_plan_run"] = "SELECT *, 1 AS run FROM c_run UNION ALL SELECT line_id, sub_system, table_name, 0, 2 FROM c_run"
+q.cte("c_target", _planned(f"(SELECT count(*) FROM {{source}} s WHERE us < {_L}) AS n, (SELECT max(us) FROM {{source}} s WHERE us < {_L}) AS m"))
+_BODY["ing1_broken_run"] = f"SELECT line_id, table_name, n AS target_rows, n AS distinct_rows, n AS logged, {tstext('m')} AS mark, '0,2' AS runs FROM c_target WHERE n > 0"
+_ONLY_B = f"us < {_C} AND line_id = 'line_b'"
+q.cte("c_marks0", _planned("(SELECT max(us) FROM {source} s WHERE {copied}) AS local_max", fof_changes="true", machine_state=_ONLY_B, output_stats=_ONLY_B))
+q.cte("c_rows0", _planned("us FROM {source} s"))
+q.cte("c_preview", f"""SELECT m.*, (SELECT count(*) FROM c_rows0 r WHERE r.line_id = m.line_id AND r.table_name = m.table_name AND r.us < {_L}
+ AND r.us > coalesce(m.local_max, CASE WHEN m.table_name = 'machine_state' THEN epoch_us(TIMESTAMP '1900-01-01') END)) AS rows_to_insert FROM c_marks0 m""")
+_BODY["ing3_sync_preview"] = f"""SELECT line_id, sub_system, table_name, {tstext('local_max')} AS local_max, rows_to_insert,
+ CASE WHEN local_max IS NULL THEN 'EMPTY' WHEN rows_to_insert = 0 THEN 'up-to-date' ELSE 'ready' END AS status FROM c_preview
+ UNION ALL SELECT line_id, 'total', 'total', NULL, {big('sum(rows_to_insert)')}, NULL FROM c_preview GROUP BY 1"""
 _BODY["ing2_hourly_files"] = f"""SELECT line_id, strftime(date_trunc('hour', t_stamp), '%Y%m%d_%H') AS batch_hour, count(*) AS n_rows FROM c_os p
  WHERE t_stamp < {CUTOFF} AND t_stamp >= TIMESTAMP '2024-01-22' AND t_stamp > (SELECT max(t_stamp) FROM c_os o WHERE o.line_id = p.line_id AND t_stamp < {COPIED}) GROUP BY 1, 2"""
 _F = "'%Y-%m-%d %H:%M:%S'"
@@ -86,7 +82,7 @@ _BODY["ing4_freshness"] = f"""SELECT line_id, 'status_blocks' AS table_name, str
  UNION ALL SELECT line_id, 'output_stats', strftime(max(t_stamp), {_F}), 0 FROM c_os GROUP BY 1
  UNION ALL SELECT line_id, 'ppm', strftime(max(t_stamp), {_F}), 0 FROM c_ppm GROUP BY 1
  UNION ALL SELECT line_id, 'fof_changes', strftime(max(t_stamp), {_F}), 0 FROM c_fof GROUP BY 1"""
-_BODY["ing5_incremental_recompute"] = f"SELECT {K} FROM c_prod WHERE ord % 2 = 1 AND {ends('ord')} < {ends('latest_ord')}"
+_BODY["ing5_incremental_recompute"] = f"SELECT {K}, 1 AS run FROM c_prod UNION ALL SELECT {K}, 3 FROM c_prod WHERE ord % 2 = 1 AND {ends('ord')} < {ends('latest_ord')}"
 
 _BODY["shf1_assign_shift"] = f"SELECT line_id, {otext('o')} AS shift_date, {otype('o')} AS shift_type, count(*) AS samples FROM (SELECT line_id, {ordinal('us')} AS o FROM c_ppm) GROUP BY 1, 2, 3"
 _BODY["shf2_shift_window"] = f"SELECT {K}, {tstext(starts('ord'))} AS starts, {tstext(ends('ord'))} AS ends FROM c_spine"
@@ -280,6 +276,18 @@ q.cte("c_own", limited(f"""SELECT line_id, panel, ord, lane, lane_no, n, d, p_ba
  JOIN (SELECT * FROM ({laney('c_ownbase', 'line_id, panel, ord, lane')}) WHERE baseline_n >= 2) USING (line_id, panel, ord, lane)"""))
 _BODY["spc16_own_cutoff"] = f"SELECT {K}, panel, CAST(lane_no AS INTEGER) AS lane_no, {r6('n')} AS n, d, {r6('p_bar')} AS p_bar, {r6('sigma_z')} AS sigma_z, {r6('ucl')} AS ucl, ooc FROM c_own"
 _BODY["spc17_raw_subgroup_panel"] = f"SELECT {K}, panel, CAST(lane_no AS INTEGER) AS lane_no, {r6('n')} AS n, d, {r6('p_bar')} AS p_bar, {r6('sigma_z')} AS sigma_z, {r6('ucl')} AS ucl, ooc FROM c_raw"
+q.cte("c_cuts", f"SELECT line_id, {ends('ord')} AS cut FROM c_spine UNION ALL SELECT line_id, reached_us + {2 * DAY} FROM c_latest")
+q.cte("c_last", f"""SELECT *, {rnd(f'(cut - last_us) / {HOUR}', 1)} AS gap_hours, CASE WHEN (cut - last_us) / {HOUR} > 12 THEN 'no_shift_data' END AS status FROM (
+ SELECT c.line_id, s.panel, c.cut, max(s.no) AS last_no, max(s.stamp_us) AS last_us FROM c_cuts c JOIN c_subno s ON s.line_id = c.line_id AND s.stamp_us <= c.cut GROUP BY ALL HAVING count(*) >= 10)""")
+q.cte("c_lastbase", """SELECT l.line_id, l.panel, l.cut, s.lane, s.no AS pos, s.n_inspected AS n, s.rejects AS d FROM c_last l JOIN c_subs s ON s.line_id = l.line_id AND s.panel = l.panel
+ AND s.no BETWEEN l.last_no - 100 AND l.last_no - 1 WHERE status IS NULL""")
+q.cte("c_lastpan", limited(f"""SELECT * FROM (SELECT l.line_id, l.panel, l.cut, s.lane, s.lane_no, s.n_inspected AS n, s.rejects AS d FROM c_last l JOIN c_subs s ON s.line_id = l.line_id AND s.panel = l.panel AND s.no = l.last_no
+ SEMI JOIN c_active_shift a ON a.line_id = s.line_id AND a.panel = s.panel AND a.lane = s.lane WHERE status IS NULL) JOIN ({laney('c_lastbase', 'line_id, panel, cut, lane')}) USING (line_id, panel, cut, lane)"""))
+q.cte("c_lastewma", q.ewma("SELECT line_id, panel, cut, cut AS end_us, CAST(-1 AS BIGINT) AS base_us FROM c_last WHERE status IS NULL", "cut", "c_active_shift"))
+_CUT = f"{tstext('cut')} AS cutoff"
+_BODY["spc17_last_batch"] = f"SELECT line_id, panel, {_CUT}, {tstext('last_us')} AS last_reset, gap_hours, status FROM c_last"
+_BODY["spc17_last_batch_panel"] = f"""SELECT line_id, panel, {_CUT}, CAST(lane_no AS INTEGER) AS lane_no, {r6('n')} AS n, d, {r6('rate')} AS rate, {r6('ucl')} AS ucl, {r6('lcl')} AS lcl, ooc, {r6('p_bar')} AS p_bar, {r6('sigma_z')} AS sigma_z, baseline_n FROM c_lastpan"""
+_BODY["spc17_last_batch_ewma"] = f"SELECT line_id, panel, {_CUT}, CAST(lane_no AS INTEGER) AS lane_no, batch_idx, {r6('ewma')} AS ewma, ucl, lcl FROM c_lastewma"
 _BODY["spc18_weekly_panel"] = "SELECT line_id, panel, CAST(week AS INTEGER) AS week, any_value(shift_subgroups) AS shift_subgroups, count(DISTINCT ord) AS total_shifts, count(DISTINCT lane) AS lanes, count(*) FILTER (ooc) AS ooc_points FROM c_series GROUP BY 1, 2, 3"
 _BODY["spc19_chart_lines"] = f"""SELECT line_id, panel, week, lane_no, {r6('mean_ucl_pct')} AS mean_ucl_pct, {r6('p_bar_pct')} AS p_bar_pct, {r6('avg(p_bar_pct) OVER (PARTITION BY line_id, panel, week)')} AS panel_p_bar FROM (
  SELECT line_id, panel, CAST(week AS INTEGER) AS week, CAST(lane_no AS INTEGER) AS lane_no, avg({rnd('ucl * 100', 3)}) AS mean_ucl_pct, any_value({rnd('p_bar * 100', 3)}) AS p_bar_pct FROM c_series GROUP BY 1, 2, 3, 4)"""

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from shiftlens.config import SNAPSHOT_MINUTES, SNAPSHOT_RETENTION_DAYS, SPC_BASELINE_BUCKETS
 from shiftlens.functions.columns import (
     MINUTE, floor_to, full_shift_label, round_even, shift_date_text, shift_end, shift_key,
-    shift_label, shift_start, shift_type, ts_text,
+    shift_label, shift_start, shift_type, to_us, ts_text,
 )
-from shiftlens.operators import anomalies, calendar, downtime, intervals, oee, spc
+from shiftlens.operators import anomalies, calendar, downtime, ingest, intervals, oee, spc
 from shiftlens.plans import nested, star, week_documents
 from shiftlens.sources.site import Site
+from shiftlens.sources.staging import checked_broadcast
 
 KEY = ["line_id", "ord"]
 CONTEXT = 4  # earlier shifts in a shift document
@@ -116,6 +117,35 @@ def write_documents(docs: DataFrame, folder: str, by=("line_id", "shift_date", "
     docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(folder)
 
 
+def generated(site: Site, folder: str) -> DataFrame:
+    """line_id, ord, generated_at (microseconds) of every stored document; only that field is parsed."""
+    spark = site.spark
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "line_id string, ord long, generated_at long")
+    rows = spark.read.schema("generated_at string, line_id string, shift_date string, shift_type string").json(folder)
+    day = F.unix_date(F.to_date("shift_date"))
+    ordinal = (day * 2 + F.when(F.col("shift_type") == "night", 1).otherwise(0)).cast("long")
+    return rows.select("line_id", ordinal.alias("ord"), to_us(F.col("generated_at").cast("timestamp_ntz")).alias("generated_at"))
+
+
+def refresh(site: Site, folder: str, now_us: int) -> DataFrame:
+    """Write the documents of production shifts that are missing, or older than the end of the line's latest complete shift.
+
+    Returns (line_id, ord) of what was written.  Other documents keep their files.
+    """
+    targets = calendar.production_shifts(site)
+    true_end = shift_end(F.col("latest_ord"), site.bounds)
+    stored = generated(site, folder).join(targets.select("line_id", true_end.alias("true_end")).distinct(), "line_id")
+    late = ingest.to_recompute(targets, stored, F.col("true_end")).select("line_id", "ord")
+    late = site.stage(f"documents.late.{now_us}", lambda: late)  # the files that it reads are replaced below
+    o = F.col("ord")
+    names = late.select("line_id", shift_date_text(o).alias("shift_date"), shift_type(o).alias("shift_type"))
+    fresh = shift_documents(site).join(checked_broadcast(names), ["line_id", "shift_date", "shift_type"], "left_semi")
+    write_documents(fresh.withColumn("generated_at", ts_text(F.lit(now_us))), folder)
+    return late
+
+
 def read_documents(spark: SparkSession, folder: str, schema) -> DataFrame:
     """Scan shift documents; the folder names carry line, date and type."""
     return spark.read.schema(schema).json(folder)

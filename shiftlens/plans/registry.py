@@ -197,24 +197,61 @@ def ing1_incremental_append(s: Site) -> DataFrame:
     return rows.select("line_id", C.ts_text(_us("t_stamp")).alias("t_stamp"), "output_ppm")
 
 
-_PLANNED = ("status_blocks", "ppm", "output_stats", "machine_state", "hydration_counters", "foil_counters")
+#: The planned tables that the site has.
+_PLANNED = tuple(t for t in ingest.plan_tables(INGEST_PLAN) if t in _TABLES)
+
+
+def _adopted(s: Site, root: str) -> None:
+    """The planned tables as copied up to a day before the cutoff, taken over as run 0."""
+    ingest.adopt(s.spark, INGEST_PLAN, lambda table, ts: _copied(s, table, ts), root, "0", _PLANNED)
 
 
 @query
 def ing1_plan_run(s: Site) -> DataFrame:
-    """The planned tables, copied up to a day before, are brought up to the cutoff; a second run adds nothing."""
+    """All planned tables that the site has are brought up to the cutoff; a second run adds nothing."""
 
     def make() -> DataFrame:
         root = f"{s._stage.root}/ingested"
-        for table, (_, ts, lines) in ingest.plan_tables(INGEST_PLAN).items():
-            if table in _PLANNED:
-                _copied(s, table, ts).filter(F.col("line_id").isin(lines)).write.partitionBy("line_id").parquet(f"{root}/{table}/run=0")
+        _adopted(s, root)
         runs = [ingest.run_plan(s.spark, INGEST_PLAN, s.table, root, CUTOFF, str(i), _PLANNED).withColumn("run", F.lit(i)) for i in (1, 2)]
         return union_all(runs)
 
     return s.stage("ingest.plan_run", make)
 
 
+@query
+def ing1_broken_run(s: Site) -> DataFrame:
+    """Run 1 dies after two tables and run 2 starts again: rows in the target, distinct rows, and what the log says."""
+
+    def make() -> DataFrame:
+        root, left = f"{s._stage.root}/broken", []
+        _adopted(s, root)
+
+        def source(table: str) -> DataFrame:
+            left.append(table)
+            if len(left) == 3:
+                raise ConnectionError(table)
+            return s.table(table)
+
+        try:
+            ingest.run_plan(s.spark, INGEST_PLAN, source, root, CUTOFF, "1", _PLANNED)
+        except ConnectionError:
+            pass
+        ingest.run_plan(s.spark, INGEST_PLAN, s.table, root, CUTOFF, "2", _PLANNED)
+        log = ingest.run_log(s.spark, root).groupBy("table_name", "line_id").agg(
+            F.sum("added").alias("logged"), F.max("mark").alias("mark"), F.concat_ws(",", F.array_sort(F.collect_set("run"))).alias("runs")
+        )
+        counts = []
+        for table in _PLANNED:
+            rows = ingest.copied(s.spark, root, table, s.table(table))
+            counts.append(rows.groupBy("line_id").agg(
+                F.count(F.lit(1)).alias("target_rows"), F.count_distinct(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in rows.columns])).alias("distinct_rows")
+            ).withColumn("table_name", F.lit(table)))
+        return union_all(counts).join(log, ["table_name", "line_id"])
+
+    return s.stage("ingest.broken_run", make).withColumn("mark", C.ts_text(_us("mark")))
+
+
 @query
 def ing2_hourly_files(s: Site) -> DataFrame:
     """Rows from a start override on, written per hour and read back; writing them again changes nothing."""
@@ -239,20 +276,22 @@ def ing2_hourly_batches(s: Site) -> DataFrame:
 
 @query
 def ing3_sync_preview(s: Site) -> DataFrame:
-    parts = []
-    for group, table, ts, mark in (
-        ("core", "status_blocks", "start_ts", None), ("core", "ppm", "t_stamp", None),
-        ("core", "output_stats", "t_stamp", None), ("hydration", "hydration_counters", "t_stamp", None),
-        ("core", "machine_state", "t_stamp", "1900-01-01 00:00:00"), ("core", "fof_changes", "t_stamp", None),
-    ):
-        target = _copied(s, table, ts)
-        if table == "machine_state":
-            target = target.filter(F.col("line_id") == "line_b")  # a line without copied rows
-        if table == "fof_changes":
-            target = s.table(table)  # everything is copied already
-        parts.append((group, table, ts, s.table(table), target, mark))
-    shown = ingest.preview(parts, CUTOFF)
-    return ingest.with_totals(shown, "rows_to_insert").select(
+    """What run 1 would copy by the plan and the log: here one line has never copied its machine states, and all reasons are copied."""
+
+    def make() -> DataFrame:
+        root = f"{s._stage.root}/previewed"
+
+        def old(table: str, ts: str) -> DataFrame:
+            if table == "fof_changes":
+                return s.table(table)
+            rows = _copied(s, table, ts)
+            return rows.filter("line_id = 'line_b'") if table in ("machine_state", "output_stats") else rows
+
+        ingest.adopt(s.spark, INGEST_PLAN, old, root, "0", _PLANNED)
+        log = ingest.run_log(s.spark, root)
+        return ingest.preview_plan(s.spark, INGEST_PLAN, s.table, log, CUTOFF, _PLANNED, {"machine_state": "1900-01-01 00:00:00"})
+
+    return s.stage("ingest.preview", make).select(
         "line_id", "sub_system", "table_name", C.ts_text(_us("local_max")).alias("local_max"), "rows_to_insert", "status"
     )
 
@@ -267,18 +306,22 @@ def ing4_freshness(s: Site) -> DataFrame:
 
 @query
 def ing5_incremental_recompute(s: Site) -> DataFrame:
-    """Shifts whose stored result is older than the end of the latest complete shift.
+    """Documents that each refresh writes: all, then none, then those whose stored result is older than the newest shift.
 
-    Stored results: a day shift was recomputed after that end, a night shift when it ended.
+    Before the third refresh the documents of night shifts are written as their own shift's end left them.
     """
-    targets = calendar.production_shifts(s)
-    end = C.shift_end(F.col("latest_ord"), s.bounds)
-    published = targets.select(
-        "line_id", "ord",
-        F.when(C.is_night(F.col("ord")), C.shift_end(F.col("ord"), s.bounds)).otherwise(end + C.HOUR).alias("generated_at"),
-        end.alias("true_end"),
-    )
-    return _keyed(ingest.to_recompute(targets, published, F.col("true_end")))
+
+    def make() -> DataFrame:
+        folder = f"{s._stage.root}/refreshed"
+        done = calendar.latest_shift(s).agg(F.max(C.shift_end(F.col("latest_ord"), s.bounds))).first()[0]
+        first = documents.refresh(s, folder, done + C.HOUR)
+        second = documents.refresh(s, folder, done + 2 * C.HOUR)
+        nights = documents.shift_documents(s).filter("NOT day_excluded AND shift_type = 'night'")
+        documents.write_documents(nights, folder)
+        third = documents.refresh(s, folder, done + 3 * C.HOUR)
+        return union_all([x.withColumn("run", F.lit(i)) for i, x in ((1, first), (2, second), (3, third))])
+
+    return _plain(s.stage("documents.refreshes", make), "run")
 
 
 # -- shifts and calendar ------------------------------------------------------
@@ -1059,6 +1102,37 @@ def spc17_raw_subgroup_panel(s: Site) -> DataFrame:
     return _keyed(spc.raw_subgroup_panels(s), "panel", "lane_no", "n", "d", "p_bar", "sigma_z", "ucl", "ooc")
 
 
+def _last_batches(s: Site) -> DataFrame:
+    """Cutoffs: the end of every shift, and two days past the newest data."""
+    def make() -> DataFrame:
+        ends = calendar.spine(s).select("line_id", C.shift_end(F.col("ord"), s.bounds).alias("cutoff_us"))
+        late = calendar.latest_shift(s).select("line_id", (F.col("reached_us") + 2 * C.DAY).alias("cutoff_us"))
+        return spc.last_batches(s, ends.unionByName(late))
+
+    return s.stage("spc.last_batches", make)
+
+
+def _cut():
+    return C.ts_text(F.col("cutoff_us")).alias("cutoff")
+
+
+@query
+def spc17_last_batch(s: Site) -> DataFrame:
+    return _last_batches(s).select("line_id", "panel", _cut(), C.ts_text(F.col("last_us")).alias("last_reset"), "gap_hours", "status")
+
+
+@query
+def spc17_last_batch_panel(s: Site) -> DataFrame:
+    return _r6(spc.last_batch_panels(s, _last_batches(s)).select(
+        "line_id", "panel", _cut(), "lane_no", "n", "d", "rate", "ucl", "lcl", "ooc", "p_bar", "sigma_z", "baseline_n"
+    ))
+
+
+@query
+def spc17_last_batch_ewma(s: Site) -> DataFrame:
+    return _r6(spc.last_batch_ewma(s, _last_batches(s)).select("line_id", "panel", _cut(), "lane_no", "batch_idx", "ewma", "ucl", "lcl"))
+
+
 @query
 def spc18_weekly_panel(s: Site) -> DataFrame:
     return spc.weekly_series(s).groupBy("line_id", "panel", "week").agg(

@@ -43,11 +43,44 @@ def test_boundary_row_of_an_hour_is_kept(spark):
     assert sorted((r.batch_hour.hour, r["count"]) for r in got) == [(1, 2), (2, 1)]
 
 
-def test_preview_shows_empty_tables(spark):
-    source = ppm(spark, ("a", "01-01 01:00:00", 1.0), ("b", "01-01 01:00:00", 1.0), ("c", "01-01 01:00:00", 1.0), ("c", "01-01 02:00:00", 1.0))
-    target = ppm(spark, ("a", "01-01 01:00:00", 1.0), ("c", "01-01 01:00:00", 1.0))
-    got = ingest.preview([("core", "ppm", "t_stamp", source, target, None)], "2024-02-01 00:00:00").collect()
-    assert {r.line_id: (r.rows_to_insert, r.status) for r in got} == {"a": (0, "up-to-date"), "b": (0, "EMPTY"), "c": (1, "ready")}
+def test_preview_shows_empty_tables_and_scans_each_once(spark, tmp_path):
+    rows = [("a", "01-01 01:00:00", 1.0), ("b", "01-01 01:00:00", 1.0), ("c", "01-01 01:00:00", 1.0), ("c", "01-01 02:00:00", 1.0)]
+    ppm(spark, *rows).write.parquet(str(tmp_path / "ppm"))
+    plan = {line: (("core", "ppm", "t_stamp"), ("core", "other", "t_stamp")) for line in "abcd"}
+    log = spark.createDataFrame([("0", "a", "core", "ppm", at("01-01 01:00:00"), 1), ("0", "c", "core", "ppm", at("01-01 01:00:00"), 1), ("0", "b", "core", "ppm", None, 0)], "run string, " + ingest.ENTRY)
+    read = lambda table: spark.read.parquet(str(tmp_path / table))
+    shown = ingest.preview_plan(spark, plan, read, log, "2024-02-01 00:00:00", ["ppm"])
+    got = {r.line_id: (r.rows_to_insert, r.status) for r in shown.filter("table_name = 'ppm'").collect()}
+    assert got == {"a": (0, "up-to-date"), "b": (0, "EMPTY"), "c": (1, "ready"), "d": (0, "EMPTY")}
+    assert [r.rows_to_insert for r in shown.filter("table_name = 'total' AND line_id = 'c'").collect()] == [1]
+    one = ingest.preview_plan(spark, {"a": (("core", "ppm", "t_stamp"),)}, read, log, "2024-02-01 00:00:00", ["ppm"]).filter("table_name = 'ppm'")
+    plan_text = one._jdf.queryExecution().executedPlan().toString()
+    assert plan_text.count("FileScan parquet") == 1 and "LessThan(t_stamp" in plan_text and "EqualTo(line_id,a)" in plan_text
+
+
+def test_a_run_that_dies_leaves_no_trace(spark, tmp_path):
+    import pytest
+
+    root, plan = str(tmp_path / "t"), {"a": (("core", "one", "t_stamp"), ("core", "two", "t_stamp")), "b": (("core", "one", "t_stamp"),)}
+    data = {"one": ppm(spark, ("a", "01-01 01:00:00", 1.0), ("b", "01-01 02:00:00", 2.0), ("c", "01-01 02:00:00", 2.0)), "two": ppm(spark, ("a", "01-01 03:00:00", 3.0))}
+    empty = {"one": "1900-01-01 00:00:00", "two": "1900-01-01 00:00:00"}
+
+    def broken(table):
+        if table == "two":
+            raise ConnectionError(table)
+        return data[table]
+
+    with pytest.raises(ConnectionError):
+        ingest.run_plan(spark, plan, broken, root, "2024-02-01 00:00:00", "1", empty_marks=empty)
+    assert ingest.run_log(spark, root).isEmpty() and ingest.copied(spark, root, "one", data["one"]).isEmpty()
+    added = ingest.run_plan(spark, plan, data.get, root, "2024-02-01 00:00:00", "2", empty_marks=empty)
+    assert {(r.line_id, r.table_name): r.added for r in added.collect()} == {("a", "one"): 1, ("b", "one"): 1, ("a", "two"): 1, ("a", "total"): 2, ("b", "total"): 1}
+    assert sorted(r.output_ppm for r in ingest.copied(spark, root, "one", data["one"]).collect()) == [1.0, 2.0]
+    assert ingest.table_marks(ingest.run_log(spark, root)) == {"one": {"a": at("01-01 01:00:00"), "b": at("01-01 02:00:00")}, "two": {"a": at("01-01 03:00:00")}}
+    again = ingest.run_plan(spark, plan, data.get, root, "2024-02-01 00:00:00", "3", empty_marks=empty)
+    assert {r.added for r in again.collect()} == {0}
+    with pytest.raises(ValueError, match="committed"):
+        ingest.run_plan(spark, plan, data.get, root, "2024-02-01 00:00:00", "3", empty_marks=empty)
 
 
 def test_stream_delivers_once_and_keeps_late_rows(spark):

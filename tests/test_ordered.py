@@ -90,12 +90,36 @@ def test_interval_hit_is_half_open(spark, chunking):
     [1.0], [1.0, 2.0], [5.0] * 50, [1.0, 2.0, 3.0, 10.0], [float(x % 7) for x in range(1000)], list(np.random.default_rng(4).lognormal(size=5000)),
     [1e12, *np.random.default_rng(5).normal(50, 1, size=3000)],
 ])
-@pytest.mark.parametrize("q, accuracy", [(0.0, 100), (0.5, 100), (0.95, 100), (0.95, 10_000), (1.0, 100)])
-def test_exact_percentile(spark, values, q, accuracy):
+@pytest.mark.parametrize("q, bins", [(0.0, 16), (0.5, 2), (0.95, 1024), (1.0, 16)])
+def test_exact_percentile(spark, values, q, bins):
+    from shiftlens.sources.staging import Stage
+
     df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 3.0)], "k string, v double")
-    got = {r.k: r.percentile for r in O.exact_percentile(df, ["k"], "v", q, accuracy=accuracy).collect()}
+    kept = Stage(spark)
+    got = {r.k: r.percentile for r in O.exact_percentile(df, ["k"], "v", q, kept.get, bins=bins).collect()}
     assert got["b"] == 3.0
     assert got["a"] == pytest.approx(float(np.percentile(values, q * 100)), rel=1e-12)
+    kept.drop()
+
+
+def test_percentile_orders_no_key_in_one_task(spark):
+    from shiftlens.sources.staging import Stage
+
+    df = spark.createDataFrame([("a", float(i * i % 7919), "x", 1.0) for i in range(4000)], "k string, v double, rank string, hi double")
+    kept, plans = Stage(spark), []
+
+    def stage(name, make):
+        def planned():
+            out = make()
+            plans.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+
+        return kept.get(name, planned)
+
+    assert O.exact_percentile(df, ["k"], "v", 0.95, stage).count() == 1
+    assert len(plans) >= 2 and not any("Window" in p or "Sort " in p for p in plans)
+    assert all("partial_count" in p for p in plans)
+    kept.drop()
 
 
 def test_hot_chunks_become_seconds(spark):
