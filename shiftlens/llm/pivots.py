@@ -139,6 +139,22 @@ def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
                 yield group.filter(pa.array((names == name[:, None]).all(axis=0)))
 
 
+def in_common(near: np.ndarray, left: np.ndarray, right: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """How many of the pivots in ``part`` the rows in ``left`` and in ``right`` share, by products of indicator matrices."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    _, at, times = np.unique(near[part], return_inverse=True, return_counts=True)
+    rows, column = np.nonzero(part)[0], (np.cumsum(times > 1) - 1)[at]
+    rows, column = rows[times[at] > 1], column[times[at] > 1]
+    columns = int((times > 1).sum())
+    width = max(1, min(columns, (1 << 22) // len(near)))
+    for low in range(0, columns, width):
+        here = (column >= low) & (column < low + width)
+        has = np.zeros((len(near), width), np.float32)
+        has[rows[here], column[here] - low] = 1
+        out += has[left] @ has[right].T
+    return out
+
+
 def candidates(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Rows a, b of the pairs of a group that share enough pivots, the first of them the list's own."""
     side, ids, pivot = group["side"].to_numpy(), group["id"].to_numpy(), group["pivot"][0].as_py()
@@ -149,14 +165,8 @@ def candidates(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     if pivot < 0:
         fit = np.ones((len(left), len(right)), bool)
     else:
-        shared, earlier = np.zeros((len(left), len(right)), np.int8), np.zeros((len(left), len(right)), bool)
-        for value in np.unique(near):
-            a, b = np.flatnonzero((near[left] == value).any(axis=1)), np.flatnonzero((near[right] == value).any(axis=1))
-            if len(a) and len(b) and (len(a) > 1 or not one):
-                shared[np.ix_(a, b)] += 1
-                if value < pivot:
-                    earlier[np.ix_(a, b)] = True
-        fit = (shared >= SHARED) & ~earlier
+        earlier, others = (in_common(near, left, right, part) for part in (near < pivot, near >= pivot))
+        fit = (earlier == 0) & (others >= SHARED)
     fit &= ids[left][:, None] < ids[right][None, :] if one else ids[left][:, None] != ids[right][None, :]
     a, b = np.nonzero(fit)
     return left[a], right[b]

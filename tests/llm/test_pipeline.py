@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline as P
+from llm_fixtures import docs_of  # noqa: F401
 from shiftlens.llm import decontaminate, mixing, neardup, quality
 from shiftlens.llm.queries import QUERIES, SQL, table, tokenizer
 
@@ -55,3 +56,32 @@ def test_stages_follow_their_operators(spark, tmp_path):
     assert ids[3][1] == sorted(i for r in copies for i in [r.doc_id] * r.copies)
     assert ids[4][1] == ids[3][1]
     assert [tuple(r) for r in P.run(spark, DATA).orderBy("start").collect()] == [tuple(r) for r in docs.orderBy("start").collect()]
+
+
+def staged(spark, docs, folder):
+    out = []
+    for k, (name, stage) in enumerate(P.STAGES):
+        stage(spark, docs, DATA).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+        out.append((name, docs))
+    return out
+
+
+def test_odd_rows_pass_every_stage(spark, docs_of, tmp_path):
+    words = [" ".join(f"a{i}b{j}" for j in range(40)) for i in range(30)]
+    odd = [(100, None), (101, ""), (102, " \n\t"), (None, "no id at all here"), (None, None), (103, "x " * 60_000), (104, "short")]
+    rows = [(i, t) for i, t in enumerate(words)] + odd + [(5, words[5])] * 3 + [(200, words[7].upper()), (201, words[7] + " more")]
+    docs = docs_of(rows)
+    done = staged(spark, docs, str(tmp_path))
+    for name, out in done[:-1]:
+        assert out.columns == docs.columns, name
+    kept = dict(done)["neardup"]
+    ids = sorted(str(r.doc_id) for r in kept.filter("doc_id IN (5, 7, 200, 201)").collect())
+    assert ids in (["5", "7"], ["5"], ["7"], [])  # of repeated rows and near copies one is left, unless the classifier rejected it
+    assert dict(done)["tokens"].count() == dict(done)["mixing"].count()
+
+
+def test_no_documents_pass_every_stage(spark, docs_of, tmp_path):
+    done = staged(spark, docs_of([]), str(tmp_path))
+    assert [out.count() for _, out in done] == [0] * len(P.STAGES)
+    assert neardup.keep_one(docs_of([]), P.NEAR).count() == 0
