@@ -346,7 +346,8 @@ def baseline_before(
     buckets = shift_buckets(site, subs, for_baseline=True).withColumn("no", F.row_number().over(W.partitionBy(*lane).orderBy("first_us")))
     buckets = site.stage("spc.numbered_buckets", lambda: buckets)
     times = anchors.select("line_id", F.col(key).alias("_key"), F.col(before).alias("t"))
-    asked = buckets.select(*lane).distinct().join(times, "line_id").select(
+    lanes = F.broadcast(buckets.select(*lane).distinct())  # bounded by the configured panels
+    asked = times.join(lanes, "line_id").select(
         *lane, "t", F.lit(0).alias("side"), "_key", F.lit(None).cast("int").alias("no")
     )
     points = buckets.select(*lane, F.col("ord").alias("t"), F.lit(1).alias("side"), F.lit(None).cast(asked.schema["_key"].dataType).alias("_key"), "no")

@@ -57,6 +57,7 @@ def _us(c: str):
 
 @query
 def src1_line_scan(s: Site) -> DataFrame:
+    s.prepare(_TABLES)
     return union_all([
         s.table(t).groupBy("line_id").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(t))
         for t in _TABLES

@@ -35,7 +35,7 @@ class Stage:
         self.spark = spark
         self._root: str | None = None
         self._tables: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._lock, self._making = threading.RLock(), {}
 
     @property
     def root(self) -> str:
@@ -45,8 +45,10 @@ class Stage:
             return self._root
 
     def get(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """The named table; the first call runs the jobs that write it."""
+        """The named table; the first call runs the jobs that write it.  Different tables can be made at once."""
         with self._lock:
+            own = self._making.setdefault(name, threading.RLock())
+        with own:
             if name not in self._tables:
                 df = make()
                 path = f"{self.root}/{name}"
@@ -59,7 +61,7 @@ class Stage:
         if self._root is not None:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self._root)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        self._root, self._tables = None, {}
+        self._root, self._tables, self._making = None, {}, {}
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import statistics
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +135,37 @@ def test_shares_of_a_shift_sum_to_one(spark, make_site):
     blocks = [("line_a", at(f"01-01 {8 + i}:00:00"), at(f"01-01 {8 + i}:{10 + i}:00"), False, f"FC=@Fault_000{i}@(gripper {i}) RC={i}" if i % 2 else "x", "Auto", i) for i in range(6)]
     total = anomalies.profiles(make_site(status_blocks=blocks)).agg(F.sum("share4")).collect()[0][0]
     assert abs(total - 10000) <= 2
+
+
+def test_slots_make_up_every_segment(spark):
+    rnd = random.Random(6)
+    pairs = [(a, a + d) for d in (1, 59, 60, 61, 3599, 3600, 3601, 7300, 90_000) for a in (rnd.randrange(10_000_000) for _ in range(12))]
+    pairs += [(7200, 10_800), (7200, 7260), (59, 61), (60, 120), (0, 86_400), (3540, 3660)]
+    df = spark.createDataFrame(pairs, "lo long, hi long").select("lo", "hi", spc.covering(F.col("lo"), F.col("hi")).alias("s"))
+    for r in df.collect():
+        seconds = sorted(x for level, slot in r.s for x in range(slot * 60**level, (slot + 1) * 60**level))
+        assert seconds == list(range(r.lo, r.hi)) and len(r.s) <= 4 * 59 + (r.hi - r.lo) // 3600
+
+
+def test_peaks_against_all_samples(spark, make_site):
+    from conftest import at
+
+    rnd = random.Random(7)
+    start = 1_704_067_200
+    samples = [("line_a", i, at("01-01 00:00:00") + timedelta(microseconds=us), n, n) for i, (us, n) in enumerate(
+        (rnd.randrange(9_000) * 1_000_000 + rnd.choice((0, 0, 1, 500_000)), rnd.randrange(-2, 50)) for _ in range(900))]
+    site = make_site(output_stats=samples)
+    cuts = sorted(rnd.sample(range(9_000), 40))
+    segs = [("line_a", "p", i, 0, (start + a) * 1_000_000, (start + b) * 1_000_000, i % 2 == 0) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    segs.append(("line_a", "p", 99, 0, segs[3][4], segs[3][4], True))
+    df = spark.createDataFrame(segs, "line_id string, panel string, block_id long, seg int, lo long, hi long, closed boolean")
+    got = {r.block_id: r.peak for r in spc.peaks(site, df).collect()}
+    want = {}
+    for _, _, block, _, lo, hi, closed in segs:
+        inside = [n for _, _, t, n, _ in samples if n > 0 and lo <= (us := start * 1_000_000 + (t - at("01-01 00:00:00")) // timedelta(microseconds=1)) and (us < hi or closed and us == hi)]
+        if inside:
+            want[block] = max(inside)
+    assert got == want
+    plan = spc.second_peaks(site, (0, 1 << 60))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan  # panels do not multiply the samples
+    site.close()
