@@ -153,21 +153,28 @@ def estimated_prior(p: np.ndarray, u: np.ndarray, rng: np.random.Generator) -> f
     return float(np.mean([best_bin(a, b) for a, b in zip(*scores, strict=True)]))
 
 
+def risks(z: np.ndarray, n: int, prior: float) -> tuple[float, float]:
+    """Risk of the first ``n`` rows (positives) as such, and the unbiased risk of negatives, of log-odds ``z``."""
+    negative = np.logaddexp(0, z)  # logistic loss of a row taken as negative
+    return prior * (negative[:n] - z[:n]).mean(), negative[n:].mean() - prior * negative[:n].mean()
+
+
+def descent(z: np.ndarray, n: int, prior: float) -> np.ndarray:
+    """The derivative to follow: of the whole risk, or up the risk of negatives where that is below -SLACK."""
+    odds = sigmoid(z)
+    as_negative = np.concatenate([-prior * odds[:n] / n, odds[n:] / (len(z) - n)])
+    if risks(z, n, prior)[1] < -SLACK:
+        return -as_negative
+    return as_negative + np.concatenate([prior * (odds[:n] - 1) / n, np.zeros(len(z) - n)])
+
+
 def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None, seed: int = SEED) -> tuple[Network, float]:
     """The classifier of least non-negative risk and the prior it used."""
     rng = np.random.default_rng(seed)
     prior = estimated_prior(p, u, rng) if prior is None else float(np.clip(prior, 0.01, 0.99))
     net = Network(u, rng)
     for a, b in batches_of(net, p, u, rng):
-        z = net(np.concatenate([a, b]))
-        odds, n = sigmoid(z), len(a)
-        loss = np.logaddexp(0, z)  # of a row taken as negative
-        negative = loss[n:].mean() - prior * loss[:n].mean()
-        as_negative = np.concatenate([-prior * odds[:n] / n, odds[n:] / len(b)])
-        if negative < -SLACK:
-            net.learn(-as_negative)
-        else:
-            net.learn(as_negative + np.concatenate([prior * (odds[:n] - 1) / n, np.zeros(len(b))]))
+        net.learn(descent(net(np.concatenate([a, b])), len(a), prior))
     return net, prior
 
 

@@ -63,3 +63,25 @@ def test_best_bin_and_risk():
     x[y, :40] += 2
     net, prior = Q.fit(x[y][:300], x, 0.7)
     assert prior == 0.7 and np.mean((net(net.scaled(x)) > 0) == y) > 0.9
+
+
+@pytest.mark.parametrize("shift", [0.0, -4.0])
+def test_risk_and_its_derivative_against_plain_computation(shift):
+    rng = np.random.default_rng(11)
+    z, n, prior = rng.normal(0, 2, 60), 20, 0.6
+    z[n:] += shift
+    loss = lambda y, x: np.log(1 + np.exp(-y * x))
+    positive = prior * sum(loss(1, x) for x in z[:n]) / n
+    negative = sum(loss(-1, x) for x in z[n:]) / 40 - prior * sum(loss(-1, x) for x in z[:n]) / n
+    assert np.allclose(Q.risks(z, n, prior), (positive, negative))
+    below = negative < -Q.SLACK
+    assert below == (shift < 0)
+    # non-negative estimator: while the risk of negatives is below zero the step goes up that part alone
+    of = (lambda v: -Q.risks(v, n, prior)[1]) if below else (lambda v: sum(Q.risks(v, n, prior)))
+    step, want = 1e-6, np.empty(60)
+    for i in range(60):
+        up, down = z.copy(), z.copy()
+        up[i] += step
+        down[i] -= step
+        want[i] = (of(up) - of(down)) / (2 * step)
+    assert np.allclose(Q.descent(z, n, prior), want, atol=1e-7)
