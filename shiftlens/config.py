@@ -253,43 +253,6 @@ PANELS_A = (
     ),
 )
 
-_CORE_TABLES = (
-    "status_blocks", "downtime_overlays", "fof_changes", "live_oee", "machine_state",
-    "output_stats", "ppm", "order_management", "stop_reasons", "stop_reasons_expanded",
-)
-# Tables that the ingest copies, per line, beside the core ones.
-_INGEST_A = (
-    "fof_changes_alt", "alarm_stack", "buttons", "operator_stop_events", "resets",
-    "station_reject_summary", "format", "hydration_counters", "foil_counters",
-    "foam_current_product", "foam_function_state", "foam_machine_state", "foam_message_text",
-    "foam_air_flow", "foam_air_pressure", "foam_nozzle_time", "foam_solution_flow",
-    "schubert_product", "schubert_alarms", "schubert_mode", "schubert_state",
-)
-_INGEST_B = (
-    "op_marked_defects", "operator_actions", "station_cycle", "batch_report", "pouch_counters",
-)
-_LOOKUPS = {"order_management": "master", "stop_reasons": "master", "stop_reasons_expanded": "master"}
-
-# The two built-in profiles.  Their tables are named by logical key; a deployment passes its own
-# mapping with dataclasses.replace(profile, tables={...}).
-LINE_A = LineProfile(
-    "line_a", "Line A", SEGMENTS_A,
-    tables={t: t for t in _CORE_TABLES + _INGEST_A},
-    shared_tables=_LOOKUPS,
-    halted_states=("Halted",),
-    excluded_days=("2024-01-14", "2024-01-25"),
-    availability={"hydration": {"from": "2024-01-05"}, "foam": {"from": "2024-01-17"}},
-    panels=PANELS_A,
-)
-LINE_B = LineProfile(
-    "line_b", "Line B", SEGMENTS_B,
-    tables={t: t for t in _CORE_TABLES + _INGEST_B},
-    shared_tables=_LOOKUPS,
-    halted_states=("Halted", "HaltConditionReached"),
-    availability={"op_marked_defects": {"to": "2024-01-12"}},
-)
-DEFAULT_LINES = (LINE_A, LINE_B)
-
 # The tables that an ingest run copies per line, as (group, table, time column).  XML
 # payload tables keep their payload as an opaque string and start from a fixed mark when empty.
 INGEST_PLAN = {
@@ -324,3 +287,36 @@ EMPTY_MARKS = {
     "station_cycle": "2000-01-01 00:00:00",
     "batch_report": "2000-01-01 00:00:00",
 }
+
+_CORE_TABLES = (
+    "status_blocks", "downtime_overlays", "fof_changes", "live_oee", "machine_state",
+    "output_stats", "ppm", "order_management", "stop_reasons", "stop_reasons_expanded",
+)
+
+
+def _copied(line: str, *others: str) -> dict[str, str]:
+    """Tables of a line: the core ones, those that its ingest copies, and ``others``."""
+    return {t: t for t in (*_CORE_TABLES, *(table for _, table, _ in INGEST_PLAN[line]), *others)}
+
+
+_LOOKUPS = {"order_management": "master", "stop_reasons": "master", "stop_reasons_expanded": "master"}
+
+# The two built-in profiles.  Their tables are named by logical key; a deployment passes its own
+# mapping with dataclasses.replace(profile, tables={...}).
+LINE_A = LineProfile(
+    "line_a", "Line A", SEGMENTS_A,
+    tables=_copied("line_a"),
+    shared_tables=_LOOKUPS,
+    halted_states=("Halted",),
+    excluded_days=("2024-01-14", "2024-01-25"),
+    availability={"hydration": {"from": "2024-01-05"}, "foam": {"from": "2024-01-17"}},
+    panels=PANELS_A,
+)
+LINE_B = LineProfile(
+    "line_b", "Line B", SEGMENTS_B,
+    tables=_copied("line_b", "pouch_counters"),
+    shared_tables=_LOOKUPS,
+    halted_states=("Halted", "HaltConditionReached"),
+    availability={"op_marked_defects": {"to": "2024-01-12"}},
+)
+DEFAULT_LINES = (LINE_A, LINE_B)
