@@ -97,32 +97,61 @@ def pieces(path: str) -> Tokenizer:
     return Tokenizer(lambda texts: library.encode(texts, num_threads=1), spelled)
 
 
-def components(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Merged:
+    """The ends of both tokenizers in one run of bytes: ``before_b`` counts the ends of B before each end of A, and so on."""
+
+    before_b: np.ndarray
+    before_a: np.ndarray
+    #: Ends of either, each once, and how many ends of A and of B lie before.
+    links: np.ndarray
+    at_a: np.ndarray
+    at_b: np.ndarray
+
+
+def merged(ends_a: np.ndarray, ends_b: np.ndarray) -> Merged:
+    n, both = len(ends_a), np.concatenate([ends_a, ends_b])
+    order = np.argsort(both, kind="stable")  # of equal ends that of A comes first
+    both, of_a = both[order], order < n
+    a_before = np.cumsum(of_a) - of_a
+    b_before = np.arange(len(both)) - a_before
+    new = np.diff(both, prepend=-1) > 0
+    tied = ~new[~of_a]  # an end of B with an equal one of A
+    return Merged(b_before[of_a], a_before[~of_a] - tied, both[new], a_before[new], b_before[new])
+
+
+def components(ends_a: np.ndarray, ends_b: np.ndarray, ends: Merged | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The group of every token of A and of B, from their ends in one run of bytes, by pointer jumping."""
+    ends = merged(ends_a, ends_b) if ends is None else ends
     n = len(ends_a)
-    after_a, after_b = np.searchsorted(ends_b, ends_a), np.searchsorted(ends_a, ends_b)
     own = n + np.arange(len(ends_b))
-    to = np.concatenate([n + after_a, np.where(ends_a[after_b] > ends_b, after_b, own)])
+    to = np.concatenate([n + ends.before_b, np.where(ends_a[ends.before_a] > ends_b, ends.before_a, own)])
     while True:
         farther = to[to]
         if np.array_equal(farther, to):
             break
         to = farther
-    last = np.flatnonzero(to[n:] == own)
-    group = np.searchsorted(last, to - n)
+    # the terminal tokens of B, numbered
+    number = np.cumsum(to[n:] == own) - 1
+    group = number[to - n]
     return group[:n], group[n:]
 
 
-def described(group_a: np.ndarray, group_b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, first: np.ndarray) -> list[str]:
-    """The groups of each document as ``a1,a2|b1;a3|b2,b3``; ``first`` numbers the first group of each document and ends with the total."""
+@functools.cache
+def words(size: int) -> list[str]:
+    """Each id after a comma, a bar and a semicolon."""
+    return [mark + str(i) for mark in ",|;" for i in range(size)]
+
+
+def described(group_a: np.ndarray, group_b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, first: np.ndarray, size: int) -> list[str]:
+    """The groups of each document as ``a1,a2|b1;a3|b2,b3``; ``first`` numbers the first group of each document and ends with the total; ids are below ``size``."""
     key = np.concatenate([group_a * 2, group_b * 2 + 1])
     order = np.argsort(key, kind="stable")
     key, ids = key[order], np.concatenate([ids_a, ids_b])[order]
-    step = np.diff(key, prepend=-2)
-    mark = np.where(step == 0, 0, np.where(key & 1, 1, 2))
-    words = list(itertools.chain.from_iterable(zip(map((",", "|", ";").__getitem__, mark.tolist()), map(str, ids.tolist()), strict=True)))
-    cuts = 2 * np.searchsorted(key, 2 * first)
-    return ["".join(words[start + 1 : end]) for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    mark = np.where(np.diff(key, prepend=-2) == 0, 0, np.where(key & 1, 1, 2))
+    parts = list(map(words(size).__getitem__, (mark * size + ids).tolist()))
+    cuts = np.searchsorted(key, 2 * first).tolist()
+    return ["".join(parts[start:end])[1:] for start, end in itertools.pairwise(cuts)]
 
 
 def portions(texts: list[str | None]) -> Iterator[list[int]]:
@@ -160,17 +189,16 @@ def aligned(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, whole:
             counts[0, row], counts[1, row] = [len(x) for _, x, _ in fit], [len(y) for _, _, y in fit]
             ids_a, ids_b = (np.fromiter(itertools.chain.from_iterable(f[k] for f in fit), np.int64) for k in (1, 2))
             ends_a, ends_b = np.cumsum(long_a[ids_a]), np.cumsum(long_b[ids_b])
-            group_a, group_b = components(ends_a, ends_b)
+            both = merged(ends_a, ends_b)
+            group_a, group_b = components(ends_a, ends_b, both)
             # documents end where both tokenizers end
             ends = np.cumsum(counts[0, row])
             first = np.concatenate([[0], group_a[ends - 1] + 1])
             counts[2, row] = np.diff(first)
-            for i, text in zip(row.tolist(), described(group_a, group_b, ids_a, ids_b, first), strict=True):
+            for i, text in zip(row.tolist(), described(group_a, group_b, ids_a, ids_b, first, max(len(a.spelled), len(b.spelled))), strict=True):
                 groups[i] = text if whole else hashlib.sha256(text.encode()).hexdigest()
-            links = np.union1d(ends_a, ends_b)
-            at_a, at_b = np.searchsorted(ends_a, links), np.searchsorted(ends_b, links)
-            linked = ids_a[at_a] * len(b.spelled) + ids_b[at_b]
-            cuts = np.searchsorted(links, ends_a[ends - 1]) + 1
+            linked = ids_a[both.at_a] * len(b.spelled) + ids_b[both.at_b]
+            cuts = np.searchsorted(both.links, ends_a[ends - 1]) + 1
             counts[3, row] = np.diff(cuts, prepend=0)
             for i, start, end in zip(row.tolist(), [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
                 values, n = np.unique(linked[start:end], return_counts=True)
