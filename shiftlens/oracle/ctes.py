@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from shiftlens import config
+from shiftlens.oracle import rules
 
 DAY, HOUR, MINUTE, SECOND = 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000
 
@@ -114,33 +114,28 @@ def describe(rc: str) -> str:
 
 
 def segment(label: str) -> str:
-    """Segment of a label, by line."""
+    """Segment of a label, by line: codes first, then words."""
     lines = []
-    for p in config.DEFAULT_LINES:
+    for line, _ in rules.LINES:
         number = f"TRY_CAST(regexp_extract({label}, '^(\\d+)', 1) AS BIGINT)"
         number = f"(CASE WHEN {number} < 10 THEN {number} * 1000 ELSE {number} END)"
         arms = [f"WHEN {label} IS NULL OR {label} IN ('', 'Unattributed') THEN 'unattributed'"]
-        for s in p.segments:
-            if s.code_range:
-                arms.append(f"WHEN {number} >= {s.code_range[0]} AND {number} < {s.code_range[1]} THEN '{s.key}'")
-        for s in p.segments:
-            if s.keywords:
-                arms.append(f"WHEN regexp_matches({label}, '(?i){s.keywords}') THEN '{s.key}'")
-        lines.append(f"WHEN line_id = '{p.line_id}' THEN CASE {' '.join(arms)} ELSE 'unattributed' END")
+        own = [s for s in rules.SEGMENTS if s[0] == line]
+        arms += [f"WHEN {number} >= {low} AND {number} < {high} THEN '{key}'" for _, key, _, _, low, high, _ in own if high]
+        arms += [f"WHEN regexp_matches({label}, '(?i){text}') THEN '{key}'" for _, key, _, _, _, _, text in own if text]
+        lines.append(f"WHEN line_id = '{line}' THEN CASE {' '.join(arms)} ELSE 'unattributed' END")
     return f"CASE {' '.join(lines)} END"
 
 
 def cluster(label: str, seg: str) -> str:
     lines = []
-    for p in config.DEFAULT_LINES:
+    for line, _ in rules.LINES:
         arms = [
             f"WHEN {seg} IN ('manual', 'unattributed', 'running') THEN NULL",
             f"WHEN {label} IN ('', 'Unattributed') THEN 'Other'",
         ]
-        for s in p.segments:
-            for name, pattern in s.clusters:
-                arms.append(f"WHEN {seg} = '{s.key}' AND regexp_matches({label}, '(?i){pattern}') THEN '{name}'")
-        lines.append(f"WHEN line_id = '{p.line_id}' THEN CASE {' '.join(arms)} ELSE 'Other' END")
+        arms += [f"WHEN {seg} = '{key}' AND regexp_matches({label}, '(?i){pattern}') THEN '{name}'" for of, key, name, pattern in rules.CLUSTERS if of == line]
+        lines.append(f"WHEN line_id = '{line}' THEN CASE {' '.join(arms)} ELSE 'Other' END")
     return f"CASE {' '.join(lines)} END"
 
 
@@ -186,22 +181,20 @@ def cte(name: str, sql: str) -> None:
     CTES[name] = sql
 
 
-cte("c_lines", f"SELECT * FROM {_values([(p.line_id, p.label) for p in config.DEFAULT_LINES])} t(line_id, line)")
-cte("c_excl", "SELECT line_id, CAST(d AS DATE) AS day FROM " + _values(
-    [(p.line_id, d) for p in config.DEFAULT_LINES for d in p.excluded_days]) + " t(line_id, d)")
-cte("c_segments", "SELECT * FROM " + _values(
-    [(p.line_id, i, s.key, s.label, s.color) for p in config.DEFAULT_LINES for i, s in enumerate(p.segments)]
-) + " t(line_id, seg_order, segment, segment_label, segment_color)")
+def _ranked(rows) -> list[tuple]:
+    """Rows with their position among those of the same line (and segment) after the first column(s)."""
+    return [(r[0], sum(x[0] == r[0] for x in rows[:i]), *r[1:]) for i, r in enumerate(rows)]
+
+
+cte("c_lines", f"SELECT * FROM {_values(rules.LINES)} t(line_id, line)")
+cte("c_excl", f"SELECT line_id, CAST(d AS DATE) AS day FROM {_values(rules.EXCLUDED_DAYS)} t(line_id, d)")
+cte("c_segments", f"SELECT * FROM {_values([r[:5] for r in _ranked(rules.SEGMENTS)])} t(line_id, seg_order, segment, segment_label, segment_color)")
 cte("c_clusters", "SELECT * FROM " + _values(
-    [(p.line_id, s.key, i, c[0]) for p in config.DEFAULT_LINES for s in p.segments for i, c in enumerate(s.clusters)]
+    [(line, seg, sum(x[:2] == (line, seg) for x in rules.CLUSTERS[:i]), name) for i, (line, seg, name, _) in enumerate(rules.CLUSTERS)]
 ) + " t(line_id, segment, cluster_order, cluster)")
-cte("c_categories", "SELECT * FROM " + _values(
-    [(i, *c) for i, c in enumerate(config.CATEGORIES)]) + " t(cat_order, category, category_label, category_color)")
-cte("c_panels", "SELECT * FROM " + _values(
-    [(p.line_id, i, x.key, x.short, x.table, x.n_lanes, x.divisor, x.min_resets, x.min_subgroups, x.lane_mode,
-      x.representative, x.dual, x.active_only) for p in config.DEFAULT_LINES for i, x in enumerate(p.panels)]
-) + """ t(line_id, panel_order, panel, panel_short, counter_table, n_lanes, divisor, min_resets, min_subgroups,
- lane_mode, representative, dual, active_only)""")
+cte("c_categories", f"SELECT * FROM {_values([(i, *c) for i, c in enumerate(rules.CATEGORIES)])} t(cat_order, category, category_label, category_color)")
+cte("c_panels", f"SELECT * FROM {_values([r[:-1] for r in _ranked(rules.PANELS)])}" + """ t(line_id, panel_order, panel, panel_short, counter_table, n_lanes, divisor,
+ min_resets, min_subgroups, lane_mode, representative, dual, active_only)""")
 
 cte("c_ev", """SELECT CASE WHEN user_id % 2 = 0 THEN 'line_a' ELSE 'line_b' END AS line_id, event_id, ts,
  epoch_us(ts) AS us, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
@@ -472,8 +465,7 @@ cte("c_findings", f"""SELECT line_id, week, row_number() OVER (PARTITION BY line
 
 # SPC
 _MATCH = " OR ".join(
-    f"(line_id = '{p.line_id}' AND p.panel = '{x.key}' AND src = '{x.table}' AND (" + " OR ".join(f"name LIKE '{q}'" for q in x.patterns) + "))"
-    for p in config.DEFAULT_LINES for x in p.panels
+    f"(line_id = '{r[0]}' AND p.panel = '{r[1]}' AND src = '{r[3]}' AND (" + " OR ".join(f"name LIKE '{station}'" for station in r[-1]) + "))" for r in rules.PANELS
 )
 cte("c_lanes", f"""SELECT r.line_id, p.panel, src AS counter_table, row_id, block_id, us, name, cnt,
  CASE WHEN p.dual THEN 'lane' || string_split(name, '_')[-1] ELSE name END AS lane FROM (
