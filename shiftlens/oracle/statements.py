@@ -110,6 +110,8 @@ _BODY["flt3_half_open_window"] = f"""SELECT line_id, count(*) AS samples, {tstex
  WHERE t_stamp >= TIMESTAMP '2024-01-10 07:00:00' AND t_stamp < TIMESTAMP '2024-01-17 07:00:00' GROUP BY 1"""
 _BODY["flt4_excluded_days"] = "SELECT p.line_id, strftime(t_stamp, '%Y-%m-%d') AS day, count(*) AS samples FROM c_ppm p ANTI JOIN c_excl x ON x.line_id = p.line_id AND x.day = CAST(t_stamp AS DATE) GROUP BY 1, 2"
 _BODY["flt5_excluded_set"] = f"SELECT line_id, {DTEXT} FROM (SELECT line_id, day FROM c_excl UNION SELECT line_id, day FROM c_sched WHERE classification = 'non_production')"
+_BODY["flt5_stored_schedule"] = f"""SELECT {K}, skipped, count(*) FILTER (NOT skipped) OVER (PARTITION BY line_id, week) AS production_shifts FROM (
+ SELECT line_id, week, ord, skipped OR EXISTS (SELECT 1 FROM c_sched d WHERE d.line_id = s.line_id AND d.day = {odate('s.ord')} AND run_hours < 14.0) AS skipped FROM c_spine s)"""
 _BODY["flt6_stale_schedule"] = """SELECT line_id, 'no window' AS asked, count(*) AS days, '' AS warning FROM c_sched GROUP BY 1 UNION ALL
  SELECT line_id, 'other window', 0, 'schedule range ' || strftime(min(day), '%Y-%m-%d') || '..' || strftime(max(day), '%Y-%m-%d') ||
  ' does not match the window 2024-02-01..2024-02-08; schedule ignored' FROM c_sched GROUP BY 1"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -25,6 +26,8 @@ _TABLES = ("status_blocks", "fof_changes", "ppm", "output_stats", "machine_state
 # Split of the derived history used by the ingest queries: what is copied, and the new cutoff.
 COPIED_UNTIL, CUTOFF = "2024-01-20 07:07:00", "2024-01-27 07:07:00"
 HOURLY_START = "2024-01-22 00:00:00"
+# Hours of running below which the stored schedule of a query calls a day non-production.
+STRICT_HOURS = 14.0
 
 
 def query(fn):
@@ -434,6 +437,25 @@ def flt5_excluded_set(s: Site) -> DataFrame:
     return schedule.excluded_days(s, schedule.schedule(s)).select("line_id", F.col("day").cast("string").alias("day"))
 
 
+@query
+def flt5_stored_schedule(s: Site) -> DataFrame:
+    """A schedule that was stored as JSON and read back decides which shifts are skipped and how many a week has.
+
+    It was made with stricter thresholds, so that some days count as non-production.
+    """
+
+    def make() -> DataFrame:
+        strict = [replace(p, min_run_hours=STRICT_HOURS, min_parts=10**9) for p in s.lines]
+        days = schedule.schedule(s._derived("strict", lines=strict))
+        folder = f"{s._stage.root}/schedule"
+        days.write.mode("overwrite").json(folder)
+        scheduled = s.with_schedule(s.spark.read.schema(days.schema).json(folder))
+        return calendar.spine(scheduled)
+
+    kept = F.count_if(~F.col("skipped")).over(W.partitionBy("line_id", "week"))
+    return _plain(s.stage("schedule.applied", make).withColumn("kept", kept), "skipped", F.col("kept").alias("production_shifts"))
+
+
 @query
 def flt6_stale_schedule(s: Site) -> DataFrame:
     days = schedule.schedule(s)

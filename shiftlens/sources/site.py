@@ -94,6 +94,12 @@ class Site:
         """The same site with another ``spc_lookback_days``."""
         return self._derived(f"lookback={days}", spc_lookback_days=days)
 
+    def with_schedule(self, stored: DataFrame) -> Site:
+        """The same site with a stored schedule, whose non-production days are left out like declared ones."""
+        site = self._derived("schedule")
+        site.stored_schedule = stored
+        return site
+
     def since(self, start: str) -> Site:
         """The same site reading only data from the shift of ``start`` on; the bound is pushed to every scan.
 
