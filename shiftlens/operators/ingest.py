@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiftlens.config import EMPTY_MARKS
 from shiftlens.functions.columns import HOUR, floor_to, to_ts, to_us
@@ -80,7 +81,8 @@ def copied(spark: SparkSession, root: str, table: str, source: DataFrame) -> Dat
         return source.limit(0)
     runs = [r[0] for r in run_log(spark, root).select("run").distinct().collect()]  # one per run
     names = source.columns
-    whole = spark.read.schema(source.schema.add("run", "string")).parquet(f"{root}/{table}")
+    schema = T.StructType([*source.schema.fields, T.StructField("run", T.StringType())])
+    whole = spark.read.schema(schema).parquet(f"{root}/{table}")
     return whole.filter(F.col("run").isin(runs)).select(*names)
 
 
