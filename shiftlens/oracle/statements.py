@@ -445,7 +445,10 @@ _FULL = f"""CASE WHEN ord % 2 = 1 THEN 'Night' ELSE 'Day' END || ' Shift — ' |
 _BODY["oee10_shift_document"] = f"""SELECT {K}, {_FULL} AS label, {tstext(starts('ord'))} AS starts, {tstext(ends('ord'))} AS ends, {tstext(ends('ord'))} AS generated_at, skipped AS day_excluded,
  {rnd('ideal_ppm', 1)} AS p95_ideal_ppm, CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = e.line_id AND s.ord BETWEEN e.ord - 4 AND e.ord) AS INTEGER) AS n_shifts,
  CAST((SELECT count(*) FROM c_spine s WHERE s.line_id = e.line_id AND s.ord BETWEEN e.ord - 4 AND e.ord - 1 AND s.skipped) AS INTEGER) AS n_skipped,
- (SELECT count(*) FROM c_members m WHERE m.line_id = e.line_id AND m.week = e.week) AS baseline_shifts FROM c_spine e LEFT JOIN c_pideal USING (line_id, week)"""
+ (SELECT count(*) FROM c_members m WHERE m.line_id = e.line_id AND m.week = e.week) AS baseline_shifts,
+ CAST((SELECT count(*) FROM c_xseg g WHERE g.line_id = e.line_id AND g.ord = e.ord) AS INTEGER) AS n_segments,
+ CAST((SELECT count(DISTINCT hour_idx) FROM c_hours h WHERE h.line_id = e.line_id AND h.ord = e.ord) AS INTEGER) AS n_hours,
+ CAST((SELECT count(*) FROM c_xshout o WHERE o.line_id = e.line_id AND o.ord = e.ord) AS INTEGER) AS n_outliers FROM c_spine e LEFT JOIN c_pideal USING (line_id, week)"""
 _ENTRY = ("oee", "availability", "performance", "quality", "running_hours", "total_stops", "total_downtime_hours", "longest_stop_min", "good_count", "total_count")
 _BODY["oee10_document_rows"] = f"""SELECT {okey('a.ord', 'a.line_id')} AS shift_key, CAST(a.ord - s.ord AS INTEGER) AS position, {olabel('s.ord')} AS label, s.skipped AND s.ord < a.ord AS skipped,
  {', '.join(f"CASE WHEN NOT (s.skipped AND s.ord < a.ord) THEN x.{c} END AS {c}" for c in _ENTRY)} FROM c_spine a JOIN c_spine s ON s.line_id = a.line_id AND s.ord BETWEEN a.ord - 4 AND a.ord

@@ -651,12 +651,14 @@ def oee9_week_deltas(s: Site) -> DataFrame:
 
 @query
 def oee10_shift_document(s: Site) -> DataFrame:
-    """Head of every shift document that was read back, excluded days among them."""
+    """Head of every shift document that was read back, excluded days among them, and the sizes of its breakdowns."""
+    size = lambda c: F.greatest(F.coalesce(F.size(f"subject_detail.{c}"), F.lit(0)), F.lit(0))
     return _documents(s).select(
         F.concat_ws("|", "line_id", "shift_date", "shift_type").alias("shift_key"), F.col("latest_shift.label").alias("label"),
         F.col("latest_shift.start").alias("starts"), F.col("latest_shift.end").alias("ends"), "generated_at", "day_excluded", "p95_ideal_ppm",
         F.size("shifts").alias("n_shifts"), F.size(F.filter("shifts", lambda x: x["skipped"])).alias("n_skipped"),
-        F.col("subject_detail.baseline_shifts").alias("baseline_shifts"),
+        F.col("subject_detail.baseline_shifts").alias("baseline_shifts"), size("segment_downtime").alias("n_segments"),
+        size("hourly_breakdown").alias("n_hours"), size("cluster_outliers").alias("n_outliers"),
     )
 
 
