@@ -485,7 +485,9 @@ _BAT = f"panel, batch_idx, {tstext('stamp_us')} AS t_stamp, {_BATCH.format(t=ts(
 _BODY["oee11_spc_ewma"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, {_BAT} FROM c_wewma"
 _BODY["oee11_spc_table"] = f"SELECT line_id, CAST(week AS INTEGER) AS week, panel, {olabel('ord')} AS label, CAST(lane_no AS INTEGER) AS lane_no, rejects, rate_pct, ucl_pct, ooc, n_inspected, CAST(shift_idx AS INTEGER) AS shift_idx, p_bar_pct FROM c_detail"
 _BODY["spc20_spc_only"] = f"""SELECT line_id, snapshot_key, 'weekly-dashboard-spc' AS analysis_id, {tstext('reached_us')} AS generated_at, {otext('ord')} AS shift_date, {otype('ord')} AS shift_type, {olabel('ord')} AS label,
- line_id || '|' || {olabel('ord')} AS line_shift_label, {isoweek(odate('ord'))} AS iso_week, {weeklabel(odate('ord'))} AS week_label, ord = s.latest_ord AS is_latest, skipped
+ line_id || '|' || {olabel('ord')} AS line_shift_label, {isoweek(odate('ord'))} AS iso_week, {weeklabel(odate('ord'))} AS week_label, ord = s.latest_ord AS is_latest, skipped,
+ CAST((SELECT count(*) FROM c_prod p WHERE p.line_id = s.line_id AND p.week = 0) AS INTEGER) AS n_shifts,
+ CAST((SELECT count(*) FROM c_detail d WHERE d.line_id = s.line_id AND d.week = 0) AS INTEGER) AS n_rows
  FROM c_spine s JOIN c_latest l USING (line_id) JOIN c_snaps USING (line_id) WHERE week = 0"""
 _BODY["spc20_points"] = f"SELECT line_id, snapshot_key, {_PTS} FROM c_series JOIN c_snaps USING (line_id) WHERE week = 0"
 _BODY["spc20_ewma"] = f"SELECT line_id, snapshot_key, {_BAT} FROM c_wewma JOIN c_snaps USING (line_id) WHERE week = 0"

@@ -1178,8 +1178,9 @@ def spc19_ewma_breaches(s: Site) -> DataFrame:
 
 @query
 def spc20_spc_only(s: Site) -> DataFrame:
-    """The shift list of the SPC-only result, excluded shifts marked."""
-    rows = _snapshots(s).select("line_id", "snapshot_key", "analysis_id", "generated_at", F.inline("shifts"))
+    """The shift list of the SPC-only result, excluded shifts marked; beside it the result's production shifts and rows of its detail tables."""
+    sizes = (F.size(F.filter("shifts", lambda x: ~x["skipped"])).alias("n_shifts"), week_documents.table_size().alias("n_rows"))
+    rows = _snapshots(s).select("line_id", "snapshot_key", "analysis_id", "generated_at", *sizes, F.inline("shifts"))
     return rows.drop("ord")
 
 

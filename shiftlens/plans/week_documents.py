@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftlens.functions.columns import round_even, shift_date_text, shift_end, shift_label, shift_type, ts_text
@@ -126,6 +126,13 @@ def flat_ewma(docs: DataFrame, keys: list[str]) -> DataFrame:
     return nested.flat_ewma(_panels(docs, keys).filter("ewma IS NOT NULL"), [*keys, "panel"])
 
 
+def table_size() -> Column:
+    """Number of rows that ``flat_table`` makes of a document: its shifts with data times their lanes, over all panels."""
+    whole = lambda v: F.greatest(F.coalesce(v, F.lit(0)), F.lit(0))
+    shifts = lambda t: whole(F.aggregate(t, F.lit(0), lambda n, x: n + whole(F.size(x["per_lane"]))))
+    return whole(F.aggregate(F.map_values("weekly_spc"), F.lit(0), lambda n, v: n + shifts(v["shift_table"])))
+
+
 def flat_table(docs: DataFrame, keys: list[str]) -> DataFrame:
     """The detail table: one row per shift with data and lane, the limit taken from the lane's points."""
     rows = _panels(docs, keys).select(*keys, "panel", "labels", "lanes", F.posexplode("shift_table").alias("shift_idx", "t"))
